@@ -177,8 +177,9 @@ _DEPENDS = {
 }
 
 
-def sql_with(*views: str) -> str:
-    """``WITH`` clause defining the requested fixture views (dependencies first)."""
+def sql_with(*views: str, recursive: bool = False, extra: str = "") -> str:
+    """``WITH`` clause defining the requested fixture views (dependencies first); ``extra`` adds
+    further comma-separated CTEs after them."""
     ordered: list[str] = []
 
     def add(v: str) -> None:
@@ -189,4 +190,5 @@ def sql_with(*views: str) -> str:
 
     for v in views:
         add(v)
-    return "WITH " + ",\n".join(f"{v} AS ({SQL_VIEWS[v]}\n)" for v in ordered) + "\n"
+    parts = [f"{v} AS ({SQL_VIEWS[v]}\n)" for v in ordered] + ([extra] if extra else [])
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"

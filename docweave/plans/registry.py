@@ -261,3 +261,113 @@ def q_validate_text_content(spark, sf_dir):
     d = FX.load(spark, sf_dir, "documents")
     v = TX.validate_text_content("text")
     return d.select("doc_id", v["ok"].alias("ok"), v["reason"].alias("reason"))
+
+
+# ---------------------------------------------------------------------------------------------
+# T1/T2 chunking, F4/A6 keywords
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import chunk as CH  # noqa: E402
+from ..operators import keywords as KW  # noqa: E402
+
+
+def _last_sql(w: str, ch: str) -> str:
+    esc = "\\." if ch == "." else ch
+    return f"(CASE WHEN strpos({w}, '{ch}') = 0 THEN -1 ELSE length(regexp_extract({w}, '(?s)^(.*){esc}', 1)) END)"
+
+
+def chunk_sql(source: str, key: str, text: str, size: int = S.CHUNK_SIZE, overlap: int = S.CHUNK_OVERLAP) -> str:
+    """CTE text (to follow WITH RECURSIVE) defining ``chunks(key, chunk_index, chunk_start,
+    chunk_text)`` over ``source``: the chunk rule as a recursive query."""
+    w = f"substr(d.{text}, s.start + 1, {size})"
+    dot, sp = _last_sql(w, "."), _last_sql(w, " ")
+    inner_b = f"(CASE WHEN {dot} > 0 THEN s.start + {dot} WHEN {sp} > 0 THEN s.start + {sp} ELSE s.start + {size} END)"
+    b = f"(CASE WHEN s.start + {size} >= d.n THEN s.pb ELSE {inner_b} END)"
+    end = f"(CASE WHEN s.start + {size} >= d.n THEN d.n ELSE {inner_b} + 1 END)"
+    return f"""
+_cdocs AS (SELECT {key} AS k, {text}, length({text}) AS n FROM {source} WHERE {text} IS NOT NULL),
+_steps(k, idx, start, pb) AS (
+  SELECT k, 0, 0, -1 FROM _cdocs WHERE n > {size}
+  UNION ALL
+  SELECT s.k, s.idx + 1, greatest(s.start + {size - overlap}, {b} + 1), {b}
+  FROM _steps s JOIN _cdocs d ON s.k = d.k WHERE s.start < d.n
+),
+chunks AS (
+  SELECT s.k AS {key}, CAST(s.idx AS INTEGER) AS chunk_index, CAST(s.start AS INTEGER) AS chunk_start,
+         {sql_strip(f"substr(d.{text}, s.start + 1, {end} - s.start)")} AS chunk_text
+  FROM _steps s JOIN _cdocs d ON s.k = d.k WHERE s.start < d.n
+  UNION ALL
+  SELECT k AS {key}, 0, 0, {text} FROM _cdocs WHERE n <= {size}
+)"""
+
+
+_CHUNK_DOCS_SQL = "WITH RECURSIVE " + chunk_sql("documents", "doc_id", "text").lstrip() + "\nSELECT * FROM chunks"
+
+
+@register("chunk_text", _CHUNK_DOCS_SQL)
+def q_chunk_text(spark, sf_dir):
+    return CH.chunk_text(FX.load(spark, sf_dir, "documents"), "text", ["doc_id"], method="arrow")
+
+
+@register("chunk_text_native", _CHUNK_DOCS_SQL)
+def q_chunk_text_native(spark, sf_dir):
+    return CH.chunk_text(FX.load(spark, sf_dir, "documents"), "text", ["doc_id"], method="native")
+
+
+@register(
+    "chunk_payload",
+    FX.sql_with("txt_documents", recursive=True, extra=chunk_sql("txt_documents", "file_id", "content").strip())
+    + """
+SELECT c.file_id, c.chunk_index, c.chunk_text AS text,
+       strftime(t.upload_datetime + INTERVAL 7 HOUR, '%Y-%m-%dT%H:%M:%S') || '+07:00' AS upload_timestamp,
+       CAST(length(c.chunk_text) AS INTEGER) AS text_length, 'staging/txts/' || t.source_file AS source
+FROM chunks c JOIN txt_documents t USING (file_id)""",
+)
+def q_chunk_payload(spark, sf_dir):
+    t = FX.txt_documents(spark, sf_dir).select(
+        "file_id", "content", "upload_datetime", F.concat(F.lit("staging/txts/"), F.col("source_file")).alias("source")
+    )
+    # keys carried through the flat-map, so no join back to the table is needed
+    ch = CH.chunk_text(t, "content", ["file_id", "upload_datetime", "source"])
+    return CH.chunk_payload(ch, F.col("upload_datetime")).drop("upload_datetime")
+
+
+_WORDS_SQL = f"""
+_tok AS (
+  SELECT doc_id, unnest(toks) AS word, generate_subscripts(toks, 1) AS pos
+  FROM (SELECT doc_id, string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}_]+') AS toks FROM documents)
+),
+_wf AS (
+  SELECT doc_id, word, count(*) AS freq, min(pos) - 1 AS first_pos FROM _tok
+  WHERE regexp_full_match(word, '[a-z]{{3,}}') AND word NOT IN ({", ".join(f"'{w}'" for w in S.STOP_WORDS)})
+  GROUP BY doc_id, word
+),
+_rk AS (
+  SELECT doc_id, word, freq, row_number() OVER (PARTITION BY doc_id ORDER BY freq DESC, first_pos) AS rank FROM _wf
+)"""
+
+
+@register("word_frequency", "WITH " + _WORDS_SQL.strip() + "\nSELECT doc_id, word, freq, first_pos FROM _wf")
+def q_word_frequency(spark, sf_dir):
+    return KW.word_frequency(FX.load(spark, sf_dir, "documents"), "text", ["doc_id"])
+
+
+@register(
+    "keyword_ranks", "WITH " + _WORDS_SQL.strip() + "\nSELECT doc_id, word, freq, CAST(rank AS INTEGER) AS rank FROM _rk WHERE rank <= 10"
+)
+def q_keyword_ranks(spark, sf_dir):
+    return KW.keyword_ranks(FX.load(spark, sf_dir, "documents"), "text", ["doc_id"], 10)
+
+
+@register(
+    "extract_keywords",
+    "WITH "
+    + _WORDS_SQL.strip()
+    + """
+SELECT d.doc_id, coalesce(k.keywords, []::VARCHAR[]) AS keywords
+FROM documents d LEFT JOIN (
+  SELECT doc_id, list(word ORDER BY rank) AS keywords FROM _rk WHERE rank <= 10 GROUP BY doc_id
+) k USING (doc_id)""",
+)
+def q_extract_keywords(spark, sf_dir):
+    return KW.extract_keywords(FX.load(spark, sf_dir, "documents"), "text", ["doc_id"], 10)
