@@ -371,3 +371,259 @@ FROM documents d LEFT JOIN (
 )
 def q_extract_keywords(spark, sf_dir):
     return KW.extract_keywords(FX.load(spark, sf_dir, "documents"), "text", ["doc_id"], 10)
+
+
+# ---------------------------------------------------------------------------------------------
+# S1-S6, S12 listings; P1-P9 validation and gates
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import validate as VD  # noqa: E402
+from ..sources import listing as LS  # noqa: E402
+
+SIZE_LIMIT_MB = 0.01  # 10,485.76 bytes: small enough that the size rule fires on the fixtures
+_LIMIT_BYTES = SIZE_LIMIT_MB * 1024 * 1024
+
+_LISTING_SQL = "SELECT object_name AS name, file_size AS size, upload_datetime AS last_modified, md5(content) AS etag, false AS is_dir FROM staged_files"
+
+
+def _listing(spark, sf_dir):
+    return LS.listing_from_staged(FX.staged_files(spark, sf_dir))
+
+
+@register("file_listing", FX.sql_with("staged_files") + _LISTING_SQL)
+def q_file_listing(spark, sf_dir):
+    return _listing(spark, sf_dir)
+
+
+@register(
+    "file_listing_typed",
+    FX.sql_with("staged_files", extra=f"listing AS ({_LISTING_SQL})") + "SELECT * FROM listing WHERE starts_with(name, 'pdfs/')",
+)
+def q_file_listing_typed(spark, sf_dir):
+    return LS.typed_listing(_listing(spark, sf_dir), "pdf")
+
+
+@register(
+    "file_listing_counts",
+    FX.sql_with("staged_files", extra=f"listing AS ({_LISTING_SQL})")
+    + "SELECT regexp_extract(name, '^(pdf|txt)s/', 1) AS type, count(*) AS total_count FROM listing "
+    "WHERE regexp_extract(name, '^(pdf|txt)s/', 1) <> '' GROUP BY 1",
+)
+def q_file_listing_counts(spark, sf_dir):
+    return LS.listing_counts(_listing(spark, sf_dir))
+
+
+_CATALOG_SQL = (
+    "SELECT *, 'pdf' AS type FROM listing WHERE starts_with(name, 'pdfs/') "
+    "UNION ALL SELECT *, 'txt' AS type FROM listing WHERE starts_with(name, 'txts/')"
+)
+
+
+@register("file_catalog_all", FX.sql_with("staged_files", extra=f"listing AS ({_LISTING_SQL})") + _CATALOG_SQL)
+def q_file_catalog_all(spark, sf_dir):
+    return LS.catalog_all(_listing(spark, sf_dir)).drop("_type_ord")
+
+
+@register(
+    "file_catalog_filtered",
+    FX.sql_with("staged_files", extra=f"listing AS ({_LISTING_SQL})") + f"SELECT * FROM ({_CATALOG_SQL}) WHERE type = 'txt'",
+)
+def q_file_catalog_filtered(spark, sf_dir):
+    return LS.catalog_all(_listing(spark, sf_dir), "TXT").drop("_type_ord")
+
+
+@register(
+    "file_info",
+    FX.sql_with("staged_files", extra=f"listing AS ({_LISTING_SQL})") + "SELECT * FROM listing WHERE name = 'pdfs/doc_3-src3.v1.pdf'",
+)
+def q_file_info(spark, sf_dir):
+    return LS.file_info(_listing(spark, sf_dir), "pdf", "doc_3-src3.v1.pdf")
+
+
+def _size_rule_sql(size: str, filename: str) -> str:
+    return (
+        f"CASE WHEN {size} > {_LIMIT_BYTES} THEN 413 WHEN {size} = 0 THEN 400 END",
+        f"CASE WHEN {size} > {_LIMIT_BYTES} THEN 'File ' || {filename} || ' has size exceeds {SIZE_LIMIT_MB}MB limit' "
+        f"WHEN {size} = 0 THEN '{S.MSG_FILE_EMPTY}' END",
+    )
+
+
+_SC, _DT = _size_rule_sql("octet_length(content)", "filename")
+
+
+@register(
+    "validate_file_size",
+    FX.sql_with("upload_candidates") + f"SELECT doc_id, {_SC} AS status_code, {_DT} AS detail FROM upload_candidates",
+)
+def q_validate_file_size(spark, sf_dir):
+    c = FX.upload_candidates(spark, sf_dir)
+    r = VD.file_size_rule(F.octet_length("content"), F.col("filename"), SIZE_LIMIT_MB)
+    return c.select("doc_id", r["status_code"].alias("status_code"), r["detail"].alias("detail"))
+
+
+_FORBIDDEN_SQL = "[" + "".join("\\" + ch for ch in S.FORBIDDEN_FILENAME_CHARS) + "]"
+
+
+@register(
+    "validate_filename",
+    FX.sql_with("upload_candidates")
+    + f"""
+SELECT doc_id, filename,
+  CASE WHEN filename IS NULL OR filename = '' THEN '{S.MSG_FILENAME_EMPTY}'
+       WHEN regexp_matches(filename, '{_FORBIDDEN_SQL}') THEN '{S.MSG_FILENAME_CHARS}'
+       WHEN length(filename) > 255 THEN '{S.MSG_FILENAME_LONG}'
+       WHEN NOT ends_with(lower(filename), '.' || lower(file_type)) THEN 'Filename must end with .' || lower(file_type)
+  END AS detail
+FROM upload_candidates""",
+)
+def q_validate_filename(spark, sf_dir):
+    c = FX.upload_candidates(spark, sf_dir)
+    return c.select("doc_id", "filename", VD.filename_rule(F.col("filename"), F.col("file_type"))["detail"].alias("detail"))
+
+
+@register(
+    "validate_txt_content",
+    FX.sql_with("upload_candidates")
+    + f"""
+SELECT doc_id, CASE WHEN length({sql_strip('decode(content)')}) = 0 THEN '{S.MSG_TXT_EMPTY}' END AS detail
+FROM upload_candidates WHERE file_type = 'txt'""",
+)
+def q_validate_txt_content(spark, sf_dir):
+    c = FX.upload_candidates(spark, sf_dir).where(F.col("file_type") == "txt")
+    return c.select("doc_id", VD.txt_content_rule(F.col("content"))["detail"].alias("detail"))
+
+
+@register(
+    "upload_gate",
+    FX.sql_with("upload_candidates", extra=f"listing AS ({_LISTING_SQL})")
+    + f"""
+SELECT filename, file_type, status_code, detail, file_size,
+       CASE WHEN status_code = 201 THEN upload_path END AS upload_path,
+       CASE WHEN status_code = 201 THEN (CASE WHEN file_type = 'pdf' THEN 'application/pdf' ELSE 'text/plain' END) END AS content_type
+FROM (
+  SELECT c.filename, c.file_type, c.upload_path, c.file_size,
+    CASE WHEN NOT ends_with(lower(c.filename), '.' || c.file_type) THEN 400
+         WHEN c.file_size > {_LIMIT_BYTES} THEN 413 WHEN c.file_size = 0 THEN 400
+         WHEN c.file_type = 'txt' AND length({sql_strip('decode(c.content)')}) = 0 THEN 400
+         WHEN l.name IS NOT NULL THEN 409 ELSE 201 END AS status_code,
+    CASE WHEN NOT ends_with(lower(c.filename), '.' || c.file_type) THEN 'Only ' || upper(c.file_type) || ' files are allowed'
+         WHEN c.file_size > {_LIMIT_BYTES} THEN 'File ' || c.filename || ' has size exceeds {SIZE_LIMIT_MB}MB limit'
+         WHEN c.file_size = 0 THEN '{S.MSG_FILE_EMPTY}'
+         WHEN c.file_type = 'txt' AND length({sql_strip('decode(c.content)')}) = 0 THEN '{S.MSG_TXT_EMPTY}'
+         WHEN l.name IS NOT NULL THEN 'File ''' || c.filename || ''' already exists'
+         ELSE upper(c.file_type) || ' file uploaded successfully' END AS detail
+  FROM (SELECT *, file_type || 's/' || filename AS upload_path, CAST(octet_length(content) AS BIGINT) AS file_size FROM upload_candidates) c
+  LEFT JOIN (SELECT DISTINCT name FROM listing) l ON l.name = c.upload_path
+)""",
+)
+def q_upload_gate(spark, sf_dir):
+    return VD.upload_gate(FX.upload_candidates(spark, sf_dir), _listing(spark, sf_dir), SIZE_LIMIT_MB)
+
+
+@register(
+    "delete_plan",
+    FX.sql_with("staged_files", extra=f"listing AS ({_LISTING_SQL})")
+    + """
+SELECT r.file_path, CASE WHEN l.name IS NULL THEN 404 ELSE 200 END AS status_code,
+       CASE WHEN l.name IS NULL THEN 'File ''' || r.file_path || ''' not found' ELSE 'File deleted successfully' END AS detail,
+       CASE WHEN l.name IS NOT NULL THEN regexp_extract(r.file_path, '[^/]*$', 0) END AS filename,
+       CASE WHEN l.name IS NOT NULL THEN r.file_path END AS deleted_path
+FROM (SELECT object_name AS file_path FROM staged_files UNION ALL SELECT 'gone/' || object_name FROM staged_files) r
+LEFT JOIN (SELECT DISTINCT name FROM listing) l ON l.name = r.file_path""",
+)
+def q_delete_plan(spark, sf_dir):
+    s = FX.staged_files(spark, sf_dir)
+    req = s.select(F.col("object_name").alias("file_path")).unionByName(
+        s.select(F.concat(F.lit("gone/"), F.col("object_name")).alias("file_path"))
+    )
+    return VD.delete_plan(req, _listing(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# T7-T10 records, W4 silver path, S6 silver read
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import records as RC  # noqa: E402
+
+
+@register(
+    "silver_path",
+    FX.sql_with("staged_files")
+    + "SELECT doc_id, 'silver/pdfs/' || regexp_replace(filename, '\\.[^.]*$', '') || '.md' AS path FROM staged_files WHERE file_type = 'pdf'",
+)
+def q_silver_path(spark, sf_dir):
+    s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "pdf")
+    return s.select("doc_id", RC.silver_path(F.col("filename")).alias("path"))
+
+
+@register("silver_read", FX.sql_with("silver_documents") + "SELECT path, text FROM silver_documents WHERE text IS NOT NULL AND text <> ''")
+def q_silver_read(spark, sf_dir):
+    s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "pdf")
+    silver = s.select(RC.silver_path(F.col("filename")).alias("path"), F.col("content").alias("raw"))
+    return LS.silver_read(silver, "path", bytes_col="raw")
+
+
+@register("txt_records", FX.sql_with("txt_documents") + "SELECT * FROM txt_documents")
+def q_txt_records(spark, sf_dir):
+    files = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "txt")
+    return RC.txt_records(files, run_epoch=F.col("upload_epoch"))
+
+
+@register("pdf_records", FX.sql_with("pdf_documents") + "SELECT * FROM pdf_documents")
+def q_pdf_records(spark, sf_dir):
+    s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "pdf")
+    extracted = s.select(
+        "filename",
+        "text",
+        "file_size",
+        "upload_datetime",
+        "upload_epoch",
+        F.ceil(F.col("n_chars") / F.lit(3000.0)).cast("int").alias("page_count"),
+        F.when(F.col("lang") == "es", F.lit(None).cast("string")).otherwise(F.substring("text", 1, 300)).alias("summarize_details"),
+    )
+    return RC.pdf_records(extracted, run_epoch=F.col("upload_epoch"))
+
+
+@register("decode_cascade", FX.sql_with("staged_files") + "SELECT doc_id, text, 'utf-8' AS encoding FROM staged_files")
+def q_decode_cascade(spark, sf_dir):
+    s = FX.staged_files(spark, sf_dir)
+    d = RC.DC.decode_bytes("content")
+    return s.select("doc_id", d["text"].alias("text"), d["encoding"].alias("encoding"))
+
+
+@register("decode_cascade_latin1")
+def q_decode_cascade_latin1(spark, sf_dir):
+    # The same texts stored as ISO-8859-1: bytes that are not UTF-8 go down the cascade (an
+    # even-length body decodes as UTF-16, as the reference's order implies), else latin-1.
+    s = FX.staged_files(spark, sf_dir).withColumn("content", F.encode("text", "ISO-8859-1"))
+    d = RC.DC.decode_bytes("content")
+    return s.select("doc_id", d["text"].alias("text"), d["encoding"].alias("encoding"))
+
+
+@register(
+    "decode_and_clean",
+    FX.sql_with("staged_files")
+    + f"""
+SELECT doc_id, 'utf-8' AS encoding, coalesce(regexp_replace(trim(regexp_replace(text, '{SQL_WS}+', ' ', 'g')),
+       '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '') AS content
+FROM staged_files""",
+)
+def q_decode_and_clean(spark, sf_dir):
+    s = FX.staged_files(spark, sf_dir).select("doc_id", "content")
+    return RC.decode_and_clean(s)
+
+
+@register(
+    "extract_fallback",
+    FX.sql_with("staged_files")
+    + f"""
+SELECT doc_id, coalesce(regexp_replace(trim(regexp_replace(
+  coalesce(CASE WHEN length({sql_strip('p')}) > 0 THEN p END, CASE WHEN length({sql_strip('text')}) > 0 THEN text END, '{S.NO_TEXT_FOUND}'),
+  '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '') AS text
+FROM (SELECT *, CASE WHEN lang = 'es' THEN NULL ELSE substr(text, 1, 300) END AS p FROM staged_files WHERE file_type = 'pdf')""",
+)
+def q_extract_fallback(spark, sf_dir):
+    # primary = a partial extraction (missing for one language), secondary = the full page text
+    s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "pdf")
+    primary = F.when(F.col("lang") == "es", F.lit(None).cast("string")).otherwise(F.substring("text", 1, 300))
+    return s.select("doc_id", RC.extraction_fallback(primary, F.col("text")).alias("text"))
