@@ -53,9 +53,10 @@ def search_documents(tables: Mapping[str, DataFrame], query: str, limit: int = S
     return u.orderBy("_table_ord", "upload_datetime", "file_id").limit(limit).drop("_table_ord")
 
 
-def document_by_id(tables: Mapping[str, DataFrame], file_id: str) -> DataFrame:
+def document_by_id(tables: Mapping[str, DataFrame], file_id: str | Column) -> DataFrame:
     """Q2: the first table (in order) holding ``file_id`` wins; no hit gives no row."""
-    u = _tagged_union({n: df.where(F.col("file_id") == F.lit(file_id)) for n, df in tables.items()})
+    wanted = F.lit(file_id) if isinstance(file_id, str) else file_id
+    u = _tagged_union({n: df.where(F.col("file_id") == wanted) for n, df in tables.items()})
     return u.orderBy("_table_ord", "upload_datetime").limit(1).drop("_table_ord")
 
 

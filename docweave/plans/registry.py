@@ -627,3 +627,119 @@ def q_extract_fallback(spark, sf_dir):
     s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "pdf")
     primary = F.when(F.col("lang") == "es", F.lit(None).cast("string")).otherwise(F.substring("text", 1, 300))
     return s.select("doc_id", RC.extraction_fallback(primary, F.col("text")).alias("text"))
+
+
+# ---------------------------------------------------------------------------------------------
+# S7-S11 table reads, A1 statistics, Q2 lookup
+# ---------------------------------------------------------------------------------------------
+
+from ..sources import tables as TB  # noqa: E402
+
+
+@register("table_read", FX.sql_with("pdf_documents") + "SELECT * FROM pdf_documents")
+def q_table_read(spark, sf_dir):
+    return FX.pdf_documents(spark, sf_dir)
+
+
+@register(
+    "table_page",
+    FX.sql_with("txt_documents") + "SELECT * FROM txt_documents ORDER BY upload_datetime, file_id LIMIT 50 OFFSET 100",
+)
+def q_table_page(spark, sf_dir):
+    return TB.table_page(FX.txt_documents(spark, sf_dir), limit=50, offset=100)
+
+
+@register(
+    "table_page_counts",
+    FX.sql_with("txt_documents")
+    + "SELECT count(*) AS total_rows, CAST(least(greatest(count(*) - 100, 0), 50) AS BIGINT) AS returned_rows, "
+    "100 AS \"offset\", 50 AS \"limit\" FROM txt_documents",
+)
+def q_table_page_counts(spark, sf_dir):
+    return TB.page_counts(FX.txt_documents(spark, sf_dir), limit=50, offset=100)
+
+
+def _schema_values_sql(name: str) -> str:
+    rows = ", ".join(
+        f"({i + 1}, '{f.name}', '{f.dataType.simpleString()}', {str(not f.nullable).lower()})"
+        for i, f in enumerate(S.TABLE_SCHEMAS[name].fields)
+    )
+    return f"SELECT * FROM (VALUES {rows}) AS t(id, name, type, required)"
+
+
+@register("table_schema", _schema_values_sql(S.PDF_TABLE))
+def q_table_schema(spark, sf_dir):
+    # The declared contract; the fixture view is checked against it in tests.
+    return TB.table_schema(spark, S.PDF_SCHEMA)
+
+
+def _stats_sql(view: str, name: str) -> str:
+    schema = S.TABLE_SCHEMAS[name]
+    parts = []
+    for i, f in enumerate(schema.fields):
+        w = TB._fixed_width(f.dataType)
+        if f.dataType.simpleString() == "string":
+            b = f"CAST(coalesce(sum(strlen({f.name})), 0) AS BIGINT)"
+        elif w is not None:
+            b = f"CAST(count({f.name}) * {w} AS BIGINT)"
+        else:
+            b = "CAST(NULL AS BIGINT)"
+        parts.append(
+            f"SELECT '{name}' AS table_name, {i + 1} AS position, '{f.name}' AS column_name, count(*) AS row_count, "
+            f"{len(schema.fields)} AS column_count, CAST(count(*) - count({f.name}) AS BIGINT) AS null_count, {b} AS data_bytes FROM {view}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+@register(
+    "table_statistics",
+    FX.sql_with("pdf_documents", "txt_documents") + _stats_sql("pdf_documents", S.PDF_TABLE) + "\nUNION ALL\n" + _stats_sql("txt_documents", S.TXT_TABLE),
+)
+def q_table_statistics(spark, sf_dir):
+    p = TB.table_statistics(FX.pdf_documents(spark, sf_dir), S.PDF_TABLE)
+    t = TB.table_statistics(FX.txt_documents(spark, sf_dir), S.TXT_TABLE)
+    return p.unionByName(t)
+
+
+_LOOKUP_NAME = "doc_1-src1.v1.txt"
+
+
+@register(
+    "document_by_id",
+    FX.sql_with("pdf_documents", "txt_documents")
+    + f"""
+SELECT * EXCLUDE (_ord) FROM (
+  SELECT *, 'pdf_documents' AS source_table, 0 AS _ord FROM pdf_documents
+  UNION ALL BY NAME
+  SELECT *, 'txt_documents' AS source_table, 1 AS _ord FROM txt_documents
+) WHERE file_id = (SELECT file_id FROM txt_documents WHERE source_file = '{_LOOKUP_NAME}')
+ORDER BY _ord, upload_datetime LIMIT 1""",
+)
+def q_document_by_id(spark, sf_dir):
+    tables = _doc_tables(spark, sf_dir)
+    # The id is looked up as a scalar subquery, so the query needs no hash literal.
+    wanted = tables[S.TXT_TABLE].where(F.col("source_file") == _LOOKUP_NAME).select("file_id").scalar()
+    return SR.document_by_id(tables, wanted)
+
+
+@register(
+    "documents_by_ids",
+    FX.sql_with("pdf_documents", "txt_documents")
+    + """
+SELECT * EXCLUDE (_ord, _rn, file_id) RENAME (requested_id AS file_id) FROM (
+  SELECT r.requested_id, u.*, row_number() OVER (PARTITION BY r.requested_id ORDER BY u._ord NULLS LAST, u.upload_datetime) AS _rn
+  FROM (SELECT DISTINCT requested_id FROM (
+          SELECT file_id AS requested_id FROM pdf_documents UNION ALL SELECT file_id FROM txt_documents
+          UNION ALL SELECT 'missing_' || file_id FROM txt_documents)) r
+  LEFT JOIN (
+    SELECT *, 'pdf_documents' AS source_table, 0 AS _ord FROM pdf_documents
+    UNION ALL BY NAME
+    SELECT *, 'txt_documents' AS source_table, 1 AS _ord FROM txt_documents
+  ) u ON u.file_id = r.requested_id
+) WHERE _rn = 1""",
+)
+def q_documents_by_ids(spark, sf_dir):
+    tables = _doc_tables(spark, sf_dir)
+    ids = tables[S.PDF_TABLE].select("file_id").unionByName(tables[S.TXT_TABLE].select("file_id"))
+    ids = ids.unionByName(tables[S.TXT_TABLE].select(F.concat(F.lit("missing_"), F.col("file_id")).alias("file_id")))
+    return SR.documents_by_ids(tables, ids)
