@@ -743,3 +743,136 @@ def q_documents_by_ids(spark, sf_dir):
     ids = tables[S.PDF_TABLE].select("file_id").unionByName(tables[S.TXT_TABLE].select("file_id"))
     ids = ids.unionByName(tables[S.TXT_TABLE].select(F.concat(F.lit("missing_"), F.col("file_id")).alias("file_id")))
     return SR.documents_by_ids(tables, ids)
+
+
+# ---------------------------------------------------------------------------------------------
+# Q3 vector search, W6-W7 points, A4 info, T3-T6 embedding
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import vectors as VC  # noqa: E402
+
+_PAYLOAD = "point_id, vec_id, source, chunk_index, label"
+_QVEC = "(SELECT embedding FROM points WHERE vec_id = 0)::DOUBLE[]"
+
+
+def _query_vector(pts):
+    # The query vector is read from the table as a scalar subquery.
+    return pts.where(F.col("vec_id") == 0).select("embedding").scalar()
+
+
+def _round_score(df):
+    return df.withColumn("score", F.round("score", 6))
+
+
+@register(
+    "vector_search",
+    FX.sql_with("points")
+    + f"""
+SELECT {_PAYLOAD}, round(score, 6) AS score FROM (
+  SELECT *, list_cosine_similarity(embedding::DOUBLE[], {_QVEC}) AS score FROM points WHERE embedding IS NOT NULL)
+WHERE score >= 0.0 ORDER BY score DESC, point_id LIMIT 10""",
+)
+def q_vector_search(spark, sf_dir):
+    pts = FX.points(spark, sf_dir)
+    return _round_score(VC.vector_search(pts, _query_vector(pts), limit=10, score_threshold=0.0))
+
+
+@register(
+    "vector_search_filtered",
+    FX.sql_with("points")
+    + f"""
+SELECT {_PAYLOAD}, round(score, 6) AS score FROM (
+  SELECT *, list_cosine_similarity(embedding::DOUBLE[], {_QVEC}) AS score FROM points WHERE embedding IS NOT NULL AND label = 3)
+WHERE score >= 0.05 ORDER BY score DESC, point_id LIMIT 10""",
+)
+def q_vector_search_filtered(spark, sf_dir):
+    pts = FX.points(spark, sf_dir)
+    return _round_score(VC.vector_search(pts, _query_vector(pts), limit=10, score_threshold=0.05, filter_conditions={"label": 3}))
+
+
+@register(
+    "vector_search_batch",
+    FX.sql_with("points")
+    + """
+SELECT query_id, point_id, round(score, 6) AS score FROM (
+  SELECT q.vec_id AS query_id, p.point_id, list_cosine_similarity(p.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(p.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, p.point_id) AS rn
+  FROM (SELECT vec_id, embedding FROM points WHERE label = 0 AND embedding IS NOT NULL) q, points p
+  WHERE p.embedding IS NOT NULL AND list_cosine_similarity(p.embedding::DOUBLE[], q.embedding::DOUBLE[]) >= 0.0)
+WHERE rn <= 10""",
+)
+def q_vector_search_batch(spark, sf_dir):
+    pts = FX.points(spark, sf_dir)
+    queries = pts.where(F.col("label") == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return _round_score(VC.vector_search_batch(pts, queries, k=10, score_threshold=0.0))
+
+
+@register(
+    "collection_info",
+    FX.sql_with("points")
+    + f"""
+SELECT '{S.COLLECTION_NAME}' AS name, 'green' AS status, count(embedding) AS vectors_count, count(*) AS points_count,
+       CAST(max(len(embedding)) AS INTEGER) AS vector_size, 'Cosine' AS distance FROM points""",
+)
+def q_collection_info(spark, sf_dir):
+    return VC.collection_info(FX.points(spark, sf_dir))
+
+
+@register(
+    "points_upsert",
+    FX.sql_with("points")
+    + """
+SELECT point_id, vec_id, source, chunk_index, label FROM points WHERE point_id NOT IN (SELECT point_id FROM points WHERE label = 1)
+UNION ALL
+SELECT point_id, vec_id, source, chunk_index + 100, label FROM points WHERE label = 1""",
+)
+def q_points_upsert(spark, sf_dir):
+    pts = FX.points(spark, sf_dir).drop("embedding")
+    new = pts.where(F.col("label") == 1).withColumn("chunk_index", F.col("chunk_index") + 100)
+    return VC.upsert_points(pts, new)
+
+
+@register(
+    "points_delete_by_filter",
+    FX.sql_with("points") + "SELECT point_id, vec_id, source, chunk_index, label FROM points WHERE NOT coalesce(label = 2, false)",
+)
+def q_points_delete_by_filter(spark, sf_dir):
+    return VC.delete_by_filter(FX.points(spark, sf_dir).drop("embedding"), {"label": 2})
+
+
+@register(
+    "points_success",
+    FX.sql_with("points")
+    + "SELECT source, count(*) AS chunks, count(embedding) AS points_written, count(embedding) > 0 AS success FROM points GROUP BY source",
+)
+def q_points_success(spark, sf_dir):
+    return VC.points_success(FX.points(spark, sf_dir))
+
+
+TEST_DIM = 64
+
+
+@register("embed_chunks")
+def q_embed_chunks(spark, sf_dir):
+    t = FX.txt_documents(spark, sf_dir).select("file_id", "content")
+    ch = CH.chunk_text(t, "content", ["file_id"])
+    return VC.embed_chunks(ch, VC.hashing_embedder(TEST_DIM))
+
+
+@register("vectorize_files")
+def q_vectorize_files(spark, sf_dir):
+    # T5: silver paths -> read -> chunk -> embed -> points carrying the source path
+    silver = LS.silver_read(FX.silver_documents(spark, sf_dir), "path", text_col="text")
+    ch = CH.chunk_text(silver, "text", ["path"])
+    emb = VC.embed_chunks(ch, VC.hashing_embedder(TEST_DIM))
+    return VC.build_points(emb, F.col("path"), upload_ts=F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
+
+
+@register("vectorize_summaries")
+def q_vectorize_summaries(spark, sf_dir):
+    # Chunk each PDF's summary; points keep the silver path as ``source`` (the full text is
+    # joined by key when needed instead of being copied into every point).
+    pdf = FX.pdf_documents(spark, sf_dir).where(F.col("summarize_details").isNotNull())
+    ch = CH.chunk_text(pdf.select("content", "summarize_details"), "summarize_details", ["content"])
+    emb = VC.embed_chunks(ch, VC.hashing_embedder(TEST_DIM))
+    return VC.build_points(emb, F.col("content"), upload_ts=F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
