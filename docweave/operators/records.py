@@ -24,12 +24,12 @@ def upload_month(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
-def txt_records(files: DataFrame, run_epoch: Column | None = None) -> DataFrame:
-    """Files ``(filename, content bytes, upload_datetime[, upload_epoch])`` -> ``txt_documents``
-    rows: F10-decoded content, MD5 content hash, title from the file name, byte size, version 1."""
+def txt_record_columns(run_epoch: Column | None = None) -> list[Column]:
+    """T7 as column expressions over ``(filename, content bytes, upload_datetime)``: F10-decoded
+    content, MD5 content hash, title from the file name, byte size, version 1."""
     epoch = run_epoch if run_epoch is not None else F.unix_seconds(F.col("upload_datetime").cast("timestamp"))
     dec = DC.decode_bytes("content")
-    return files.select(
+    return [
         TX.document_id("txt", F.sha2("content", 256), epoch).alias("file_id"),
         F.col("upload_datetime").cast("timestamp_ntz").alias("upload_datetime"),
         TX.title_from_filename("filename").alias("title"),
@@ -39,7 +39,12 @@ def txt_records(files: DataFrame, run_epoch: Column | None = None) -> DataFrame:
         F.octet_length("content").cast("long").alias("file_size"),
         F.lit(1).alias("version"),
         F.md5("content").alias("content_hash"),
-    )
+    ]
+
+
+def txt_records(files: DataFrame, run_epoch: Column | None = None) -> DataFrame:
+    """Files -> ``txt_documents`` rows (one select for the whole batch)."""
+    return files.select(*txt_record_columns(run_epoch))
 
 
 def decode_and_clean(files: DataFrame) -> DataFrame:
@@ -77,12 +82,12 @@ def silver_path(filename: Column, bucket: str = "silver") -> Column:
     return F.concat(F.lit(f"{bucket}/pdfs/"), stem, F.lit(".md"))
 
 
-def pdf_records(extracted: DataFrame, run_epoch: Column | None = None) -> DataFrame:
-    """Extracted PDFs ``(filename, text, page_count, summarize_details, file_size,
-    upload_datetime)`` -> ``pdf_documents`` rows.  ``content`` holds the silver path (table
-    contract); page_count defaults to 1."""
+def pdf_record_columns(run_epoch: Column | None = None) -> list[Column]:
+    """T8 as column expressions over ``(filename, text, page_count, summarize_details, file_size,
+    upload_datetime)``.  ``content`` holds the silver path (table contract); page_count defaults
+    to 1."""
     epoch = run_epoch if run_epoch is not None else F.unix_seconds(F.col("upload_datetime").cast("timestamp"))
-    return extracted.select(
+    return [
         TX.document_id("pdf", F.sha2("text", 256), epoch).alias("file_id"),
         F.col("upload_datetime").cast("timestamp_ntz").alias("upload_datetime"),
         TX.title_from_filename("filename").alias("title"),
@@ -93,7 +98,12 @@ def pdf_records(extracted: DataFrame, run_epoch: Column | None = None) -> DataFr
         F.coalesce(F.col("page_count"), F.lit(1)).cast("int").alias("page_count"),
         F.lit(1).alias("version"),
         F.md5("text").alias("content_hash"),
-    )
+    ]
+
+
+def pdf_records(extracted: DataFrame, run_epoch: Column | None = None) -> DataFrame:
+    """Extracted PDFs -> ``pdf_documents`` rows."""
+    return extracted.select(*pdf_record_columns(run_epoch))
 
 
 def extraction_fallback(primary: Column, secondary: Column, failed: Column | None = None) -> Column:

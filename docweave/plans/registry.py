@@ -876,3 +876,100 @@ def q_vectorize_summaries(spark, sf_dir):
     ch = CH.chunk_text(pdf.select("content", "summarize_details"), "summarize_details", ["content"])
     emb = VC.embed_chunks(ch, VC.hashing_embedder(TEST_DIM))
     return VC.build_points(emb, F.col("content"), upload_ts=F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------------------------------------
+# T11-T13 ingest status, A2-A3 batch summaries
+# ---------------------------------------------------------------------------------------------
+
+from ..plans import ingest as IN  # noqa: E402
+
+RUN_TS = "2024-06-01 00:00:00"
+RUN_EPOCH = 1717200000
+
+
+def _candidates_of(spark, sf_dir, file_type):
+    c = FX.upload_candidates(spark, sf_dir).where(F.col("file_type") == file_type)
+    return c.select(F.concat(F.lit(f"staging/{file_type}s/"), F.col("filename")).alias("object_name"), "content")
+
+
+def _txt_status(spark, sf_dir):
+    plan = IN.txt_ingest_plan(_candidates_of(spark, sf_dir, "txt"), F.lit(RUN_TS), run_epoch=F.lit(RUN_EPOCH))
+    return IN.status_rows(plan, "txt")
+
+
+def _pdf_status(spark, sf_dir):
+    files = _candidates_of(spark, sf_dir, "pdf")
+    # Extraction stand-in expressed natively: UTF-8 text of the bytes; an empty file is an error.
+    text = F.col("content").cast("string")
+    extracted = files.select(
+        "object_name",
+        F.octet_length("content").alias("file_size"),
+        text.alias("text"),
+        F.lit(None).cast("int").alias("page_count"),
+        F.when(F.octet_length("content") == 0, F.lit("empty document")).alias("error"),
+        F.when(F.octet_length("content") > 2000, F.substring(text, 1, 300)).alias("summarize_details"),
+    )
+    plan = IN.pdf_ingest_plan(extracted, F.lit(RUN_TS), run_epoch=F.lit(RUN_EPOCH))
+    return IN.status_rows(plan, "pdf")
+
+
+_TXT_STATUS_SQL = f"""
+SELECT 'txt_' || substr(sha256(content), 1, 16) || '_{RUN_EPOCH}' AS file_id, filename, 'completed' AS status,
+       '{S.MSG_TXT_OK}' AS message, TIMESTAMP '{RUN_TS}' AS processed_at, 'txt' AS file_type
+FROM upload_candidates WHERE file_type = 'txt'"""
+
+_PDF_STATUS_SQL = f"""
+SELECT CASE WHEN octet_length(content) = 0 THEN '' ELSE 'pdf_' || substr(sha256(decode(content)), 1, 16) || '_{RUN_EPOCH}' END AS file_id,
+       filename,
+       CASE WHEN octet_length(content) = 0 THEN 'failed' ELSE 'completed' END AS status,
+       CASE WHEN octet_length(content) = 0 THEN 'Processing error: empty document' ELSE '{S.MSG_PDF_OK}' END AS message,
+       CASE WHEN octet_length(content) = 0 THEN NULL ELSE TIMESTAMP '{RUN_TS}' END AS processed_at,
+       'pdf' AS file_type, octet_length(content) > 2000 AS vectorized
+FROM upload_candidates WHERE file_type = 'pdf'"""
+
+
+@register("ingest_txt_status", FX.sql_with("upload_candidates") + _TXT_STATUS_SQL)
+def q_ingest_txt_status(spark, sf_dir):
+    return _txt_status(spark, sf_dir)
+
+
+@register("ingest_pdf_status", FX.sql_with("upload_candidates") + _PDF_STATUS_SQL)
+def q_ingest_pdf_status(spark, sf_dir):
+    return _pdf_status(spark, sf_dir)
+
+
+def _batch_status(spark, sf_dir):
+    return _pdf_status(spark, sf_dir).drop("vectorized").unionByName(_txt_status(spark, sf_dir))
+
+
+_BATCH_SQL = FX.sql_with(
+    "upload_candidates",
+    extra=f"batch AS (SELECT * EXCLUDE (vectorized) FROM ({_PDF_STATUS_SQL}) UNION ALL SELECT * FROM ({_TXT_STATUS_SQL}))",
+)
+
+
+@register("batch_status", _BATCH_SQL + "SELECT * FROM batch")
+def q_batch_status(spark, sf_dir):
+    return _batch_status(spark, sf_dir)
+
+
+@register(
+    "batch_summary",
+    _BATCH_SQL
+    + "SELECT count(*) AS total_processed, count(*) FILTER (WHERE status = 'completed') AS success_count, "
+    "count(*) FILTER (WHERE status <> 'completed') AS error_count, count(*) FILTER (WHERE file_type = 'pdf') AS pdf_count, "
+    "count(*) FILTER (WHERE file_type = 'txt') AS txt_count FROM batch",
+)
+def q_batch_summary(spark, sf_dir):
+    return IN.batch_summary(_batch_status(spark, sf_dir))
+
+
+@register(
+    "batch_summary_by_type",
+    _BATCH_SQL
+    + "SELECT file_type, count(*) AS total_processed, count(*) FILTER (WHERE status = 'completed') AS success_count, "
+    "count(*) FILTER (WHERE status <> 'completed') AS error_count FROM batch GROUP BY file_type",
+)
+def q_batch_summary_by_type(spark, sf_dir):
+    return IN.batch_summary_by_type(_batch_status(spark, sf_dir))
