@@ -65,19 +65,22 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def append_documents(records: DataFrame, root: str, name: str, dedupe: bool = True) -> DataFrame:
-    """One append for the whole batch.  Rows whose ``file_id`` is already in the table are
-    skipped (deterministic ids make re-runs and retried batches idempotent).  Returns the rows
-    that were written (lazy, re-evaluated on use)."""
+    """One append for the whole batch.  Rows whose (``file_id``, ``source_file``) is already
+    in the table are skipped: ids are derived from content and upload time, so a replayed batch
+    or a retried task writes nothing twice, while the same content under two names keeps both
+    rows.  Returns the rows that were written (lazy)."""
     spark = records.sparkSession
     schema = S.TABLE_SCHEMAS[name]
+    key = ["file_id", "source_file"]
     rows = records.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    rows = rows.dropDuplicates(["file_id"])
+    rows = rows.dropDuplicates(key)
     if dedupe and table_exists(spark, root, name):
-        present = read_table(spark, root, name).select("file_id")
-        rows = rows.join(present, on="file_id", how="left_anti")
+        present = read_table(spark, root, name).select(*key)
+        rows = rows.join(present, on=key, how="left_anti")
     rows = rows.withColumn(PARTITION_COL, upload_month(F.col("upload_datetime")))
-    # One writer task per month partition value keeps files few and large.
-    (rows.repartition(PARTITION_COL).write.mode("append").partitionBy(PARTITION_COL).parquet(_path(root, name)))
+    # Rebalance by month: few, large files per month, and AQE splits a month that holds most
+    # of the batch over several writer tasks instead of one.
+    rows.hint("rebalance", PARTITION_COL).write.mode("append").partitionBy(PARTITION_COL).parquet(_path(root, name))
     return rows
 
 
