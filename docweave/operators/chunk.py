@@ -30,9 +30,6 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions import text as TX
 
-_PY_WS = None  # Python's own str.strip() is the reference semantics in the Arrow path
-
-
 def check_params(chunk_size: int, overlap: int) -> None:
     if chunk_size <= 0:
         raise ValueError("chunk_size must be positive")
@@ -115,42 +112,57 @@ def _last_in_window(window: Column, ch: str, size: int) -> Column:
     return F.when(r > 0, F.lit(size) - r).otherwise(F.lit(-1))
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body`` (a one-element ``transform``)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def chunk_offsets(text: Column, chunk_size: int = S.CHUNK_SIZE, overlap: int = S.CHUNK_OVERLAP) -> Column:
-    """array<struct<s:int, e:int>> of chunk spans, as one bounded ``aggregate`` (native form)."""
-    n = F.length(text)
+    """array<struct<s:int, e:int>> of chunk spans, as one bounded ``aggregate`` (native form).
+    The text length is computed once (kept in the state) and each window is cut once per step."""
     step = chunk_size - overlap
-    iterations = F.sequence(F.lit(0), (n / F.lit(step)).cast("int") + 2)
     span_t = "array<struct<s:int,e:int>>"
-    init = F.struct(F.lit(0).alias("start"), F.lit(-1).alias("b"), F.array().cast(span_t).alias("spans"))
 
-    def advance(acc: Column, _i: Column) -> Column:
-        start, prev_b = acc["start"], acc["b"]
-        end = start + chunk_size
-        window = F.substring(text, start + 1, chunk_size)
-        dot = _last_in_window(window, ".", chunk_size)
-        space = _last_in_window(window, " ", chunk_size)
-        inner_b = F.when(dot > 0, start + dot).when(space > 0, start + space).otherwise(end)
-        tail = end >= n
-        b = F.when(tail, prev_b).otherwise(inner_b)
-        span = F.struct(start.alias("s"), F.when(tail, n).otherwise(inner_b + 1).alias("e"))
-        nxt = F.struct(
-            F.greatest(start + step, b + 1).alias("start"),
-            b.alias("b"),
-            F.concat(acc["spans"], F.array(span)).alias("spans"),
-        )
-        return F.when(start < n, nxt).otherwise(acc)
-
-    spans = F.aggregate(iterations, init, advance)["spans"]
-    single = F.array(F.struct(F.lit(0).alias("s"), n.alias("e")))
-    return F.when(n <= chunk_size, single).otherwise(spans)
+    def spans_for(n: Column) -> Column:
+        iterations = F.sequence(F.lit(0), (n / F.lit(step)).cast("int") + 2)
+        init = F.struct(F.lit(0).alias("start"), F.lit(-1).alias("b"), F.array().cast(span_t).alias("spans"))
+
+        def advance(acc: Column, _i: Column) -> Column:
+            start, prev_b = acc["start"], acc["b"]
+            end = start + chunk_size
+
+            def inner(window: Column) -> Column:
+                dot = _last_in_window(window, ".", chunk_size)
+                space = _last_in_window(window, " ", chunk_size)
+                return F.when(dot > 0, start + dot).when(space > 0, start + space).otherwise(end)
+
+            def with_boundary(tail: Column) -> Column:
+                inner_b = F.when(tail, F.lit(-1)).otherwise(_let(F.substring(text, start + 1, chunk_size), inner))
+                return _let(
+                    inner_b,
+                    lambda ib: F.struct(
+                        F.greatest(start + step, F.when(tail, prev_b).otherwise(ib) + 1).alias("start"),
+                        F.when(tail, prev_b).otherwise(ib).alias("b"),
+                        F.concat(acc["spans"], F.array(F.struct(start.alias("s"), F.when(tail, n).otherwise(ib + 1).alias("e")))).alias("spans"),
+                    ),
+                )
+
+            return F.when(start < n, with_boundary(end >= n)).otherwise(acc)
+
+        spans = F.aggregate(iterations, init, advance)["spans"]
+        single = F.array(F.struct(F.lit(0).alias("s"), n.alias("e")))
+        return F.when(n <= chunk_size, single).otherwise(spans)
+
+    return _let(F.length(text), spans_for)
 
 
 def _native_chunks(df: DataFrame, text_col: str, keys: Sequence[str], chunk_size: int, overlap: int) -> DataFrame:
     t = F.col(text_col)
     spans = df.select(*keys, t.alias("_t"), chunk_offsets(t, chunk_size, overlap).alias("_spans"))
-    ex = spans.select(*keys, "_t", F.posexplode("_spans").alias("chunk_index", "_sp"))
+    spans = spans.withColumn("_whole", F.length("_t") <= chunk_size)  # once per text, before the explode
+    ex = spans.select(*keys, "_t", "_whole", F.posexplode("_spans").alias("chunk_index", "_sp"))
     piece = F.substring(F.col("_t"), F.col("_sp.s") + 1, F.col("_sp.e") - F.col("_sp.s"))
-    whole = F.length("_t") <= chunk_size
+    whole = F.col("_whole")
     return ex.select(
         *keys,
         F.col("chunk_index").cast("int").alias("chunk_index"),

@@ -84,3 +84,11 @@ def test_chunks_are_substrings(spark):
     # chunk_index is dense per document
     gaps = ch.groupBy("doc_id").agg((F.max("chunk_index") + 1 - F.count("*")).alias("g")).where("g != 0").count()
     assert gaps == 0
+
+
+def test_chunk_single_span_longer_than_size(spark):
+    # 1001 blanks: one span, but longer than the chunk size, so it is stripped to ''
+    df = spark.createDataFrame([(1, " " * 1001), (2, " " * 1000)], "doc_id long, text string")
+    for method in ("arrow", "native"):
+        got = sorted((r.doc_id, r.chunk_text) for r in CH.chunk_text(df, method=method).collect())
+        assert got == [(1, ""), (2, " " * 1000)]
