@@ -87,8 +87,9 @@ def test_chunks_are_substrings(spark):
 
 
 def test_chunk_single_span_longer_than_size(spark):
-    # 1001 blanks: one span, but longer than the chunk size, so it is stripped to ''
-    df = spark.createDataFrame([(1, " " * 1001), (2, " " * 1000)], "doc_id long, text string")
+    # " " + 1000 x: one span of 1001 characters (the space at the window start is no boundary),
+    # longer than the chunk size, so it is stripped; 1000 blanks are one chunk kept as is
+    df = spark.createDataFrame([(1, " " + "x" * 1000), (2, " " * 1000), (3, " " * 1001)], "doc_id long, text string")
     for method in ("arrow", "native"):
         got = sorted((r.doc_id, r.chunk_text) for r in CH.chunk_text(df, method=method).collect())
-        assert got == [(1, ""), (2, " " * 1000)]
+        assert got == [(1, "x" * 1000), (2, " " * 1000), (3, ""), (3, "")]
