@@ -247,6 +247,33 @@ def delete_by_filter(points: DataFrame, predicate: Column | dict) -> DataFrame:
     return points.where(~F.coalesce(pred, F.lit(False)))
 
 
+def save_points(points: DataFrame, path: str, dim: int | None = None) -> None:
+    """W5/W6 on storage: upsert ``points`` into the collection at ``path`` (parquet).  The new
+    collection is written next to the old one and then swapped in, so a failed job leaves the
+    old collection intact."""
+    spark = points.sparkSession
+    new = check_dimension(points, dim) if dim else points
+    jvm = spark._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(hp):
+        merged = upsert_points(spark.read.parquet(path), new)
+    else:
+        merged = new
+    tmp = path.rstrip("/") + "._next"
+    merged.write.mode("overwrite").parquet(tmp)
+    if fs.exists(hp):
+        fs.delete(hp, True)
+    fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), hp)
+
+
+def drop_collection(spark, path: str) -> bool:
+    """Delete the whole collection; False when there was none."""
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(hp) and fs.delete(hp, True))
+
+
 def collection_info(points: DataFrame, name: str = S.COLLECTION_NAME, vec_col: str = "embedding") -> DataFrame:
     """A4: name, status, vectors_count, points_count, vector_size, distance (one pass)."""
     return points.agg(

@@ -74,10 +74,13 @@ def append_documents(records: DataFrame, root: str, name: str, dedupe: bool = Tr
     key = ["file_id", "source_file"]
     rows = records.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     rows = rows.dropDuplicates(key)
-    if dedupe and table_exists(spark, root, name):
-        present = read_table(spark, root, name).select(*key)
-        rows = rows.join(present, on=key, how="left_anti")
     rows = rows.withColumn(PARTITION_COL, upload_month(F.col("upload_datetime")))
+    if dedupe and table_exists(spark, root, name):
+        # An id embeds its upload time, so a row can only collide inside its own month: read just
+        # the batch's months (partition pruning) instead of every key ever written.
+        months = [r[0] for r in rows.select(PARTITION_COL).distinct().collect()]  # a handful of values
+        present = read_table(spark, root, name).where(F.col(PARTITION_COL).isin(months)).select(*key, PARTITION_COL)
+        rows = rows.join(present, on=key + [PARTITION_COL], how="left_anti")
     # Rebalance by month: few, large files per month, and AQE splits a month that holds most
     # of the batch over several writer tasks instead of one.
     rows.hint("rebalance", PARTITION_COL).write.mode("append").partitionBy(PARTITION_COL).parquet(_path(root, name))

@@ -78,3 +78,22 @@ def test_tables_and_paging(spark, tmpdir_path):
     assert nxt == ["id15", "id16", "id17"]
     c = TB.page_counts(df, limit=5, offset=23).first()
     assert (c.total_rows, c.returned_rows) == (25, 2)
+
+
+def test_points_collection_roundtrip(spark, tmpdir_path):
+    from docweave.operators import vectors as VC
+
+    path = os.path.join(tmpdir_path, "points")
+    a = spark.createDataFrame([("p1", [1.0, 0.0], "x"), ("p2", [0.0, 1.0], "y")], "point_id string, embedding array<float>, text string")
+    VC.save_points(a, path, dim=2)
+    b = spark.createDataFrame([("p2", [1.0, 1.0], "y2"), ("p3", [0.5, 0.5], "z")], "point_id string, embedding array<float>, text string")
+    VC.save_points(b, path, dim=2)
+    got = {r.point_id: r.text for r in spark.read.parquet(path).collect()}
+    assert got == {"p1": "x", "p2": "y2", "p3": "z"}
+    bad = spark.createDataFrame([("p9", [1.0, 0.0, 0.0], "w")], "point_id string, embedding array<float>, text string")
+    import pytest
+
+    with pytest.raises(Exception):
+        VC.save_points(bad, path, dim=2)
+    assert spark.read.parquet(path).count() == 3  # a failed upsert leaves the collection intact
+    assert VC.drop_collection(spark, path) and not VC.drop_collection(spark, path)
