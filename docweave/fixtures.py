@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as TX
-from .session import table_path
+from .session import spread, table_path
 
 EPOCH_2024 = 1704067200
 UPLOAD_LIMIT_BYTES = 10_000  # size limit used for the upload gate fixture
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def staged_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,11 +48,15 @@ def keyword_ranks(
 def extract_keywords(
     df: DataFrame, text_col: str = "text", keys: Sequence[str] = ("doc_id",), max_keywords: int = 10
 ) -> DataFrame:
-    """one row per input row: keys + ``keywords`` (array, best first; empty when none)."""
+    """one row per document key: keys + ``keywords`` (array, best first; empty when none).
+
+    Documents without any keyword are kept by a union of their keys (not a join back), so no side
+    whose size grows with the corpus is ever broadcast; the final grouping by document merges the
+    ranked words (at most ``max_keywords`` per document) with that one key row."""
     keys = list(keys)
-    ranks = keyword_ranks(df, text_col, keys, max_keywords)
-    lists = ranks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rank", "word"))).alias("_kw"))
-    lists = lists.select(*keys, F.transform("_kw", lambda s: s["word"]).alias("keywords"))
-    base = df.select(*keys)
-    j = base.join(lists, on=keys, how="left")
-    return j.select(*keys, F.coalesce(F.col("keywords"), F.array().cast("array<string>")).alias("keywords"))
+    ranks = keyword_ranks(df, text_col, keys, max_keywords).select(*keys, "rank", "word")
+    blanks = df.select(*keys, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("word"))
+    both = ranks.unionByName(blanks)
+    entry = F.when(F.col("word").isNotNull(), F.struct("rank", "word"))
+    lists = both.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_kw"))
+    return lists.select(*keys, F.transform("_kw", lambda s: s["word"]).alias("keywords"))

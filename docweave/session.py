@@ -59,3 +59,16 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure per-row CPU work (regexes, chunking, scoring) can use every core.
+
+    A file scan cannot be split below one parquet row group, so a small table stored as a single
+    row group is read by one task.  When the scan yields fewer partitions than the cluster's
+    parallelism the rows are spread round-robin; on a large input (thousands of splits) this is a
+    no-op and no shuffle is added."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
