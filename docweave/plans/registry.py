@@ -973,3 +973,67 @@ def q_batch_summary(spark, sf_dir):
 )
 def q_batch_summary_by_type(spark, sf_dir):
     return IN.batch_summary_by_type(_batch_status(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# Older TXT record path (T10 + F1/F3/F6/F8/F9)
+# ---------------------------------------------------------------------------------------------
+
+
+def sql_clean(x: str) -> str:
+    return f"coalesce(regexp_replace(trim(regexp_replace({x}, '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '')"
+
+
+def sql_title_from_content(x: str, h: str) -> str:
+    """F3 over column ``x``; ``h`` is a column holding ``left(lstrip(x), 100)``."""
+    cut = (
+        f"CASE WHEN strpos({h}, '.') > 0 THEN split_part({h}, '.', 1) || '.' "
+        f"WHEN strpos({h}, chr(10)) > 0 THEN split_part({h}, chr(10), 1) ELSE {h} END"
+    )
+    return f"""CASE WHEN {x} IS NULL OR {sql_lstrip(x)} = '' THEN NULL
+       ELSE coalesce(
+         list_filter(list_transform(string_split({x}, chr(10))[1:5], lambda x: {sql_strip('x')}),
+                     lambda x: length(x) > 5 AND length(x) <= 100 AND NOT ({_MARKERS}))[1],
+         nullif({sql_strip(cut)}, ''))
+  END"""
+
+
+def sql_source_link(x: str) -> str:
+    return f"""nullif(regexp_extract(
+  list_filter(list_transform(string_split({x}, chr(10))[1:10], lambda x: lower({sql_strip('x')})),
+              lambda x: ({_LINK_PREFIX}) AND regexp_matches(x, '{_URL}'))[1], '{_URL}', 0), '')"""
+
+
+@register(
+    "txt_records_legacy",
+    FX.sql_with("staged_files", extra=f"""_legacy AS (
+  SELECT filename, upload_datetime, upload_epoch, sha256(content) AS sha, CAST(octet_length(content) AS BIGINT) AS file_size,
+         {sql_clean('text')} AS cleaned
+  FROM staged_files WHERE file_type = 'txt'),
+_legacy2 AS (SELECT *, left({sql_lstrip('cleaned')}, 100) AS h FROM _legacy)""")
+    + f"""
+SELECT 'txt_' || substr(sha, 1, 16) || '_' || upload_epoch AS file_id, upload_datetime,
+       coalesce({sql_title_from_content('cleaned', 'h')}, replace(filename, '.txt', '')) AS title,
+       cleaned AS content, filename AS source_file, {sql_source_link('cleaned')} AS source_link,
+       file_size, sha AS content_hash, 1 AS version
+FROM _legacy2""",
+)
+def q_txt_records_legacy(spark, sf_dir):
+    files = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "txt").select("filename", "content", "upload_datetime", "upload_epoch")
+    return RC.txt_records_legacy(files, F.col("upload_epoch"))
+
+
+@register(
+    "validate_file_size_legacy",
+    FX.sql_with("staged_files")
+    + f"""
+SELECT doc_id, CASE WHEN file_size > {S.MAX_TXT_SIZE_MB_LEGACY * 1024 * 1024} THEN 413 WHEN file_size = 0 THEN 400 END AS status_code,
+       CASE WHEN file_size > {S.MAX_TXT_SIZE_MB_LEGACY * 1024 * 1024} THEN 'File ' || filename || ' has size exceeds {S.MAX_TXT_SIZE_MB_LEGACY}MB limit'
+            WHEN file_size = 0 THEN '{S.MSG_FILE_EMPTY}' END AS detail
+FROM staged_files WHERE file_type = 'txt'""",
+)
+def q_validate_file_size_legacy(spark, sf_dir):
+    # The older TXT rule (100 MB) over the staged TXT files
+    s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "txt")
+    r = VD.file_size_rule(F.col("file_size"), F.col("filename"), S.MAX_TXT_SIZE_MB_LEGACY)
+    return s.select("doc_id", r["status_code"].alias("status_code"), r["detail"].alias("detail"))

@@ -97,3 +97,27 @@ def test_points_collection_roundtrip(spark, tmpdir_path):
         VC.save_points(bad, path, dim=2)
     assert spark.read.parquet(path).count() == 3  # a failed upsert leaves the collection intact
     assert VC.drop_collection(spark, path) and not VC.drop_collection(spark, path)
+
+
+def test_listing_from_files(spark, tmpdir_path):
+    from docweave.sources import listing as LS
+
+    staging = os.path.join(tmpdir_path, "staging")
+    _stage(staging, "pdfs/a.pdf", b"%PDF-1")
+    _stage(staging, "txts/b.txt", b"hello")
+    _stage(staging, "txts/sub/c.txt", b"")
+    _stage(staging, "other/x.bin", b"zz")
+    lst = LS.list_objects(spark, staging, include_etag=True)
+    rows = {r.name: (r.size, r.etag, r.is_dir) for r in lst.collect()}
+    assert rows["pdfs/a.pdf"][0] == 6 and rows["txts/b.txt"][1] == "5d41402abc4b2a76b9719d911017c592"
+    assert set(rows) == {"pdfs/a.pdf", "txts/b.txt", "txts/sub/c.txt", "other/x.bin"}
+    assert sorted(r.name for r in LS.typed_listing(lst, "txt").collect()) == ["txts/b.txt", "txts/sub/c.txt"]
+    cat = LS.catalog_all(lst)
+    assert sorted((r.type, r.name) for r in cat.collect()) == [("pdf", "pdfs/a.pdf"), ("txt", "txts/b.txt"), ("txt", "txts/sub/c.txt")]
+    assert LS.catalog_all(lst, "docx").count() == 0
+    assert [r.name for r in LS.file_info(lst, "pdf", "a.pdf").collect()] == ["pdfs/a.pdf"]
+    names_only = LS.list_objects(spark, staging, prefix="pdfs", include_metadata=False)
+    assert [r.name for r in names_only.collect()] == ["pdfs/a.pdf"]
+    # metadata listings never read file bodies
+    plan = lst.drop("etag")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in LS.list_objects(spark, staging).columns and "etag" not in plan
