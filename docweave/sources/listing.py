@@ -23,13 +23,54 @@ def _root_uri(root: str) -> str:
     return root if "://" in root else "file:" + root.rstrip("/")
 
 
-def read_objects(spark: SparkSession, root: str, prefix: str = "", glob: str | None = None) -> DataFrame:
-    """``binaryFile`` rows under ``root/prefix`` with ``name`` relative to ``root``."""
+BINARY_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType(), False),
+        T.StructField("modificationTime", T.TimestampType(), False),
+        T.StructField("length", T.LongType(), False),
+        T.StructField("content", T.BinaryType(), True),
+    ]
+)
+
+
+def _empty_files(spark: SparkSession, location: str, glob: str | None) -> list[tuple]:
+    """Zero-byte files under ``location``: Spark's file scan skips them, but a listing must show
+    them (and an empty upload must fail validation, not vanish).  Walks file metadata through the
+    Hadoop FileSystem API, keeping only the zero-length entries."""
+    import datetime as dt
+    import fnmatch
+
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(location)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        if st.getLen() == 0:
+            name = st.getPath().getName()
+            if name.startswith((".", "_")) or (glob and not fnmatch.fnmatch(name, glob)):
+                continue
+            ts = dt.datetime.fromtimestamp(st.getModificationTime() / 1000.0, tz=dt.timezone.utc)
+            out.append((st.getPath().toString(), ts, 0, bytearray()))
+    return out
+
+
+def read_objects(spark: SparkSession, root: str, prefix: str = "", glob: str | None = None, include_empty: bool = True) -> DataFrame:
+    """``binaryFile`` rows under ``root/prefix`` with ``name`` relative to ``root``; zero-byte
+    files are added back (the scan itself skips them)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     base = _root_uri(root)
-    df = reader.load(base + "/" + prefix.lstrip("/") if prefix else base)
+    location = base + "/" + prefix.lstrip("/") if prefix else base
+    df = reader.load(location)
+    if include_empty:
+        empty = _empty_files(spark, location, glob)
+        if empty:
+            df = df.unionByName(spark.createDataFrame(empty, BINARY_SCHEMA))
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _escape(root.rstrip("/")) + "/", "")
     return df.withColumn("name", rel)
 
