@@ -106,69 +106,76 @@ def _arrow_chunks(df: DataFrame, text_col: str, keys: Sequence[str], chunk_size:
     return df.select(*cols).mapInPandas(run, out_schema)
 
 
-def _last_in_window(window: Column, ch: str, size: int) -> Column:
-    """0-based offset of the last ``ch`` in a window of ``size`` characters, -1 if absent."""
-    r = F.instr(F.reverse(window), ch)
-    return F.when(r > 0, F.lit(size) - r).otherwise(F.lit(-1))
-
-
 def _let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it in ``body`` (a one-element ``transform``)."""
     return F.transform(F.array(value), body)[0]
 
 
-def chunk_offsets(text: Column, chunk_size: int = S.CHUNK_SIZE, overlap: int = S.CHUNK_OVERLAP) -> Column:
-    """array<struct<s:int, e:int>> of chunk spans, as one bounded ``aggregate`` (native form).
-    The text length is computed once (kept in the state) and each window is cut once per step."""
+def _utf32_slice(b32: Column, start: Column, length) -> Column:
+    """Characters ``[start, start + length)`` of a text held as UTF-32 bytes: a byte slice (no
+    re-scan from the start of the text, unlike a code-point ``substring``) and a decode."""
+    return F.decode(F.substring(b32, start * 4 + 1, length * 4), "UTF-32")
+
+
+def chunk_offsets(b32: Column, n: Column, chunk_size: int = S.CHUNK_SIZE, overlap: int = S.CHUNK_OVERLAP) -> Column:
+    """array<struct<s:int, e:int>> of chunk spans, as one bounded ``aggregate`` over
+    ``sequence`` (native form).  ``b32`` is the text as UTF-32 bytes, ``n`` its length."""
     step = chunk_size - overlap
     span_t = "array<struct<s:int,e:int>>"
+    iterations = F.sequence(F.lit(0), (n / F.lit(step)).cast("int") + 2)
+    init = F.struct(F.lit(0).alias("start"), F.lit(-1).alias("b"), F.array().cast(span_t).alias("spans"))
 
-    def spans_for(n: Column) -> Column:
-        iterations = F.sequence(F.lit(0), (n / F.lit(step)).cast("int") + 2)
-        init = F.struct(F.lit(0).alias("start"), F.lit(-1).alias("b"), F.array().cast(span_t).alias("spans"))
-
-        def advance(acc: Column, _i: Column) -> Column:
-            start, prev_b = acc["start"], acc["b"]
-            end = start + chunk_size
+    def advance(acc: Column, _i: Column) -> Column:
+        start, prev_b = acc["start"], acc["b"]
+        end = start + chunk_size
 
-            def inner(window: Column) -> Column:
-                dot = _last_in_window(window, ".", chunk_size)
-                space = _last_in_window(window, " ", chunk_size)
-                return F.when(dot > 0, start + dot).when(space > 0, start + space).otherwise(end)
+        def inner(reversed_window: Column) -> Column:
+            # r = 1-based position from the end; the boundary counts only if it lies after start
+            def pick(r: Column, otherwise: Column) -> Column:
+                return F.when((r > 0) & (r < chunk_size), start + chunk_size - r).otherwise(otherwise)
 
-            def with_boundary(tail: Column) -> Column:
-                inner_b = F.when(tail, F.lit(-1)).otherwise(_let(F.substring(text, start + 1, chunk_size), inner))
-                return _let(
-                    inner_b,
-                    lambda ib: F.struct(
-                        F.greatest(start + step, F.when(tail, prev_b).otherwise(ib) + 1).alias("start"),
-                        F.when(tail, prev_b).otherwise(ib).alias("b"),
-                        F.concat(acc["spans"], F.array(F.struct(start.alias("s"), F.when(tail, n).otherwise(ib + 1).alias("e")))).alias("spans"),
-                    ),
-                )
+            return _let(
+                F.instr(reversed_window, "."),
+                lambda rd: pick(rd, _let(F.instr(reversed_window, " "), lambda rs: pick(rs, end))),
+            )
 
-            return F.when(start < n, with_boundary(end >= n)).otherwise(acc)
+        def with_boundary(tail: Column) -> Column:
+            window = _utf32_slice(b32, start, chunk_size)
+            inner_b = F.when(tail, F.lit(-1)).otherwise(_let(F.reverse(window), inner))
+            return _let(
+                inner_b,
+                lambda ib: F.struct(
+                    F.greatest(start + step, F.when(tail, prev_b).otherwise(ib) + 1).alias("start"),
+                    F.when(tail, prev_b).otherwise(ib).alias("b"),
+                    F.concat(acc["spans"], F.array(F.struct(start.alias("s"), F.when(tail, n).otherwise(ib + 1).alias("e")))).alias("spans"),
+                ),
+            )
 
-        spans = F.aggregate(iterations, init, advance)["spans"]
-        single = F.array(F.struct(F.lit(0).alias("s"), n.alias("e")))
-        return F.when(n <= chunk_size, single).otherwise(spans)
+        return F.when(start < n, with_boundary(end >= n)).otherwise(acc)
 
-    return _let(F.length(text), spans_for)
+    spans = F.aggregate(iterations, init, advance)["spans"]
+    single = F.array(F.struct(F.lit(0).alias("s"), n.alias("e")))
+    return F.when(n <= chunk_size, single).otherwise(spans)
 
 
 def _native_chunks(df: DataFrame, text_col: str, keys: Sequence[str], chunk_size: int, overlap: int) -> DataFrame:
     t = F.col(text_col)
-    spans = df.select(*keys, t.alias("_t"), chunk_offsets(t, chunk_size, overlap).alias("_spans"))
-    spans = spans.withColumn("_whole", F.length("_t") <= chunk_size)  # once per text, before the explode
-    ex = spans.select(*keys, "_t", "_whole", F.posexplode("_spans").alias("chunk_index", "_sp"))
-    piece = F.substring(F.col("_t"), F.col("_sp.s") + 1, F.col("_sp.e") - F.col("_sp.s"))
-    whole = F.col("_whole")
-    return ex.select(
-        *keys,
-        F.col("chunk_index").cast("int").alias("chunk_index"),
-        F.col("_sp.s").alias("chunk_start"),
-        F.when(whole, F.col("_t")).otherwise(TX.py_strip(piece)).alias("chunk_text"),
-    )
+    base = df.select(*keys, t.alias("_t"), F.encode(t, "UTF-32").alias("_b32"))
+    base = base.withColumn("_n", (F.octet_length("_b32") / 4).cast("int"))
+    spans = chunk_offsets(F.col("_b32"), F.col("_n"), chunk_size, overlap)
+
+    def piece(sp: Column) -> Column:
+        cut = TX.py_strip(_utf32_slice(F.col("_b32"), sp["s"], sp["e"] - sp["s"]))
+        text = F.when(F.col("_n") <= chunk_size, F.col("_t")).otherwise(cut)
+        return F.struct(sp["s"].alias("chunk_start"), text.alias("chunk_text"))
+
+    # Chunk texts are cut before the explode, so the generator never copies the whole document
+    # into every output row.  The outer form (equal here: there is always at least one span)
+    # keeps Catalyst from inferring a ``size(...) > 0`` filter and pushing that whole computation
+    # below a repartition into the scan task.
+    pieces = base.select(*keys, F.transform(spans, piece).alias("_chunks"))
+    ex = pieces.select(*keys, F.posexplode_outer("_chunks").alias("chunk_index", "_c"))
+    return ex.select(*keys, F.col("chunk_index").cast("int").alias("chunk_index"), "_c.chunk_start", "_c.chunk_text")
 
 
 def chunk_text(

@@ -24,7 +24,10 @@ from ..functions import text as TX
 
 def word_occurrences(df: DataFrame, text_col: str = "text", keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     keys = list(keys)
-    tok = df.select(*keys, F.posexplode(TX.word_tokens(text_col)).alias("pos", "word"))
+    # posexplode_outer: an inner explode makes Catalyst infer ``size(split(...)) > 0`` and push it
+    # into the scan, splitting every text twice (once before any repartition).  Null tokens of the
+    # outer rows fail the token filter.
+    tok = df.select(*keys, F.posexplode_outer(TX.word_tokens(text_col)).alias("pos", "word"))
     return tok.where(F.col("word").rlike(TX.KEYWORD_TOKEN) & ~F.col("word").isin(S.STOP_WORDS))
 
 
