@@ -39,14 +39,29 @@ def _tagged_union(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def search_documents(tables: Mapping[str, DataFrame], query: str, limit: int = S.DEFAULT_LIMIT) -> DataFrame:
+def search_documents(
+    tables: Mapping[str, DataFrame], query: str, limit: int = S.DEFAULT_LIMIT, silver: DataFrame | None = None
+) -> DataFrame:
     """Rows of each table (in the given order) whose ``content`` matches ``query``, tagged with
-    ``source_table``; the first ``limit`` by (table order, upload_datetime, file_id)."""
+    ``source_table``; the first ``limit`` by (table order, upload_datetime, file_id).
+
+    PDF rows hold the silver path in ``content``.  By default that path is what is searched (the
+    table contract as is); with ``silver`` (``path``, ``text``) the PDF rows are matched on their
+    extracted text instead, joined by path (an equi-join; the rows keep their columns)."""
     if limit is None or limit < 0:
         raise ValueError("limit must be a non-negative integer")
     first = next(iter(tables.values()))
     check_java_regex(first.sparkSession, "(?iu)" + query)
-    hits = {name: df.where(content_matches(F.col("content"), query)) for name, df in tables.items() if "content" in df.columns}
+    hits = {}
+    for name, df in tables.items():
+        if "content" not in df.columns:
+            continue
+        if silver is not None and name == S.PDF_TABLE:
+            text = silver.select(F.col("path").alias("_path"), F.col("text").alias("_search_text"))
+            text = text.where(content_matches(F.col("_search_text"), query))  # filter before the join
+            hits[name] = df.join(text, df["content"] == text["_path"], "left_semi")
+        else:
+            hits[name] = df.where(content_matches(F.col("content"), query))
     if not hits:
         return first.limit(0)
     u = _tagged_union(hits)

@@ -1037,3 +1037,19 @@ def q_validate_file_size_legacy(spark, sf_dir):
     s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "txt")
     r = VD.file_size_rule(F.col("file_size"), F.col("filename"), S.MAX_TXT_SIZE_MB_LEGACY)
     return s.select("doc_id", r["status_code"].alias("status_code"), r["detail"].alias("detail"))
+
+
+@register(
+    "search_documents_resolved",
+    FX.sql_with("pdf_documents", "txt_documents", "silver_documents")
+    + f"""
+SELECT * EXCLUDE (_ord) FROM (
+  SELECT *, 'pdf_documents' AS source_table, 0 AS _ord FROM pdf_documents
+  WHERE content IN (SELECT path FROM silver_documents WHERE regexp_matches(text, '{SEARCH_QUERY}', 'i'))
+  UNION ALL BY NAME
+  SELECT *, 'txt_documents' AS source_table, 1 AS _ord FROM txt_documents WHERE regexp_matches(content, '{SEARCH_QUERY}', 'i')
+) ORDER BY _ord, upload_datetime, file_id LIMIT 10""",
+)
+def q_search_documents_resolved(spark, sf_dir):
+    # PDF rows matched on their extracted (silver) text instead of the stored path
+    return SR.search_documents(_doc_tables(spark, sf_dir), SEARCH_QUERY, limit=S.DEFAULT_LIMIT, silver=FX.silver_documents(spark, sf_dir))

@@ -120,3 +120,11 @@ def test_points_maintenance(spark):
     assert "a" in [r.point_id for r in VC.delete_by_filter(nulls, F.col("label") == 0).collect()]  # null predicate keeps
     info = VC.collection_info(pts).first()
     assert (info.points_count, info.vectors_count, info.vector_size) == (7, 6, 3)
+
+
+def test_search_resolved_silver_text(spark):
+    t = _tables(spark)
+    silver = spark.createDataFrame([("silver/pdfs/Élan.md", "the extracted words: zebra")], "path string, text string")
+    got = [(r.source_table, r.file_id) for r in SR.search_documents(t, "ZEBRA", silver=silver).collect()]
+    assert got == [("pdf_documents", "p1")]
+    assert SR.search_documents(t, "zebra").count() == 0  # the stored path does not contain it
