@@ -77,12 +77,17 @@ def document_by_id(tables: Mapping[str, DataFrame], file_id: str | Column) -> Da
 
 def documents_by_ids(tables: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
     """Q2, batch form: one row per requested ``file_id``; ``source_table`` and the document columns
-    are null when no table holds it.  One join on file_id (AQE turns it into a broadcast join at
-    run time when the request side is small); the window reuses the join's partitioning."""
+    are null when no table holds it.
+
+    Skew-safe: the documents are first reduced to the requested ids (a semi join; AQE broadcasts
+    the request side when it is small and splits a hot id otherwise), then to the winning row per
+    id (``row_number() = 1``, which Catalyst limits per task before the shuffle, so an id shared by
+    many copies moves one row per task), and only then joined to the requests: no join ever
+    multiplies rows of a hot id."""
     u = _tagged_union(tables)
     req = requests.select(F.col("file_id").alias("requested_id")).distinct()
-    j = req.join(u, req.requested_id == u.file_id, "left")
-    w = Window.partitionBy("requested_id").orderBy(F.col("_table_ord").asc_nulls_last(), F.col("upload_datetime"))
-    return j.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_table_ord", "file_id").withColumnRenamed(
-        "requested_id", "file_id"
-    )
+    wanted = u.join(req, u.file_id == req.requested_id, "left_semi")
+    w = Window.partitionBy("file_id").orderBy(F.col("_table_ord"), F.col("upload_datetime"))
+    first = wanted.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_table_ord")
+    j = req.join(first, req.requested_id == first.file_id, "left")
+    return j.drop("file_id").withColumnRenamed("requested_id", "file_id")

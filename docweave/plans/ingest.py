@@ -139,11 +139,26 @@ def ingest_files(
     plan = reliable_checkpoint(plan)  # extraction runs once even if an executor is lost later
     TB.append_documents(record_rows(plan, table), warehouse, table)
     if file_type == "pdf":
-        silver = plan.where(F.col("_status.status") == "completed").select(F.col("content").alias("path"), F.col("_text").alias("text"))
-        silver.write.mode("append").parquet(warehouse.rstrip("/") + "/silver_documents")
+        silver = plan.where(F.col("_status.status") == "completed").select(
+            F.col("content").alias("path"), F.col("_text").alias("text"), RC.upload_month(F.col("upload_datetime")).alias(TB.PARTITION_COL)
+        )
+        append_silver(silver, warehouse)
     return status_rows(plan, file_type)
 
 
+def append_silver(silver: DataFrame, warehouse: str) -> None:
+    """Extracted text by silver path, month-partitioned; a path already present in the batch's
+    months is not written again (replayed batches stay idempotent)."""
+    spark = silver.sparkSession
+    path = warehouse.rstrip("/") + "/silver_documents"
+    rows = silver.dropDuplicates(["path"])
+    if TB.table_exists(spark, warehouse, "silver_documents"):
+        months = [r[0] for r in rows.select(TB.PARTITION_COL).distinct().collect()]
+        present = spark.read.parquet(path).where(F.col(TB.PARTITION_COL).isin(months)).select("path", TB.PARTITION_COL)
+        rows = rows.join(present, on=["path", TB.PARTITION_COL], how="left_anti")
+    rows.write.mode("append").partitionBy(TB.PARTITION_COL).parquet(path)
+
+
 def read_staged(spark: SparkSession, staging_root: str, file_type: str) -> DataFrame:
     """Staged objects of one type as ``(object_name, content)``."""
     objs = LS.read_objects(spark, staging_root, f"{file_type}s")

@@ -74,7 +74,15 @@ def start_ingest(
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         status = IN.ingest_files(batch, file_type, warehouse, run_ts, extractor=extractor)
-        status.withColumn("batch_id", F.lit(epoch_id)).write.mode("append").parquet(warehouse.rstrip("/") + "/ingest_status")
+        # A replayed micro-batch rewrites its own status partition instead of adding rows.
+        (
+            status.withColumn("file_type", F.lit(file_type))
+            .withColumn("batch_id", F.lit(epoch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("file_type", "batch_id")
+            .parquet(warehouse.rstrip("/") + "/ingest_status")
+        )
 
     return (
         stream.writeStream.foreachBatch(each_batch)

@@ -59,7 +59,9 @@ def test_pdf_batch_with_corrupt_file(spark, tmpdir_path):
     r = t.first()
     assert r.content == "silver/pdfs/good.md" and r.page_count == 1 and r.version == 1
     silver = spark.read.parquet(os.path.join(wh, "silver_documents"))
-    assert [tuple(x) for x in silver.collect()] == [("silver/pdfs/good.md", "Some extracted text.")]
+    assert [tuple(x) for x in silver.collect()] == [("silver/pdfs/good.md", "Some extracted text.", "2024-06")]
+    IN.append_silver(silver.select("path", "text", "upload_month"), wh)  # replay: nothing written twice
+    assert spark.read.parquet(os.path.join(wh, "silver_documents")).count() == 1
 
 
 def test_tables_and_paging(spark, tmpdir_path):
