@@ -7,7 +7,10 @@ from importlib import import_module
 _MODULES = {
     "op1_decontamination": "op01_decontamination",
     "op2_chat_formatting": "op02_chat_formatting",
+    "op3_best_fit_packing": "op03_best_fit_packing",
     "op5_url_filters": "op05_url_filters",
+    "op7_language_id": "op07_language_id",
+    "op8_quality_classifier": "op08_quality_classifier",
 }
 
 QUERIES = {}
