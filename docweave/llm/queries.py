@@ -9,8 +9,10 @@ _MODULES = {
     "op2_chat_formatting": "op02_chat_formatting",
     "op3_best_fit_packing": "op03_best_fit_packing",
     "op5_url_filters": "op05_url_filters",
+    "op6_suffix_array_dedup": "op06_suffix_array_dedup",
     "op7_language_id": "op07_language_id",
     "op8_quality_classifier": "op08_quality_classifier",
+    "op9_substring_dedup": "op09_substring_dedup",
 }
 
 QUERIES = {}
