@@ -115,3 +115,23 @@ def remove_repeated_substrings(docs: DataFrame) -> DataFrame:
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return find_repeats(docs, DigestWindows()).drop("text")
+
+
+SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+win AS (
+  SELECT doc_id, i, md5(substr(x, 2 * i + 1, {2 * WIDTH})) AS h
+  FROM (SELECT doc_id, x, unnest(range(0, n - {WIDTH - 1})) AS i FROM d)),
+low AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + {WIDTH})) AS p FROM win JOIN low USING (h) WHERE doc_id > m),
+spans AS (
+  SELECT doc_id, count(*) AS n_spans
+  FROM (SELECT doc_id, p - lag(p, 1, -2) OVER (PARTITION BY doc_id ORDER BY p) AS step FROM cov) WHERE step > 1 GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(byte, '' ORDER BY p) AS t, count(*) AS k
+  FROM (SELECT doc_id, p, substr(x, 2 * p + 1, 2) AS byte FROM (SELECT doc_id, x, unnest(range(0, n)) AS p FROM d))
+  ANTI JOIN cov USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, n - coalesce(k, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(t, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)
+"""

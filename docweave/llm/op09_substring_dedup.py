@@ -117,3 +117,20 @@ def remove_repeated_words(docs: DataFrame) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return find_repeats(docs, DigestWordWindows()).drop("text")
+
+
+SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i + 1, i + {WIDTH}), ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - {WIDTH - 1})) AS i FROM d)),
+low AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + {WIDTH})) AS p FROM win JOIN low USING (h) WHERE doc_id > m),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM d) ANTI JOIN cov USING (doc_id, p)
+  GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

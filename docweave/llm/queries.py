@@ -8,6 +8,7 @@ _MODULES = {
     "op1_decontamination": "op01_decontamination",
     "op2_chat_formatting": "op02_chat_formatting",
     "op3_best_fit_packing": "op03_best_fit_packing",
+    "op4_ngram_jaccard": "op04_ngram_jaccard",
     "op5_url_filters": "op05_url_filters",
     "op6_suffix_array_dedup": "op06_suffix_array_dedup",
     "op7_language_id": "op07_language_id",
