@@ -14,6 +14,7 @@ _MODULES = {
     "op7_language_id": "op07_language_id",
     "op8_quality_classifier": "op08_quality_classifier",
     "op9_substring_dedup": "op09_substring_dedup",
+    "op10_embedding_neardup": "op10_embedding_neardup",
 }
 
 QUERIES = {}
