@@ -13,7 +13,6 @@ from .functions import text as TX
 from .session import spread, table_path
 
 EPOCH_2024 = 1704067200
-UPLOAD_LIMIT_BYTES = 10_000  # size limit used for the upload gate fixture
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

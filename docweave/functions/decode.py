@@ -1,47 +1,44 @@
-"""byte decoding cascade utf-8 -> utf-16 -> latin-1.
+"""byte decoding cascade utf-8 -> utf-16 -> latin-1, as JVM expressions.
 
-Valid UTF-8 (the overwhelmingly common case) is decoded by a JVM expression.  Only the rows that
-are not valid UTF-8 are handed, as Arrow batches, to a small vectorised helper that applies the
-Python codecs themselves (BOM handling, native byte order, surrogate rules), because Spark's
-``decode`` raises on malformed input and assumes big-endian UTF-16 without a BOM.  Latin-1 never
-fails, so cp1252 and the replacement decoder that follow it are unreachable and not built.
-"""
+Spark's ``decode`` raises on malformed input, so each step is taken only after a check: valid UTF-8; an
+even number of bytes without an unpaired surrogate (with a byte order mark the marked order, else
+little-endian, which is Python's native order); any bytes at all.  Latin-1 never fails, so the codecs
+that would follow it are unreachable and not built."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DECODED = T.StructType([T.StructField("text", T.StringType()), T.StructField("encoding", T.StringType())])
 
+def _unpaired_surrogate(data: Column, little_endian: bool) -> Column:
+    """Whether UTF-16 bytes hold a surrogate without its partner.  Every two bytes of the hex text become a
+    dot, after the surrogate's lead byte where it is one; then proper pairs go, and no lead may be left."""
+    unit = "..(D[89A-F])|...." if little_endian else "(D[89A-F])..|...."
+    marked = F.regexp_replace(F.hex(data), unit, "$1.")
+    return F.contains(F.regexp_replace(marked, r"D[89AB]\.D[C-F]\.", ""), F.lit("D"))
 
-def _decode_one(data: bytes | None) -> tuple[str | None, str | None]:
-    if data is None:
-        return None, None
-    for codec in ("utf-8", "utf-16", "latin-1"):
-        try:
-            return data.decode(codec), codec
-        except UnicodeDecodeError:
-            continue
-    return data.decode("utf-8", errors="replace"), "utf-8-replace"  # pragma: no cover
 
-
-@F.pandas_udf(DECODED)
-def _decode_fallback(content: pd.Series) -> pd.DataFrame:
-    pairs = [_decode_one(None if b is None else bytes(b)) for b in content]
-    return pd.DataFrame({"text": [p[0] for p in pairs], "encoding": [p[1] for p in pairs]})
+def _utf16(data: Column) -> Column:
+    """Text of UTF-16 bytes, null where they are not."""
+    mark = F.hex(F.substring(data, 1, 2))
+    rest = F.substring(data, 3, 2147483647)
+    big, little = mark == "FEFF", mark == "FFFE"
+    body = F.when(big | little, rest).otherwise(data)
+    even = F.octet_length(data) % 2 == 0
+    return F.when(even & big & ~_unpaired_surrogate(body, False), F.decode(body, "UTF-16BE")).when(
+        even & ~big & ~_unpaired_surrogate(body, True), F.decode(body, "UTF-16LE")
+    )
 
 
 def decode_bytes(content) -> Column:
     """struct(text, encoding) for a binary column; null in, null out."""
     c = F.col(content) if isinstance(content, str) else content
-    valid = F.is_valid_utf8(c.cast("string"))
-    # Only invalid rows carry bytes into the Python helper; valid rows pass a null.
-    fallback = _decode_fallback(F.when(~valid, c))
-    return (
-        F.when(c.isNull(), F.lit(None).cast(DECODED))
-        .when(valid, F.struct(c.cast("string").alias("text"), F.lit("utf-8").alias("encoding")))
-        .otherwise(fallback)
+    wide = _utf16(c)
+
+    def result(text: Column, name: str) -> Column:
+        return F.struct(text.alias("text"), F.lit(name).alias("encoding"))
+
+    return F.when(c.isNotNull() & F.is_valid_utf8(c.cast("string")), result(c.cast("string"), "utf-8")).when(
+        c.isNotNull(), F.when(wide.isNotNull(), result(wide, "utf-16")).otherwise(result(F.decode(c, "ISO-8859-1"), "latin-1"))
     )

@@ -154,18 +154,27 @@ def split_bucket_key(c) -> tuple[Column, Column]:
 
 def local_time(ts, zone: str = S.LOCAL_TIME_ZONE) -> Column:
     """a UTC wall-clock timestamp in the local zone, formatted ``yyyy-MM-dd HH:mm:ss``."""
-    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts)), "yyyy-MM-dd HH:mm:ss")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts).cast("timestamp_ntz"))
+    return F.substring(local.cast("string"), 1, 19)
+
+
+def epoch_seconds(ts) -> Column:
+    """Seconds since 1970 of a UTC wall-clock timestamp.  Every step works on the zone-free type, so the
+    session's time zone has no say (a cast to TIMESTAMP would read the clock in that zone)."""
+    t = _col(ts).cast("timestamp_ntz")
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
 def local_iso(ts, zone: str = S.LOCAL_TIME_ZONE) -> Column:
     """Zone-aware ISO text used in point payloads, e.g. ``2024-01-01T07:00:00+07:00``."""
     utc = _col(ts).cast("timestamp_ntz")
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    offset = (F.unix_seconds(local.cast("timestamp")) - F.unix_seconds(utc.cast("timestamp"))).cast("int")
+    offset = (epoch_seconds(local) - epoch_seconds(utc)).cast("int")
     sign = F.when(offset < 0, F.lit("-")).otherwise(F.lit("+"))
     hh = F.lpad((F.abs(offset) / 3600).cast("int").cast("string"), 2, "0")
     mm = F.lpad(((F.abs(offset) % 3600) / 60).cast("int").cast("string"), 2, "0")
-    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), sign, hh, F.lit(":"), mm)
+    return F.concat(F.replace(F.substring(local.cast("string"), 1, 19), F.lit(" "), F.lit("T")), sign, hh, F.lit(":"), mm)
 
 
 def validate_text_content(c) -> Column:

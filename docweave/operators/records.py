@@ -21,13 +21,13 @@ from ..functions import text as TX
 
 def upload_month(ts: Column) -> Column:
     """Month partition value of ``upload_datetime`` (the reference's month transform)."""
-    return F.date_format(ts, "yyyy-MM")
+    return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 7)
 
 
 def txt_record_columns(run_epoch: Column | None = None) -> list[Column]:
     """T7 as column expressions over ``(filename, content bytes, upload_datetime)``: F10-decoded
     content, MD5 content hash, title from the file name, byte size, version 1."""
-    epoch = run_epoch if run_epoch is not None else F.unix_seconds(F.col("upload_datetime").cast("timestamp"))
+    epoch = run_epoch if run_epoch is not None else TX.epoch_seconds("upload_datetime")
     dec = DC.decode_bytes("content")
     return [
         TX.document_id("txt", F.sha2("content", 256), epoch).alias("file_id"),
@@ -86,7 +86,7 @@ def pdf_record_columns(run_epoch: Column | None = None) -> list[Column]:
     """T8 as column expressions over ``(filename, text, page_count, summarize_details, file_size,
     upload_datetime)``.  ``content`` holds the silver path (table contract); page_count defaults
     to 1."""
-    epoch = run_epoch if run_epoch is not None else F.unix_seconds(F.col("upload_datetime").cast("timestamp"))
+    epoch = run_epoch if run_epoch is not None else TX.epoch_seconds("upload_datetime")
     return [
         TX.document_id("pdf", F.sha2("text", 256), epoch).alias("file_id"),
         F.col("upload_datetime").cast("timestamp_ntz").alias("upload_datetime"),

@@ -43,41 +43,17 @@ TXT_SCHEMA = T.StructType(
 
 TABLE_SCHEMAS = {PDF_TABLE: PDF_SCHEMA, TXT_TABLE: TXT_SCHEMA}
 
-STATUS_SCHEMA = T.StructType(
-    [
-        T.StructField("file_id", T.StringType(), False),
-        T.StructField("filename", T.StringType(), False),
-        T.StructField("status", T.StringType(), False),
-        T.StructField("message", T.StringType(), True),
-        T.StructField("processed_at", T.TimestampNTZType(), True),
-    ]
-)
-
-POINT_SCHEMA = T.StructType(
-    [
-        T.StructField("point_id", T.StringType(), False),
-        T.StructField("embedding", T.ArrayType(T.FloatType()), True),
-        T.StructField("text", T.StringType(), True),
-        T.StructField("chunk_index", T.IntegerType(), False),
-        T.StructField("text_length", T.IntegerType(), True),
-        T.StructField("upload_timestamp", T.StringType(), True),
-        T.StructField("source", T.StringType(), True),
-        T.StructField("metadata", T.MapType(T.StringType(), T.StringType()), True),
-    ]
-)
-
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the reference's for equal results)
 # ---------------------------------------------------------------------------------------------
 
-# Keyword stop words, as listed by the reference (48 words).
-STOP_WORDS = (
-    "the a an and or but in on at to for "
-    "of with by from as is was are were be "
-    "been being have has had do does did will "
-    "would could should may might must can this "
-    "that these those i you he she it we they"
-).split()
+# Keyword stop words (48).
+STOP_WORDS = [
+    "the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by", "from", "as",
+    "is", "was", "are", "were", "be", "been", "being", "have", "has", "had", "do", "does", "did", "will",
+    "would", "could", "should", "may", "might", "must", "can", "this", "that", "these", "those", "i", "you",
+    "he", "she", "it", "we", "they",
+]
 
 # Lines whose lower-cased text contains one of these are not used as a title.
 TITLE_SKIP_PATTERNS = ("created:", "modified:", "author:", "date:", "source:", "url:")
@@ -101,17 +77,18 @@ LOCAL_TIME_ZONE = "Asia/Ho_Chi_Minh"
 NO_TEXT_FOUND = "[No text content found]"
 EXTRACTION_ERROR = "[Error extracting content]"
 COLLECTION_NAME = "agent_documents"
-ARCHIVE_PREFIX = "processed"
 
 # Messages
 MSG_TEXT_EMPTY = "Text content is empty"
 MSG_TEXT_SHORT = "Text content is too short (minimum 10 characters)"
 MSG_TEXT_NONPRINTABLE = "Text contains too many non-printable characters"
 MSG_FILE_EMPTY = "File is empty"
+MSG_TXT_TOO_LARGE_LEGACY = "Text file is too large (max {limit}MB)"
+MSG_TXT_SHORT = "Text content too short (minimum {minimum} characters)"
 MSG_FILE_TOO_LARGE = "File {filename} has size exceeds {limit}MB limit"
 MSG_TXT_EMPTY = "Text file is empty or contains only whitespace"
 MSG_FILENAME_EMPTY = "Filename cannot be empty"
-MSG_FILENAME_CHARS = "Filename contains invalid characters"
+MSG_FILENAME_CHARS = "Filename contains invalid characters: ['<', '>', ':', '\"', '|', '?', '*', '\\\\', '/']"
 MSG_FILENAME_LONG = "Filename too long (maximum 255 characters)"
 MSG_FILENAME_EXT = "Filename must end with .{ext}"
 MSG_ONLY_TYPE = "Only {ext} files are allowed"  # ext upper-cased: PDF / TXT

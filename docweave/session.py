@@ -1,7 +1,7 @@
 """Session construction and the shared checkpoint folder.
 
-On a cluster the session is built by the launcher; ``get_spark`` only fills in settings that
-are still unset, so cluster-wide choices (shuffle partitions, checkpoint folder) win.
+On a cluster the session is built by the launcher; ``get_spark`` only fills in settings that are
+still unset, so cluster-wide choices (time zone, shuffle partitions, checkpoint folder) win.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings this library relies on.  Applied only where the session leaves them unset.
@@ -20,32 +21,45 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Long documents: keep Arrow batches small so one batch of texts stays well inside memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+# Start-up settings, used only when this call starts the session.
+LAUNCH_CONF = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def get_spark(master: str | None = None, app: str = "docweave", conf: dict | None = None) -> SparkSession:
+    """The running session, or a new one.  ``conf`` is the caller's explicit choice and is always
+    applied; the defaults only fill settings that neither the launcher nor the session has set."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    if SparkSession.getActiveSession() is None:
+        launcher = SparkConf()
+        for key, value in LAUNCH_CONF.items():
+            if not launcher.contains(key):
+                builder = builder.config(key, value)
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    given = {r["key"] for r in spark.sql("SET").collect()}
+    for key, value in DEFAULT_CONF.items():
+        if key not in given:
+            spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests, local runs) create
-    a private folder.  Never used to pick a machine-local folder on a configured cluster."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    """The cluster's ``spark.checkpoint.dir``.  Only a local master without one (tests, single-machine
+    runs) gets a private folder; on a cluster an unset folder is an error, because a machine-local
+    one would be invisible to the other machines."""
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    path = configured or fallback or tempfile.mkdtemp(prefix="docweave-ckpt-")
+    path = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="docweave-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -61,14 +75,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Make sure per-row CPU work (regexes, chunking, scoring) can use every core.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer tasks than the session has cores.
 
-    A file scan cannot be split below one parquet row group, so a small table stored as a single
-    row group is read by one task.  When the scan yields fewer partitions than the cluster's
-    parallelism the rows are spread round-robin; on a large input (thousands of splits) this is a
-    no-op and no shuffle is added."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    A file scan cannot be split below one parquet row group, so a small table in one row group is read
+    by one task, and per-row CPU work (regexes, chunking, scoring) would use one core.  The result is
+    the same rows; a scan with enough splits, as any large table has, is returned as it is.  All reads of
+    the library's tables go through this (``sources.tables.read_table``)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
