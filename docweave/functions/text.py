@@ -192,9 +192,3 @@ def validate_text_content(c) -> Column:
     return F.struct(reason.isNull().alias("ok"), reason.alias("reason"))
 
 
-def word_tokens(c) -> Column:
-    """Lower-cased tokens between Unicode word boundaries, in order (empty strings included)."""
-    return F.split(F.lower(_col(c)), r"[^\p{L}\p{N}_]+")
-
-
-KEYWORD_TOKEN = r"^[a-z]{3,}$"

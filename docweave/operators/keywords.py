@@ -4,62 +4,84 @@ Words are lower-cased runs of at least three ASCII letters standing between Unic
 (so ``éabc`` yields nothing), minus the stop words.  Keywords are the ``max_keywords`` most frequent
 words of a document, ties broken by first occurrence.
 
-Plan: ``posexplode`` of the token array, a filter, then ``groupBy(doc, word)`` with map-side partial
-aggregation (a word repeated in a document is combined before the shuffle), then ``row_number``
-per document; Catalyst inserts a partial WindowGroupLimit so at most ``max_keywords`` rows per
-document and partition cross the second shuffle.  A document is one row, so no group is larger
-than the longest document.
+A document is one row, so its words are counted where the row is read: an Arrow flat-map, no shuffle, and
+rows that share a key are never mixed up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions import text as TX
 
+_TOKEN_GAP = re.compile(r"\W+")
+_WORD = re.compile(r"[a-z]{3,}")
+_STOP = frozenset(S.STOP_WORDS)
 
-def word_occurrences(df: DataFrame, text_col: str = "text", keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+
+def count_words(text: str | None) -> dict[str, list[int]]:
+    """word -> [frequency, position of its first token], in the order of first occurrence."""
+    found: dict[str, list[int]] = {}
+    for at, token in enumerate(_TOKEN_GAP.split((text or "").lower())):
+        if token in found:
+            found[token][0] += 1
+        elif token not in _STOP and _WORD.fullmatch(token):
+            found[token] = [1, at]
+    return found
+
+
+def top_words(text: str | None, n: int) -> list[tuple[str, int]]:
+    ranked = sorted(count_words(text).items(), key=lambda x: (-x[1][0], x[1][1]))
+    return [(word, freq) for word, (freq, _) in ranked[:n]]
+
+
+def _flat_map(df: DataFrame, text_col: str, keys: Sequence[str], columns: list[tuple[str, T.DataType]], rows_of) -> DataFrame:
+    """One output row for each tuple that ``rows_of(text)`` gives, after the row's keys."""
     keys = list(keys)
-    # posexplode_outer: an inner explode makes Catalyst infer ``size(split(...)) > 0`` and push it
-    # into the scan, splitting every text twice (once before any repartition).  Null tokens of the
-    # outer rows fail the token filter.
-    tok = df.select(*keys, F.posexplode_outer(TX.word_tokens(text_col)).alias("pos", "word"))
-    return tok.where(F.col("word").rlike(TX.KEYWORD_TOKEN) & ~F.col("word").isin(S.STOP_WORDS))
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(n, t, False) for n, t in columns])
+    names = [n for n, _ in columns]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [rows_of(t) for t in pdf[text_col].tolist()]
+            out = pdf[keys].loc[pdf.index.repeat([len(f) for f in found])].reset_index(drop=True)
+            flat = [row for f in found for row in f]
+            for k, name in enumerate(names):
+                out[name] = [row[k] for row in flat]
+            yield out
+
+    return df.select(*keys, text_col).mapInPandas(run, schema)
 
 
 def word_frequency(df: DataFrame, text_col: str = "text", keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """(keys, word, freq, first_pos) per distinct keyword candidate of each document."""
-    keys = list(keys)
-    occ = word_occurrences(df, text_col, keys)
-    return occ.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("freq"), F.min("pos").alias("first_pos"))
+    columns = [("word", T.StringType()), ("freq", T.LongType()), ("first_pos", T.IntegerType())]
+    return _flat_map(df, text_col, keys, columns, lambda t: [(w, n, at) for w, (n, at) in count_words(t).items()])
 
 
 def keyword_ranks(
     df: DataFrame, text_col: str = "text", keys: Sequence[str] = ("doc_id",), max_keywords: int = 10
 ) -> DataFrame:
     """(keys, rank, word, freq): the top ``max_keywords`` words of each document, long form."""
-    keys = list(keys)
-    wf = word_frequency(df, text_col, keys)
-    w = Window.partitionBy(*keys).orderBy(F.col("freq").desc(), F.col("first_pos").asc())
-    return wf.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_keywords).drop("first_pos")
+    columns = [("word", T.StringType()), ("freq", T.LongType()), ("rank", T.IntegerType())]
+    return _flat_map(
+        df, text_col, keys, columns, lambda t: [(w, n, k + 1) for k, (w, n) in enumerate(top_words(t, max_keywords))]
+    )
 
 
 def extract_keywords(
     df: DataFrame, text_col: str = "text", keys: Sequence[str] = ("doc_id",), max_keywords: int = 10
 ) -> DataFrame:
-    """one row per document key: keys + ``keywords`` (array, best first; empty when none).
+    """one row per document row: keys + ``keywords`` (array, best first; empty when none)."""
 
-    Documents without any keyword are kept by a union of their keys (not a join back), so no side
-    whose size grows with the corpus is ever broadcast; the final grouping by document merges the
-    ranked words (at most ``max_keywords`` per document) with that one key row."""
-    keys = list(keys)
-    ranks = keyword_ranks(df, text_col, keys, max_keywords).select(*keys, "rank", "word")
-    blanks = df.select(*keys, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("word"))
-    both = ranks.unionByName(blanks)
-    entry = F.when(F.col("word").isNotNull(), F.struct("rank", "word"))
-    lists = both.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_kw"))
-    return lists.select(*keys, F.transform("_kw", lambda s: s["word"]).alias("keywords"))
+    @F.pandas_udf("array<string>")
+    def keywords(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [w for w, _ in top_words(t, max_keywords)])
+
+    return df.select(*keys, keywords(F.col(text_col)).alias("keywords"))

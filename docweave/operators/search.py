@@ -7,9 +7,10 @@ before a limit, so that a result is reproducible, unlike a scan-order slice.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -23,9 +24,24 @@ def check_java_regex(spark: SparkSession, pattern: str) -> None:
         raise ValueError(f"invalid search pattern {pattern!r}") from exc
 
 
+def search_pattern(query: str) -> str:
+    """A Python search pattern for the JVM: case-insensitive, with Unicode cases and classes, and Python's
+    spelling of named groups translated."""
+    java = re.sub(r"\(\?P<(\w+)>", r"(?<\1>", query)
+    java = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", java)
+    return "(?iuU)" + java
+
+
 def content_matches(content: Column, query: str) -> Column:
     """P10: case-insensitive (Unicode) regex search; null content is no match."""
-    return F.coalesce(content.rlike("(?iu)" + query), F.lit(False))
+    return F.coalesce(content.rlike(search_pattern(query)), F.lit(False))
+
+
+def key_of(tables: Mapping[str, DataFrame]) -> list[str]:
+    """The columns of a total order: one batch can hold the same bytes under two names, so upload time and id
+    are not enough; no two rows of a document table share all three."""
+    key = ["upload_datetime", "file_id", "source_file"]
+    return [c for c in key if all(c in df.columns for df in tables.values())]
 
 
 def _tagged_union(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -51,7 +67,7 @@ def search_documents(
     if limit is None or limit < 0:
         raise ValueError("limit must be a non-negative integer")
     first = next(iter(tables.values()))
-    check_java_regex(first.sparkSession, "(?iu)" + query)
+    check_java_regex(first.sparkSession, search_pattern(query))
     hits = {}
     for name, df in tables.items():
         if "content" not in df.columns:
@@ -64,30 +80,41 @@ def search_documents(
             hits[name] = df.where(content_matches(F.col("content"), query))
     if not hits:
         return first.limit(0)
-    u = _tagged_union(hits)
-    return u.orderBy("_table_ord", "upload_datetime", "file_id").limit(limit).drop("_table_ord")
+    # the first rows are found on their keys, and only those rows' contents are fetched
+    key = key_of(hits)
+    order = ["_table_ord", *key]
+    top = _tagged_union({name: df.select(*key) for name, df in hits.items()}).orderBy(*order).limit(limit)
+    rows = _tagged_union({name: tables[name] for name in hits})
+    return rows.join(top, [*order, "source_table"], "left_semi").orderBy(*order).limit(limit).drop("_table_ord")
 
 
 def document_by_id(tables: Mapping[str, DataFrame], file_id: str | Column) -> DataFrame:
     """Q2: the first table (in order) holding ``file_id`` wins; no hit gives no row."""
     wanted = F.lit(file_id) if isinstance(file_id, str) else file_id
     u = _tagged_union({n: df.where(F.col("file_id") == wanted) for n, df in tables.items()})
-    return u.orderBy("_table_ord", "upload_datetime").limit(1).drop("_table_ord")
+    return u.orderBy("_table_ord", *key_of(tables)).limit(1).drop("_table_ord")
 
 
 def documents_by_ids(tables: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
     """Q2, batch form: one row per requested ``file_id``; ``source_table`` and the document columns
     are null when no table holds it.
 
-    Skew-safe: the documents are first reduced to the requested ids (a semi join; AQE broadcasts
-    the request side when it is small and splits a hot id otherwise), then to the winning row per
-    id (``row_number() = 1``, which Catalyst limits per task before the shuffle, so an id shared by
-    many copies moves one row per task), and only then joined to the requests: no join ever
-    multiplies rows of a hot id."""
-    u = _tagged_union(tables)
-    req = requests.select(F.col("file_id").alias("requested_id")).distinct()
-    wanted = u.join(req, u.file_id == req.requested_id, "left_semi")
-    w = Window.partitionBy("file_id").orderBy(F.col("_table_ord"), F.col("upload_datetime"))
-    first = wanted.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_table_ord")
-    j = req.join(first, req.requested_id == first.file_id, "left")
-    return j.drop("file_id").withColumnRenamed("requested_id", "file_id")
+    The winning row of each id is found on its key alone: one aggregation over the tables' key columns with a
+    marker row for each request, combined before its shuffle, so a hot id is one row a task.  Contents pass
+    one join, on the winners' whole keys."""
+    key = key_of(tables)
+    rest = [c for c in key if c != "file_id"] + ["source_table"]
+    keys = _tagged_union({name: df.select(*key) for name, df in tables.items()})
+    best = F.struct("_table_ord", *rest)
+    asked = requests.select("file_id").select("file_id", F.lit(True).alias("_asked"), F.lit(None).alias("_best"))
+    held = keys.select("file_id", F.lit(False).alias("_asked"), best.alias("_best"))
+    first = (
+        asked.unionByName(held)
+        .groupBy("file_id")
+        .agg(F.max("_asked").alias("_asked"), F.min("_best").alias("_best"))
+        .where("_asked")
+        .select(F.col("file_id").alias("_file_id"), *[F.col(f"_best.{c}").alias(f"_{c}") for c in rest])
+    )
+    rows = _tagged_union(tables).drop("_table_ord")
+    found = first.join(rows, [F.col(c) == F.col(f"_{c}") for c in ["file_id", *rest]], "left")
+    return found.select(*[F.coalesce("_file_id").alias(c) if c == "file_id" else c for c in rows.columns])

@@ -28,17 +28,27 @@ def _none() -> Column:
 
 
 def file_size_rule(size: Column, filename: Column, max_mb: float = S.MAX_FILE_SIZE_MB) -> Column:
-    """P1 (P6 with ``max_mb=100``): over ``max_mb * 1024**2`` bytes -> 413; zero bytes -> 400; the
-    limit itself passes."""
+    """Over ``max_mb * 1024**2`` bytes -> 413; zero bytes -> 400; the limit itself passes."""
     limit = max_mb * 1024 * 1024
     too_large = F.concat(F.lit("File "), filename, F.lit(f" has size exceeds {max_mb}MB limit"))
     return F.when(size > limit, _fail(413, too_large)).when(size == 0, _fail(400, S.MSG_FILE_EMPTY)).otherwise(_none())
 
 
-def txt_content_rule(content: Column) -> Column:
-    """Decode by the F10 cascade; nothing left after a Python-style strip -> 400."""
-    text = DC.decode_bytes(content)["text"]
-    return F.when(F.length(TX.py_strip(text)) == 0, _fail(400, S.MSG_TXT_EMPTY)).otherwise(_none())
+def txt_size_rule_legacy(size: Column, max_mb: float = S.MAX_TXT_SIZE_MB_LEGACY) -> Column:
+    """P6, the older TXT rule: struct(ok, reason); only a size over ``max_mb * 1024**2`` bytes fails (an empty
+    file passes, and any bytes decode)."""
+    reason = F.when(size > max_mb * 1024 * 1024, F.lit(S.MSG_TXT_TOO_LARGE_LEGACY.format(limit=max_mb)))
+    return F.struct(reason.isNull().alias("ok"), reason.alias("reason"))
+
+
+def txt_content_rule(content: Column, min_length: int | None = None) -> Column:
+    """Decode by the F10 cascade; nothing left after a Python-style strip -> 400; with ``min_length``
+    fewer stripped characters than that, too."""
+    stripped = F.length(TX.py_strip(DC.decode_bytes(content)["text"]))
+    rule = F.when(stripped == 0, _fail(400, S.MSG_TXT_EMPTY))
+    if min_length is not None:
+        rule = rule.when(stripped < min_length, _fail(400, S.MSG_TXT_SHORT.format(minimum=min_length)))
+    return rule.otherwise(_none())
 
 
 def filename_rule(filename: Column, file_type: Column | str) -> Column:
@@ -67,17 +77,27 @@ def upload_gate(candidates: DataFrame, listing: DataFrame, max_mb: float = S.MAX
     """Per request (``filename``, ``file_type``, ``content``): extension -> size -> content
     -> already present (409) -> accepted (201).  Returns filename, file_type, status_code, detail,
     file_size, upload_path, content_type.  PDF structure validation needs a PDF parser and is not
-    part of this gate.  The existence test is one left join on the object key."""
-    c = candidates.withColumn("upload_path", F.concat(F.col("file_type"), F.lit("s/"), F.col("filename")))
-    c = c.withColumn("file_size", F.octet_length("content").cast("long"))
-    present = listing.select(F.col("name").alias("upload_path")).distinct().withColumn("_present", F.lit(True))
-    j = c.join(present, on="upload_path", how="left")
+    part of this gate.  The rules on a file's own bytes run where it is read; only their verdict, not the
+    bytes, goes through the existence test, a left join on the object key."""
+    size = F.octet_length("content").cast("long")
     is_txt = F.col("file_type") == "txt"
-    exists = F.concat(F.lit("File '"), F.col("filename"), F.lit("' already exists"))
-    verdict = F.coalesce(
+    own = F.coalesce(
         extension_rule(F.col("filename"), F.col("file_type")),
-        file_size_rule(F.col("file_size"), F.col("filename"), max_mb),
+        file_size_rule(size, F.col("filename"), max_mb),
         F.when(is_txt, txt_content_rule(F.col("content"))).otherwise(_none()),
+    )
+    judged = candidates.select(
+        "filename",
+        "file_type",
+        F.concat(F.col("file_type"), F.lit("s/"), F.col("filename")).alias("upload_path"),
+        size.alias("file_size"),
+        own.alias("_own"),
+    )
+    present = listing.select(F.col("name").alias("upload_path")).distinct().withColumn("_present", F.lit(True))
+    j = judged.join(present, on="upload_path", how="left")
+    exists = F.concat(F.lit("File '"), F.col("filename"), F.lit("' already exists"))
+    verdict = F.coalesce(
+        F.col("_own"),
         F.when(F.col("_present"), _fail(409, exists)).otherwise(_none()),
         _fail(201, F.concat(F.upper(F.col("file_type")), F.lit(" file uploaded successfully"))),
     )

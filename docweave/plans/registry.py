@@ -64,7 +64,7 @@ SELECT * EXCLUDE (_ord) FROM (
   SELECT *, 'pdf_documents' AS source_table, 0 AS _ord FROM pdf_documents WHERE regexp_matches(content, '{SEARCH_QUERY}', 'i')
   UNION ALL BY NAME
   SELECT *, 'txt_documents' AS source_table, 1 AS _ord FROM txt_documents WHERE regexp_matches(content, '{SEARCH_QUERY}', 'i')
-) ORDER BY _ord, upload_datetime, file_id LIMIT 10""",
+) ORDER BY _ord, upload_datetime, file_id, source_file LIMIT 10""",
 )
 def q_search_documents(spark, sf_dir):
     return SR.search_documents(_doc_tables(spark, sf_dir), SEARCH_QUERY, limit=S.DEFAULT_LIMIT)
@@ -81,7 +81,7 @@ SELECT * EXCLUDE (_ord) FROM (
   SELECT *, 'pdf_documents' AS source_table, 0 AS _ord FROM pdf_documents WHERE regexp_matches(content, '{PATH_QUERY}', 'i')
   UNION ALL BY NAME
   SELECT *, 'txt_documents' AS source_table, 1 AS _ord FROM txt_documents WHERE regexp_matches(content, '{PATH_QUERY}', 'i')
-) ORDER BY _ord, upload_datetime, file_id LIMIT 25""",
+) ORDER BY _ord, upload_datetime, file_id, source_file LIMIT 25""",
 )
 def q_search_documents_paths(spark, sf_dir):
     # PDF rows hold the silver path in ``content`` (kept as in the table contract), so a pattern
@@ -461,23 +461,26 @@ def q_validate_file_size(spark, sf_dir):
     return c.select("doc_id", r["status_code"].alias("status_code"), r["detail"].alias("detail"))
 
 
-_FORBIDDEN_SQL = "[" + "".join("\\" + ch for ch in S.FORBIDDEN_FILENAME_CHARS) + "]"
-
-
 @register(
     "validate_filename",
     FX.sql_with("upload_candidates")
-    + f"""
+    + r"""
 SELECT doc_id, filename,
-  CASE WHEN filename IS NULL OR filename = '' THEN '{S.MSG_FILENAME_EMPTY}'
-       WHEN regexp_matches(filename, '{_FORBIDDEN_SQL}') THEN '{S.MSG_FILENAME_CHARS}'
-       WHEN length(filename) > 255 THEN '{S.MSG_FILENAME_LONG}'
+  CASE WHEN filename = '' THEN 'Filename cannot be empty'
+       WHEN regexp_matches(filename, '[<>:"|?*\\/]')
+         THEN 'Filename contains invalid characters: [''<'', ''>'', '':'', ''"'', ''|'', ''?'', ''*'', ''\\'', ''/'']'
+       WHEN length(filename) > 255 THEN 'Filename too long (maximum 255 characters)'
        WHEN NOT ends_with(lower(filename), '.' || lower(file_type)) THEN 'Filename must end with .' || lower(file_type)
   END AS detail
-FROM upload_candidates""",
+FROM (SELECT doc_id, file_type,
+        CASE doc_id % 10 WHEN 3 THEN '' WHEN 4 THEN 'a?' || filename WHEN 5 THEN 'b\' || filename
+          WHEN 6 THEN repeat('n', 250) || filename ELSE filename END AS filename FROM upload_candidates)""",
 )
 def q_validate_filename(spark, sf_dir):
     c = FX.upload_candidates(spark, sf_dir)
+    k, name = F.col("doc_id") % 10, F.col("filename")
+    odd = F.when(k == 3, "").when(k == 4, F.concat(F.lit("a?"), name)).when(k == 5, F.concat(F.lit("b\\"), name))
+    c = c.withColumn("filename", odd.when(k == 6, F.concat(F.repeat(F.lit("n"), F.lit(250)), name)).otherwise(name))
     return c.select("doc_id", "filename", VD.filename_rule(F.col("filename"), F.col("file_type"))["detail"].alias("detail"))
 
 
@@ -591,12 +594,22 @@ def q_decode_cascade(spark, sf_dir):
     return s.select("doc_id", d["text"].alias("text"), d["encoding"].alias("encoding"))
 
 
-@register("decode_cascade_latin1")
+@register(
+    "decode_cascade_latin1",
+    FX.sql_with("staged_files")
+    + r"""
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text WHEN length(t) % 2 = 1 THEN t ELSE t || 'é' END AS text,
+       CASE WHEN doc_id % 2 = 0 THEN 'utf-16' ELSE 'latin-1' END AS encoding
+FROM (SELECT *, regexp_replace(text, '[^\x{00}-\x{FF}]', '?', 'g') || 'é' AS t FROM staged_files)""",
+)
 def q_decode_cascade_latin1(spark, sf_dir):
-    # The same texts stored as ISO-8859-1: bytes that are not UTF-8 go down the cascade (an
-    # even-length body decodes as UTF-16, as the reference's order implies), else latin-1.
-    s = FX.staged_files(spark, sf_dir).withColumn("content", F.encode("text", "ISO-8859-1"))
-    d = RC.DC.decode_bytes("content")
+    # Bytes that are not UTF-8, with known answers: UTF-16 with a byte order mark, and ISO-8859-1 of odd length
+    # that ends in a lone lead byte.
+    s = FX.staged_files(spark, sf_dir)
+    wide = F.concat(F.lit(b"\xff\xfe"), F.encode("text", "UTF-16LE"))
+    t = F.concat(F.regexp_replace("text", r"[^\x00-\xFF]", "?"), F.lit("é"))
+    narrow = F.encode(F.when(F.length(t) % 2 == 1, t).otherwise(F.concat(t, F.lit("é"))), "ISO-8859-1")
+    d = RC.DC.decode_bytes(F.when(F.col("doc_id") % 2 == 0, wide).otherwise(narrow))
     return s.select("doc_id", d["text"].alias("text"), d["encoding"].alias("encoding"))
 
 
@@ -713,7 +726,7 @@ SELECT * EXCLUDE (_ord) FROM (
   UNION ALL BY NAME
   SELECT *, 'txt_documents' AS source_table, 1 AS _ord FROM txt_documents
 ) WHERE file_id = (SELECT file_id FROM txt_documents WHERE source_file = '{_LOOKUP_NAME}')
-ORDER BY _ord, upload_datetime LIMIT 1""",
+ORDER BY _ord, upload_datetime, file_id, source_file LIMIT 1""",
 )
 def q_document_by_id(spark, sf_dir):
     tables = _doc_tables(spark, sf_dir)
@@ -727,7 +740,7 @@ def q_document_by_id(spark, sf_dir):
     FX.sql_with("pdf_documents", "txt_documents")
     + """
 SELECT * EXCLUDE (_ord, _rn, file_id) RENAME (requested_id AS file_id) FROM (
-  SELECT r.requested_id, u.*, row_number() OVER (PARTITION BY r.requested_id ORDER BY u._ord NULLS LAST, u.upload_datetime) AS _rn
+  SELECT r.requested_id, u.*, row_number() OVER (PARTITION BY r.requested_id ORDER BY u._ord NULLS LAST, u.upload_datetime, u.source_file) AS _rn
   FROM (SELECT DISTINCT requested_id FROM (
           SELECT file_id AS requested_id FROM pdf_documents UNION ALL SELECT file_id FROM txt_documents
           UNION ALL SELECT 'missing_' || file_id FROM txt_documents)) r
@@ -1026,17 +1039,15 @@ def q_txt_records_legacy(spark, sf_dir):
 @register(
     "validate_file_size_legacy",
     FX.sql_with("staged_files")
-    + f"""
-SELECT doc_id, CASE WHEN file_size > {S.MAX_TXT_SIZE_MB_LEGACY * 1024 * 1024} THEN 413 WHEN file_size = 0 THEN 400 END AS status_code,
-       CASE WHEN file_size > {S.MAX_TXT_SIZE_MB_LEGACY * 1024 * 1024} THEN 'File ' || filename || ' has size exceeds {S.MAX_TXT_SIZE_MB_LEGACY}MB limit'
-            WHEN file_size = 0 THEN '{S.MSG_FILE_EMPTY}' END AS detail
+    + """
+SELECT doc_id, file_size <= 2097.152 AS ok, CASE WHEN file_size > 2097.152 THEN 'Text file is too large (max 0.002MB)' END AS reason
 FROM staged_files WHERE file_type = 'txt'""",
 )
 def q_validate_file_size_legacy(spark, sf_dir):
-    # The older TXT rule (100 MB) over the staged TXT files
+    # P6 with a limit that fires on the staged TXT files
     s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "txt")
-    r = VD.file_size_rule(F.col("file_size"), F.col("filename"), S.MAX_TXT_SIZE_MB_LEGACY)
-    return s.select("doc_id", r["status_code"].alias("status_code"), r["detail"].alias("detail"))
+    r = VD.txt_size_rule_legacy(F.col("file_size"), 0.002)
+    return s.select("doc_id", r["ok"].alias("ok"), r["reason"].alias("reason"))
 
 
 @register(
@@ -1048,7 +1059,7 @@ SELECT * EXCLUDE (_ord) FROM (
   WHERE content IN (SELECT path FROM silver_documents WHERE regexp_matches(text, '{SEARCH_QUERY}', 'i'))
   UNION ALL BY NAME
   SELECT *, 'txt_documents' AS source_table, 1 AS _ord FROM txt_documents WHERE regexp_matches(content, '{SEARCH_QUERY}', 'i')
-) ORDER BY _ord, upload_datetime, file_id LIMIT 10""",
+) ORDER BY _ord, upload_datetime, file_id, source_file LIMIT 10""",
 )
 def q_search_documents_resolved(spark, sf_dir):
     # PDF rows matched on their extracted (silver) text instead of the stored path

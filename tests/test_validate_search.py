@@ -21,7 +21,7 @@ def test_filename_rule(spark):
     got = [r[0] for r in df.orderBy("i").select(VD.filename_rule(F.col("n"), "pdf")["detail"]).collect()]
     assert got == (
         ["Filename cannot be empty"]
-        + ["Filename contains invalid characters"] * 9
+        + ["Filename contains invalid characters: ['<', '>', ':', '\"', '|', '?', '*', '\\\\', '/']"] * 9
         + [None, "Filename too long (maximum 255 characters)", "Filename must end with .pdf", None]
     )
 
@@ -75,6 +75,37 @@ def test_document_lookup(spark):
     assert got == {"t1": "txt_documents", "nope": None}
 
 
+def test_search_is_unicode_and_takes_named_groups(spark):
+    t = _tables(spark)
+    txt = t["txt_documents"].withColumn("content", F.lit("le réseau ÉLAN élan"))
+    assert SR.search_documents({"txt_documents": txt}, r"r\wseau").count() == 3
+    assert SR.search_documents({"txt_documents": txt}, r"(?P<w>élan) (?P=w)").count() == 3
+
+
+def test_contents_stay_out_of_the_sorts_and_gates(spark):
+    """Only keys are ordered, aggregated or joined against the listing; contents are fetched at the end."""
+    from docweave import fixtures as FX
+
+    sf = "/root/testdata/sf0.001"
+    tables = {"pdf_documents": FX.pdf_documents(spark, sf), "txt_documents": FX.txt_documents(spark, sf)}
+    plan = SR.documents_by_ids(tables, tables["txt_documents"])._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert grouped and not any("content#" in line for line in grouped)
+    gate = VD.upload_gate(FX.upload_candidates(spark, sf), spark.createDataFrame([("x",)], "name string"))
+    text = gate._jdf.queryExecution().executedPlan().toString()
+    joined = text[: text.index("Join")] if "Join" in text else text
+    assert "content#" not in joined and "Python" not in text
+
+
+def test_txt_rules(spark):
+    df = spark.createDataFrame([(bytearray(b" short "),), (bytearray(b"long enough"),), (bytearray(b""),)], "c binary")
+    r = VD.txt_content_rule(F.col("c"), min_length=8)["detail"]
+    assert [x[0] for x in df.select(r).collect()] == [
+        "Text content too short (minimum 8 characters)", None, "Text file is empty or contains only whitespace"]
+    old = VD.txt_size_rule_legacy(F.octet_length("c"), max_mb=8 / 1024 / 1024)
+    assert [x[0] for x in df.select(old["ok"]).collect()] == [True, False, True]
+
+
 def _points(spark):
     rows = [
         ("a", [1.0, 0.0], 0), ("b", [0.0, 1.0], 1), ("c", [1.0, 1.0], 0), ("d", [0.0, 0.0], 1),
