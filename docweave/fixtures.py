@@ -6,7 +6,7 @@ with a DuckDB twin (``sql_with``) used by the SQL oracle.  Definitions follow FI
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as TX
@@ -41,13 +41,18 @@ def staged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def summary_of(text: str, lang: str) -> Column:
+    """A stand-in summary made from the whole text; one language has none."""
+    return F.when(F.col(lang) != "es", F.concat(F.lit("Summary. "), F.col(text)))
+
+
 def pdf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = staged_files(spark, sf_dir).where(F.col("file_type") == "pdf")
     return s.select(
         TX.document_id("pdf", F.sha2("text", 256), "upload_epoch").alias("file_id"),
         "upload_datetime",
         TX.title_from_filename("filename").alias("title"),
-        F.when(F.col("lang") == "es", F.lit(None).cast("string")).otherwise(F.substring("text", 1, 300)).alias("summarize_details"),
+        summary_of("text", "lang").alias("summarize_details"),
         F.concat(F.lit("silver/pdfs/"), F.expr("substr(filename, 1, length(filename) - 4)"), F.lit(".md")).alias("content"),
         F.col("filename").alias("source_file"),
         "file_size",
@@ -135,7 +140,7 @@ SQL_VIEWS = {
   SELECT 'pdf_' || substr(sha256(text), 1, 16) || '_' || upload_epoch AS file_id,
          upload_datetime,
          {title_sql('filename')} AS title,
-         CASE WHEN lang = 'es' THEN NULL ELSE substr(text, 1, 300) END AS summarize_details,
+         CASE WHEN lang <> 'es' THEN 'Summary. ' || text END AS summarize_details,
          'silver/pdfs/' || substr(filename, 1, length(filename) - 4) || '.md' AS content,
          filename AS source_file, file_size,
          CAST(ceil(n_chars / 3000.0) AS INTEGER) AS page_count,

@@ -118,9 +118,42 @@ def extraction_fallback(primary: Column, secondary: Column, failed: Column | Non
     return TX.clean_text(chosen)
 
 
-def join_pages(pages: Column) -> Column:
-    """Page texts joined by a blank line."""
-    return F.array_join(pages, "\n\n")
+def pdf_records_legacy(extracted: DataFrame, epoch: Column) -> DataFrame:
+    """T8, older PDF record over (filename, content bytes, text, page_count, upload_datetime): the cleaned text
+    is the content, title from it else the file name without ``.pdf``, SHA-256 hash and id of the bytes, no
+    pages where they cannot be counted."""
+    sha = F.sha2("content", 256)
+    base = extracted.select(
+        TX.document_id("pdf", sha, epoch).alias("file_id"),
+        F.col("upload_datetime").cast("timestamp_ntz").alias("upload_datetime"),
+        TX.clean_text("text").alias("_cleaned"),
+        F.col("filename").alias("source_file"),
+        F.octet_length("content").cast("long").alias("file_size"),
+        sha.alias("content_hash"),
+        F.coalesce("page_count", F.lit(0)).cast("int").alias("page_count"),
+    )
+    title = F.coalesce(TX.title_from_content("_cleaned"), F.replace(F.col("source_file"), F.lit(".pdf"), F.lit("")))
+    return base.select(
+        "file_id", "upload_datetime", title.alias("title"), F.col("_cleaned").alias("content"), "source_file", "file_size",
+        "content_hash", "page_count", F.lit(1).alias("version"),
+    )
+
+
+def summarize_with(df: DataFrame, summarizer: Callable[[str], str | None], text_col: str = "text") -> DataFrame:
+    """Adds ``summarize_details`` by a pluggable summarizer, in Arrow batches; a text that fails (or is null) has
+    a null summary and the job goes on."""
+
+    @F.pandas_udf("string")
+    def summary(texts: pd.Series) -> pd.Series:
+        def one(text):
+            try:
+                return None if text is None else summarizer(text)
+            except Exception:  # noqa: BLE001 - isolate per text
+                return None
+
+        return texts.map(one).astype(object)
+
+    return df.withColumn("summarize_details", summary(F.col(text_col)))
 
 
 EXTRACTED = T.StructType(

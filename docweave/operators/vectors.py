@@ -14,7 +14,10 @@ are exact (no approximate index).
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
+import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -81,9 +84,11 @@ def vector_search(
     if pred is not None:
         pts = pts.where(pred)  # payload filter first: pushed to the scan where possible
     # The query vector becomes a column first, so it may also be a scalar subquery.
-    scored = pts.withColumn("_qv", q).withColumn("score", cosine(F.col(vec_col), F.col("_qv")))
-    scored = scored.where(F.col("score") >= F.lit(score_threshold)).drop("_qv")
-    return scored.drop(vec_col).orderBy(F.col("score").desc(), F.col(id_col)).limit(limit)
+    scored = pts.withColumn("_qv", q).withColumn("score", cosine(F.col(vec_col), F.col("_qv"))).drop("_qv", vec_col)
+    # The threshold comes after the top k (the same rows, as both follow the score): a filter below the sort
+    # would have the cosine computed twice.
+    best = scored.orderBy(F.col("score").desc_nulls_last(), F.col(id_col)).limit(limit)
+    return best.where(F.col("score") >= F.lit(score_threshold))
 
 
 def vector_search_batch(
@@ -99,10 +104,14 @@ def vector_search_batch(
     max_queries_per_pass: int = MAX_QUERIES_PER_PASS,
 ) -> DataFrame:
     """Q3 for many query vectors: ``(query_id, point_id, payload..., score)``, the best ``k`` per
-    query with ``score >= score_threshold``, ties by point id."""
+    query with ``score >= score_threshold``, ties by point id.  Query ids must be unique and not null (checked);
+    ``max_queries_per_pass`` bounds what is broadcast at once, and each pass scans the points."""
     spark = points.sparkSession
     q = queries.select(F.col(query_id_col).alias("query_id"), F.col(query_vec_col).alias("qv")).where(F.col("qv").isNotNull())
-    n_queries = q.count()  # size check before anything is broadcast
+    # size check before anything is broadcast
+    n_queries, n_ids = q.agg(F.count("*"), F.countDistinct("query_id")).first()
+    if n_ids < n_queries:
+        raise ValueError("query ids must be unique and not null")
     payload_cols = list(payload_cols)
     pts = points.select(F.col(id_col).alias("point_id"), F.col(vec_col).alias("_v"), *payload_cols).where(F.col("_v").isNotNull())
     qid_type = q.schema["query_id"].dataType
@@ -144,8 +153,8 @@ def _query_passes(q: DataFrame, n_queries: int, bound: int) -> list[DataFrame]:
     counts = sorted(q.groupBy(b.alias("b")).count().collect(), key=lambda r: -r["count"])
     passes: list[tuple[int, list[int]]] = []
     for r in counts:
-        if r["count"] > bound:
-            raise ValueError("a query id repeats too often; query ids must be unique")
+        if r["count"] > bound:  # unique ids spread: far more than a quarter of the bound in one bucket is no accident
+            raise ValueError("the query ids hash too unevenly")
         for i, (size, members) in enumerate(passes):
             if size + r["count"] <= bound:
                 passes[i] = (size + r["count"], members + [r["b"]])
@@ -206,10 +215,10 @@ def _topk_per_query(frame: pd.DataFrame, k: int) -> pd.DataFrame:
 # ---------------------------------------------------------------------------------------------
 
 
-def point_id(source: Column, chunk_index: Column) -> Column:
-    """Deterministic UUID-shaped id of (source, chunk index): stable across retries and re-runs,
-    so re-vectorising a file overwrites its points instead of duplicating them."""
-    h = F.md5(F.concat_ws("#", source, chunk_index.cast("string")))
+def point_id(source: Column, chunk_index: Column, kind: str = "file") -> Column:
+    """Deterministic UUID-shaped id of (kind, source, chunk index): stable across retries and re-runs, so
+    re-vectorising a file overwrites its points, and a file's text and its summary have points of their own."""
+    h = F.md5(F.concat_ws("#", F.lit(kind), source, chunk_index.cast("string")))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
@@ -219,24 +228,42 @@ def check_dimension(points: DataFrame, dim: int, vec_col: str = "embedding") ->
     return points.withColumn(vec_col, F.when(bad, F.raise_error(F.lit(f"vector size must be {dim}"))).otherwise(F.col(vec_col)))
 
 
-def build_points(embedded_chunks: DataFrame, source: Column, vec_col: str = "embedding", upload_ts: Column | None = None) -> DataFrame:
+def build_points(
+    embedded_chunks: DataFrame,
+    source: Column,
+    vec_col: str = "embedding",
+    upload_ts: Column | None = None,
+    kind: str = "file",
+    metadata: Column | None = None,
+) -> DataFrame:
     """Chunks with vectors -> points.  Chunks without a vector are dropped; the other
-    chunks keep their original index (gaps stay)."""
+    chunks keep their original index (gaps stay).  ``metadata`` is a free map<string,string> of the caller."""
     ts = upload_ts if upload_ts is not None else F.current_timestamp()
     return embedded_chunks.where(F.col(vec_col).isNotNull()).select(
-        point_id(source, F.col("chunk_index")).alias("point_id"),
+        point_id(source, F.col("chunk_index"), kind).alias("point_id"),
         F.col(vec_col).alias("embedding"),
         F.col("chunk_text").alias("text"),
         F.col("chunk_index").cast("int").alias("chunk_index"),
         TX.local_iso(ts).alias("upload_timestamp"),
         F.length("chunk_text").cast("int").alias("text_length"),
         source.alias("source"),
+        F.lit(kind).alias("kind"),
+        (F.lit(None) if metadata is None else metadata).cast("map<string,string>").alias("metadata"),
     )
 
 
-def upsert_points(existing: DataFrame, new: DataFrame, id_col: str = "point_id") -> DataFrame:
-    """W6 upsert: new points replace existing ones with the same id; one anti join."""
+def upsert_points(
+    existing: DataFrame, new: DataFrame, id_col: str = "point_id", newest: str = "upload_timestamp", whole: Sequence[str] = ()
+) -> DataFrame:
+    """W6 upsert: new points replace existing ones with the same id; of new points that share an id the newest
+    stays.  With ``whole`` (say source and kind) a new group replaces all existing points of that group, so a
+    file that got shorter leaves no stale tail."""
+    plain = [f.name for f in new.schema.fields if not isinstance(f.dataType, T.MapType)]
+    last = Window.partitionBy(id_col).orderBy(*([F.desc_nulls_last(newest)] if newest in new.columns else []), F.xxhash64(*plain))
+    new = new.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
     kept = existing.join(new.select(id_col).distinct(), on=id_col, how="left_anti")
+    if whole:
+        kept = kept.join(new.select(*whole).distinct(), on=list(whole), how="left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
@@ -247,24 +274,109 @@ def delete_by_filter(points: DataFrame, predicate: Column | dict) -> DataFrame:
     return points.where(~F.coalesce(pred, F.lit(False)))
 
 
+# A stored collection: points in files by hash bucket of their source, and a manifest that names the
+# folder of each bucket's current rows.  A write puts the rows of the buckets it touches into a new folder
+# and then replaces the manifest in one rename, so readers see the old or the new state and a crash loses
+# nothing.
+BUCKETS = 64
+MANIFEST = "manifest.json"
+
+
+def _hadoop(spark, path: str):
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p, conf
+
+
+def _manifest(spark, path: str) -> dict | None:
+    name = path.rstrip("/") + "/" + MANIFEST
+    fs, p, _ = _hadoop(spark, name)
+    return json.loads(spark.read.text(name, wholetext=True).first()[0]) if fs.exists(p) else None
+
+
+def _replace_manifest(spark, path: str, manifest: dict) -> None:
+    name = path.rstrip("/") + "/" + MANIFEST
+    fs, target, conf = _hadoop(spark, name)
+    _, staged, _ = _hadoop(spark, f"{name}.{uuid.uuid4().hex}")
+    out = fs.create(staged, True)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    files.rename(fs.makeQualified(staged), fs.makeQualified(target), options)
+
+
+def ensure_collection(spark, path: str, dim: int) -> None:
+    """Create the collection with its vector size; an existing one must have the same."""
+    held = _manifest(spark, path)
+    if held is None:
+        _replace_manifest(spark, path, {"dim": dim, "buckets": {}})
+    elif held["dim"] != dim:
+        raise ValueError(f"the collection's vector size is {held['dim']}, not {dim}")
+
+
+def _bucket(source: Column) -> Column:
+    return F.pmod(F.xxhash64(source), F.lit(BUCKETS)).cast("int")
+
+
+def _read_buckets(spark, path: str, manifest: dict, buckets: Sequence[str]) -> DataFrame:
+    folders = [f"{path.rstrip('/')}/{manifest['buckets'][b]}" for b in buckets if b in manifest["buckets"]]
+    return spark.read.schema(S.POINT_SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], S.POINT_SCHEMA)
+
+
+def read_points(spark, path: str) -> DataFrame:
+    """The current points of a stored collection."""
+    manifest = _manifest(spark, path)
+    if manifest is None:
+        raise ValueError(f"no collection at {path}")
+    return _read_buckets(spark, path, manifest, sorted(manifest["buckets"]))
+
+
+def _write_buckets(spark, path: str, manifest: dict, rows: DataFrame, touched: Sequence[str]) -> None:
+    run = uuid.uuid4().hex
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.POINT_SCHEMA.fields]
+    data = rows.select(*columns, _bucket(F.col("source")).alias("bucket"))
+    data.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{path.rstrip('/')}/data-{run}")
+    fs, _, _ = _hadoop(spark, path)
+    buckets = dict(manifest["buckets"])
+    for b in touched:  # at most BUCKETS entries
+        folder = f"data-{run}/bucket={b}"
+        if fs.exists(_hadoop(spark, f"{path.rstrip('/')}/{folder}")[1]):
+            buckets[b] = folder
+        else:
+            buckets.pop(b, None)
+    _replace_manifest(spark, path, manifest | {"buckets": buckets})
+
+
 def save_points(points: DataFrame, path: str, dim: int | None = None) -> None:
-    """W5/W6 on storage: upsert ``points`` into the collection at ``path`` (parquet).  The new
-    collection is written next to the old one and then swapped in, so a failed job leaves the
-    old collection intact."""
+    """W5/W6 on storage: upsert whole sources into the collection (created if need be, with the given size or
+    that of the points).  Only the hash buckets of the points' sources are read and written anew."""
     spark = points.sparkSession
-    new = check_dimension(points, dim) if dim else points
-    jvm = spark._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(hp):
-        merged = upsert_points(spark.read.parquet(path), new)
-    else:
-        merged = new
-    tmp = path.rstrip("/") + "._next"
-    merged.write.mode("overwrite").parquet(tmp)
-    if fs.exists(hp):
-        fs.delete(hp, True)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), hp)
+    points = points.select(*[c if c in points.columns else F.lit(None).cast(S.POINT_SCHEMA[c].dataType).alias(c) for c in S.POINT_SCHEMA.names])
+    held = _manifest(spark, path)
+    if dim is None:
+        dim = held["dim"] if held else points.agg(F.max(F.size("embedding"))).first()[0] or S.VECTOR_SIZE
+    ensure_collection(spark, path, dim)
+    manifest = _manifest(spark, path)
+    new = check_dimension(points, dim)
+    touched = sorted(str(r[0]) for r in new.select(_bucket(F.col("source"))).distinct().collect())
+    merged = upsert_points(_read_buckets(spark, path, manifest, touched), new, whole=("source", "kind"))
+    _write_buckets(spark, path, manifest, merged, touched)
+
+
+def delete_points(spark, path: str, predicate: Column | dict) -> None:
+    """W7 on storage: delete the points that match; only buckets with a match are written anew."""
+    manifest = _manifest(spark, path)
+    if manifest is None:
+        return
+    pred = match_filter(predicate) if isinstance(predicate, dict) else predicate
+    hit = read_points(spark, path).where(pred).select(_bucket(F.col("source"))).distinct().collect()
+    touched = sorted(str(r[0]) for r in hit)
+    if touched:
+        _write_buckets(spark, path, manifest, delete_by_filter(_read_buckets(spark, path, manifest, touched), pred), touched)
 
 
 def drop_collection(spark, path: str) -> bool:
@@ -287,13 +399,20 @@ def collection_info(points: DataFrame, name: str = S.COLLECTION_NAME, vec_col: s
 
 
 def points_success(points: DataFrame, group_col: str = "source", vec_col: str = "embedding") -> DataFrame:
-    """Per source, how many chunks got a vector, and success = at least one."""
+    """T4: per source, how many chunks got a vector, and success = at least one."""
     g = points.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("chunks"), F.count(vec_col).alias("points_written")
     )
     return g.withColumn("success", F.col("points_written") > 0)
 
 
+def files_uploaded(success: DataFrame) -> DataFrame:
+    """Of the sources in ``points_success``: how many there are, how many were uploaded, and the overall
+    flag (at least one)."""
+    n = F.count_if("success")
+    return success.agg(F.count("*").alias("files"), n.alias("uploaded"), (n > 0).alias("success"))
+
+
 # ---------------------------------------------------------------------------------------------
 # T3 embedding with an injected embedder
 # ---------------------------------------------------------------------------------------------
@@ -323,6 +442,22 @@ def hashing_embedder(dim: int = 64) -> Embedder:
     return embed
 
 
+def md5_embedder(texts: list[str]) -> list:
+    """Stand-in for a model whose vectors SQL can repeat: the bytes of the text's MD5, less 128."""
+    return [[float(b - 128) for b in hashlib.md5(t.encode()).digest()] for t in texts]
+
+
+def embed_isolated(embedder: Embedder, texts: list[str]) -> list:
+    """Vectors of a batch; if the call fails, text by text, so that only what fails alone has none."""
+    try:
+        got = embedder(texts)
+        if len(got) != len(texts):
+            raise ValueError("embedder returned a different number of vectors")
+        return list(got)
+    except Exception:  # noqa: BLE001 - a text that fails has no vector
+        return [None] if len(texts) == 1 else [v for t in texts for v in embed_isolated(embedder, [t])]
+
+
 def embed_chunks(
     chunks: DataFrame,
     embedder: Embedder,
@@ -332,7 +467,8 @@ def embed_chunks(
     pause_seconds: float = 0.0,
 ) -> DataFrame:
     """Adds ``out_col`` (array<float>) by calling ``embedder`` on batches of texts inside the
-    tasks.  A failing call gives nulls for its batch (the job goes on).  ``pause_seconds`` is a
+    tasks.  After a failing call its texts are tried one by one; one that fails alone gets a null (the job goes
+    on).  ``pause_seconds`` is a
     per-task pause after each call, so the global call rate is bounded by tasks / pause."""
     out_schema = T.StructType(list(chunks.schema.fields) + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
 
@@ -342,13 +478,7 @@ def embed_chunks(
             vecs: list = []
             for i in range(0, len(texts), batch_size):
                 part = texts[i : i + batch_size]
-                try:
-                    got = embedder([t if t is not None else "" for t in part])
-                    if len(got) != len(part):
-                        raise ValueError("embedder returned a different number of vectors")
-                except Exception:  # noqa: BLE001 - failure -> null, as in the reference
-                    got = [None] * len(part)
-                vecs.extend(got)
+                vecs.extend(embed_isolated(embedder, [t if t is not None else "" for t in part]))
                 if pause_seconds:
                     time.sleep(pause_seconds)
             pdf = pdf.copy()

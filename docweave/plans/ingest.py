@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -35,11 +35,13 @@ def _status(file_id: Column, filename: Column, failed_reason: Column, ok_message
     ]
 
 
-def txt_ingest_plan(files: DataFrame, run_ts: Column, run_epoch: Column | None = None) -> DataFrame:
+def txt_ingest_plan(files: DataFrame, run_ts: Column, run_epoch: Column | None = None, reject_empty: bool = False) -> DataFrame:
     """T12 for a batch: ``files(object_name, content)`` -> record columns + ``_status``.
-    Unreadable files (null bytes) fail; any bytes decode (the cascade ends in latin-1)."""
+    Unreadable (null) and, with ``reject_empty``, empty files fail; any other bytes decode."""
     f = files.withColumn("filename", TX.basename("object_name")).withColumn("upload_datetime", run_ts.cast("timestamp_ntz"))
-    rec = f.select(*RC.txt_record_columns(run_epoch), F.when(F.col("content").isNull(), F.lit("unreadable file")).alias("_reason"))
+    empty = F.when(F.octet_length("content") == 0, F.lit(S.MSG_FILE_EMPTY)) if reject_empty else F.lit(None)
+    reason = F.when(F.col("content").isNull(), F.lit("unreadable file")).otherwise(empty)
+    rec = f.select(*RC.txt_record_columns(run_epoch), reason.alias("_reason"), "object_name", F.col("content").alias("_bytes"))
     st = _status(F.col("file_id"), F.col("source_file"), F.col("_reason"), S.MSG_TXT_OK, run_ts)
     return rec.select("*", F.struct(*st).alias("_status"))
 
@@ -55,14 +57,18 @@ def pdf_ingest_plan(extracted: DataFrame, run_ts: Column, run_epoch: Column | No
         *RC.pdf_record_columns(run_epoch),
         F.col("text").alias("_text"),
         F.col("error").alias("_reason"),
+        "object_name",
+        (F.col("content") if "content" in f.columns else F.lit(None).cast("binary")).alias("_bytes"),
         F.col("summarize_details").isNotNull().alias("vectorized"),
     )
     st = _status(F.col("file_id"), F.col("source_file"), F.col("_reason"), S.MSG_PDF_OK, run_ts)
     return rec.select("*", F.struct(*st).alias("_status"))
 
 
-def status_rows(plan: DataFrame, file_type: str | None = None) -> DataFrame:
+def status_rows(plan: DataFrame, file_type: str | None = None, with_object: bool = False) -> DataFrame:
     cols = [F.col("_status.*")]
+    if with_object:
+        cols.append(F.col("object_name"))
     if file_type is not None:
         cols.append(F.lit(file_type).alias("file_type"))
     if "vectorized" in plan.columns:
@@ -102,6 +108,7 @@ def batch_summary_by_type(status: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------------
 
 Extractor = Callable[[bytes], tuple]
+SILVER_BUCKETS = 64
 
 
 def utf8_text_extractor(data: bytes) -> tuple[str, int]:
@@ -111,6 +118,13 @@ def utf8_text_extractor(data: bytes) -> tuple[str, int]:
     return data.decode("utf-8"), 1
 
 
+def quarantined(plan: DataFrame) -> DataFrame:
+    """(object_name, reason, content) of the files that failed, with their bytes."""
+    return plan.where(F.col("_status.status") == "failed").select(
+        "object_name", F.col("_status.message").alias("reason"), F.col("_bytes").alias("content")
+    )
+
+
 def ingest_files(
     files: DataFrame,
     file_type: str,
@@ -118,45 +132,83 @@ def ingest_files(
     run_ts: str,
     extractor: Extractor = utf8_text_extractor,
     summarizer: Callable[[str], str | None] | None = None,
+    embedder: VC.Embedder | None = None,
+    collection: str | None = None,
 ) -> DataFrame:
-    """Process one batch of staged files of one type: build records, append them (idempotent by
-    file id), and for PDFs also write silver text.  Returns the status rows (persisted through
-    the checkpoint folder, so later actions do not repeat the extraction)."""
+    """Process one batch of staged files (object_name, content) of one type; returns a status row per file.
+
+    Records are appended once for the batch (see ``append_documents``), a PDF's text goes to the silver table,
+    and with an embedder a PDF's summary is vectorized into ``collection``: ``vectorized`` says whether points of
+    it were written.  Files that fail, empty ones among them, are copied with their bytes to
+    ``{warehouse}/quarantine`` before the batch ends."""
     ts = F.lit(run_ts).cast("timestamp_ntz")
+    files = files.select("object_name", "content")
     if file_type == "txt":
-        plan = txt_ingest_plan(files.select("object_name", "content"), ts)
+        plan = txt_ingest_plan(files, ts, reject_empty=True)
         table = S.TXT_TABLE
     elif file_type == "pdf":
-        ext = RC.extract_with(files.select("object_name", "content", F.octet_length("content").alias("file_size")), extractor)
-        summary = F.lit(None).cast("string")
+        ext = RC.extract_with(files.withColumn("file_size", F.octet_length("content")), extractor)
+        ext = ext.withColumn("error", F.when(F.col("file_size") == 0, F.lit(S.MSG_FILE_EMPTY)).otherwise(F.col("error")))
         if summarizer is not None:
-            summarize = F.udf(summarizer, "string")
-            summary = summarize(F.col("text"))
-        plan = pdf_ingest_plan(ext.withColumn("summarize_details", summary), ts)
+            ext = RC.summarize_with(ext, summarizer)
+        else:
+            ext = ext.withColumn("summarize_details", F.lit(None).cast("string"))
+        plan = pdf_ingest_plan(ext, ts)
         table = S.PDF_TABLE
     else:
         raise ValueError(S.MSG_BAD_TYPE)
     plan = reliable_checkpoint(plan)  # extraction runs once even if an executor is lost later
+    bad = quarantined(plan).withColumn("file_type", F.lit(file_type)).withColumn("run_ts", F.lit(run_ts))
+    if not bad.isEmpty():
+        (
+            bad.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("file_type", "run_ts")
+            .parquet(warehouse.rstrip("/") + "/quarantine")
+        )
     TB.append_documents(record_rows(plan, table), warehouse, table)
     if file_type == "pdf":
-        silver = plan.where(F.col("_status.status") == "completed").select(
-            F.col("content").alias("path"), F.col("_text").alias("text"), RC.upload_month(F.col("upload_datetime")).alias(TB.PARTITION_COL)
+        done = plan.where(F.col("_status.status") == "completed")
+        save_silver(
+            done.select(F.col("content").alias("path"), F.col("_text").alias("text"), "upload_datetime", "object_name"), warehouse
         )
-        append_silver(silver, warehouse)
-    return status_rows(plan, file_type)
-
-
-def append_silver(silver: DataFrame, warehouse: str) -> None:
-    """Extracted text by silver path, month-partitioned; a path already present in the batch's
-    months is not written again (replayed batches stay idempotent)."""
+        if embedder is not None and collection is not None:
+            source = done.where(F.col("summarize_details").isNotNull()).select("content", "summarize_details")
+            points = reliable_checkpoint(vectorize(source, "summarize_details", "content", embedder, run_ts, kind="summary"))
+            VC.save_points(points, collection)
+            written = points.select(F.col("source").alias("content"), F.lit(True).alias("_written")).distinct()
+            plan = plan.drop("vectorized").join(written, "content", "left")
+            plan = plan.withColumn("vectorized", F.coalesce("_written", F.lit(False)) & (F.col("_status.status") == "completed"))
+        else:
+            plan = plan.withColumn("vectorized", F.lit(False))
+    return status_rows(plan, file_type, with_object=True)
+
+
+def newest_silver(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """Per silver path the text of the latest upload (ties: the last object name); columns of ``existing``."""
+    last = Window.partitionBy("path").orderBy(F.desc("upload_datetime"), F.desc("object_name"))
+    every = existing.unionByName(new)
+    return every.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+
+
+def save_silver(silver: DataFrame, warehouse: str) -> None:
+    """W4 on storage: (path, text, upload_datetime, object_name) by hash bucket of the path.  A file uploaded
+    again shows its new text; only the buckets of the batch's paths are written anew, from a copy in the shared
+    folder."""
     spark = silver.sparkSession
-    path = warehouse.rstrip("/") + "/silver_documents"
-    rows = silver.dropDuplicates(["path"])
+    location = warehouse.rstrip("/") + "/silver_documents"
+    new = silver.withColumn("bucket", F.pmod(F.xxhash64("path"), F.lit(SILVER_BUCKETS)).cast("int"))
+    held = new.limit(0)
     if TB.table_exists(spark, warehouse, "silver_documents"):
-        months = [r[0] for r in rows.select(TB.PARTITION_COL).distinct().collect()]
-        present = spark.read.parquet(path).where(F.col(TB.PARTITION_COL).isin(months)).select("path", TB.PARTITION_COL)
-        rows = rows.join(present, on=["path", TB.PARTITION_COL], how="left_anti")
-    rows.write.mode("append").partitionBy(TB.PARTITION_COL).parquet(path)
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # at most SILVER_BUCKETS
+        held = spark.read.schema(new.schema).parquet(location).where(F.col("bucket").isin(touched))
+    merged = reliable_checkpoint(newest_silver(held, new))
+    (
+        merged.hint("rebalance", "bucket").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
+        .parquet(location)
+    )
 
 
 def read_staged(spark: SparkSession, staging_root: str, file_type: str) -> DataFrame:
@@ -165,9 +217,12 @@ def read_staged(spark: SparkSession, staging_root: str, file_type: str) -> DataF
     return objs.select(F.col("name").alias("object_name"), "content")
 
 
-def vectorize(points_source: DataFrame, text_col: str, key_col: str, embedder, run_ts: str, dim: int | None = None) -> DataFrame:
-    """T5/T6 as one plan: chunk -> embed -> points keyed by ``key_col`` (the source path)."""
+def vectorize(
+    points_source: DataFrame, text_col: str, key_col: str, embedder, run_ts: str, dim: int | None = None, kind: str = "file"
+) -> DataFrame:
+    """T5/T6 as one plan: chunk -> embed -> points keyed by ``key_col`` (the source path) and ``kind`` (the file's
+    text or its summary)."""
     ch = CH.chunk_text(points_source.select(key_col, text_col), text_col, [key_col])
     emb = reliable_checkpoint(VC.embed_chunks(ch, embedder))  # never call the embedder twice
-    pts = VC.build_points(emb, F.col(key_col), upload_ts=F.lit(run_ts).cast("timestamp_ntz"))
+    pts = VC.build_points(emb, F.col(key_col), upload_ts=F.lit(run_ts).cast("timestamp_ntz"), kind=kind)
     return VC.check_dimension(pts, dim) if dim else pts

@@ -7,6 +7,7 @@ Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from .. import fixtures as FX
 from .. import schemas as S
 from ..functions import text as TX
 from ..operators import search as SR
+from ..session import ensure_checkpoint_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -582,7 +584,7 @@ def q_pdf_records(spark, sf_dir):
         "upload_datetime",
         "upload_epoch",
         F.ceil(F.col("n_chars") / F.lit(3000.0)).cast("int").alias("page_count"),
-        F.when(F.col("lang") == "es", F.lit(None).cast("string")).otherwise(F.substring("text", 1, 300)).alias("summarize_details"),
+        FX.summary_of("text", "lang").alias("summarize_details"),
     )
     return RC.pdf_records(extracted, run_epoch=F.col("upload_epoch"))
 
@@ -626,20 +628,61 @@ def q_decode_and_clean(spark, sf_dir):
     return RC.decode_and_clean(s)
 
 
+def sql_clean(x: str) -> str:
+    return f"coalesce(regexp_replace(trim(regexp_replace({x}, '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '')"
+
+
+def sql_title_from_content(x: str, h: str) -> str:
+    """F3 over column ``x``; ``h`` is a column holding ``left(lstrip(x), 100)``."""
+    cut = (
+        f"CASE WHEN strpos({h}, '.') > 0 THEN split_part({h}, '.', 1) || '.' "
+        f"WHEN strpos({h}, chr(10)) > 0 THEN split_part({h}, chr(10), 1) ELSE {h} END"
+    )
+    return f"""CASE WHEN {x} IS NULL OR {sql_lstrip(x)} = '' THEN NULL
+       ELSE coalesce(
+         list_filter(list_transform(string_split({x}, chr(10))[1:5], lambda x: {sql_strip('x')}),
+                     lambda x: length(x) > 5 AND length(x) <= 100 AND NOT ({_MARKERS}))[1],
+         nullif({sql_strip(cut)}, ''))
+  END"""
+
+
 @register(
     "extract_fallback",
     FX.sql_with("staged_files")
     + f"""
-SELECT doc_id, coalesce(regexp_replace(trim(regexp_replace(
-  coalesce(CASE WHEN length({sql_strip('p')}) > 0 THEN p END, CASE WHEN length({sql_strip('text')}) > 0 THEN text END, '{S.NO_TEXT_FOUND}'),
-  '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '') AS text
-FROM (SELECT *, CASE WHEN lang = 'es' THEN NULL ELSE substr(text, 1, 300) END AS p FROM staged_files WHERE file_type = 'pdf')""",
+SELECT doc_id, CASE WHEN doc_id % 15 = 6 THEN '[Error extracting content]' ELSE
+  coalesce(regexp_replace(trim(regexp_replace(
+    CASE WHEN lang = 'es' THEN 'OCR: ' || text WHEN lang = 'fr' THEN 'OCR: ' || text WHEN lang = 'de' THEN '[No text content found]' ELSE text END,
+    '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '') END AS text
+FROM staged_files WHERE file_type = 'pdf'""",
 )
 def q_extract_fallback(spark, sf_dir):
-    # primary = a partial extraction (missing for one language), secondary = the full page text
+    # By language: no primary text, a blank one, neither, or a whole one; some files fail in extraction.
     s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "pdf")
-    primary = F.when(F.col("lang") == "es", F.lit(None).cast("string")).otherwise(F.substring("text", 1, 300))
-    return s.select("doc_id", RC.extraction_fallback(primary, F.col("text")).alias("text"))
+    lang, text = F.col("lang"), F.col("text")
+    primary = F.when(lang == "fr", F.lit(" \n ")).when(~lang.isin("es", "de"), text)
+    secondary = F.when(lang != "de", F.concat(F.lit("OCR: "), text))
+    return s.select("doc_id", RC.extraction_fallback(primary, secondary, F.col("doc_id") % 15 == 6).alias("text"))
+
+
+@register(
+    "pdf_records_legacy",
+    FX.sql_with("staged_files", extra=f"""_legacy AS (
+  SELECT filename, upload_datetime, upload_epoch, sha256(content) AS sha, CAST(octet_length(content) AS BIGINT) AS file_size, n_chars,
+         coalesce(regexp_replace(trim(regexp_replace(text, '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '') AS cleaned
+  FROM staged_files WHERE file_type = 'pdf'),
+_legacy2 AS (SELECT *, left({sql_lstrip('cleaned')}, 100) AS h FROM _legacy)""")
+    + f"""
+SELECT 'pdf_' || substr(sha, 1, 16) || '_' || upload_epoch AS file_id, upload_datetime,
+       coalesce({sql_title_from_content('cleaned', 'h')}, replace(filename, '.pdf', '')) AS title,
+       cleaned AS content, filename AS source_file, file_size, sha AS content_hash,
+       CASE WHEN n_chars > 3000 THEN CAST(ceil(n_chars / 3000.0) AS INTEGER) ELSE 0 END AS page_count, 1 AS version
+FROM _legacy2""",
+)
+def q_pdf_records_legacy(spark, sf_dir):
+    s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "pdf")
+    pages = F.when(F.col("n_chars") > 3000, F.ceil(F.col("n_chars") / F.lit(3000.0)).cast("int"))
+    return RC.pdf_records_legacy(s.withColumn("page_count", pages), F.col("upload_epoch"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -649,14 +692,23 @@ def q_extract_fallback(spark, sf_dir):
 from ..sources import tables as TB  # noqa: E402
 
 
-@register("table_read", FX.sql_with("pdf_documents") + "SELECT * FROM pdf_documents")
+def _stored(spark, records, name):
+    """A document table, written by the library's append into a warehouse in the shared folder."""
+    root = f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+    TB.ensure_tables(spark, root, {name: S.TABLE_SCHEMAS[name]})
+    TB.append_documents(records, root, name)
+    return root
+
+
+@register("table_read", FX.sql_with("pdf_documents") + "SELECT *, strftime(upload_datetime, '%Y-%m') AS upload_month FROM pdf_documents")
 def q_table_read(spark, sf_dir):
-    return FX.pdf_documents(spark, sf_dir)
+    root = _stored(spark, FX.pdf_documents(spark, sf_dir), S.PDF_TABLE)
+    return TB.read_table(spark, root, S.PDF_TABLE)
 
 
 @register(
     "table_page",
-    FX.sql_with("txt_documents") + "SELECT * FROM txt_documents ORDER BY upload_datetime, file_id LIMIT 50 OFFSET 100",
+    FX.sql_with("txt_documents") + "SELECT * FROM txt_documents ORDER BY upload_datetime, file_id, source_file LIMIT 50 OFFSET 100",
 )
 def q_table_page(spark, sf_dir):
     return TB.table_page(FX.txt_documents(spark, sf_dir), limit=50, offset=100)
@@ -672,18 +724,70 @@ def q_table_page_counts(spark, sf_dir):
     return TB.page_counts(FX.txt_documents(spark, sf_dir), limit=50, offset=100)
 
 
-def _schema_values_sql(name: str) -> str:
-    rows = ", ".join(
-        f"({i + 1}, '{f.name}', '{f.dataType.simpleString()}', {str(not f.nullable).lower()})"
-        for i, f in enumerate(S.TABLE_SCHEMAS[name].fields)
+_TWINS = (
+    "SELECT * EXCLUDE (upload_epoch) REPLACE (TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (upload_epoch // 86400 % 5) AS upload_datetime, "
+    "substr(file_id, 1, 5) AS file_id) "
+    "FROM (SELECT t.*, s.upload_epoch FROM txt_documents t JOIN staged_files s ON s.filename = t.source_file)"
+)
+
+
+@register(
+    "table_page_after",
+    FX.sql_with("txt_documents", "staged_files")
+    + f"""
+SELECT * FROM (SELECT *, row_number() OVER (ORDER BY upload_datetime, file_id, source_file) AS n FROM ({_TWINS}))
+WHERE n > 10 AND n <= 40""".replace("SELECT * FROM (SELECT *, row", "SELECT * EXCLUDE (n) FROM (SELECT *, row"),
+)
+def q_table_page_after(spark, sf_dir):
+    # Many rows share upload time and id here; the second page starts after the last row of the first.
+    t = FX.txt_documents(spark, sf_dir).withColumn("upload_epoch", TX.epoch_seconds("upload_datetime"))
+    day = F.make_dt_interval((F.floor(F.col("upload_epoch") / 86400) % 5).cast("int"))
+    t = t.withColumn("upload_datetime", F.lit("2024-01-01").cast("timestamp_ntz") + day).drop("upload_epoch")
+    t = t.withColumn("file_id", F.substring("file_id", 1, 5))
+    key = TB.total_order(t)
+    last = TB.page_after(t, None, 10).select(*key).tail(1)  # one key
+    return TB.page_after(t, tuple(last[0]), 30)
+
+
+@register(
+    "append_dedupe",
+    FX.sql_with("staged_files").rstrip()
+    + """,
+f AS (SELECT source || '.txt' AS source_file, md5(text) AS content_hash, min(upload_datetime) AS upload_datetime FROM staged_files GROUP BY ALL),
+held AS (SELECT DISTINCT source || '.txt' AS source_file, md5(text) AS content_hash FROM staged_files WHERE lang = 'en'),
+n AS (SELECT source_file, count(*) AS n FROM held GROUP BY source_file)
+SELECT source_file, content_hash, upload_datetime,
+       CAST(coalesce(n, 0) + row_number() OVER (PARTITION BY source_file ORDER BY upload_datetime, content_hash) AS INTEGER) AS version
+FROM f ANTI JOIN held USING (source_file, content_hash) LEFT JOIN n USING (source_file)""",
+)
+def q_append_dedupe(spark, sf_dir):
+    # The table holds one language's files; all files arrive in a later run under 20 names.
+    s = FX.staged_files(spark, sf_dir)
+    batch = s.select(
+        F.concat("source", F.lit(".txt")).alias("source_file"),
+        F.md5("text").alias("content_hash"),
+        "upload_datetime",
+        F.col("doc_id").cast("string").alias("file_id"),
+        F.lit(1).alias("version"),
+        "lang",
     )
-    return f"SELECT * FROM (VALUES {rows}) AS t(id, name, type, required)"
+    none = batch.limit(0)
+    held = TB.plan_append(batch.where("lang = 'en'").drop("lang"), none)
+    return TB.plan_append(batch.drop("lang"), held).drop("file_id")
 
 
-@register("table_schema", _schema_values_sql(S.PDF_TABLE))
+@register(
+    "table_schema",
+    """
+SELECT * FROM (VALUES (1, 'file_id', 'string', true), (3, 'upload_datetime', 'timestamp_ntz', true), (4, 'title', 'string', true),
+  (5, 'summarize_details', 'string', false), (6, 'content', 'string', true), (7, 'source_file', 'string', true),
+  (8, 'file_size', 'bigint', true), (9, 'page_count', 'int', false), (10, 'version', 'int', true),
+  (11, 'content_hash', 'string', true)) AS t(id, name, type, required)""",
+)
 def q_table_schema(spark, sf_dir):
-    # The declared contract; the fixture view is checked against it in tests.
-    return TB.table_schema(spark, S.PDF_SCHEMA)
+    # The schema that the stored table's files carry.
+    root = _stored(spark, FX.pdf_documents(spark, sf_dir), S.PDF_TABLE)
+    return TB.table_schema(spark.read.parquet(f"{root}/{S.PDF_TABLE}"))
 
 
 def _stats_sql(view: str, name: str) -> str:
@@ -831,26 +935,47 @@ def q_collection_info(spark, sf_dir):
     return VC.collection_info(FX.points(spark, sf_dir))
 
 
+_POINTS = "point_id, vec_id, source, chunk_index, label, embedding"
+
+
 @register(
     "points_upsert",
     FX.sql_with("points")
-    + """
-SELECT point_id, vec_id, source, chunk_index, label FROM points WHERE point_id NOT IN (SELECT point_id FROM points WHERE label = 1)
-UNION ALL
-SELECT point_id, vec_id, source, chunk_index + 100, label FROM points WHERE label = 1""",
+    + f"""
+SELECT {_POINTS} FROM points WHERE coalesce(label, -1) <> 1
+UNION ALL SELECT point_id, vec_id, source, chunk_index + 200, label, embedding FROM points WHERE label = 1
+UNION ALL SELECT 'new_' || point_id, vec_id, source, chunk_index, label, embedding FROM points WHERE label = 2""",
 )
 def q_points_upsert(spark, sf_dir):
-    pts = FX.points(spark, sf_dir).drop("embedding")
-    new = pts.where(F.col("label") == 1).withColumn("chunk_index", F.col("chunk_index") + 100)
-    return VC.upsert_points(pts, new)
+    # Of the new points one label's ids exist already and come twice (the later one holds), another's are new.
+    pts = FX.points(spark, sf_dir).withColumn("upload_timestamp", F.lit("2024-01-01"))
+    again = pts.where(F.col("label") == 1)
+    once = again.withColumn("chunk_index", F.col("chunk_index") + 100).withColumn("upload_timestamp", F.lit("2024-01-02"))
+    twice = again.withColumn("chunk_index", F.col("chunk_index") + 200).withColumn("upload_timestamp", F.lit("2024-01-03"))
+    fresh = pts.where(F.col("label") == 2).withColumn("point_id", F.concat(F.lit("new_"), F.col("point_id")))
+    return VC.upsert_points(pts, once.unionByName(twice).unionByName(fresh)).drop("upload_timestamp")
 
 
 @register(
     "points_delete_by_filter",
-    FX.sql_with("points") + "SELECT point_id, vec_id, source, chunk_index, label FROM points WHERE NOT coalesce(label = 2, false)",
+    FX.sql_with("points") + "SELECT point_id, source, chunk_index, embedding FROM points WHERE chunk_index <> 2",
 )
 def q_points_delete_by_filter(spark, sf_dir):
-    return VC.delete_by_filter(FX.points(spark, sf_dir).drop("embedding"), {"label": 2})
+    # On a stored collection: save, delete by a payload filter, read.
+    path = f"{ensure_checkpoint_dir(spark)}/points-{uuid.uuid4().hex}"
+    VC.save_points(FX.points(spark, sf_dir), path)
+    VC.delete_points(spark, path, {"chunk_index": 2})
+    return VC.read_points(spark, path).select("point_id", "source", "chunk_index", "embedding")
+
+
+@register(
+    "files_uploaded",
+    FX.sql_with("points")
+    + "SELECT count(*) AS files, count(*) FILTER (WHERE n > 0) AS uploaded, count(*) FILTER (WHERE n > 0) > 0 AS success "
+    "FROM (SELECT source, count(embedding) AS n FROM points GROUP BY source)",
+)
+def q_files_uploaded(spark, sf_dir):
+    return VC.files_uploaded(VC.points_success(FX.points(spark, sf_dir)))
 
 
 @register(
@@ -862,33 +987,58 @@ def q_points_success(spark, sf_dir):
     return VC.points_success(FX.points(spark, sf_dir))
 
 
-TEST_DIM = 64
+_MD5_VECTOR = (
+    "list_transform(range(16), lambda i: CAST((strpos('0123456789abcdef', substr(md5(chunk_text), 2 * i + 1, 1)) - 1) * 16 "
+    "+ strpos('0123456789abcdef', substr(md5(chunk_text), 2 * i + 2, 1)) - 1 - 128 AS FLOAT))"
+)
 
 
-@register("embed_chunks")
+@register(
+    "embed_chunks",
+    FX.sql_with("txt_documents", recursive=True, extra=chunk_sql("txt_documents", "file_id", "content").strip())
+    + f"SELECT *, {_MD5_VECTOR} AS embedding FROM chunks",
+)
 def q_embed_chunks(spark, sf_dir):
     t = FX.txt_documents(spark, sf_dir).select("file_id", "content")
-    ch = CH.chunk_text(t, "content", ["file_id"])
-    return VC.embed_chunks(ch, VC.hashing_embedder(TEST_DIM))
+    return VC.embed_chunks(CH.chunk_text(t, "content", ["file_id"]), VC.md5_embedder)
 
 
-@register("vectorize_files")
+def _points_sql(kind: str, key: str) -> str:
+    h = f"md5('{kind}#' || {key} || '#' || chunk_index)"
+    parts = [f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return f"""
+SELECT {" || '-' || ".join(parts)} AS point_id, {_MD5_VECTOR} AS embedding, chunk_text AS text, chunk_index,
+       '2024-06-01T07:00:00+07:00' AS upload_timestamp, CAST(length(chunk_text) AS INTEGER) AS text_length,
+       {key} AS source, '{kind}' AS kind
+FROM chunks"""
+
+
+@register(
+    "vectorize_files",
+    FX.sql_with("silver_documents", recursive=True, extra=chunk_sql("silver_documents", "path", "text").strip()) + _points_sql("file", "path"),
+)
 def q_vectorize_files(spark, sf_dir):
     # T5: silver paths -> read -> chunk -> embed -> points carrying the source path
     silver = LS.silver_read(FX.silver_documents(spark, sf_dir), "path", text_col="text")
-    ch = CH.chunk_text(silver, "text", ["path"])
-    emb = VC.embed_chunks(ch, VC.hashing_embedder(TEST_DIM))
-    return VC.build_points(emb, F.col("path"), upload_ts=F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
+    return _points_of(silver, "text", "path", "file")
 
 
-@register("vectorize_summaries")
+@register(
+    "vectorize_summaries",
+    FX.sql_with("pdf_documents", recursive=True, extra=chunk_sql("pdf_documents", "content", "summarize_details").strip())
+    + _points_sql("summary", "content"),
+)
 def q_vectorize_summaries(spark, sf_dir):
     # Chunk each PDF's summary; points keep the silver path as ``source`` (the full text is
     # joined by key when needed instead of being copied into every point).
     pdf = FX.pdf_documents(spark, sf_dir).where(F.col("summarize_details").isNotNull())
-    ch = CH.chunk_text(pdf.select("content", "summarize_details"), "summarize_details", ["content"])
-    emb = VC.embed_chunks(ch, VC.hashing_embedder(TEST_DIM))
-    return VC.build_points(emb, F.col("content"), upload_ts=F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
+    return _points_of(pdf, "summarize_details", "content", "summary")
+
+
+def _points_of(df, text, key, kind):
+    emb = VC.embed_chunks(CH.chunk_text(df.select(key, text), text, [key]), VC.md5_embedder)
+    points = VC.build_points(emb, F.col(key), upload_ts=F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"), kind=kind)
+    return points.drop("metadata")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -911,7 +1061,7 @@ def _txt_status(spark, sf_dir):
     return IN.status_rows(plan, "txt")
 
 
-def _pdf_status(spark, sf_dir):
+def _pdf_plan(spark, sf_dir):
     files = _candidates_of(spark, sf_dir, "pdf")
     # Extraction stand-in expressed natively: UTF-8 text of the bytes; an empty file is an error.
     text = F.col("content").cast("string")
@@ -921,10 +1071,49 @@ def _pdf_status(spark, sf_dir):
         text.alias("text"),
         F.lit(None).cast("int").alias("page_count"),
         F.when(F.octet_length("content") == 0, F.lit("empty document")).alias("error"),
-        F.when(F.octet_length("content") > 2000, F.substring(text, 1, 300)).alias("summarize_details"),
+        F.when(F.octet_length("content") > 2000, text).alias("summarize_details"),
+        "content",
     )
-    plan = IN.pdf_ingest_plan(extracted, F.lit(RUN_TS), run_epoch=F.lit(RUN_EPOCH))
-    return IN.status_rows(plan, "pdf")
+    return IN.pdf_ingest_plan(extracted, F.lit(RUN_TS), run_epoch=F.lit(RUN_EPOCH))
+
+
+def _pdf_status(spark, sf_dir):
+    return IN.status_rows(_pdf_plan(spark, sf_dir), "pdf")
+
+
+@register(
+    "ingest_quarantine",
+    FX.sql_with("upload_candidates")
+    + """
+SELECT 'staging/' || file_type || 's/' || filename AS object_name, md5(content) AS content_md5,
+       'Processing error: ' || CASE WHEN file_type = 'pdf' THEN 'empty document' ELSE 'File is empty' END AS reason
+FROM upload_candidates WHERE octet_length(content) = 0""",
+)
+def q_ingest_quarantine(spark, sf_dir):
+    txt = IN.txt_ingest_plan(_candidates_of(spark, sf_dir, "txt"), F.lit(RUN_TS), run_epoch=F.lit(RUN_EPOCH), reject_empty=True)
+    bad = IN.quarantined(_pdf_plan(spark, sf_dir)).unionByName(IN.quarantined(txt))
+    return bad.select("object_name", F.md5("content").alias("content_md5"), "reason")
+
+
+@register(
+    "silver_upsert",
+    FX.sql_with("staged_files")
+    + """
+SELECT path, text, upload_datetime, object_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY path ORDER BY upload_datetime DESC, object_name DESC) AS n FROM (
+    SELECT 'silver/pdfs/' || source || '.md' AS path, text, upload_datetime, object_name FROM staged_files
+    UNION ALL
+    SELECT 'silver/pdfs/' || source || '.md', 'new ' || text, upload_datetime + INTERVAL 60 DAY, object_name
+    FROM staged_files WHERE lang = 'fr')) WHERE n = 1""",
+)
+def q_silver_upsert(spark, sf_dir):
+    # Many uploads of 20 names; one language's come again later with new texts.
+    s = FX.staged_files(spark, sf_dir)
+    path = F.concat(F.lit("silver/pdfs/"), F.col("source"), F.lit(".md")).alias("path")
+    old = s.select(path, "text", "upload_datetime", "object_name")
+    later = (F.col("upload_datetime") + F.make_dt_interval(F.lit(60))).alias("upload_datetime")
+    new = s.where("lang = 'fr'").select(path, F.concat(F.lit("new "), F.col("text")).alias("text"), later, "object_name")
+    return IN.newest_silver(old, new)
 
 
 _TXT_STATUS_SQL = f"""
@@ -993,24 +1182,6 @@ def q_batch_summary_by_type(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------
 
 
-def sql_clean(x: str) -> str:
-    return f"coalesce(regexp_replace(trim(regexp_replace({x}, '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '')"
-
-
-def sql_title_from_content(x: str, h: str) -> str:
-    """F3 over column ``x``; ``h`` is a column holding ``left(lstrip(x), 100)``."""
-    cut = (
-        f"CASE WHEN strpos({h}, '.') > 0 THEN split_part({h}, '.', 1) || '.' "
-        f"WHEN strpos({h}, chr(10)) > 0 THEN split_part({h}, chr(10), 1) ELSE {h} END"
-    )
-    return f"""CASE WHEN {x} IS NULL OR {sql_lstrip(x)} = '' THEN NULL
-       ELSE coalesce(
-         list_filter(list_transform(string_split({x}, chr(10))[1:5], lambda x: {sql_strip('x')}),
-                     lambda x: length(x) > 5 AND length(x) <= 100 AND NOT ({_MARKERS}))[1],
-         nullif({sql_strip(cut)}, ''))
-  END"""
-
-
 def sql_source_link(x: str) -> str:
     return f"""nullif(regexp_extract(
   list_filter(list_transform(string_split({x}, chr(10))[1:10], lambda x: lower({sql_strip('x')})),

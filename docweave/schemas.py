@@ -12,32 +12,51 @@ PDF_TABLE = "pdf_documents"
 TXT_TABLE = "txt_documents"
 DOCUMENT_TABLES = (PDF_TABLE, TXT_TABLE)  # search / lookup order: PDF first, then TXT
 
-PDF_SCHEMA = T.StructType(
-    [
-        T.StructField("file_id", T.StringType(), False),
-        T.StructField("upload_datetime", T.TimestampNTZType(), False),
-        T.StructField("title", T.StringType(), False),
-        T.StructField("summarize_details", T.StringType(), True),
-        T.StructField("content", T.StringType(), False),
-        T.StructField("source_file", T.StringType(), False),
-        T.StructField("file_size", T.LongType(), False),
-        T.StructField("page_count", T.IntegerType(), True),
-        T.StructField("version", T.IntegerType(), False),
-        T.StructField("content_hash", T.StringType(), False),
-    ]
+
+
+def _table(*columns: tuple[int, str, T.DataType, bool]) -> T.StructType:
+    """A table's columns from (field id, name, type, required); id and requirement are kept as metadata, which
+    is stored with the files."""
+    return T.StructType([T.StructField(n, t, not r, {"id": i, "required": r}) for i, n, t, r in columns])
+
+
+# Field ids are declared, not positions; content_hash is this library's own column.
+PDF_SCHEMA = _table(
+    (1, "file_id", T.StringType(), True),
+    (3, "upload_datetime", T.TimestampNTZType(), True),
+    (4, "title", T.StringType(), True),
+    (5, "summarize_details", T.StringType(), False),
+    (6, "content", T.StringType(), True),
+    (7, "source_file", T.StringType(), True),
+    (8, "file_size", T.LongType(), True),
+    (9, "page_count", T.IntegerType(), False),
+    (10, "version", T.IntegerType(), True),
+    (11, "content_hash", T.StringType(), True),
+)
+
+TXT_SCHEMA = _table(
+    (1, "file_id", T.StringType(), True),
+    (3, "upload_datetime", T.TimestampNTZType(), True),
+    (4, "title", T.StringType(), True),
+    (5, "content", T.StringType(), True),
+    (6, "source_file", T.StringType(), True),
+    (7, "source_link", T.StringType(), False),
+    (8, "file_size", T.LongType(), True),
+    (10, "version", T.IntegerType(), True),
+    (11, "content_hash", T.StringType(), True),
 )
 
-TXT_SCHEMA = T.StructType(
+POINT_SCHEMA = T.StructType(
     [
-        T.StructField("file_id", T.StringType(), False),
-        T.StructField("upload_datetime", T.TimestampNTZType(), False),
-        T.StructField("title", T.StringType(), False),
-        T.StructField("content", T.StringType(), False),
-        T.StructField("source_file", T.StringType(), False),
-        T.StructField("source_link", T.StringType(), True),
-        T.StructField("file_size", T.LongType(), False),
-        T.StructField("version", T.IntegerType(), False),
-        T.StructField("content_hash", T.StringType(), False),
+        T.StructField("point_id", T.StringType(), False),
+        T.StructField("embedding", T.ArrayType(T.FloatType()), True),
+        T.StructField("text", T.StringType(), True),
+        T.StructField("chunk_index", T.IntegerType(), True),
+        T.StructField("text_length", T.IntegerType(), True),
+        T.StructField("upload_timestamp", T.StringType(), True),
+        T.StructField("source", T.StringType(), True),
+        T.StructField("kind", T.StringType(), True),
+        T.StructField("metadata", T.MapType(T.StringType(), T.StringType()), True),
     ]
 )
 

@@ -8,21 +8,20 @@ and combined listings are filters and unions over any listing (on disk or a fixt
 
 from __future__ import annotations
 
+import fnmatch
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions import decode as DC
 
 FILE_TYPES = ("pdf", "txt")
 CONTENT_TYPES = {"pdf": "application/pdf", "txt": "text/plain"}
 
 
-def _root_uri(root: str) -> str:
-    return root if "://" in root else "file:" + root.rstrip("/")
-
-
 BINARY_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType(), False),
@@ -33,29 +32,55 @@ BINARY_SCHEMA = T.StructType(
 )
 
 
-def _empty_files(spark: SparkSession, location: str, glob: str | None) -> list[tuple]:
+FILE_SCHEMA = "path string, is_dir boolean, length long, modificationTime timestamp"
+
+
+def _list_folder(folder: str, recursive: bool) -> pd.DataFrame:
+    """Entries under one folder, by the Arrow file system of its scheme; no such folder, no entries."""
+    from pyarrow import fs as afs
+
+    scheme = folder.split("://")[0] + "://" if "://" in folder else ""
+    system, path = afs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+    found = system.get_file_info(afs.FileSelector(path, allow_not_found=True, recursive=recursive))
+    rows = [
+        (
+            (scheme or "") + f.path if scheme != "file://" else f.path,
+            f.type == afs.FileType.Directory,
+            0 if f.size is None else f.size,
+            f.mtime,
+        )
+        for f in found
+    ]
+    out = pd.DataFrame(rows, columns=["path", "is_dir", "length", "modificationTime"])
+    return out.astype({"is_dir": bool, "length": "int64", "modificationTime": "datetime64[us, UTC]"})
+
+
+def list_files(spark: SparkSession, location: str) -> DataFrame:
+    """(path, length, modificationTime) of every file under ``location``, empty ones included, listed by tasks:
+    one lists the first level, then each folder found there is walked in a task of its own.  Nothing of it
+    passes through the driver."""
+
+    def lister(recursive: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for folder in pdf["path"]:
+                    yield _list_folder(folder, recursive)
+
+        return run
+
+    top = spark.createDataFrame([(location,)], "path string").mapInPandas(lister(False), FILE_SCHEMA)
+    folders = top.where("is_dir").select("path").repartition(spark.sparkContext.defaultParallelism, "path")
+    return top.unionByName(folders.mapInPandas(lister(True), FILE_SCHEMA)).where("not is_dir").drop("is_dir")
+
+
+def _empty_files(spark: SparkSession, location: str, glob: str | None) -> DataFrame:
     """Zero-byte files under ``location``: Spark's file scan skips them, but a listing must show
-    them (and an empty upload must fail validation, not vanish).  Walks file metadata through the
-    Hadoop FileSystem API, keeping only the zero-length entries."""
-    import datetime as dt
-    import fnmatch
-
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(location)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        if st.getLen() == 0:
-            name = st.getPath().getName()
-            if name.startswith((".", "_")) or (glob and not fnmatch.fnmatch(name, glob)):
-                continue
-            ts = dt.datetime.fromtimestamp(st.getModificationTime() / 1000.0, tz=dt.timezone.utc)
-            out.append((st.getPath().toString(), ts, 0, bytearray()))
-    return out
+    them (and an empty upload must fail validation, not vanish)."""
+    name = F.substring_index("path", "/", -1)
+    empty = list_files(spark, location).where("length = 0").where(~name.rlike("^[._]"))
+    if glob:
+        empty = empty.where(name.rlike(fnmatch.translate(glob).replace(r"\Z", "$").replace(r"\z", "$")))
+    return empty.select("path", "modificationTime", "length", F.lit(b"").alias("content"))
 
 
 def read_objects(spark: SparkSession, root: str, prefix: str = "", glob: str | None = None, include_empty: bool = True) -> DataFrame:
@@ -64,18 +89,16 @@ def read_objects(spark: SparkSession, root: str, prefix: str = "", glob: str | N
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    base = _root_uri(root)
+    base = root.rstrip("/")
     location = base + "/" + prefix.lstrip("/") if prefix else base
     df = reader.load(location)
     if include_empty:
-        empty = _empty_files(spark, location, glob)
-        if empty:
-            df = df.unionByName(spark.createDataFrame(empty, BINARY_SCHEMA))
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _escape(root.rstrip("/")) + "/", "")
+        df = df.unionByName(_empty_files(spark, location, glob))
+    rel = F.regexp_replace(F.col("path"), r"^.*?" + escape(root.rstrip("/")) + "/", "")
     return df.withColumn("name", rel)
 
 
-def _escape(s: str) -> str:
+def escape(s: str) -> str:
     return "".join("\\" + c if c in ".^$*+?()[]{}|\\" else c for c in s)
 
 
@@ -147,21 +170,3 @@ def silver_read(silver: DataFrame, path_col: str = "path", bytes_col: str | None
         text = F.col(text_col)
     out = silver.select(F.col(path_col).alias("path"), text.alias("text"))
     return out.where(F.col("text").isNotNull() & (F.col("text") != ""))
-
-
-def decoded_objects(objects: DataFrame, content_col: str = "content") -> DataFrame:
-    """Attach F10 decoding (``text``, ``encoding``) to rows carrying raw bytes."""
-    d = DC.decode_bytes(content_col)
-    return objects.withColumn("_dec", d).withColumn("text", F.col("_dec.text")).withColumn(
-        "encoding", F.col("_dec.encoding")
-    ).drop("_dec")
-
-
-LISTING_SCHEMA = T.StructType(
-    [
-        T.StructField("name", T.StringType()),
-        T.StructField("size", T.LongType()),
-        T.StructField("last_modified", T.TimestampNTZType()),
-        T.StructField("is_dir", T.BooleanType()),
-    ]
-)

@@ -9,13 +9,15 @@ derived month column, so ``between_uploads`` adds both and the scan prunes parti
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..operators.records import upload_month
+from ..session import reliable_checkpoint, spread
 
 PARTITION_COL = "upload_month"
 
@@ -61,29 +63,45 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     reader = spark.read
     if schema is not None:
         reader = reader.schema(T.StructType(list(schema.fields) + [T.StructField(PARTITION_COL, T.StringType())]))
-    return reader.parquet(_path(root, name))
+    return spread(reader.parquet(_path(root, name)))
 
 
-def append_documents(records: DataFrame, root: str, name: str, dedupe: bool = True) -> DataFrame:
-    """One append for the whole batch.  Rows whose (``file_id``, ``source_file``) is already
-    in the table are skipped: ids are derived from content and upload time, so a replayed batch
-    or a retried task writes nothing twice, while the same content under two names keeps both
-    rows.  Returns the rows that were written (lazy)."""
+def plan_append(records: DataFrame, present: DataFrame) -> DataFrame:
+    """The rows of a batch that a table does not hold yet, with their versions.
+
+    A row is a document's bytes under a name: (``content_hash``, ``source_file``), whatever the run time, so a
+    batch replayed by a later run adds nothing, while the same bytes under two names keep both rows.  Of rows
+    that repeat the pair inside the batch the earliest stays.  A name uploaded again with new bytes gets the
+    next ``version``.  ``present`` needs the two key columns and ``version``."""
+    key = ["content_hash", "source_file"]
+    earliest = Window.partitionBy(*key).orderBy("upload_datetime", "file_id")
+    rows = records.withColumn("_n", F.row_number().over(earliest)).where("_n = 1").drop("_n")
+    fresh = rows.join(present.select(*key).distinct(), on=key, how="left_anti")
+    last = present.groupBy("source_file").agg(F.max("version").alias("_last"))
+    order = Window.partitionBy("source_file").orderBy("upload_datetime", "content_hash")
+    version = (F.coalesce("_last", F.lit(0)) + F.row_number().over(order)).cast("int")
+    return fresh.join(last, on="source_file", how="left").withColumn("version", version).select(*records.columns)
+
+
+def append_documents(records: DataFrame, root: str, name: str) -> DataFrame:
+    """One append for the whole batch; returns the rows written (see ``plan_append``).  Of the table only
+    the key columns of the batch's own file names are read."""
     spark = records.sparkSession
     schema = S.TABLE_SCHEMAS[name]
-    key = ["file_id", "source_file"]
-    rows = records.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    rows = rows.dropDuplicates(key)
-    rows = rows.withColumn(PARTITION_COL, upload_month(F.col("upload_datetime")))
-    if dedupe and table_exists(spark, root, name):
-        # An id embeds its upload time, so a row can only collide inside its own month: read just
-        # the batch's months (partition pruning) instead of every key ever written.
-        months = [r[0] for r in rows.select(PARTITION_COL).distinct().collect()]  # a handful of values
-        present = read_table(spark, root, name).where(F.col(PARTITION_COL).isin(months)).select(*key, PARTITION_COL)
-        rows = rows.join(present, on=key + [PARTITION_COL], how="left_anti")
+    rows = records.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    held = ["content_hash", "source_file", "version"]
+    if table_exists(spark, root, name):
+        names = rows.select("source_file").distinct()
+        present = read_table(spark, root, name).select(*held).join(names, "source_file", "left_semi")
+    else:
+        present = rows.select(*held).limit(0)
+    # kept in the shared folder: what is written is what is returned, even though the table changes
+    rows = reliable_checkpoint(plan_append(rows, present))
+    out = rows.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields])
+    out = out.withColumn(PARTITION_COL, upload_month(F.col("upload_datetime")))
     # Rebalance by month: few, large files per month, and AQE splits a month that holds most
     # of the batch over several writer tasks instead of one.
-    rows.hint("rebalance", PARTITION_COL).write.mode("append").partitionBy(PARTITION_COL).parquet(_path(root, name))
+    out.hint("rebalance", PARTITION_COL).write.mode("append").partitionBy(PARTITION_COL).parquet(_path(root, name))
     return rows
 
 
@@ -93,29 +111,45 @@ def between_uploads(df: DataFrame, start: dt.datetime, end: dt.datetime) -> Data
     return df.where(F.col(PARTITION_COL).between(m0, m1)).where(F.col("upload_datetime").between(F.lit(start), F.lit(end)))
 
 
+def total_order(df: DataFrame) -> list[str]:
+    """Upload time and id are shared by equal bytes under two names in one batch; with the file name no two
+    rows of a table are alike."""
+    return [c for c in ("upload_datetime", "file_id", "source_file") if c in df.columns]
+
+
 def table_page(df: DataFrame, limit: int | None = None, offset: int = 0, order: list[str] | None = None) -> DataFrame:
     """Rows after skipping ``offset`` (only if > 0), at most ``limit`` (None = all), in a total
-    order.  Negative values are rejected."""
-    if offset is None:
-        offset = 0
+    order.  Negative values are rejected.
+
+    Only the order's columns are sorted and counted off; whole rows are joined back to the page's keys, and a
+    page without a limit is everything after its last skipped key, so no task gets the table."""
+    offset = offset or 0
     if offset < 0 or (limit is not None and limit < 0):
         raise ValueError("limit and offset must be non-negative")
-    out = df.orderBy(*(order or ["upload_datetime", "file_id"]))
-    if offset > 0:
-        out = out.offset(offset)
+    key = order or total_order(df)
     if limit is not None:
-        out = out.limit(limit)
-    return out
-
-
-def page_after(df: DataFrame, last_key: tuple | None, limit: int, order: tuple[str, str] = ("upload_datetime", "file_id")) -> DataFrame:
-    """Keyset paging: the next ``limit`` rows after ``last_key``; cost independent of depth."""
-    a, b = order
+        page = df.select(*key).orderBy(*key).offset(offset).limit(limit)
+        return df.join(page, key, "left_semi").orderBy(*key).limit(limit)
+    if offset:
+        skipped = df.select(F.struct(*key).alias("k")).orderBy("k").limit(offset)
+        df = df.where(F.struct(*key) > skipped.agg(F.max("k")).scalar())
+    return df.orderBy(*key)
+
+
+def page_after(df: DataFrame, last_key: tuple | None, limit: int, order: Sequence[str] | None = None) -> DataFrame:
+    """Keyset paging: the next ``limit`` rows after ``last_key`` (a value for each column of the total order);
+    cost independent of depth."""
+    key = list(order or total_order(df))
     out = df
     if last_key is not None:
-        ka, kb = last_key
-        out = out.where((F.col(a) > F.lit(ka)) | ((F.col(a) == F.lit(ka)) & (F.col(b) > F.lit(kb))))
-    return out.orderBy(a, b).limit(limit)
+        if len(last_key) != len(key):
+            raise ValueError(f"the last key needs {key}")
+        later, same = F.lit(False), F.lit(True)
+        for c, v in zip(key, last_key, strict=True):
+            later, same = later | (same & (F.col(c) > F.lit(v))), same & (F.col(c) == F.lit(v))
+        out = out.where(later)
+    page = out.select(*key).orderBy(*key).limit(limit)
+    return out.join(page, key, "left_semi").orderBy(*key).limit(limit)
 
 
 def page_counts(df: DataFrame, limit: int | None, offset: int = 0) -> DataFrame:
@@ -131,10 +165,15 @@ def page_counts(df: DataFrame, limit: int | None, offset: int = 0) -> DataFrame:
     )
 
 
-def table_schema(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """(id, name, type, required) per field, from the schema (metadata, not data)."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), not f.nullable) for i, f in enumerate(schema.fields)]
-    return spark.createDataFrame(rows, "id int, name string, type string, required boolean")
+def table_schema(table: DataFrame) -> DataFrame:
+    """(id, name, type, required) per column of a stored table, from its metadata: the declared field ids
+    and requirements travel with the files (a scan itself reports every column as optional)."""
+    rows = [
+        (f.metadata["id"], f.name, f.dataType.simpleString(), f.metadata["required"])
+        for f in table.schema.fields
+        if "id" in f.metadata
+    ]
+    return table.sparkSession.createDataFrame(rows, "id int, name string, type string, required boolean")
 
 
 def _fixed_width(dtype: T.DataType) -> int | None:

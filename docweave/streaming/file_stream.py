@@ -1,60 +1,54 @@
 """File-stream ingest: staged files -> document tables, processed once each.
 
-The reference polls a prefix and makes "processed once" true by moving each file away after it
-succeeded.  Here the ``binaryFile`` streaming source remembers what it has read in its checkpoint
-(exactly-once reads), ``foreachBatch`` runs the batch ingest plan for each micro-batch (appends
-are idempotent by file id, so a replayed batch after a failure writes nothing twice), and the
-source's own ``cleanSource`` option archives or deletes files it has committed (W9).  Spark archives
-a batch's files when a later batch starts, so the last files stay until the next run.
-``trigger(availableNow=True)`` processes what is there and stops: a scheduled batch job with
-streaming bookkeeping.
+The ``binaryFile`` streaming source remembers what it has read in its checkpoint (exactly-once reads), and
+``foreachBatch`` runs the batch ingest plan for each micro-batch; appends are idempotent by content and file
+name, so a batch replayed after a failure, even by a later run, writes nothing twice.
+
+After a batch has committed its rows and statuses, its *completed* files are archived or deleted (W9).  The
+source's own ``cleanSource`` is not used: it takes every file that was read, failed ones too.  Failed files
+stay staged for a retry and are copied to the quarantine table.  Files of zero bytes are never read by a file
+scan; each run gives them a ``failed`` status row and leaves them where they are.
+``trigger(availableNow=True)`` processes what is there and stops: a scheduled batch job with streaming
+bookkeeping.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import ingest as IN
+from ..session import reliable_checkpoint
+from ..sources import listing as LS
 
-BINARY_FILE_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType(), False),
-        T.StructField("modificationTime", T.TimestampType(), False),
-        T.StructField("length", T.LongType(), False),
-        T.StructField("content", T.BinaryType(), True),
-    ]
-)
-
-
-def _uri(p: str) -> str:
-    return p if "://" in p else "file:" + p
-
-
-def staged_stream(spark: SparkSession, staging_root: str, file_type: str, post_process: str = "archive", archive_dir: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of staged files of one type (``{root}/{type}s``).  ``post_process``:
-    ``delete``, ``archive`` (to ``archive_dir``, which must lie outside the source path) or
-    ``off``."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
-    if post_process == "delete":
-        reader = reader.option("cleanSource", "delete")
-    elif post_process == "archive":
-        if not archive_dir:
-            raise ValueError("archive needs archive_dir")
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", _uri(archive_dir))
-    elif post_process != "off":
-        raise ValueError("post_process must be delete, archive or off")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = reader.load(_uri(staging_root.rstrip("/") + f"/{file_type}s"))
-    root = staging_root.rstrip("/") + "/"
-    return src.select(F.regexp_replace("path", r"^.*?" + _escape(root), "").alias("object_name"), "content")
+MAX_FILES_PER_BATCH = 1000
 
 
-def _escape(s: str) -> str:
-    return "".join("\\" + c if c in ".^$*+?()[]{}|\\" else c for c in s)
+def staged_stream(spark: SparkSession, staging_root: str, file_type: str, max_files_per_trigger: int = MAX_FILES_PER_BATCH) -> DataFrame:
+    """Streaming DataFrame (path, object_name, content) of staged files of one type (``{root}/{type}s``), at most
+    ``max_files_per_trigger`` files a micro-batch, so a backlog is not one batch."""
+    reader = spark.readStream.format("binaryFile").schema(LS.BINARY_SCHEMA).option("recursiveFileLookup", "true")
+    src = reader.option("maxFilesPerTrigger", str(max_files_per_trigger)).load(staging_root.rstrip("/") + f"/{file_type}s")
+    root = staging_root.rstrip("/") + "/"
+    return src.select("path", F.regexp_replace("path", r"^.*?" + LS.escape(root), "").alias("object_name"), "content")
+
+
+def post_process(spark: SparkSession, staging_root: str, names: list[str], mode: str, archive_dir: str | None) -> None:
+    """Archive (move, keeping the relative path) or delete the named objects; gone ones are passed over."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    for name in names:  # one batch's completed files, at most MAX_FILES_PER_BATCH
+        source = hadoop(staging_root.rstrip("/") + "/" + name)
+        fs = source.getFileSystem(conf)
+        if not fs.exists(source):
+            continue
+        if mode == "delete":
+            fs.delete(source, False)
+        else:
+            target = hadoop(archive_dir.rstrip("/") + "/" + name)
+            fs.mkdirs(target.getParent())
+            fs.rename(source, target)
 
 
 def start_ingest(
@@ -64,34 +58,58 @@ def start_ingest(
     checkpoint: str,
     file_type: str,
     run_ts: str,
-    post_process: str = "archive",
+    post: str = "off",
     archive_dir: str | None = None,
-    extractor: IN.Extractor = IN.utf8_text_extractor,
+    max_files_per_trigger: int = MAX_FILES_PER_BATCH,
+    **job,
 ) -> StreamingQuery:
     """Start the ingest stream with ``availableNow``; status rows of every micro-batch are appended
-    to ``{warehouse}/ingest_status``."""
-    stream = staged_stream(spark, staging_root, file_type, post_process, archive_dir)
+    to ``{warehouse}/ingest_status``.  ``post``: ``off``, ``archive`` (to ``archive_dir``, which must lie outside
+    of the staged files) or ``delete``, for completed files only.  ``job``: extractor, summarizer, embedder and
+    collection of ``ingest_files``."""
+    if post not in ("off", "archive", "delete"):
+        raise ValueError("post must be delete, archive or off")
+    if post == "archive" and not archive_dir:
+        raise ValueError("archive needs archive_dir")
+    stream = staged_stream(spark, staging_root, file_type, max_files_per_trigger)
+    write_status(empty_status(spark, staging_root, file_type), file_type, -1, warehouse)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        status = IN.ingest_files(batch, file_type, warehouse, run_ts, extractor=extractor)
-        # A replayed micro-batch rewrites its own status partition instead of adding rows.
-        (
-            status.withColumn("file_type", F.lit(file_type))
-            .withColumn("batch_id", F.lit(epoch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("file_type", "batch_id")
-            .parquet(warehouse.rstrip("/") + "/ingest_status")
-        )
+        status = reliable_checkpoint(IN.ingest_files(batch, file_type, warehouse, run_ts, **job))
+        write_status(status, file_type, epoch_id, warehouse)
+        if post != "off":
+            done = status.where("status = 'completed'").select("object_name").collect()
+            post_process(spark, staging_root, [r[0] for r in done], post, archive_dir)
 
     return (
         stream.writeStream.foreachBatch(each_batch)
-        .option("checkpointLocation", _uri(checkpoint))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def empty_status(spark: SparkSession, staging_root: str, file_type: str) -> DataFrame:
+    """A failed status row for every staged file of zero bytes."""
+    empty = LS.read_objects(spark, staging_root, f"{file_type}s").where("length = 0").select("content", F.col("name").alias("object_name"))
+    plan = IN.txt_ingest_plan(empty, F.lit(None).cast("timestamp_ntz"), run_epoch=F.lit(0), reject_empty=True)
+    return IN.status_rows(plan, file_type, with_object=True)
+
+
+def write_status(status: DataFrame, file_type: str, batch_id: int, warehouse: str) -> None:
+    """A replayed micro-batch rewrites its own status partition instead of adding rows; empty files (batch -1)
+    are listed anew by every run."""
+    (
+        status.withColumn("file_type", F.lit(file_type))
+        .withColumn("batch_id", F.lit(batch_id))
+        .withColumn("vectorized", F.col("vectorized") if "vectorized" in status.columns else F.lit(None).cast("boolean"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("file_type", "batch_id")
+        .parquet(warehouse.rstrip("/") + "/ingest_status")
+    )
+
+
 def run_ingest(spark: SparkSession, staging_root: str, warehouse: str, checkpoint: str, file_type: str, run_ts: str, **kw) -> None:
     """Start, wait for completion, surface any failure."""
     q = start_ingest(spark, staging_root, warehouse, checkpoint, file_type, run_ts, **kw)

@@ -1,10 +1,12 @@
 """Job tests on temporary folders: staged files -> file stream -> tables."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
 
 from docweave import schemas as S
+from docweave.operators import vectors as VC
 from docweave.sources import tables as TB
 from docweave.streaming import file_stream as FS
 
@@ -21,7 +23,7 @@ def test_txt_stream_ingest_idempotent(spark, tmpdir_path):
     _stage(staging, "txts/a_note.txt", "hello world".encode("utf-8"))
     _stage(staging, "txts/b-latin.txt", "caf\xe9 au lait!".encode("latin-1"))
     _stage(staging, "txts/copy.txt", "hello world".encode("utf-8"))  # same content, another name
-    FS.run_ingest(spark, staging, wh, ckpt, "txt", "2024-06-01 00:00:00", post_process="archive", archive_dir=arch)
+    FS.run_ingest(spark, staging, wh, ckpt, "txt", "2024-06-01 00:00:00", post="archive", archive_dir=arch)
     t = TB.read_table(spark, wh, S.TXT_TABLE)
     rows = {r.source_file: r for r in t.collect()}
     assert set(rows) == {"a_note.txt", "b-latin.txt", "copy.txt"}
@@ -32,13 +34,13 @@ def test_txt_stream_ingest_idempotent(spark, tmpdir_path):
     assert rows["b-latin.txt"].content == "café au lait!"
     # second run: only the new file is read; nothing is written twice
     _stage(staging, "txts/new.txt", b"new text here")
-    FS.run_ingest(spark, staging, wh, ckpt, "txt", "2024-06-01 00:00:00", post_process="archive", archive_dir=arch)
+    FS.run_ingest(spark, staging, wh, ckpt, "txt", "2024-06-01 00:00:00", post="archive", archive_dir=arch)
     t = TB.read_table(spark, wh, S.TXT_TABLE)
     assert t.count() == 4
     assert t.select("file_id", "source_file").distinct().count() == 4
     status = spark.read.parquet(os.path.join(wh, "ingest_status"))
     assert status.where("status = 'completed'").count() == 4
-    # files of the first batch were archived when the second batch started
+    # completed files are archived by their own run
     archived = [f for _, _, fs in os.walk(arch) for f in fs if not f.startswith(".")]
     assert "a_note.txt" in archived
 
@@ -59,9 +61,81 @@ def test_pdf_batch_with_corrupt_file(spark, tmpdir_path):
     r = t.first()
     assert r.content == "silver/pdfs/good.md" and r.page_count == 1 and r.version == 1
     silver = spark.read.parquet(os.path.join(wh, "silver_documents"))
-    assert [tuple(x) for x in silver.collect()] == [("silver/pdfs/good.md", "Some extracted text.", "2024-06")]
-    IN.append_silver(silver.select("path", "text", "upload_month"), wh)  # replay: nothing written twice
+    assert [(x.path, x.text) for x in silver.collect()] == [("silver/pdfs/good.md", "Some extracted text.")]
+    IN.ingest_files(files, "pdf", wh, "2024-07-01 00:00:00")  # a later run of the same files: nothing twice
     assert spark.read.parquet(os.path.join(wh, "silver_documents")).count() == 1
+    assert TB.read_table(spark, wh, S.PDF_TABLE).count() == 1
+    bad = spark.read.parquet(os.path.join(wh, "quarantine")).where("run_ts = '2024-06-01 00:00:00'").collect()
+    assert [(r.object_name, bytes(r.content)) for r in bad] == [("pdfs/bad.pdf", b"\xff\xfe\xfa broken")]
+
+
+def test_failed_and_empty_files_are_kept(spark, tmpdir_path):
+    """Under delete only completed files go; every staged file has a status row."""
+    staging, wh, ckpt = (os.path.join(tmpdir_path, x) for x in ("staging", "wh", "ckpt"))
+    _stage(staging, "pdfs/good.pdf", b"Good text.")
+    _stage(staging, "pdfs/bad.pdf", b"\xff\xfe\xfa broken")
+    _stage(staging, "pdfs/empty.pdf", b"")
+    _stage(staging, "pdfs/deep/poor summary.pdf", b"No summary for this one.")
+
+    def summarizer(text):
+        if "No summary" in text:
+            raise ValueError("model failed")
+        return "Summary of " + text
+
+    collection = os.path.join(tmpdir_path, "points")
+    job = dict(summarizer=summarizer, embedder=VC.md5_embedder, collection=collection, max_files_per_trigger=2)
+    FS.run_ingest(spark, staging, wh, ckpt, "pdf", "2024-06-01 00:00:00", post="delete", **job)
+    left = sorted(f for _, _, fs in os.walk(staging) for f in fs if not f.startswith("."))
+    assert left == ["bad.pdf", "empty.pdf"]
+    status = {r.object_name: (r.status, r.vectorized) for r in spark.read.parquet(os.path.join(wh, "ingest_status")).collect()}
+    assert status == {
+        "pdfs/good.pdf": ("completed", True),
+        "pdfs/deep/poor summary.pdf": ("completed", False),
+        "pdfs/bad.pdf": ("failed", False),
+        "pdfs/empty.pdf": ("failed", None),
+    }
+    points = VC.read_points(spark, collection).collect()
+    assert [(p.source, p.kind, p.text) for p in points] == [("silver/pdfs/good.md", "summary", "Summary of Good text.")]
+
+
+def test_new_bytes_under_an_old_name(spark, tmpdir_path):
+    from docweave.plans import ingest as IN
+
+    wh = os.path.join(tmpdir_path, "wh")
+    files = lambda data: spark.createDataFrame([("pdfs/a.pdf", bytearray(data))], "object_name string, content binary")
+    for data, ts in ((b"first", "2024-06-01 00:00:00"), (b"second", "2024-06-02 00:00:00"), (b"second", "2024-07-02 00:00:00")):
+        IN.ingest_files(files(data), "pdf", wh, ts)
+    rows = TB.read_table(spark, wh, S.PDF_TABLE).orderBy("version").collect()
+    assert [r.version for r in rows] == [1, 2]
+    silver = spark.read.parquet(os.path.join(wh, "silver_documents")).collect()
+    assert [(r.path, r.text) for r in silver] == [("silver/pdfs/a.md", "second")]
+
+
+def test_ids_do_not_depend_on_the_session_zone(spark):
+    from docweave.operators import records as RC
+
+    files = spark.createDataFrame([("a.txt", bytearray(b"x"))], "filename string, content binary")
+    files = files.withColumn("upload_datetime", F.lit("2024-03-10 02:30:00").cast("timestamp_ntz"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    ids = set()
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            ids.add(RC.txt_records(files).first().file_id)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert ids == {"txt_2d711642b726b044_1710037800"}
+
+
+def test_embedder_failure_costs_one_text(spark):
+    def embedder(texts):
+        if "poison" in texts:
+            raise ValueError("refused")
+        return VC.md5_embedder(texts)
+
+    df = spark.createDataFrame([(i, "poison" if i == 7 else f"text {i}") for i in range(20)], "i int, chunk_text string").coalesce(1)
+    got = {r.i: r.embedding for r in VC.embed_chunks(df, embedder).collect()}
+    assert [i for i, v in got.items() if v is None] == [7]
 
 
 def test_tables_and_paging(spark, tmpdir_path):
@@ -76,28 +150,36 @@ def test_tables_and_paging(spark, tmpdir_path):
     )
     page = [r.file_id for r in TB.table_page(df, limit=5, offset=10).collect()]
     assert page == [f"id{i:02d}" for i in range(10, 15)]
-    nxt = [r.file_id for r in TB.page_after(df, (page[-1] and __import__("datetime").datetime(2024, 1, 1), page[-1]), 3).collect()]
+    assert [r.file_id for r in TB.table_page(df, offset=22).collect()] == ["id22", "id23", "id24"]
+    nxt = [r.file_id for r in TB.page_after(df, (dt.datetime(2024, 1, 1), page[-1]), 3).collect()]
     assert nxt == ["id15", "id16", "id17"]
     c = TB.page_counts(df, limit=5, offset=23).first()
     assert (c.total_rows, c.returned_rows) == (25, 2)
 
 
 def test_points_collection_roundtrip(spark, tmpdir_path):
-    from docweave.operators import vectors as VC
-
     path = os.path.join(tmpdir_path, "points")
     a = spark.createDataFrame([("p1", [1.0, 0.0], "x"), ("p2", [0.0, 1.0], "y")], "point_id string, embedding array<float>, text string")
     VC.save_points(a, path, dim=2)
     b = spark.createDataFrame([("p2", [1.0, 1.0], "y2"), ("p3", [0.5, 0.5], "z")], "point_id string, embedding array<float>, text string")
     VC.save_points(b, path, dim=2)
-    got = {r.point_id: r.text for r in spark.read.parquet(path).collect()}
+    got = {r.point_id: r.text for r in VC.read_points(spark, path).collect()}
     assert got == {"p1": "x", "p2": "y2", "p3": "z"}
     bad = spark.createDataFrame([("p9", [1.0, 0.0, 0.0], "w")], "point_id string, embedding array<float>, text string")
     import pytest
 
     with pytest.raises(Exception):
         VC.save_points(bad, path, dim=2)
-    assert spark.read.parquet(path).count() == 3  # a failed upsert leaves the collection intact
+    assert VC.read_points(spark, path).count() == 3  # a failed upsert leaves the collection intact
+    with pytest.raises(ValueError):
+        VC.ensure_collection(spark, path, 3)
+    one = F.lit("s").alias("source"), F.lit("file").alias("kind")
+    long = spark.range(5).select(F.concat(F.lit("s"), "id").alias("point_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"), *one)
+    VC.save_points(long, path)
+    VC.save_points(long.where("id < 2"), path)  # a shorter upload of a source leaves no tail
+    assert VC.read_points(spark, path).where("source = 's'").count() == 2
+    VC.delete_points(spark, path, {"source": "s"})
+    assert VC.read_points(spark, path).count() == 3
     assert VC.drop_collection(spark, path) and not VC.drop_collection(spark, path)
 
 
