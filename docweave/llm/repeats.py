@@ -27,8 +27,8 @@ from .common import checkpointed, mix
 
 BLOCK_BYTES = 1 << 20
 BLOCKS_PER_SLICE = 6
-#: Windows compared at once in a slice; only whole anchor groups stay together.
-COMPARE_WINDOWS = 1 << 20
+#: Entries of the windows' load compared at once in a slice; only whole anchor groups stay together.
+COMPARE_ENTRIES = 1 << 20
 
 MESSAGE = "_blk int, kind int, x long, y long, data binary"
 MAIL = "slice int, _blk int, data binary"
@@ -98,6 +98,12 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.cumsum(jump)
 
 
+def cut(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of equal values (none negative) begin and end."""
+    first = np.flatnonzero(np.diff(values, prepend=-1))
+    return first, np.append(first[1:], len(values))[: len(first)]
+
+
 class Block:
     """The documents of a block in a fixed order, whatever order they came in."""
 
@@ -134,8 +140,7 @@ def _send_keys(spec, slices: int):
         part = (keys % np.uint64(slices)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         keys, part = keys[order], part[order]
-        cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        ends = [*cuts[1:], len(part)]
+        cuts, ends = cut(part)
         data = [pack(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(cuts, ends, strict=True)]
         return pa.table(
             {
@@ -180,9 +185,9 @@ def _send_segments(spec, slices: int):
         order = np.lexsort((key, part))
         key, start, count, doc, part = key[order], start[order], count[order], doc[order], part[order]
         ids = np.array([x or 0 for x in block.ids], np.int64)
-        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        cuts, ends = cut(part)
         data = []
-        for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True):
+        for a, b in zip(cuts, ends, strict=True):
             cols = (np.diff(key[a:b], prepend=np.uint64(0)), ids[doc[a:b]], doc[a:b], start[a:b] - block.bounds[doc[a:b]], count[a:b])
             head = pack(*cols)
             data.append(len(head).to_bytes(4, "little") + head + spec.payload(block.tokens, start[a:b], count[a:b]))
@@ -207,7 +212,7 @@ def _confirm(spec):
         at = np.cumsum(size) - size
         order = np.argsort(key, kind="stable")
         new = np.flatnonzero(np.diff(key[order], prepend=key[order][:1] + np.uint64(1)))  # first of each key
-        batch = np.cumsum(count[order])[new] // COMPARE_WINDOWS
+        batch = np.cumsum(size[order])[new] // COMPARE_ENTRIES
         edges = [*new[np.flatnonzero(np.diff(batch, prepend=-1))], len(order)]
         out: list[tuple] = []
         for a, b in zip(edges, edges[1:], strict=False):
@@ -234,8 +239,8 @@ def _confirm(spec):
         blk, doc, begin, end = (np.concatenate(x) for x in zip(*out, strict=True))
         order = np.lexsort((begin, doc, blk))
         blk, doc, begin, end = blk[order], doc[order], begin[order], end[order]
-        cuts = np.flatnonzero(np.diff(blk, prepend=-1))
-        data = [pack(doc[a:b], begin[a:b], end[a:b] - begin[a:b]) for a, b in zip(cuts, [*cuts[1:], len(blk)], strict=True)]
+        cuts, ends = cut(blk)
+        data = [pack(doc[a:b], begin[a:b], end[a:b] - begin[a:b]) for a, b in zip(cuts, ends, strict=True)]
         return _messages(blk[cuts].tolist(), SPANS, data)
 
     return confirm
