@@ -83,7 +83,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 class WordHash(dict):
     """64-bit hash of each word, remembered per worker; emptied when it has grown past a bound."""
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 17
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

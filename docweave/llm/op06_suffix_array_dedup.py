@@ -64,6 +64,9 @@ class ByteWindows:
             start, count = window_runs(least, valid[at : at + len(least)])
             yield least[start], start + at, count
 
+    def prepare(self, buf: np.ndarray) -> np.ndarray:
+        return buf
+
     def payload(self, buf: np.ndarray, start: np.ndarray, count: np.ndarray) -> bytes:
         return zstandard.compress(buf[ranges(start, count + WIDTH - 1)].tobytes(), 1)
 

@@ -79,14 +79,16 @@ class WordWindows:
         start, count = window_runs(least, valid)
         yield least[start], start, count
 
-    def payload(self, hashed: np.ndarray, start: np.ndarray, count: np.ndarray) -> bytes:
-        """Names of the whole windows: a polynomial of the word hashes."""
+    def prepare(self, hashed: np.ndarray) -> np.ndarray:
+        """Names of all windows: a polynomial of their word hashes, from running sums."""
         power = np.full(len(hashed), _POWER, np.uint64)
-        back = np.full(len(hashed), _INVERSE, np.uint64)
+        back = np.full(max(0, len(hashed) - WIDTH + 1), _INVERSE, np.uint64)
         power[:1] = back[:1] = 1
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed * np.cumprod(power), dtype=np.uint64)])
-        at = ranges(start, count)
-        return ((sums[at + WIDTH] - sums[at]) * np.cumprod(back)[at]).astype("<u8").tobytes()
+        return (sums[WIDTH:] - sums[:-WIDTH]) * np.cumprod(back)
+
+    def payload(self, names: np.ndarray, start: np.ndarray, count: np.ndarray) -> bytes:
+        return names[ranges(start, count)].astype("<u8").tobytes()
 
     def unload(self, data: bytes, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.frombuffer(data, "<u8"), count

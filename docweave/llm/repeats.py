@@ -186,11 +186,12 @@ def _send_segments(spec, slices: int):
         key, start, count, doc, part = key[order], start[order], count[order], doc[order], part[order]
         ids = np.array([x or 0 for x in block.ids], np.int64)
         cuts, ends = cut(part)
+        whole = spec.prepare(block.tokens)
         data = []
         for a, b in zip(cuts, ends, strict=True):
             cols = (np.diff(key[a:b], prepend=np.uint64(0)), ids[doc[a:b]], doc[a:b], start[a:b] - block.bounds[doc[a:b]], count[a:b])
             head = pack(*cols)
-            data.append(len(head).to_bytes(4, "little") + head + spec.payload(block.tokens, start[a:b], count[a:b]))
+            data.append(len(head).to_bytes(4, "little") + head + spec.payload(whole, start[a:b], count[a:b]))
         blk = docs["_blk"][0].as_py() if len(docs) else 0
         return pa.table({"slice": pa.array(part[cuts], pa.int32()), "_blk": pa.array([blk] * len(data), pa.int32()), "data": pa.array(data, pa.binary())})
 
