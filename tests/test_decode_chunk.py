@@ -93,3 +93,15 @@ def test_chunk_single_span_longer_than_size(spark):
     for method in ("arrow", "native"):
         got = sorted((r.doc_id, r.chunk_text) for r in CH.chunk_text(df, method=method).collect())
         assert got == [(1, "x" * 1000), (2, " " * 1000), (3, ""), (3, "")]
+
+
+def test_covering_mode(spark):
+    for text in EDGE_TEXTS:
+        spans = CH.chunk_spans(text, 100, 20, mode="covering")
+        covered = set().union(*(range(a, b) for a, b in spans))
+        assert covered == set(range(len(text))) and spans[-1][1] == len(text)
+        assert all(b - a <= 101 for a, b in spans) and all(a < c for (a, _), (c, _) in zip(spans, spans[1:]))
+    df = spark.createDataFrame([(1, "One. " * 100)], "doc_id long, text string")
+    assert CH.chunk_text(df, chunk_size=50, overlap=10, mode="covering").count() > 10
+    with pytest.raises(ValueError):
+        CH.chunk_text(df, method="native", mode="covering")
