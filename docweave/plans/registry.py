@@ -47,6 +47,36 @@ def sql_lstrip(x: str) -> str:
     return f"regexp_replace({x}, '^{SQL_WS}+', '')"
 
 
+_URL = f"https?://{SQL_NONWS}+"
+
+
+def sql_clean(x: str) -> str:
+    """F1 over column ``x``."""
+    return f"coalesce(regexp_replace(trim(regexp_replace({x}, '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '')"
+
+
+def sql_title_from_content(x: str, h: str) -> str:
+    """F3 over column ``x``; ``h`` is a column holding ``left(lstrip(x), 100)``."""
+    cut = (
+        f"CASE WHEN strpos({h}, '.') > 0 THEN split_part({h}, '.', 1) || '.' "
+        f"WHEN strpos({h}, chr(10)) > 0 THEN split_part({h}, chr(10), 1) ELSE {h} END"
+    )
+    return f"""CASE WHEN {x} IS NULL OR {sql_lstrip(x)} = '' THEN NULL
+       ELSE coalesce(
+         list_filter(list_transform(string_split({x}, chr(10))[1:5], lambda x: {sql_strip('x')}),
+                     lambda x: length(x) > 5 AND length(x) <= 100
+                       AND NOT regexp_matches(lower(x), 'created:|modified:|author:|date:|source:|url:'))[1],
+         nullif({sql_strip(cut)}, ''))
+  END"""
+
+
+def sql_source_link(x: str) -> str:
+    """F6 over column ``x``."""
+    return f"""nullif(regexp_extract(
+  list_filter(list_transform(string_split({x}, chr(10))[1:10], lambda x: lower({sql_strip('x')})),
+              lambda x: regexp_matches(x, 'source:|url:|link:|from:') AND regexp_matches(x, '{_URL}'))[1], '{_URL}', 0), '')"""
+
+
 def _doc_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {S.PDF_TABLE: FX.pdf_documents(spark, sf_dir), S.TXT_TABLE: FX.txt_documents(spark, sf_dir)}
 
@@ -96,13 +126,7 @@ def q_search_documents_paths(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------
 
 
-@register(
-    "clean_text",
-    f"""
-SELECT doc_id, coalesce(regexp_replace(trim(regexp_replace(text, '{SQL_WS}+', ' ', 'g')),
-       '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '') AS cleaned
-FROM documents""",
-)
+@register("clean_text", f"SELECT doc_id, {sql_clean('text')} AS cleaned FROM documents")
 def q_clean_text(spark, sf_dir):
     return FX.load(spark, sf_dir, "documents").select("doc_id", TX.clean_text("text").alias("cleaned"))
 
@@ -116,25 +140,9 @@ def q_title_from_filename(spark, sf_dir):
     return s.select("doc_id", "filename", TX.title_from_filename("filename").alias("title"))
 
 
-_MARKERS = " OR ".join(f"strpos(lower(x), '{p}') > 0" for p in S.TITLE_SKIP_PATTERNS)
-_HEAD = f"left({sql_lstrip('text')}, 100)"
-_CUT = (
-    f"CASE WHEN strpos(h, '.') > 0 THEN split_part(h, '.', 1) || '.' "
-    f"WHEN strpos(h, chr(10)) > 0 THEN split_part(h, chr(10), 1) ELSE h END"
-)
-
-
 @register(
     "title_from_content",
-    f"""
-SELECT doc_id,
-  CASE WHEN text IS NULL OR {sql_lstrip('text')} = '' THEN NULL
-       ELSE coalesce(
-         list_filter(list_transform(string_split(text, chr(10))[1:5], lambda x: {sql_strip('x')}),
-                     lambda x: length(x) > 5 AND length(x) <= 100 AND NOT ({_MARKERS}))[1],
-         nullif({sql_strip(_CUT)}, ''))
-  END AS title
-FROM (SELECT doc_id, text, {_HEAD} AS h FROM documents)""",
+    f"SELECT doc_id, {sql_title_from_content('text', 'h')} AS title FROM (SELECT doc_id, text, left({sql_lstrip('text')}, 100) AS h FROM documents)",
 )
 def q_title_from_content(spark, sf_dir):
     d = FX.load(spark, sf_dir, "documents")
@@ -156,10 +164,6 @@ def q_truncate_text(spark, sf_dir):
     return d.select("doc_id", TX.truncate_text("text").alias("truncated"))
 
 
-_LINK_PREFIX = " OR ".join(f"strpos(x, '{p}') > 0" for p in S.SOURCE_LINK_PREFIXES)
-_URL = f"https?://{SQL_NONWS}+"
-
-
 def _crawled_pages(spark, sf_dir):
     # Crawled pages as saved text files: a "Source:" header line, then the page.
     p = FX.load(spark, sf_dir, "pages")
@@ -168,24 +172,13 @@ def _crawled_pages(spark, sf_dir):
 
 @register(
     "source_link",
-    f"""
-SELECT page_id, nullif(regexp_extract(
-  list_filter(list_transform(string_split(text, chr(10))[1:10], lambda x: lower({sql_strip('x')})),
-              lambda x: ({_LINK_PREFIX}) AND regexp_matches(x, '{_URL}'))[1], '{_URL}', 0), '') AS source_link
-FROM (SELECT page_id, 'Source: ' || url || chr(10) || html AS text FROM pages)""",
+    f"SELECT page_id, {sql_source_link('text')} AS source_link FROM (SELECT page_id, 'Source: ' || url || chr(10) || html AS text FROM pages)",
 )
 def q_source_link(spark, sf_dir):
     return _crawled_pages(spark, sf_dir).select("page_id", TX.source_link("text").alias("source_link"))
 
 
-@register(
-    "source_link_documents",
-    f"""
-SELECT doc_id, nullif(regexp_extract(
-  list_filter(list_transform(string_split(text, chr(10))[1:10], lambda x: lower({sql_strip('x')})),
-              lambda x: ({_LINK_PREFIX}) AND regexp_matches(x, '{_URL}'))[1], '{_URL}', 0), '') AS source_link
-FROM documents""",
-)
+@register("source_link_documents", f"SELECT doc_id, {sql_source_link('text')} AS source_link FROM documents")
 def q_source_link_documents(spark, sf_dir):
     d = FX.load(spark, sf_dir, "documents")
     return d.select("doc_id", TX.source_link("text").alias("source_link"))
@@ -252,10 +245,10 @@ _NONPRINT_SQL = r"[\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f\xad\x{0600}-\x{0605}\x{0
     f"""
 SELECT doc_id, reason IS NULL AS ok, reason FROM (
   SELECT doc_id,
-    CASE WHEN text IS NULL OR length({sql_strip('text')}) = 0 THEN '{S.MSG_TEXT_EMPTY}'
-         WHEN length({sql_strip('text')}) < 10 THEN '{S.MSG_TEXT_SHORT}'
+    CASE WHEN text IS NULL OR length({sql_strip('text')}) = 0 THEN 'Text content is empty'
+         WHEN length({sql_strip('text')}) < 10 THEN 'Text content is too short (minimum 10 characters)'
          WHEN (length(text) - (length(text) - length(regexp_replace(text, '{_NONPRINT_SQL}', '', 'g')))) / length(text) < 0.8
-           THEN '{S.MSG_TEXT_NONPRINTABLE}'
+           THEN 'Text contains too many non-printable characters'
     END AS reason
   FROM documents)""",
 )
@@ -446,7 +439,7 @@ def _size_rule_sql(size: str, filename: str) -> str:
     return (
         f"CASE WHEN {size} > {_LIMIT_BYTES} THEN 413 WHEN {size} = 0 THEN 400 END",
         f"CASE WHEN {size} > {_LIMIT_BYTES} THEN 'File ' || {filename} || ' has size exceeds {SIZE_LIMIT_MB}MB limit' "
-        f"WHEN {size} = 0 THEN '{S.MSG_FILE_EMPTY}' END",
+        f"WHEN {size} = 0 THEN 'File is empty' END",
     )
 
 
@@ -490,7 +483,7 @@ def q_validate_filename(spark, sf_dir):
     "validate_txt_content",
     FX.sql_with("upload_candidates")
     + f"""
-SELECT doc_id, CASE WHEN length({sql_strip('decode(content)')}) = 0 THEN '{S.MSG_TXT_EMPTY}' END AS detail
+SELECT doc_id, CASE WHEN length({sql_strip('decode(content)')}) = 0 THEN 'Text file is empty or contains only whitespace' END AS detail
 FROM upload_candidates WHERE file_type = 'txt'""",
 )
 def q_validate_txt_content(spark, sf_dir):
@@ -513,8 +506,8 @@ FROM (
          WHEN l.name IS NOT NULL THEN 409 ELSE 201 END AS status_code,
     CASE WHEN NOT ends_with(lower(c.filename), '.' || c.file_type) THEN 'Only ' || upper(c.file_type) || ' files are allowed'
          WHEN c.file_size > {_LIMIT_BYTES} THEN 'File ' || c.filename || ' has size exceeds {SIZE_LIMIT_MB}MB limit'
-         WHEN c.file_size = 0 THEN '{S.MSG_FILE_EMPTY}'
-         WHEN c.file_type = 'txt' AND length({sql_strip('decode(c.content)')}) = 0 THEN '{S.MSG_TXT_EMPTY}'
+         WHEN c.file_size = 0 THEN 'File is empty'
+         WHEN c.file_type = 'txt' AND length({sql_strip('decode(c.content)')}) = 0 THEN 'Text file is empty or contains only whitespace'
          WHEN l.name IS NOT NULL THEN 'File ''' || c.filename || ''' already exists'
          ELSE upper(c.file_type) || ' file uploaded successfully' END AS detail
   FROM (SELECT *, file_type || 's/' || filename AS upload_path, CAST(octet_length(content) AS BIGINT) AS file_size FROM upload_candidates) c
@@ -616,36 +609,13 @@ def q_decode_cascade_latin1(spark, sf_dir):
 
 
 @register(
-    "decode_and_clean",
-    FX.sql_with("staged_files")
-    + f"""
-SELECT doc_id, 'utf-8' AS encoding, coalesce(regexp_replace(trim(regexp_replace(text, '{SQL_WS}+', ' ', 'g')),
-       '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '') AS content
-FROM staged_files""",
+    "decode_and_clean", FX.sql_with("staged_files") + f"SELECT doc_id, 'utf-8' AS encoding, {sql_clean('text')} AS content FROM staged_files"
 )
 def q_decode_and_clean(spark, sf_dir):
     s = FX.staged_files(spark, sf_dir).select("doc_id", "content")
     return RC.decode_and_clean(s)
 
 
-def sql_clean(x: str) -> str:
-    return f"coalesce(regexp_replace(trim(regexp_replace({x}, '{SQL_WS}+', ' ', 'g')), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g'), '')"
-
-
-def sql_title_from_content(x: str, h: str) -> str:
-    """F3 over column ``x``; ``h`` is a column holding ``left(lstrip(x), 100)``."""
-    cut = (
-        f"CASE WHEN strpos({h}, '.') > 0 THEN split_part({h}, '.', 1) || '.' "
-        f"WHEN strpos({h}, chr(10)) > 0 THEN split_part({h}, chr(10), 1) ELSE {h} END"
-    )
-    return f"""CASE WHEN {x} IS NULL OR {sql_lstrip(x)} = '' THEN NULL
-       ELSE coalesce(
-         list_filter(list_transform(string_split({x}, chr(10))[1:5], lambda x: {sql_strip('x')}),
-                     lambda x: length(x) > 5 AND length(x) <= 100 AND NOT ({_MARKERS}))[1],
-         nullif({sql_strip(cut)}, ''))
-  END"""
-
-
 @register(
     "extract_fallback",
     FX.sql_with("staged_files")
@@ -928,7 +898,7 @@ def q_vector_search_batch(spark, sf_dir):
     "collection_info",
     FX.sql_with("points")
     + f"""
-SELECT '{S.COLLECTION_NAME}' AS name, 'green' AS status, count(embedding) AS vectors_count, count(*) AS points_count,
+SELECT 'agent_documents' AS name, 'green' AS status, count(embedding) AS vectors_count, count(*) AS points_count,
        CAST(max(len(embedding)) AS INTEGER) AS vector_size, 'Cosine' AS distance FROM points""",
 )
 def q_collection_info(spark, sf_dir):
@@ -1118,14 +1088,14 @@ def q_silver_upsert(spark, sf_dir):
 
 _TXT_STATUS_SQL = f"""
 SELECT 'txt_' || substr(sha256(content), 1, 16) || '_{RUN_EPOCH}' AS file_id, filename, 'completed' AS status,
-       '{S.MSG_TXT_OK}' AS message, TIMESTAMP '{RUN_TS}' AS processed_at, 'txt' AS file_type
+       'TXT processed successfully' AS message, TIMESTAMP '{RUN_TS}' AS processed_at, 'txt' AS file_type
 FROM upload_candidates WHERE file_type = 'txt'"""
 
 _PDF_STATUS_SQL = f"""
 SELECT CASE WHEN octet_length(content) = 0 THEN '' ELSE 'pdf_' || substr(sha256(decode(content)), 1, 16) || '_{RUN_EPOCH}' END AS file_id,
        filename,
        CASE WHEN octet_length(content) = 0 THEN 'failed' ELSE 'completed' END AS status,
-       CASE WHEN octet_length(content) = 0 THEN 'Processing error: empty document' ELSE '{S.MSG_PDF_OK}' END AS message,
+       CASE WHEN octet_length(content) = 0 THEN 'Processing error: empty document' ELSE 'PDF processed successfully' END AS message,
        CASE WHEN octet_length(content) = 0 THEN NULL ELSE TIMESTAMP '{RUN_TS}' END AS processed_at,
        'pdf' AS file_type, octet_length(content) > 2000 AS vectorized
 FROM upload_candidates WHERE file_type = 'pdf'"""
@@ -1182,12 +1152,6 @@ def q_batch_summary_by_type(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------
 
 
-def sql_source_link(x: str) -> str:
-    return f"""nullif(regexp_extract(
-  list_filter(list_transform(string_split({x}, chr(10))[1:10], lambda x: lower({sql_strip('x')})),
-              lambda x: ({_LINK_PREFIX}) AND regexp_matches(x, '{_URL}'))[1], '{_URL}', 0), '')"""
-
-
 @register(
     "txt_records_legacy",
     FX.sql_with("staged_files", extra=f"""_legacy AS (

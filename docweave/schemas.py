@@ -104,17 +104,10 @@ MSG_TEXT_NONPRINTABLE = "Text contains too many non-printable characters"
 MSG_FILE_EMPTY = "File is empty"
 MSG_TXT_TOO_LARGE_LEGACY = "Text file is too large (max {limit}MB)"
 MSG_TXT_SHORT = "Text content too short (minimum {minimum} characters)"
-MSG_FILE_TOO_LARGE = "File {filename} has size exceeds {limit}MB limit"
 MSG_TXT_EMPTY = "Text file is empty or contains only whitespace"
 MSG_FILENAME_EMPTY = "Filename cannot be empty"
 MSG_FILENAME_CHARS = "Filename contains invalid characters: ['<', '>', ':', '\"', '|', '?', '*', '\\\\', '/']"
 MSG_FILENAME_LONG = "Filename too long (maximum 255 characters)"
-MSG_FILENAME_EXT = "Filename must end with .{ext}"
-MSG_ONLY_TYPE = "Only {ext} files are allowed"  # ext upper-cased: PDF / TXT
-MSG_ALREADY_EXISTS = "File '{filename}' already exists"
-MSG_NOT_FOUND = "File '{path}' not found"
 MSG_BAD_TYPE = "File type must be 'pdf' or 'txt'"
 MSG_PDF_OK = "PDF processed successfully"
 MSG_TXT_OK = "TXT processed successfully"
-MSG_INSERT_FAILED = "Failed to insert into lakehouse"
-MSG_PROCESSING_ERROR = "Processing error: {error}"

@@ -2,13 +2,11 @@
 table-level reads: full scan, page, schema, statistics.
 
 Tables live at ``{root}/{name}`` partitioned by ``upload_month`` (the reference's month transform
-on ``upload_datetime``).  A range predicate on ``upload_datetime`` does not imply one on the
-derived month column, so ``between_uploads`` adds both and the scan prunes partitions.
+on ``upload_datetime``).
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -105,12 +103,6 @@ def append_documents(records: DataFrame, root: str, name: str) -> DataFrame:
     return rows
 
 
-def between_uploads(df: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
-    """Range filter on upload time that also prunes month partitions."""
-    m0, m1 = start.strftime("%Y-%m"), end.strftime("%Y-%m")
-    return df.where(F.col(PARTITION_COL).between(m0, m1)).where(F.col("upload_datetime").between(F.lit(start), F.lit(end)))
-
-
 def total_order(df: DataFrame) -> list[str]:
     """Upload time and id are shared by equal bytes under two names in one batch; with the file name no two
     rows of a table are alike."""
