@@ -26,8 +26,8 @@ ORDERS = 3
 #: Frequency table: documents are counted in this many hash buckets, whatever the corpus holds.
 BUCKETS = 1 << 20
 SLICES = 64
-#: A prefix token in more sets than this is not paired directly, see ``find_links``.
-PAIRED_SETS = 32
+#: 64-bit words of a set's parity sketch, see ``sketch``.
+SKETCH = 16
 TEXTS_AT_ONCE = 256
 
 _HASH = WordHash()
@@ -82,8 +82,19 @@ def prefix(tokens: np.ndarray, classes: np.ndarray, order: int, percent: int) ->
     return tokens[by[:keep]]
 
 
+COLUMNS = ["doc_id", "th", "n", "sig", "sketch", "slice"]
+
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity of the tokens in each of 64 * SKETCH hash buckets, as bits.  Two sketches differ in at most as
+    many bits as the sets' symmetric difference has tokens."""
+    at = (mix(tokens, 90) % np.uint64(64 * SKETCH)).astype(np.int64)
+    odd = np.bincount(at, minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def summarize(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, th, n, sig) per row, and the frequency class of every bucket.
+    """(doc_id, th, n, sig, sketch) per row, and the frequency class of every bucket.
 
     One pass over the texts; ``sig`` is a 128-bit name of the whole set, null for an empty one."""
 
@@ -94,16 +105,16 @@ def summarize(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
                 counts += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS).astype(np.uint64)
             sig = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"].cast(pa.int64()), part["th"], pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary()), pa.nulls(len(sets), pa.int32())],
-                ["doc_id", "th", "n", "sig", "slice"],
+                [part["doc_id"].cast(pa.int64()), part["th"], pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary()), pa.array([sketch(s) for s in sets], pa.list_(pa.int64())), pa.nulls(len(sets), pa.int32())],
+                COLUMNS,
             )
         if counts.any():
             data = [zstandard.compress(c.tobytes(), 1) for c in np.split(counts, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(data, pa.binary()), pa.array(range(SLICES), pa.int32())], ["doc_id", "th", "n", "sig", "slice"])
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(data, pa.binary()), pa.nulls(SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32())], COLUMNS)
 
     both = checkpointed(
-        docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(scan, "doc_id long, th long, n long, sig binary, slice int")
+        docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(scan, "doc_id long, th long, n long, sig binary, sketch array<long>, slice int")
     )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,6 +138,15 @@ def _size_fits(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _sketches_fit(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and sketches allow the similarity: similar enough sets differ in at most
+    (100 - percent) / (100 + percent) of both sizes' sum."""
+    size_x, size_y = F.col(f"{x}_n"), F.col(f"{y}_n")
+    bits = [F.bit_count(F.col(f"{x}_sketch")[k].bitwiseXOR(F.col(f"{y}_sketch")[k])) for k in range(SKETCH)]
+    differ = sum(bits[1:], bits[0])
+    return _size_fits(size_x, size_y, percent) & (differ * (100 + percent) <= (size_x + size_y) * (100 - percent))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes, words: int, percent: int) -> DataFrame:
     """The (a, b) of candidate pairs that share prefix tokens under the other orders, too, and whose whole
     sets reach the similarity.  Only texts in some pair are read again."""
@@ -148,27 +168,19 @@ def verified(pairs: DataFrame, docs: DataFrame, classes, words: int, percent: in
         left = left.where(F.arrays_overlap(f"{x}_a", f"{x}_b"))
     passed = left.select("a", "b").distinct()
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            xs, ys = batch["items_a"], batch["items_b"]
-            good = []
-            for i in range(batch.num_rows):
-                x, y = xs[i].values.to_numpy(), ys[i].values.to_numpy()
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(good, pa.bool_()))
-
     whole = passed.join(side("a", ["items"]), "a").join(side("b", ["items"]), "b")
-    return whole.select("a", "b", "items_a", "items_b").mapInArrow(compare, "a long, b long").distinct()
+    common = F.size(F.array_intersect("items_a", "items_b"))
+    linked = common * 100 >= (F.size("items_a") + F.size("items_b") - common) * percent
+    return whole.where(linked).select("a", "b").distinct()
 
 
 def find_links(docs: DataFrame, reps: DataFrame, classes: np.ndarray, words: int, percent: int) -> DataFrame:
     """Links (a, b) between class representatives, enough of them that every linked pair is connected.
 
-    A prefix token in at most PAIRED_SETS sets pairs all of them.  A more frequent one first pairs its sets
-    with two hubs, the smallest and the largest; then only sets that are in another component than most
-    of the token's sets are paired, with every set of another component.  So a large group of near copies
-    costs its size, and no linked pair is left between two components."""
+    A prefix token first pairs each of its sets with its smallest one.  Then, where a token's sets are still
+    in several components, the sets outside of its largest one are paired with every set of another
+    component.  So a large group of near copies costs its size, and no linked pair is left between two
+    components."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(classes)
 
@@ -187,31 +199,29 @@ def find_links(docs: DataFrame, reps: DataFrame, classes: np.ndarray, words: int
         wide.select("node", "n", F.explode("tokens").alias("token"))
         .withColumn("sets", F.count("*").over(by_token))
         .withColumn("low", F.min(entry).over(by_token))
-        .withColumn("high", F.max(entry).over(by_token))
         .where("sets > 1")
+        .select("token", "node", "n", "sets", "low")
     )
     posting = staged(posting)
-    few = posting.where(F.col("sets") <= PAIRED_SETS).groupBy("token").agg(F.collect_list(entry).alias("own"))
-    fits = lambda x, y: (x["node"] < y["node"]) & _size_fits(x["n"], y["n"], percent)
-    both = F.flatten(F.transform("own", lambda x: F.transform(F.filter("own", lambda y: fits(x, y)), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))
-    direct = few.select(F.explode(both).alias("p")).select("p.a", "p.b")
-    many = posting.where(F.col("sets") > PAIRED_SETS)
-    hubs = many.withColumn("hub", F.explode(F.array("low", "high"))).where(
-        (F.col("hub.node") != F.col("node")) & _size_fits(F.col("hub.n"), F.col("n"), percent)
-    )
-    hubs = hubs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
-    pairs = checkpointed(direct.union(hubs).distinct())
-    links = checkpointed(verified(pairs, docs, shared, words, percent))
+    hubs = posting.where((F.col("low.node") < F.col("node")) & _size_fits(F.col("low.n"), F.col("n"), percent))
+    pairs = checkpointed(hubs.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct())
+    side = lambda c: reps.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("n", "sketch")])
+    close = pairs.join(side("a"), "a").join(side("b"), "b").where(_sketches_fit("a", "b", percent))
+    links = checkpointed(verified(checkpointed(close.select("a", "b")), docs, shared, words, percent))
 
     parts = connected_components(links, "a", "b")
-    placed = many.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # a token's only pair has been tried
+    placed = posting.where("sets > 2").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = checkpointed(placed.select("token", "node", "n", "component"))
     sizes = placed.groupBy("token", "component").agg(F.count("*").alias("k"))
     major = sizes.groupBy("token").agg(F.max(F.struct("k", "component"))["component"].alias("major"), F.count("*").alias("c")).where("c > 1")
     open_ = placed.join(major, "token")
-    minor = open_.where("component <> major").select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    rest = minor.join(open_, "token").where((F.col("cx") != F.col("component")) & _size_fits(F.col("nx"), F.col("n"), percent))
-    rest = rest.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    open_ = open_.join(reps.select("node", "sketch"), "node")
+    named = lambda df, c: df.select("token", *[F.col(x).alias(f"{c}_{x}") for x in ("node", "n", "component", "sketch")])
+    minor, every = named(open_.where("component <> major"), "x"), named(open_, "y")
+    met = (minor["token"] == every["token"]) & (F.col("x_component") != F.col("y_component"))
+    rest = minor.join(every, met & _sketches_fit("x", "y", percent))
+    rest = rest.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     rest = checkpointed(rest)
     if not rest.isEmpty():
         links = links.unionByName(checkpointed(verified(rest, docs, shared, words, percent)))
@@ -229,7 +239,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     is judged by its own text.  ``th`` is the xxhash64 of the row's text."""
     docs = docs.select("doc_id", "text")
     rows, classes = summarize(docs, words)
-    reps = rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"))
+    reps = rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("n").alias("n"))
     reps = checkpointed(reps)
     links = find_links(docs, reps, classes, words, percent)
     parts = connected_components(links, "a", "b")
