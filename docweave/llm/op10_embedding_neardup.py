@@ -26,8 +26,9 @@ CELL_RADII = 2.0
 #: Vectors of a cell compared in one task; a larger cell is cut into tiles that meet pairwise.
 TILE = 16384
 ROWS_AT_ONCE = 128
-#: Rotated coordinates are whole multiples of this, so every task finds the same distances.
-STEP = 2.0**-12
+#: Rotated coordinates are whole multiples of this, so that every task finds the same distances: a unit
+#: vector's squared length is then at most 2^22 squared steps, which 32-bit floats hold exactly.
+STEP = 2.0**-11
 
 
 class Subspaces:
@@ -56,7 +57,7 @@ class Subspaces:
         return np.rint(unit @ self.axes[:, self.order] / STEP).astype(np.int16)
 
     def part(self, steps: np.ndarray, block: int) -> np.ndarray:
-        return steps[:, self.ends[block] : self.ends[block + 1]].astype(np.float64)
+        return steps[:, self.ends[block] : self.ends[block + 1]].astype(np.float32)
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -156,30 +157,39 @@ def _compare(space, dims: int, min_cosine: float):
         guest = group["guest"].to_numpy().astype(bool)
         steps = np.frombuffer(b"".join(group["steps"].to_pylist()), np.int16).reshape(-1, dims)
         unit = unit_rows(np.frombuffer(b"".join(group["raw"].to_pylist()), np.float32).astype(np.float64).reshape(-1, dims))
-        side = group["second"].to_numpy().astype(bool)
-        left = np.arange(len(ids)) if one_tile else np.flatnonzero(~side)
-        right = left if one_tile else np.flatnonzero(side)
+        second = group["second"].to_numpy().astype(bool)
+        # homes first: they are compared with everything, guests only with the homes of another tile
+        first_homes, first_guests = np.flatnonzero(~second & ~guest), np.flatnonzero(~second & guest)
+        if one_tile:
+            rounds = [(first_homes, np.concatenate([first_homes, first_guests]), True)]
+        else:
+            homes, guests = np.flatnonzero(second & ~guest), np.flatnonzero(second & guest)
+            rounds = [(first_homes, np.concatenate([homes, guests]), False), (first_guests, homes, False)]
         parts = [s.part(steps, b) for b in range(block + 1)]
-        squares = [(p * p).sum(1) for p in parts]
+        own = parts[block]
+        half = 0.5 * (own * own).sum(1, dtype=np.float32, keepdims=True)
+        one = np.ones_like(half)
+        # left @ right is minus half the squared distance, a multiple of 1/2 below 2^23: exact in any task
+        lefts, rights = np.hstack([own, half, one]), np.hstack([own, -one, -half])
         found: list[np.ndarray] = []
-        for at in range(0, len(left), ROWS_AT_ONCE):
-            i = left[at : at + ROWS_AT_ONCE]
-            # whole numbers far below 2^53: distances are exact and alike in every task
-            apart = lambda b: squares[b][i][:, None] + squares[b][right][None, :] - 2 * parts[b][i] @ parts[b][right].T  # noqa: E731, B023
-            near = apart(block) <= s.budget[block]
-            near &= ~(guest[i][:, None] & guest[right][None, :])
-            if one_tile:  # each pair once
-                near &= i[:, None] < right[None, :]
-            a, b = np.nonzero(near)
-            a, b = i[a], right[b]
-            # a pair belongs to the first block in whose budget it is
-            for earlier in range(block):
-                gap = parts[earlier][a] - parts[earlier][b]
-                keep = (gap * gap).sum(1) > s.budget[earlier]
-                a, b = a[keep], b[keep]
-            if len(a):
-                exact = (unit[a] * unit[b]).sum(1) >= min_cosine
-                found.append(np.stack([a[exact], b[exact]]))
+        for left, right, triangle in rounds:
+            columns = np.ascontiguousarray(rights[right].T)
+            for at in range(0, len(left), ROWS_AT_ONCE):
+                begin = at if triangle else 0
+                near = lefts[left[at : at + ROWS_AT_ONCE]] @ columns[:, begin:] >= -0.5 * s.budget[block]
+                a, b = np.nonzero(near)
+                if triangle:  # each pair of homes once
+                    once = b > a
+                    a, b = a[once], b[once]
+                a, b = left[at + a], right[begin + b]
+                # a pair belongs to the first block in whose budget it is
+                for earlier in range(block):
+                    gap = parts[earlier][a] - parts[earlier][b]
+                    keep = (gap * gap).sum(1) > s.budget[earlier]
+                    a, b = a[keep], b[keep]
+                if len(a):
+                    exact = (unit[a] * unit[b]).sum(1) >= min_cosine
+                    found.append(np.stack([a[exact], b[exact]]))
         pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
         return pairs, ids
 
