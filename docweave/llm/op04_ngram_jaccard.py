@@ -24,8 +24,10 @@ WORDS = 5
 PERCENT = 80
 ORDERS = 3
 #: Frequency table: documents are counted in this many hash buckets, whatever the corpus holds.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 22
 SLICES = 64
+#: Sets of a token from which on its rows carry sketches into the join of its open components.
+MANY_SETS = 64
 #: 64-bit words of a set's parity sketch, see ``sketch``.
 SKETCH = 16
 TEXTS_AT_ONCE = 256
@@ -64,7 +66,7 @@ def _in_groups(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(44)).astype(np.int64)
+    return (tokens >> np.uint64(42)).astype(np.int64)
 
 
 def _arrays(sets: list[np.ndarray]) -> pa.Array:
@@ -99,17 +101,17 @@ def summarize(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     One pass over the texts; ``sig`` is a 128-bit name of the whole set, null for an empty one."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.uint64)
+        counts = np.zeros(BUCKETS, np.uint32)  # of one task's documents
         for part, sets in _in_groups(batches, words):
-            if part.num_rows:
-                counts += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS).astype(np.uint64)
+            for tokens in sets:
+                np.add.at(counts, _bucket(tokens), 1)
             sig = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"].cast(pa.int64()), part["th"], pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary()), pa.array([sketch(s) for s in sets], pa.list_(pa.int64())), pa.nulls(len(sets), pa.int32())],
                 COLUMNS,
             )
         if counts.any():
-            data = [zstandard.compress(c.tobytes(), 1) for c in np.split(counts, SLICES)]
+            data = [zstandard.compress(c.astype(np.uint64).tobytes(), 1) for c in np.split(counts, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, pa.array(data, pa.binary()), pa.nulls(SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32())], COLUMNS)
 
@@ -130,7 +132,8 @@ def summarize(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     for r in sums.toLocalIterator():  # at most 8 bytes a bucket
         size = BUCKETS // SLICES
         counts = np.frombuffer(bytes(r["data"]), np.uint64)
-        classes[r["slice"] * size : (r["slice"] + 1) * size] = np.ceil(np.log2(counts + 1.0))
+        # half powers of two: what differs by less is ordered by hash
+        classes[r["slice"] * size : (r["slice"] + 1) * size] = np.ceil(2 * np.log2(counts + 1.0))
     return both.where("slice is null").drop("slice"), classes
 
 
@@ -166,8 +169,10 @@ def verified(pairs: DataFrame, docs: DataFrame, classes, words: int, percent: in
     left = pairs.join(side("a", names), "a").join(side("b", names), "b")
     for x in names:
         left = left.where(F.arrays_overlap(f"{x}_a", f"{x}_b"))
-    passed = left.select("a", "b").distinct()
-
+    passed = checkpointed(left.select("a", "b").distinct())
+    # whole sets of the remaining pairs alone
+    nodes = checkpointed(passed.select(F.col("a").alias("node")).union(passed.select("b")).distinct())
+    table = table.join(broadcast_if_small(nodes, nodes.count()), "node", "left_semi")
     whole = passed.join(side("a", ["items"]), "a").join(side("b", ["items"]), "b")
     common = F.size(F.array_intersect("items_a", "items_b"))
     linked = common * 100 >= (F.size("items_a") + F.size("items_b") - common) * percent
@@ -212,17 +217,23 @@ def find_links(docs: DataFrame, reps: DataFrame, classes: np.ndarray, words: int
     parts = connected_components(links, "a", "b")
     # a token's only pair has been tried
     placed = posting.where("sets > 2").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = checkpointed(placed.select("token", "node", "n", "component"))
+    placed = checkpointed(placed.select("token", "sets", "node", "n", "component"))
     sizes = placed.groupBy("token", "component").agg(F.count("*").alias("k"))
     major = sizes.groupBy("token").agg(F.max(F.struct("k", "component"))["component"].alias("major"), F.count("*").alias("c")).where("c > 1")
     open_ = placed.join(major, "token")
-    open_ = open_.join(reps.select("node", "sketch"), "node")
-    named = lambda df, c: df.select("token", *[F.col(x).alias(f"{c}_{x}") for x in ("node", "n", "component", "sketch")])
-    minor, every = named(open_.where("component <> major"), "x"), named(open_, "y")
-    met = (minor["token"] == every["token"]) & (F.col("x_component") != F.col("y_component"))
-    rest = minor.join(every, met & _sketches_fit("x", "y", percent))
-    rest = rest.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = checkpointed(rest)
+
+    def across(rows: DataFrame, fits) -> DataFrame:
+        named = lambda df, c: df.select(*[F.col(x).alias(f"{c}_{x}") for x in rows.columns])
+        minor, every = named(rows.where("component <> major"), "x"), named(rows, "y")
+        met = minor.join(every, (F.col("x_token") == F.col("y_token")) & (F.col("x_component") != F.col("y_component")) & fits)
+        return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+    # a frequent token's pairs are cut down by sketches in the join itself, other tokens' few pairs after it
+    many = open_.where(F.col("sets") > MANY_SETS).join(reps.select("node", "sketch"), "node")
+    few = across(open_.where(F.col("sets") <= MANY_SETS), _size_fits(F.col("x_n"), F.col("y_n"), percent))
+    rest = across(many, _sketches_fit("x", "y", percent)).union(few.join(pairs, ["a", "b"], "left_anti")).distinct()
+    rest = rest.join(side("a"), "a").join(side("b"), "b").where(_sketches_fit("a", "b", percent)).select("a", "b")
+    rest = checkpointed(rest.join(pairs, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = links.unionByName(checkpointed(verified(rest, docs, shared, words, percent)))
     return links
