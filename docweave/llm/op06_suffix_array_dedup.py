@@ -26,6 +26,9 @@ STEP = 1 << 20
 _A, _B = (np.uint64(x) for x in odd_factors(2))
 
 
+_BYTE_NAMES = mix(np.arange(256, dtype=np.uint64), 5)
+
+
 def pair(x: np.ndarray, offset: int) -> np.ndarray:
     """Ranks of longer strings: a name of (rank, rank ``offset`` further on) at every position."""
     a, b = x[: len(x) - offset], x[offset:]
@@ -67,6 +70,9 @@ class ByteWindows:
     def prepare(self, buf: np.ndarray) -> np.ndarray:
         return buf
 
+    def values(self, buf: np.ndarray) -> np.ndarray:
+        return _BYTE_NAMES[buf]
+
     def payload(self, buf: np.ndarray, start: np.ndarray, count: np.ndarray) -> bytes:
         return zstandard.compress(buf[ranges(start, count + WIDTH - 1)].tobytes(), 1)
 

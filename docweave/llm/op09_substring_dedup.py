@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import WordHash, mix, odd_factors, read
-from .repeats import find_repeats, ranges, sliding_min, window_mask, window_runs
+from .repeats import RangeNames, find_repeats, ranges, sliding_min, window_mask, window_runs
 
 WIDTH = 50
 #: (kind, most words of a merged symbol).  What surrounds a sequence can change, at each of its ends, the
@@ -24,8 +24,7 @@ ROUNDS = (("run", 4), ("pair", 2), ("pair", 4), ("pair", 8))
 MARGIN = sum(cap if kind == "run" else cap - 1 for kind, cap in ROUNDS)
 assert WIDTH - 2 * MARGIN >= 1
 
-_F, _G, _POWER = (np.uint64(x) for x in odd_factors(3))
-_INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
+_F, _G = (np.uint64(x) for x in odd_factors(2))
 
 
 def recompress(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,13 +78,12 @@ class WordWindows:
         start, count = window_runs(least, valid)
         yield least[start], start, count
 
+    def values(self, hashed: np.ndarray) -> np.ndarray:
+        return hashed
+
     def prepare(self, hashed: np.ndarray) -> np.ndarray:
-        """Names of all windows: a polynomial of their word hashes, from running sums."""
-        power = np.full(len(hashed), _POWER, np.uint64)
-        back = np.full(max(0, len(hashed) - WIDTH + 1), _INVERSE, np.uint64)
-        power[:1] = back[:1] = 1
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed * np.cumprod(power), dtype=np.uint64)])
-        return (sums[WIDTH:] - sums[:-WIDTH]) * np.cumprod(back)
+        """Names of all windows."""
+        return RangeNames(hashed).of(np.arange(max(0, len(hashed) - WIDTH + 1)), WIDTH)
 
     def payload(self, names: np.ndarray, start: np.ndarray, count: np.ndarray) -> bytes:
         return names[ranges(start, count)].astype("<u8").tobytes()

@@ -23,8 +23,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, mix
+from .common import checkpointed, mix, odd_factors
 
+#: A block's text; a run of equal windows in a block is sent on once, so a passage of a third of all documents
+#: is one entry a block.
 BLOCK_BYTES = 1 << 20
 BLOCKS_PER_SLICE = 6
 #: Entries of the windows' load compared at once in a slice; only whole anchor groups stay together.
@@ -33,6 +35,10 @@ COMPARE_ENTRIES = 1 << 20
 MESSAGE = "_blk int, kind int, x long, y long, data binary"
 MAIL = "slice int, _blk int, data binary"
 COPY, SHARED, SPANS = 0, 1, 2
+KNOWN = b"\xff\xff\xff\xff"  # in place of a head's length: spans that need no comparing
+
+POWER = odd_factors(3)[2]
+INVERSE = np.uint64(pow(int(POWER), -1, 1 << 64))
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -104,6 +110,20 @@ def cut(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(values))[: len(first)]
 
 
+class RangeNames:
+    """64-bit names of any ranges of a sequence of 64-bit values, from running sums of a polynomial."""
+
+    def __init__(self, values: np.ndarray):
+        power = np.full(len(values), POWER, np.uint64)
+        back = np.full(len(values) + 1, INVERSE, np.uint64)
+        power[:1] = back[:1] = 1
+        self.back = np.cumprod(back)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * np.cumprod(power), dtype=np.uint64)])
+
+    def of(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        return (self.sums[start + length] - self.sums[start]) * self.back[start]
+
+
 class Block:
     """The documents of a block in a fixed order, whatever order they came in."""
 
@@ -181,32 +201,52 @@ def _send_segments(spec, slices: int):
         shared = np.unique(np.concatenate([*told, near]))
         keep = np.flatnonzero(np.isin(key, shared))
         key, start, count, doc = key[keep], start[keep], count[keep], doc[keep]
+        # Of equal segments in this block only the smallest document's is sent on; the others repeat it.  So a
+        # passage of a third of all documents is one entry a block.
+        ids = np.array([x or 0 for x in block.ids], np.int64)
+        whole = spec.prepare(block.tokens)
+        name = mix(RangeNames(spec.values(block.tokens)).of(start, count + spec.width - 1) ^ mix(key) ^ count.astype(np.uint64))
+        order = np.lexsort((ids[doc], name))
+        head = np.concatenate([[True], np.diff(name[order]) != 0]) if len(order) else np.zeros(0, bool)
+        low = np.empty(len(order), np.int64)
+        low[order] = ids[doc][order][np.flatnonzero(head)][np.cumsum(head) - 1]
+        again = ids[doc] > low
+        begin = start - block.bounds[doc]
+        blk = docs["_blk"][0].as_py() if len(docs) else 0
+        known = pack(doc[again], begin[again], count[again] + spec.width - 1) if again.any() else None
+        key, start, count, doc = key[~again], start[~again], count[~again], doc[~again]
         part = (key % np.uint64(slices)).astype(np.int64)
         order = np.lexsort((key, part))
         key, start, count, doc, part = key[order], start[order], count[order], doc[order], part[order]
-        ids = np.array([x or 0 for x in block.ids], np.int64)
         cuts, ends = cut(part)
-        whole = spec.prepare(block.tokens)
         data = []
         for a, b in zip(cuts, ends, strict=True):
             cols = (np.diff(key[a:b], prepend=np.uint64(0)), ids[doc[a:b]], doc[a:b], start[a:b] - block.bounds[doc[a:b]], count[a:b])
             head = pack(*cols)
             data.append(len(head).to_bytes(4, "little") + head + spec.payload(whole, start[a:b], count[a:b]))
-        blk = docs["_blk"][0].as_py() if len(docs) else 0
-        return pa.table({"slice": pa.array(part[cuts], pa.int32()), "_blk": pa.array([blk] * len(data), pa.int32()), "data": pa.array(data, pa.binary())})
+        to = part[cuts].tolist()
+        if known:  # passed on by any slice as it is
+            to.append(blk % slices)
+            data.append(KNOWN + known)
+        return pa.table({"slice": pa.array(to, pa.int32()), "_blk": pa.array([blk] * len(data), pa.int32()), "data": pa.array(data, pa.binary())})
 
     return send
 
 
 def _confirm(spec):
     def confirm(mail: pa.Table) -> pa.Table:
-        rows, loads = [], []
+        rows, loads, known = [], [], []
         blks = np.array(mail["_blk"].to_pylist(), np.int64)
         for k, data in enumerate(mail["data"].to_pylist()):
+            if data[:4] == KNOWN:
+                known.append((int(blks[k]), data[4:]))
+                continue
             n = int.from_bytes(data[:4], "little")
             key, ids, doc, start, count = unpack(data[4 : 4 + n])
             rows.append((np.cumsum(key, dtype=np.uint64), ids.view(np.int64), doc.view(np.int64), start.view(np.int64), count.view(np.int64), np.full(len(key), blks[k])))
             loads.append(spec.unload(data[4 + n :], count.view(np.int64)))
+        if not rows:
+            return _messages([b for b, _ in known], SPANS, [d for _, d in known])
         key, ids, doc, start, count, blk = (np.concatenate(x) for x in zip(*rows, strict=True))
         load = np.concatenate([x for x, _ in loads])
         size = np.concatenate([x for _, x in loads])  # entries of the load per segment
@@ -242,7 +282,7 @@ def _confirm(spec):
         blk, doc, begin, end = blk[order], doc[order], begin[order], end[order]
         cuts, ends = cut(blk)
         data = [pack(doc[a:b], begin[a:b], end[a:b] - begin[a:b]) for a, b in zip(cuts, ends, strict=True)]
-        return _messages(blk[cuts].tolist(), SPANS, data)
+        return _messages(blk[cuts].tolist() + [b for b, _ in known], SPANS, data + [d for _, d in known])
 
     return confirm
 
