@@ -13,7 +13,7 @@ from docweave.llm import op03_best_fit_packing as packing
 from docweave.llm import op04_ngram_jaccard as jaccard
 from docweave.llm import op06_suffix_array_dedup as substrings
 from docweave.llm import op07_language_id as languages
-from docweave.llm.common import read, staged
+from docweave.llm.common import bound_batches, read, staged
 
 #: A text of at least so many characters goes if less than this share of its n-grams fits any language.
 MIN_SCORE = 0.1
@@ -22,6 +22,7 @@ MIN_CHARS = 40
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter (null texts, too) and long ones in no learned language go."""
+    bound_batches(spark)
     judged = languages.identify_languages(docs, languages.learn(docs))
     strange = (F.col("score") < MIN_SCORE) & (F.length("text") >= MIN_CHARS)
     return judged.where((F.col("lang_pred") != languages.UNDETERMINED) & ~strange).select(docs.columns)

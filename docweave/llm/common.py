@@ -20,7 +20,16 @@ SQL_LOWER = f"translate({{}}, '{UPPER}', '{LOWER}')"
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Rows of an Arrow batch, where neither the session nor its launcher has set them: Spark's own 10,000 whole
+    texts are held by the JVM and again by the Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if key not in {r["key"] for r in spark.sql("SET").collect()}:
+        spark.conf.set(key, str(rows))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
