@@ -21,11 +21,19 @@ MIN_CHARS = 40
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter (null texts, too) and long ones in no learned language go."""
+    """Documents without a letter (null texts, too) and long ones in no learned language go.
+
+    Languages are learned from all labelled rows (the held-out fold is op7's alone), also from a single one.
+    Where none could be learned (no labelled row) every text with a letter stays, and so does one whose own
+    label was not learned."""
     bound_batches(spark)
-    judged = languages.identify_languages(docs, languages.learn(docs))
-    strange = (F.col("score") < MIN_SCORE) & (F.length("text") >= MIN_CHARS)
-    return judged.where((F.col("lang_pred") != languages.UNDETERMINED) & ~strange).select(docs.columns)
+    lettered = docs.where(languages.has_letter("text"))
+    filters = languages.fit_filters(docs, singles=True)
+    if not filters.langs:
+        return lettered
+    unlearned = F.coalesce(~F.col("lang").isin(filters.langs), F.lit(False))
+    strange = (F.col("score") < MIN_SCORE) & (F.length("text") >= MIN_CHARS) & ~unlearned
+    return languages.identify_languages(lettered, filters).where(~strange).select(docs.columns)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

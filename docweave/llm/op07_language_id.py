@@ -89,11 +89,12 @@ class LanguageFilters:
         return self.langs[best], float(shares[best])
 
 
-def fit_filters(labelled: DataFrame, docs_per_lang: int = MAX_DOCS_PER_LANG, grams_per_lang: int = MAX_GRAMS_PER_LANG) -> LanguageFilters:
+def fit_filters(labelled: DataFrame, docs_per_lang: int = MAX_DOCS_PER_LANG, grams_per_lang: int = MAX_GRAMS_PER_LANG, singles: bool = False) -> LanguageFilters:
     """Fits on (doc_id, text, lang) rows: at most ``docs_per_lang`` documents of each language (smallest
     id hashes), their n-grams counted in Spark.  A language's filter gets its ``grams_per_lang`` most
     frequent n-grams whose relative frequency is at least a quarter of the highest in any language, so
-    shared n-grams are in several filters.  Rows without text, lang or id teach nothing."""
+    shared n-grams are in several filters.  An n-gram seen once teaches nothing, unless with ``singles`` its
+    language has no other.  Rows without text, lang or id teach nothing."""
     rows = labelled.select("doc_id", "lang", "text").dropna()
     first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = rows.select("doc_id", "lang").withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= docs_per_lang)
@@ -115,10 +116,14 @@ def fit_filters(labelled: DataFrame, docs_per_lang: int = MAX_DOCS_PER_LANG, gra
     counts = sample.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     by_lang, by_gram = W.partitionBy("lang"), W.partitionBy("gram")
     share = F.col("n") / F.sum("n").over(by_lang)
+    if singles:
+        counts = counts.withColumn("least", F.least(F.lit(2), F.max("n").over(by_lang)))
+    else:
+        counts = counts.withColumn("least", F.lit(2))
     kept = (
         counts.withColumn("share", share)
         .withColumn("top", F.max("share").over(by_gram))
-        .where("n >= 2 and share >= 0.25 * top")
+        .where("n >= least and share >= 0.25 * top")
         .withColumn("k", F.row_number().over(by_lang.orderBy(F.desc("n"), "gram")))
         .where(F.col("k") <= grams_per_lang)
         .groupBy("lang")
@@ -129,6 +134,10 @@ def fit_filters(labelled: DataFrame, docs_per_lang: int = MAX_DOCS_PER_LANG, gra
     return LanguageFilters(grams, sizes["lang"] if sizes else UNDETERMINED)
 
 
+def has_letter(text: str) -> Column:
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+
+
 def identify_languages(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1: the corrected share of the whole text's n-grams
     that the language's filter has).
@@ -146,8 +155,7 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, text: str = "t
             yield pd.DataFrame(got, columns=["lang_pred", "score"])
 
     keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "_judged")]
-    letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn("_judged", decide(F.col(text), letter)).select(*keep, "_judged.lang_pred", "_judged.score")
+    return docs.withColumn("_judged", decide(F.col(text), has_letter(text))).select(*keep, "_judged.lang_pred", "_judged.score")
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:

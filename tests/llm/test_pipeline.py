@@ -1,6 +1,7 @@
 """The stages one after the other against plain versions, on a small fixture with planted cases."""
 
 import random
+import zlib
 
 import corpus_pipeline as pipeline
 
@@ -48,3 +49,21 @@ def test_no_documents(spark, tmpdir_path):
     docs_frame(spark, rows).limit(0).write.parquet(f"{tmpdir_path}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmpdir_path}/benchmark.parquet")
     assert pipeline.run(spark, tmpdir_path).count() == 0
+
+
+def test_language_stage_without_labels(spark):
+    rows = [(i, words(random.Random(i), 30), None, "s", 1) for i in range(6)] + [(6, "12 34", None, "s", 1), (7, None, None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in pipeline.known_language(spark, docs, "").collect()} == set(range(6))
+    # no letter stays out whatever its label; und may be a label like any other
+    docs = docs.withColumn("lang", pipeline.F.lit("und"))
+    assert {r["doc_id"] for r in pipeline.known_language(spark, docs, "").collect()} == set(range(6))
+
+
+def test_language_stage_learns_from_all_labels(spark):
+    fold = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 == 1][:2]
+    rows = [(1000 + i, "the thing and the ending of the evening " * 3, "en") for i in range(20)]
+    rows += [(fold[0], "съешь же ещё этих мягких французских булок", "ru"), (fold[1], "ξεσκεπάζω την ψυχοφθόρα βδελυγμία σου", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = {r["doc_id"] for r in pipeline.known_language(spark, docs, "").collect()}
+    assert fold[0] in left and len(left) == 21 + (len(rows[-1][1]) < pipeline.MIN_CHARS)
