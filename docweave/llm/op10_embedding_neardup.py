@@ -26,6 +26,8 @@ CELL_RADII = 2.0
 #: Vectors of a cell compared in one task; a larger cell is cut into tiles that meet pairwise.
 TILE = 16384
 ROWS_AT_ONCE = 128
+#: Pairs verified at once, so that a group of near copies needs no more memory than its vectors.
+PAIRS_AT_ONCE = 1 << 16
 #: Rotated coordinates are whole multiples of this, so that every task finds the same distances: a unit
 #: vector's squared length is then at most 2^22 squared steps, which 32-bit floats hold exactly.
 STEP = 2.0**-11
@@ -149,11 +151,11 @@ def _tiles(rows: DataFrame) -> DataFrame:
 
 
 def _compare(space, dims: int, min_cosine: float):
-    def find(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def links(group: pa.Table) -> pa.Table:
         s: Subspaces = space.value
         block = int(group["cell"][0].as_py().split(":")[0])
         one_tile = group["t1"][0].as_py() == group["t2"][0].as_py()
-        ids = group["vec_id"].to_numpy()
+        ids, members = group["vec_id"].to_numpy(), group["members"].to_numpy()
         guest = group["guest"].to_numpy().astype(bool)
         steps = np.frombuffer(b"".join(group["steps"].to_pylist()), np.int16).reshape(-1, dims)
         unit = unit_rows(np.frombuffer(b"".join(group["raw"].to_pylist()), np.float32).astype(np.float64).reshape(-1, dims))
@@ -171,44 +173,49 @@ def _compare(space, dims: int, min_cosine: float):
         one = np.ones_like(half)
         # left @ right is minus half the squared distance, a multiple of 1/2 below 2^23: exact in any task
         lefts, rights = np.hstack([own, half, one]), np.hstack([own, -one, -half])
-        found: list[np.ndarray] = []
+        # links are counted and folded into the forest as they are found, a bounded number of them at once
+        count, root = np.zeros(len(ids)), np.arange(len(ids))
         for left, right, triangle in rounds:
             columns = np.ascontiguousarray(rights[right].T)
             for at in range(0, len(left), ROWS_AT_ONCE):
                 begin = at if triangle else 0
                 near = lefts[left[at : at + ROWS_AT_ONCE]] @ columns[:, begin:] >= -0.5 * s.budget[block]
-                a, b = np.nonzero(near)
                 if triangle:  # each pair of homes once
-                    once = b > a
-                    a, b = a[once], b[once]
-                a, b = left[at + a], right[begin + b]
-                # a pair belongs to the first block in whose budget it is
-                for earlier in range(block):
-                    gap = parts[earlier][a] - parts[earlier][b]
-                    keep = (gap * gap).sum(1) > s.budget[earlier]
-                    a, b = a[keep], b[keep]
-                if len(a):
+                    near &= np.arange(near.shape[1]) > np.arange(len(near))[:, None]
+                hits = np.flatnonzero(near)
+                for some in np.split(hits, range(PAIRS_AT_ONCE, len(hits), PAIRS_AT_ONCE)):
+                    a, b = np.divmod(some, near.shape[1])
+                    a, b = left[at + a], right[begin + b]
+                    # a pair belongs to the first block in whose budget it is
+                    for earlier in range(block):
+                        gap = parts[earlier][a] - parts[earlier][b]
+                        keep = (gap * gap).sum(1) > s.budget[earlier]
+                        a, b = a[keep], b[keep]
                     exact = (unit[a] * unit[b]).sum(1) >= min_cosine
-                    found.append(np.stack([a[exact], b[exact]]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pairs, ids
+                    a, b = a[exact], b[exact]
+                    if len(a):
+                        count += np.bincount(a, members[b], len(ids)) + np.bincount(b, members[a], len(ids))
+                        _connect(root, a, b)
+        own = np.flatnonzero(count)
+        return pa.table({"vec_id": ids[own], "root": ids[root[own]], "n": count[own].astype(np.int64)})
 
-    return find
+    return links
 
 
-def _forest(pairs: np.ndarray, n: int) -> np.ndarray:
-    """For every member the smallest member that the pairs connect it to."""
-    root = np.arange(n)
-    a, b = pairs
-    while len(a):
+def _connect(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Folds pairs into ``root``, which holds for every member the smallest one it is connected to."""
+    open_ = root[a] != root[b]
+    while open_.any():
+        a, b = a[open_], b[open_]
         low = np.minimum(root[a], root[b])
         np.minimum.at(root, root[a], low)
         np.minimum.at(root, root[b], low)
-        while (root[root] != root).any():
-            root = root[root]
+        while True:
+            further = root[root]
+            if (further == root).all():
+                break
+            root[:] = further
         open_ = root[a] != root[b]
-        a, b = a[open_], b[open_]
-    return root
 
 
 def near_duplicate_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, blocks: int = BLOCKS, grid_dims: int = GRID_DIMS) -> DataFrame:
@@ -230,16 +237,8 @@ def near_duplicate_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, b
     classes = usable.where(F.size("embedding") == dims).groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("members"))
     classes = staged(classes)
     space = vectors.sparkSession.sparkContext.broadcast(Subspaces(*_moments(classes, dims), blocks, grid_dims, min_cosine))
-    find = _compare(space, dims, min_cosine)
-
-    def links(group: pa.Table) -> pa.Table:
-        pairs, ids = find(group)
-        members = group["members"].to_numpy()
-        count = np.bincount(pairs[0], members[pairs[1]], len(ids)) + np.bincount(pairs[1], members[pairs[0]], len(ids))
-        own = np.flatnonzero(count)
-        return pa.table({"vec_id": ids[own], "root": ids[_forest(pairs, len(ids))[own]], "n": count[own].astype(np.int64)})
-
     met = _tiles(_spread(classes, space, dims))
+    links = _compare(space, dims, min_cosine)
     found = checkpointed(met.groupBy("cell", "t1", "t2").applyInArrow(links, "vec_id long, root long, n long"))
     parts = connected_components(found, "vec_id", "root")
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))

@@ -5,9 +5,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -462,6 +465,25 @@ def test_vectors(spark, monkeypatch, tile, blocks, grid):
     assert sorted((str(r[0]), r[1], str(r[2]), r[3]) for r in got) == plain_links(rows, 0.95)
 
 
+def test_vectors_of_a_cell_in_bounded_memory():
+    """All pairs of a cell of near copies are links; none of them are kept."""
+    n, dims = 3000, 8
+    rng = np.random.default_rng(2)
+    raw = (np.ones(dims) + rng.normal(size=(n, dims)) * 1e-3).astype(np.float32)
+    unit = op10.unit_rows(raw.astype(float))
+    space = op10.Subspaces(unit.T @ unit, n, 1, 2, 0.95)
+    steps = space.steps(unit)
+    zero = pa.array(np.zeros(n, np.int32))
+    group = {"cell": ["0:0,0"] * n, "t1": zero, "t2": zero, "second": zero, "guest": zero, "vec_id": np.arange(n) + 10, "members": np.full(n, 2)}
+    group = pa.table(group | {"steps": [x.tobytes() for x in steps], "raw": [x.tobytes() for x in raw]})
+    tracemalloc.start()
+    got = op10._compare(SimpleNamespace(value=space), dims, 0.95)(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20  # the pairs alone are 72 MB
+    assert set(got["n"].to_pylist()) == {2 * (n - 1)} and set(got["root"].to_pylist()) == {10}
+
+
 def test_vectors_empty(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert sorted(tuple(r) for r in op10.near_duplicate_vectors(df).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
