@@ -218,28 +218,34 @@ def _connect(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         open_ = root[a] != root[b]
 
 
+LINKS = "vec_id long, root long, n long"
+
+
+def _links(classes: DataFrame, dims: int, blocks: int, grid_dims: int, min_cosine: float) -> DataFrame:
+    """Link counts and a spanning forest of the classes, all of one length."""
+    space = classes.sparkSession.sparkContext.broadcast(Subspaces(*_moments(classes, dims), blocks, grid_dims, min_cosine))
+    met = _tiles(_spread(classes, space, dims))
+    return checkpointed(met.groupBy("cell", "t1", "t2").applyInArrow(_compare(space, dims, min_cosine), LINKS))
+
+
 def near_duplicate_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, blocks: int = BLOCKS, grid_dims: int = GRID_DIMS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding).
 
     Equal vectors are one class, joined through its smallest vec_id and counted with its size.  In a cell's
     task links are only counted, and a spanning forest of them leaves it, so a group of near copies puts
-    out its size, not its pairs.  A vector that is null, empty, zero, holds null or non-finite components, or
-    has another length than most links with nothing; so does a row with a null vec_id (component null, not
-    kept).  Rows that repeat a vec_id count as different vectors of one node; an empty table gives no rows."""
+    out its size, not its pairs.  Vectors of different lengths never link; each length that two classes have
+    is joined on its own, one after the other.  A vector that is null, empty, zero, or holds null or non-finite
+    components links with nothing; so does a row with a null vec_id (component null, not kept).  Rows that
+    repeat a vec_id count as different vectors of one node; an empty table gives no rows."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     usable = rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.coalesce(finite & some, F.lit(False)))
-    common = usable.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if common is None:
-        return _report(rows, None, None)
-    dims = common["d"]
-    classes = usable.where(F.size("embedding") == dims).groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("members"))
-    classes = staged(classes)
-    space = vectors.sparkSession.sparkContext.broadcast(Subspaces(*_moments(classes, dims), blocks, grid_dims, min_cosine))
-    met = _tiles(_spread(classes, space, dims))
-    links = _compare(space, dims, min_cosine)
-    found = checkpointed(met.groupBy("cell", "t1", "t2").applyInArrow(links, "vec_id long, root long, n long"))
+    classes = staged(usable.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("members")))
+    lengths = classes.groupBy(F.size("embedding").alias("d")).count().where("count > 1").orderBy("d").collect()
+    found = vectors.sparkSession.createDataFrame([], LINKS)
+    for dims in (r["d"] for r in lengths):
+        found = found.unionByName(_links(classes.where(F.size("embedding") == dims), dims, blocks, grid_dims, min_cosine))
     parts = connected_components(found, "vec_id", "root")
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
     named = classes.join(counts, "vec_id", "left").join(parts, F.col("vec_id") == F.col("node"), "left").select(
@@ -247,16 +253,9 @@ def near_duplicate_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, b
         (F.coalesce("n", F.lit(0)) + F.col("members") - 1).alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
     )
-    return _report(rows, named, dims)
-
-
-def _report(rows: DataFrame, named: DataFrame | None, dims: int | None) -> DataFrame:
-    if named is None:
-        out = rows.withColumn("n_links", F.lit(0).cast("long")).withColumn("component_id", F.col("vec_id"))
-    else:
-        on = (rows["embedding"] == named["_e"]) & rows["vec_id"].isNotNull()
-        out = rows.join(named, on, "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
-        out = out.withColumn("component_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")))
+    on = (rows["embedding"] == named["_e"]) & rows["vec_id"].isNotNull()
+    out = rows.join(named, on, "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
+    out = out.withColumn("component_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")))
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 

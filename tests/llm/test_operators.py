@@ -465,6 +465,23 @@ def test_vectors(spark, monkeypatch, tile, blocks, grid):
     assert sorted((str(r[0]), r[1], str(r[2]), r[3]) for r in got) == plain_links(rows, 0.95)
 
 
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for n, (dims, groups) in enumerate([(8, 12), (5, 6), (1, 1), (12, 1)]):
+        for g in range(groups):
+            base = rng.normal(size=dims)
+            rows += [(1000 * n + 10 * g + k, (base + rng.normal(size=dims) * 0.1 * (k > 1)).tolist()) for k in range(5)]
+    rows += [(5000, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    unit = {i: np.array(np.float32(v), float) / np.linalg.norm(np.float32(v).astype(float)) for i, v in rows}
+    near = {i: {j for j in unit if j != i and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.95} for i in unit}
+    got = {r["vec_id"]: r for r in op10.near_duplicate_vectors(df).collect()}
+    assert {i: r["n_links"] for i, r in got.items()} == {i: len(x) for i, x in near.items()}
+    assert all(got[i]["component_id"] == got[j]["component_id"] <= i for i in near for j in near[i])
+    assert all(near[i] for i in (0, 1000, 2000, 3000)) and got[1001]["component_id"] == 1000
+
+
 def test_vectors_of_a_cell_in_bounded_memory():
     """All pairs of a cell of near copies are links; none of them are kept."""
     n, dims = 3000, 8
