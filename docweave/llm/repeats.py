@@ -32,10 +32,14 @@ BLOCKS_PER_SLICE = 6
 #: Entries of the windows' load compared at once in a slice; only whole anchor groups stay together.
 COMPARE_ENTRIES = 1 << 20
 
+#: An anchor with more windows than this in all blocks is dealt out window by window.
+HOT_WINDOWS = 1 << 17
+
 MESSAGE = "_blk int, kind int, x long, y long, data binary"
 MAIL = "slice int, _blk int, data binary"
 COPY, SHARED, SPANS = 0, 1, 2
-KNOWN = b"\xff\xff\xff\xff"  # in place of a head's length: spans that need no comparing
+# in place of a head's length: spans that need no comparing, and single windows of hot anchors
+KNOWN, WINDOWS = b"\xff\xff\xff\xff", b"\xfe\xff\xff\xff"
 
 POWER = odd_factors(3)[2]
 INVERSE = np.uint64(pow(int(POWER), -1, 1 << 64))
@@ -155,13 +159,15 @@ class Block:
 
 def _send_keys(spec, slices: int):
     def send(docs: pa.Table, mail: pa.Table) -> pa.Table:
-        keys = np.unique(Block(spec, docs, mail).segments(spec)[0])
+        key, _, count = Block(spec, docs, mail).segments(spec)
+        keys, which = np.unique(key, return_inverse=True)
+        windows = np.bincount(which, count, len(keys)).astype(np.int64)
         blk = docs["_blk"][0].as_py() if len(docs) else 0
         part = (keys % np.uint64(slices)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        keys, part = keys[order], part[order]
+        keys, windows, part = keys[order], windows[order], part[order]
         cuts, ends = cut(part)
-        data = [pack(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(cuts, ends, strict=True)]
+        data = [pack(np.diff(keys[a:b], prepend=np.uint64(0)), windows[a:b]) for a, b in zip(cuts, ends, strict=True)]
         return pa.table(
             {
                 "slice": pa.array(part[cuts], pa.int32()),
@@ -180,21 +186,49 @@ def _messages(blks: list[int], kind: int, data: list[bytes]) -> pa.Table:
 
 def _answer_keys(mail: pa.Table) -> pa.Table:
     blks = mail["_blk"].to_pylist()
-    lists = [np.cumsum(unpack(d)[0], dtype=np.uint64) for d in mail["data"].to_pylist()]
-    every = np.sort(np.concatenate(lists))
-    again = np.unique(every[1:][every[1:] == every[:-1]])
+    sent = [unpack(d) for d in mail["data"].to_pylist()]
+    lists = [np.cumsum(x, dtype=np.uint64) for x, _ in sent]
+    every = np.concatenate(lists)
+    order = np.argsort(every)
+    every, windows = every[order], np.concatenate([n for _, n in sent]).view(np.int64)[order]
+    first = np.flatnonzero(np.diff(every, prepend=every[:1] + np.uint64(1)))
+    again = every[first][np.diff([*first, len(every)]) > 1]
+    hot = every[first][np.add.reduceat(windows, first) > HOT_WINDOWS] if len(first) else again
     own = [x[np.isin(x, again, assume_unique=True)] if len(again) else x[:0] for x in lists]
-    told = [(b, pack(np.diff(x, prepend=np.uint64(0)))) for b, x in zip(blks, own, strict=True) if len(x)]
+    told = [(b, pack(np.diff(x, prepend=np.uint64(0)), np.isin(x, hot, assume_unique=True))) for b, x in zip(blks, own, strict=True) if len(x)]
     return _messages([b for b, _ in told], SHARED, [d for _, d in told])
 
 
+def _name_windows(spec, load: np.ndarray, size: np.ndarray, key: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return mix(spec.names(load, size, count) ^ mix(np.repeat(key, count), 1))
+
+
+def _joined(hit: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of the runs of hits within a segment."""
+    joined = np.zeros(len(hit), bool)
+    joined[1:] = hit[1:] & hit[:-1] & (segment[1:] == segment[:-1])
+    last = hit.copy()
+    last[:-1] &= ~joined[1:]
+    return np.flatnonzero(hit & ~joined), np.flatnonzero(last)
+
+
+def _lowest(order: np.ndarray, fresh: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For every entry the smallest id of its group; ``order`` sorts the entries, ``fresh`` begins the groups."""
+    out = np.empty(len(order), np.int64)
+    if len(order):
+        out[order] = np.repeat(np.minimum.reduceat(ids[order], fresh), np.diff([*fresh, len(order)]))
+    return out
+
+
 def _send_segments(spec, slices: int):
     def send(docs: pa.Table, mail: pa.Table) -> pa.Table:
         block = Block(spec, docs, mail)
         key, start, count = block.segments(spec)
         doc = block.doc_of(start)
         # shared: another block has the key, or two documents of this one
-        told = [np.cumsum(unpack(d)[0], dtype=np.uint64) for d in block.mail]
+        answers = [unpack(d) for d in block.mail]
+        told = [np.cumsum(x, dtype=np.uint64) for x, _ in answers]
+        hot = np.concatenate([x[h.astype(bool)] for x, (_, h) in zip(told, answers, strict=True)] or [key[:0]])
         order = np.lexsort((doc, key))
         k, d = key[order], doc[order]
         near = k[1:][(k[1:] == k[:-1]) & (d[1:] != d[:-1])]
@@ -213,40 +247,87 @@ def _send_segments(spec, slices: int):
         again = ids[doc] > low
         begin = start - block.bounds[doc]
         blk = docs["_blk"][0].as_py() if len(docs) else 0
-        known = pack(doc[again], begin[again], count[again] + spec.width - 1) if again.any() else None
+        known = [(doc[again], begin[again], count[again] + spec.width - 1)]
         key, start, count, doc = key[~again], start[~again], count[~again], doc[~again]
+        to, data = [], []
+        apart = np.isin(key, hot)
+        if apart.any():
+            # single windows of hot anchors; of equal ones in this block only the smallest document's
+            k, at, n, d = key[apart], start[apart], count[apart], doc[apart]
+            load, size = spec.unload(spec.payload(whole, at, n), n)
+            names, place = _name_windows(spec, load, size, k, n), ranges(at, n)
+            segment = np.repeat(np.arange(len(k)), n)
+            k, d = k[segment], d[segment]
+            place = place - block.bounds[d]
+            order = np.lexsort((names, k))
+            fresh = np.flatnonzero(np.append(True, (np.diff(names[order]) != 0) | (np.diff(k[order]) != 0)))
+            hit = ids[d] > _lowest(order, fresh, ids[d])
+            head, tail = _joined(hit, segment)
+            known.append((d[head], place[head], place[tail] + spec.width - place[head]))
+            k, names, d, place = k[~hit], names[~hit], d[~hit], place[~hit]
+            part = (names % np.uint64(slices)).astype(np.int64)
+            order = np.lexsort((place, d, k, part))
+            k, names, d, place, part = k[order], names[order], d[order], place[order], part[order]
+            cuts, ends = cut(part)
+            to += part[cuts].tolist()
+            data += [WINDOWS + pack(np.diff(k[a:b], prepend=np.uint64(0)), names[a:b], ids[d[a:b]], d[a:b], place[a:b]) for a, b in zip(cuts, ends, strict=True)]
+            key, start, count, doc = key[~apart], start[~apart], count[~apart], doc[~apart]
         part = (key % np.uint64(slices)).astype(np.int64)
         order = np.lexsort((key, part))
         key, start, count, doc, part = key[order], start[order], count[order], doc[order], part[order]
         cuts, ends = cut(part)
-        data = []
+        to += part[cuts].tolist()
         for a, b in zip(cuts, ends, strict=True):
             cols = (np.diff(key[a:b], prepend=np.uint64(0)), ids[doc[a:b]], doc[a:b], start[a:b] - block.bounds[doc[a:b]], count[a:b])
             head = pack(*cols)
             data.append(len(head).to_bytes(4, "little") + head + spec.payload(whole, start[a:b], count[a:b]))
-        to = part[cuts].tolist()
-        if known:  # passed on by any slice as it is
+        known = [np.concatenate(x) for x in zip(*known, strict=True)]
+        if len(known[0]):  # passed on by any slice as it is
             to.append(blk % slices)
-            data.append(KNOWN + known)
+            data.append(KNOWN + pack(*known))
         return pa.table({"slice": pa.array(to, pa.int32()), "_blk": pa.array([blk] * len(data), pa.int32()), "data": pa.array(data, pa.binary())})
 
     return send
 
 
+def _confirm_windows(spec, rows: list[tuple]) -> tuple:
+    """Spans of the repeated ones of single windows."""
+    key, names, ids, doc, place, blk = (np.concatenate(x) for x in zip(*rows, strict=True))
+    order = np.lexsort((names, key))
+    fresh = np.flatnonzero(np.append(True, (np.diff(names[order]) != 0) | (np.diff(key[order]) != 0)))
+    hit = ids > _lowest(order, fresh, ids)
+    return blk[hit], doc[hit], place[hit], place[hit] + spec.width
+
+
 def _confirm(spec):
     def confirm(mail: pa.Table) -> pa.Table:
-        rows, loads, known = [], [], []
+        rows, loads, known, single = [], [], [], []
         blks = np.array(mail["_blk"].to_pylist(), np.int64)
         for k, data in enumerate(mail["data"].to_pylist()):
             if data[:4] == KNOWN:
                 known.append((int(blks[k]), data[4:]))
                 continue
+            if data[:4] == WINDOWS:
+                key, names, ids, doc, place = unpack(data[4:])
+                single.append((np.cumsum(key, dtype=np.uint64), names, ids.view(np.int64), doc.view(np.int64), place.view(np.int64), np.full(len(key), blks[k])))
+                continue
             n = int.from_bytes(data[:4], "little")
             key, ids, doc, start, count = unpack(data[4 : 4 + n])
             rows.append((np.cumsum(key, dtype=np.uint64), ids.view(np.int64), doc.view(np.int64), start.view(np.int64), count.view(np.int64), np.full(len(key), blks[k])))
             loads.append(spec.unload(data[4 + n :], count.view(np.int64)))
-        if not rows:
+        out = [_confirm_windows(spec, single)] if single else []
+        if rows:
+            out += compare(rows, loads)
+        if not out:
             return _messages([b for b, _ in known], SPANS, [d for _, d in known])
+        blk, doc, begin, end = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.lexsort((begin, doc, blk))
+        blk, doc, begin, end = blk[order], doc[order], begin[order], end[order]
+        cuts, ends = cut(blk)
+        data = [pack(doc[a:b], begin[a:b], end[a:b] - begin[a:b]) for a, b in zip(cuts, ends, strict=True)]
+        return _messages(blk[cuts].tolist() + [b for b, _ in known], SPANS, data + [d for _, d in known])
+
+    def compare(rows: list[tuple], loads: list[tuple]) -> list[tuple]:
         key, ids, doc, start, count, blk = (np.concatenate(x) for x in zip(*rows, strict=True))
         load = np.concatenate([x for x, _ in loads])
         size = np.concatenate([x for _, x in loads])  # entries of the load per segment
@@ -258,31 +339,15 @@ def _confirm(spec):
         out: list[tuple] = []
         for a, b in zip(edges, edges[1:], strict=False):
             own = order[a:b]
-            names = spec.names(load[ranges(at[own], size[own])], size[own], count[own])
-            names = mix(names ^ mix(np.repeat(key[own], count[own]), 1))
+            names = _name_windows(spec, load[ranges(at[own], size[own])], size[own], key[own], count[own])
             whose = np.repeat(ids[own], count[own])
             by = np.argsort(names)
-            first = np.flatnonzero(np.diff(names[by], prepend=names[by][:1] + np.uint64(1)))
-            low = np.minimum.reduceat(whose[by], first)
-            lowest = np.empty(len(by), np.int64)
-            lowest[by] = np.repeat(low, np.diff([*first, len(by)]))
-            hit = whose > lowest
+            hit = whose > _lowest(by, np.flatnonzero(np.diff(names[by], prepend=names[by][:1] + np.uint64(1))), whose)
             segment = np.repeat(np.arange(len(own)), count[own])
             place = ranges(start[own], count[own])
-            # runs of repeated windows within a segment
-            joined = np.zeros(len(hit), bool)
-            joined[1:] = hit[1:] & hit[:-1] & (segment[1:] == segment[:-1])
-            head = np.flatnonzero(hit & ~joined)
-            tail_mask = hit.copy()
-            tail_mask[:-1] &= ~joined[1:]
-            tail = np.flatnonzero(tail_mask)
+            head, tail = _joined(hit, segment)
             out.append((blk[own][segment[head]], doc[own][segment[head]], place[head], place[tail] + spec.width))
-        blk, doc, begin, end = (np.concatenate(x) for x in zip(*out, strict=True))
-        order = np.lexsort((begin, doc, blk))
-        blk, doc, begin, end = blk[order], doc[order], begin[order], end[order]
-        cuts, ends = cut(blk)
-        data = [pack(doc[a:b], begin[a:b], end[a:b] - begin[a:b]) for a, b in zip(cuts, ends, strict=True)]
-        return _messages(blk[cuts].tolist() + [b for b, _ in known], SPANS, data + [d for _, d in known])
+        return out
 
     return confirm
 

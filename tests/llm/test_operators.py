@@ -11,6 +11,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from docweave.llm import op07_language_id as op7
 from docweave.llm import op08_quality_classifier as op8
 from docweave.llm import op09_substring_dedup as op9
 from docweave.llm import op10_embedding_neardup as op10
+from docweave.llm import repeats
 from docweave.llm.repeats import find_repeats
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -336,6 +338,31 @@ def test_repeated_words(spark, texts):
     assert op9.remove_repeated_words(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spec,cut", [(op6.DigestWindows, str.encode), (op9.DigestWordWindows, str.split)])
+def test_hot_anchors_are_in_no_slice_as_a_whole(spark, monkeypatch, spec, cut):
+    """A line in every document, its surroundings different: no slice gets most of its windows."""
+    monkeypatch.setattr(repeats, "HOT_WINDOWS", 500, raising=False)
+    rng = random.Random(4)
+    least = lambda t: op6.mix(op6.ranks(np.frombuffer(t.encode(), np.uint8), op6.SAMPLE)).min()
+    line = min((words(rng, 4, 90_000) for _ in range(2000)), key=least) if spec is op6.DigestWindows else "line " * 40
+    rows = [(i, words(rng, 30, 90_000) + " " + line + " " + words(rng, 30, 90_000)) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(0, 400, 9)]  # repeats around the line, too
+    none = pa.table({"_blk": [], "kind": [], "x": [], "y": [], "data": []}, schema=pa.schema([("_blk", pa.int32()), ("kind", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("data", pa.binary())]))
+    blocks = [pa.table({"_blk": [b] * len(x), "doc_id": [i for i, _ in x], "text": [t for _, t in x], "_th": [0] * len(x)}) for b in range(4) for x in [rows[b::4]]]
+    sent = pa.concat_tables([repeats._send_keys(spec(), 16)(x, none) for x in blocks])
+    told = pa.concat_tables([repeats._answer_keys(sent.filter(pc.equal(sent["slice"], k))) for k in range(16)])
+    size = dict.fromkeys(range(16), 0)
+    for b, x in enumerate(blocks):
+        got = repeats._send_segments(spec(), 16)(x, told.filter(pc.equal(told["_blk"], b)))
+        for k, data in zip(got["slice"].to_pylist(), got["data"].to_pylist()):
+            size[k] += len(data) if data[:4] != repeats.KNOWN else 0
+    assert max(size.values()) < 0.2 * sum(size.values())
+    for hot in (0, 500):  # 0: every shared anchor
+        monkeypatch.setattr(repeats, "HOT_WINDOWS", hot, raising=False)
+        n = {r[0]: r[1] for r in find_repeats(docs_frame(spark, rows), spec()).select("doc_id", "n_removed").collect()}
+        assert n == {d: sum(cover) for d, _, cover in plain_repeats(rows, lambda t: cut(t), 50)}
+
+
 def test_recompression_is_local():
     """Symbols over the middle of a sequence are the same whatever surrounds it."""
     rng = np.random.default_rng(3)
