@@ -261,15 +261,31 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component: the one whose doc_id names it.  Of rows that repeat such a
-    doc_id one stays, with the smallest text hash; rows with a null doc_id all stay."""
-    judged = near_duplicates(docs, words, percent).where("doc_id = component_id")
-    keep = checkpointed(judged.groupBy("doc_id").agg(F.min("th").alias("_th"), F.count("*").alias("_rows")))
-    n = keep.count()
-    small = broadcast_if_small(keep.withColumnRenamed("doc_id", "_id"), n)
+    """``docs`` with one row of each component: the one with the smallest doc_id.  Different texts that share a
+    doc_id are nodes of their own, so each goes only for its own links; of rows that repeat entirely one stays,
+    and of one component's rows with that doc_id the one with the smallest text hash.  Rows with a null doc_id
+    all stay."""
+    th = F.xxhash64("text")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("_id"), th.alias("_th"))
+    several = checkpointed(texts.groupBy("_id").agg(F.min("_th").alias("lo"), F.max("_th").alias("hi")).where("lo < hi").select("_id"))
+    n = several.count()
+    if n:
+        names = checkpointed(texts.join(broadcast_if_small(several, n), "_id", "left_semi").distinct().withColumn("_node", F.xxhash64("_id", "_th")))
+        names = broadcast_if_small(names, names.count())
+        own = docs.select("doc_id", "text", th.alias("_h")).join(names, (F.col("doc_id") == F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
+        judged = near_duplicates(own.select(F.coalesce("_node", "doc_id").alias("doc_id"), "text"), words, percent).where("doc_id is not null")
+        judged = judged.join(names.select("_node", "_id"), F.col("doc_id") == F.col("_node"), "left")
+        judged = judged.select(F.coalesce("_id", "doc_id").alias("_id"), F.col("th").alias("_th"), "component_id")
+        copies = judged.groupBy("component_id", "_id", "_th").agg(F.count("*").alias("_rows"))
+        keep = copies.groupBy("component_id").agg(F.min(F.struct("_id", "_th", "_rows")).alias("k")).select("k.*")
+    else:
+        judged = near_duplicates(docs, words, percent).where("doc_id = component_id")
+        keep = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.min("th").alias("_th"), F.count("*").alias("_rows"))
+    keep = checkpointed(keep)
+    small = broadcast_if_small(keep, keep.count())
     kept = docs.join(small, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_th")))
     once = kept.where("_rows = 1").select(docs.columns)
-    again = kept.where("_rows > 1").dropDuplicates(["_id"]).select(docs.columns)
+    again = kept.where("_rows > 1").dropDuplicates(["_id", "_th"]).select(docs.columns)
     return once.unionByName(again).unionByName(docs.where("doc_id is null"))
 
 

@@ -248,6 +248,15 @@ def test_jaccard(spark, texts):
     assert sorted(str(i) for i in ids if i is not None) == sorted(want) and ids.count(None) == 2
 
 
+def test_texts_that_share_a_doc_id_are_judged_apart(spark):
+    rng = random.Random(31)
+    a, b, c, d = (words(rng, 60, 90_000) for _ in range(4))
+    rows = [(3, a), (5, a + " end"), (5, b), (6, c), (6, d), (6, d), (7, d + " end"), (8, None), (8, ""), (None, b)]
+    got = op4.keep_one_of_each(docs_frame(spark, rows)).select("doc_id", "text").collect()
+    want = [(3, a), (5, b), (6, c), (6, d), (8, None), (8, ""), (None, b)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_jaccard_empty(spark, texts):
     assert op4.near_duplicates(docs_frame(spark, texts).limit(0)).count() == 0
     assert [tuple(r) for r in op4.near_duplicates(docs_frame(spark, [(1, None)])).select("n_shingles", "component_id").collect()] == [(0, 1)]
