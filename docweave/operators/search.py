@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..sources.tables import rows_of
 
 
 def check_java_regex(spark: SparkSession, pattern: str) -> None:
@@ -85,7 +86,7 @@ def search_documents(
     order = ["_table_ord", *key]
     top = _tagged_union({name: df.select(*key) for name, df in hits.items()}).orderBy(*order).limit(limit)
     rows = _tagged_union({name: tables[name] for name in hits})
-    return rows.join(top, [*order, "source_table"], "left_semi").orderBy(*order).limit(limit).drop("_table_ord")
+    return rows_of(rows, top, [*order, "source_table"]).orderBy(*order).limit(limit).drop("_table_ord")
 
 
 def document_by_id(tables: Mapping[str, DataFrame], file_id: str | Column) -> DataFrame:

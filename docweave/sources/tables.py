@@ -109,6 +109,13 @@ def total_order(df: DataFrame) -> list[str]:
     return [c for c in ("upload_datetime", "file_id", "source_file") if c in df.columns]
 
 
+def rows_of(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose key columns are in ``keys``; a null is equal to a null."""
+    held = keys.select(*[F.col(c).alias(f"_of_{c}") for c in key])
+    on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key]
+    return df.join(held, on, "left_semi")
+
+
 def table_page(df: DataFrame, limit: int | None = None, offset: int = 0, order: list[str] | None = None) -> DataFrame:
     """Rows after skipping ``offset`` (only if > 0), at most ``limit`` (None = all), in a total
     order.  Negative values are rejected.
@@ -121,7 +128,7 @@ def table_page(df: DataFrame, limit: int | None = None, offset: int = 0, order:
     key = order or total_order(df)
     if limit is not None:
         page = df.select(*key).orderBy(*key).offset(offset).limit(limit)
-        return df.join(page, key, "left_semi").orderBy(*key).limit(limit)
+        return rows_of(df, page, key).orderBy(*key).limit(limit)
     if offset:
         skipped = df.select(F.struct(*key).alias("k")).orderBy("k").limit(offset)
         df = df.where(F.struct(*key) > skipped.agg(F.max("k")).scalar())
@@ -130,7 +137,7 @@ def table_page(df: DataFrame, limit: int | None = None, offset: int = 0, order:
 
 def page_after(df: DataFrame, last_key: tuple | None, limit: int, order: Sequence[str] | None = None) -> DataFrame:
     """Keyset paging: the next ``limit`` rows after ``last_key`` (a value for each column of the total order);
-    cost independent of depth."""
+    cost independent of depth.  Nulls come first, also in ``last_key``."""
     key = list(order or total_order(df))
     out = df
     if last_key is not None:
@@ -138,10 +145,11 @@ def page_after(df: DataFrame, last_key: tuple | None, limit: int, order: Sequenc
             raise ValueError(f"the last key needs {key}")
         later, same = F.lit(False), F.lit(True)
         for c, v in zip(key, last_key, strict=True):
-            later, same = later | (same & (F.col(c) > F.lit(v))), same & (F.col(c) == F.lit(v))
+            above = F.col(c).isNotNull() if v is None else F.coalesce(F.col(c) > F.lit(v), F.lit(False))
+            later, same = later | (same & above), same & F.col(c).eqNullSafe(F.lit(v))
         out = out.where(later)
     page = out.select(*key).orderBy(*key).limit(limit)
-    return out.join(page, key, "left_semi").orderBy(*key).limit(limit)
+    return rows_of(out, page, key).orderBy(*key).limit(limit)
 
 
 def page_counts(df: DataFrame, limit: int | None, offset: int = 0) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from docweave.operators import search as SR
 from docweave.operators import validate as VD
 from docweave.operators import vectors as VC
+from docweave.sources import tables as TB
 
 
 def test_file_size_rule(spark):
@@ -54,6 +55,19 @@ def _tables(spark):
     return {"pdf_documents": pdf, "txt_documents": txt}
 
 
+def test_null_keys_are_found(spark):
+    rows = [(None, "2024-01-01 00:00:00", "silver/pdfs/a.md"), ("p2", "2024-01-01 00:00:00", "silver/pdfs/b.md"), (None, None, "silver/c.md")]
+    pdf = spark.createDataFrame(rows, "file_id string, upload_datetime string, content string")
+    pdf = pdf.withColumn("upload_datetime", F.col("upload_datetime").cast("timestamp_ntz"))
+    got = SR.search_documents({"pdf_documents": pdf}, "silver", limit=3).collect()
+    assert [r.content for r in got] == ["silver/c.md", "silver/pdfs/a.md", "silver/pdfs/b.md"]
+    assert [r.content for r in TB.table_page(pdf, limit=2).collect()] == ["silver/c.md", "silver/pdfs/a.md"]
+    assert [r.content for r in TB.page_after(pdf, None, 2).collect()] == ["silver/c.md", "silver/pdfs/a.md"]
+    last = got[1]
+    assert [r.content for r in TB.page_after(pdf, (last.upload_datetime, None), 2).collect()] == ["silver/pdfs/b.md"]
+    assert [r.content for r in TB.page_after(pdf, (None, None), 2).collect()] == ["silver/pdfs/a.md", "silver/pdfs/b.md"]
+
+
 def test_search_documents(spark):
     t = _tables(spark)
     got = [(r.source_table, r.file_id) for r in SR.search_documents(t, "élan").collect()]
