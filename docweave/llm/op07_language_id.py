@@ -12,15 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import mix, read
+from .common import broadcast_if_small, mix, read
 
 UNDETERMINED = "und"
 GRAM = 4  # bytes, so that an n-gram is exactly one 32-bit number
 
-#: Bounds of the fit: labelled documents, and n-grams kept, per language; and the languages of a mask.
+#: Bounds of the fit: labelled documents, and n-grams kept, per language.
 MAX_DOCS_PER_LANG = 3_000
 MAX_GRAMS_PER_LANG = 30_000
-MAX_LANGS = 64
+MASK = 64  # languages of a mask word
 HASHES = 3
 
 _LOWERED = np.arange(256, dtype=np.uint8)
@@ -45,18 +45,19 @@ def grams_of(text: str) -> np.ndarray:
 
 
 class LanguageFilters:
-    """One Bloom filter per language, stored sliced: row r holds bit r of every language's filter."""
+    """One Bloom filter per language, stored sliced: row r holds bit r of every language's filter, in one word
+    for each 64 languages."""
 
     def __init__(self, grams: dict[str, np.ndarray], prior: str):
         self.langs = sorted(grams)
         self.prior = prior
         most = max([len(g) for g in grams.values()] or [1])
         self.bits = max(12, int(most * 16 - 1).bit_length())
-        self.rows = np.zeros(1 << self.bits, np.uint64)
+        self.rows = np.zeros((1 << self.bits, max(1, -(-len(self.langs) // MASK))), np.uint64)
         for k, lang in enumerate(self.langs):
             for at in self._places(grams[lang]):
-                self.rows[at] |= np.uint64(1 << k)
-        fill = [float(((self.rows >> np.uint64(k)) & np.uint64(1)).mean()) for k in range(len(self.langs))]
+                self.rows[at, k // MASK] |= np.uint64(1 << k % MASK)
+        fill = [float(((self.rows[:, k // MASK] >> np.uint64(k % MASK)) & np.uint64(1)).mean()) for k in range(len(self.langs))]
         self.false_rate = np.array(fill) ** HASHES
 
     def _places(self, grams: np.ndarray) -> list[np.ndarray]:
@@ -65,7 +66,7 @@ class LanguageFilters:
         return [(h >> np.uint64(21 * k)) & mask if 21 * k + self.bits <= 64 else mix(h, k) & mask for k in range(HASHES)]
 
     def masks(self, grams: np.ndarray) -> np.ndarray:
-        """For each n-gram the languages whose filter has it."""
+        """For each n-gram the languages whose filter has it, in mask words."""
         out = None
         for at in self._places(grams):
             got = self.rows[at]
@@ -74,9 +75,12 @@ class LanguageFilters:
 
     def shares(self, text: str) -> np.ndarray:
         """Per language, the share of the text's n-grams in its filter, corrected for false positives."""
-        masks, counts = np.unique(self.masks(grams_of(text)), return_counts=True)
-        has = (masks[:, None] >> np.arange(len(self.langs), dtype=np.uint64)) & np.uint64(1)
-        found = (has * counts[:, None].astype(np.uint64)).sum(0) / counts.sum()
+        found = []
+        for word in self.masks(grams_of(text)).T:
+            masks, counts = np.unique(word, return_counts=True)
+            has = (masks[:, None] >> np.arange(MASK, dtype=np.uint64)) & np.uint64(1)
+            found.append((has * counts[:, None].astype(np.uint64)).sum(0) / counts.sum())
+        found = np.concatenate(found)[: len(self.langs)]
         return np.clip((found - self.false_rate) / (1 - self.false_rate), 0.0, 1.0)
 
     def decide(self, text: str | None, has_letter: bool) -> tuple[str, float]:
@@ -98,11 +102,8 @@ def fit_filters(labelled: DataFrame, docs_per_lang: int = MAX_DOCS_PER_LANG, gra
     rows = labelled.select("doc_id", "lang", "text").dropna()
     first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = rows.select("doc_id", "lang").withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= docs_per_lang)
-    langs = picked.select("lang").distinct().limit(MAX_LANGS + 1).collect()
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    # at most docs_per_lang x MAX_LANGS narrow keys
-    sample = rows.join(F.broadcast(picked.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi")
+    ids = picked.select("doc_id", "lang").distinct()  # at most docs_per_lang narrow keys a language
+    sample = rows.join(broadcast_if_small(ids, ids.count()), ["doc_id", "lang"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,7 +145,7 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, text: str = "t
 
     Null texts and texts without a letter get ``und`` and 0; a text whose n-grams no filter has gets the
     most frequent language and 0; equal shares go to the first language by name.  Nothing is shuffled:
-    the filters (2^20 rows of 8 bytes at the default bounds) are broadcast."""
+    the filters (2^19 rows of 8 bytes for each 64 languages at the default bounds) are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -414,6 +414,15 @@ def test_language_ignores_labels_of_held_out(spark):
     assert op7.learn(docs).langs == ["en"]
 
 
+def test_more_languages_than_a_mask_word_has_bits(spark):
+    rng = random.Random(17)
+    say = lambda k, n: " ".join(chr(0x4E00 + 40 * k + rng.randrange(40)) * 2 for _ in range(n))
+    rows = [(10 * k + j, say(k, 60), f"l{k:03d}") for k in range(130) for j in range(4)]
+    filters = op7.fit_filters(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(filters.langs) == 130
+    assert all(filters.decide(say(k, 20), True)[0] == f"l{k:03d}" for k in range(130))
+
+
 def test_false_positive_correction():
     rng = np.random.default_rng(1)
     grams = {"a": rng.integers(0, 1 << 32, 30_000).astype(np.uint32), "b": rng.integers(0, 1 << 32, 300).astype(np.uint32)}
