@@ -1,9 +1,10 @@
 """Suffix-array dedup: byte strings of 50 that also start in a document with a smaller doc_id are removed.
 
-Prefix doubling on a content-defined sample of positions.  A position's rank names the string that starts
-there: 8 bytes are their own rank, and pairs of ranks at growing offsets (8, 16, ...) name twice the
-length.  Spark sorts the 20-byte ranks of sampled positions and drops those that are unique; the
-survivors are ranked again at 50 bytes, past the threshold, next to every position they stand for."""
+There are no rounds of Spark sorts over (position, rank) pairs and no global reranking.  Each task names strings
+by hash, doubling offsets (8, 16, 20 bytes) over its own text, so equal strings have equal names anywhere.
+A window of 50 bytes stands under the smallest of its 20-byte names (a minimizer); names that occur once are
+dropped, and the windows under a shared one are compared by one 50-byte hash name, sorted in Arrow groups
+(``repeats.py``)."""
 
 from __future__ import annotations
 

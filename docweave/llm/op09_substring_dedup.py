@@ -1,6 +1,9 @@
 """Substring dedup by recompression: rounds of run and pair naming give equal word sequences equal interior
 symbols; windows of 50 words that share their highest symbol are compared whole.
 
+No Spark round names anything: each task runs all four rounds (symbols of at most 8 words) over its own text, to
+choose a minimizer-like anchor for each window; Spark only brings equal anchors together (``repeats.py``).
+
 A name is a hash of the names it replaces, so it is the same wherever the same words were merged, in any
 task, without a table of names.  Whether two neighbours merge depends on their names and spans alone:
 a run of one name merges when it spans at most the round's cap, a pair merges when the first is "left",
