@@ -28,6 +28,14 @@ def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def bound_bytes(spark: SparkSession, megabytes: int = 16) -> None:
+    """Bytes of an Arrow batch, where neither the session nor its launcher has set them: a batch of long texts is
+    cut by what it holds, one of short texts by its rows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in {r["key"] for r in spark.sql("SET").collect()}:
+        spark.conf.set(key, str(megabytes << 20))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
