@@ -15,6 +15,7 @@ _MODULES = {
     "op8_quality_classifier": "op08_quality_classifier",
     "op9_substring_dedup": "op09_substring_dedup",
     "op10_embedding_neardup": "op10_embedding_neardup",
+    "op11_hard_negatives": "op11_hard_negatives",
     "op12_sentencepiece": "op12_sentencepiece",
     "op13_fill_in_middle": "op13_fill_in_middle",
 }
