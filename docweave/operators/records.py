@@ -190,3 +190,69 @@ def extract_with(files: DataFrame, extractor: Callable[[bytes], tuple[str | None
             yield pdf
 
     return files.mapInPandas(run, out_schema)
+
+
+PAGES = [
+    T.StructField("page_no", T.IntegerType()),
+    T.StructField("page_text", T.StringType()),
+    T.StructField("page_error", T.StringType()),
+]
+PAGES_AT_ONCE = 1000
+
+
+def extract_pages(files: DataFrame, paginate: Callable[[bytes], list], read_page: Callable[[object], str | None], content_col: str = "content") -> DataFrame:
+    """T9 page by page: one row for each page of each file: the files' columns without the bytes, ``page_no`` (from
+    1), ``page_text`` and ``page_error``.
+
+    ``paginate`` gives a file's pages (any objects), ``read_page`` the text of one.  A page that fails costs that
+    page; a file whose ``paginate`` fails, or that has no pages, is one row with page_no 0.  A file's rows leave the
+    task as they are read, PAGES_AT_ONCE at a time, so a file of any number of pages is never held as a frame."""
+    keep = [f for f in files.schema.fields if f.name != content_col]
+    schema = T.StructType(keep + PAGES)
+
+    def pages(data) -> Iterator[tuple[int, str | None, str | None]]:
+        try:
+            own = paginate(None if data is None else bytes(data))
+        except Exception as exc:  # noqa: BLE001 - isolate per file
+            yield 0, None, f"{type(exc).__name__}: {exc}"
+            return
+        n = 0
+        for n, page in enumerate(own, 1):
+            try:
+                yield n, read_page(page), None
+            except Exception as exc:  # noqa: BLE001 - isolate per page
+                yield n, None, f"{type(exc).__name__}: {exc}"
+        if not n:
+            yield 0, None, None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [f.name for f in keep]
+        for pdf in batches:
+            rows: list[tuple] = []
+            for own, data in zip(pdf[names].itertuples(index=False, name=None), pdf[content_col], strict=True):
+                for page in pages(data):
+                    rows.append((*own, *page))
+                    if len(rows) == PAGES_AT_ONCE:
+                        yield pd.DataFrame(rows, columns=schema.names)
+                        rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=schema.names)
+
+    return files.mapInPandas(run, schema)
+
+
+def join_pages(pages: DataFrame, key: str) -> DataFrame:
+    """(key, text, page_count, failed_pages, error) for each file of ``extract_pages`` rows: its page texts in order,
+    joined by a blank line; pages without text (and failed ones) are left out but counted.  A file that could not be
+    opened has its error and 0 pages, one whose pages all failed the first page's error.  T9's fallback and marker
+    follow on ``text``."""
+    some = F.when(F.col("page_text") != "", F.col("page_text"))
+    bad = F.col("page_error").isNotNull()
+    held = pages.withColumns({"_some": some, "_bad": bad, "_real": F.col("page_no") > 0})
+    return held.groupBy(key).agg(
+        F.coalesce(F.expr("listagg(_some, '\n\n') WITHIN GROUP (ORDER BY page_no)"), F.lit("")).alias("text"),
+        F.count_if("_real").cast("int").alias("page_count"),
+        F.count_if(F.col("_real") & F.col("_bad")).cast("int").alias("failed_pages"),
+        F.min(F.when(F.col("_bad"), F.struct("page_no", "page_error"))).alias("_first"),
+        F.count_if(~F.col("_bad")).alias("_good"),
+    ).select(key, "text", "page_count", "failed_pages", F.when(F.col("_good") == 0, F.col("_first.page_error")).alias("error"))

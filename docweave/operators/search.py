@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import reliable_checkpoint
 from ..sources.tables import rows_of
 
 
@@ -96,13 +97,18 @@ def document_by_id(tables: Mapping[str, DataFrame], file_id: str | Column) -> Da
     return u.orderBy("_table_ord", *key_of(tables)).limit(1).drop("_table_ord")
 
 
+#: Rows looked up whose keys are broadcast to the tables' scans (some 100 bytes each).
+MAX_BROADCAST_KEYS = 200_000
+
+
 def documents_by_ids(tables: Mapping[str, DataFrame], requests: DataFrame) -> DataFrame:
     """Q2, batch form: one row per requested ``file_id``; ``source_table`` and the document columns
-    are null when no table holds it.
+    are null when no table holds it (or the id is null).
 
     The winning row of each id is found on its key alone: one aggregation over the tables' key columns with a
-    marker row for each request, combined before its shuffle, so a hot id is one row a task.  Contents pass
-    one join, on the winners' whole keys."""
+    marker row for each request, combined before its shuffle, so a hot id is one row a task.  The winners' keys
+    are counted; up to a bound they are broadcast to the tables, so no content is shuffled, beyond it Spark joins
+    them by shuffle."""
     key = key_of(tables)
     rest = [c for c in key if c != "file_id"] + ["source_table"]
     keys = _tagged_union({name: df.select(*key) for name, df in tables.items()})
@@ -114,8 +120,13 @@ def documents_by_ids(tables: Mapping[str, DataFrame], requests: DataFrame) -> Da
         .groupBy("file_id")
         .agg(F.max("_asked").alias("_asked"), F.min("_best").alias("_best"))
         .where("_asked")
-        .select(F.col("file_id").alias("_file_id"), *[F.col(f"_best.{c}").alias(f"_{c}") for c in rest])
+        .select("file_id", (F.col("_best").isNotNull() & F.col("file_id").isNotNull()).alias("_found"), "_best")
     )
+    first = reliable_checkpoint(first)
+    winners = first.where("_found").select(F.col("file_id").alias("_of_file_id"), *[F.col(f"_best.{c}").alias(f"_of_{c}") for c in rest])
+    if winners.count() <= MAX_BROADCAST_KEYS:
+        winners = F.broadcast(winners)
     rows = _tagged_union(tables).drop("_table_ord")
-    found = first.join(rows, [F.col(c) == F.col(f"_{c}") for c in ["file_id", *rest]], "left")
-    return found.select(*[F.coalesce("_file_id").alias(c) if c == "file_id" else c for c in rows.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in ["file_id", *rest]]
+    found = rows.join(winners, on, "left_semi")
+    return found.unionByName(first.where("not _found").select("file_id"), allowMissingColumns=True)

@@ -73,12 +73,23 @@ def extension_rule(filename: Column, file_type: Column | str) -> Column:
     return F.when(ok, _none()).otherwise(_fail(400, msg))
 
 
-def upload_gate(candidates: DataFrame, listing: DataFrame, max_mb: float = S.MAX_FILE_SIZE_MB) -> DataFrame:
+def content_hashes(candidates: DataFrame) -> DataFrame:
+    """The hashes that the TXT table would hold for the candidates' bytes (a PDF's is that of its extracted text,
+    which an upload does not know yet)."""
+    return candidates.where("file_type = 'txt'").select(F.md5("content").alias("content_hash")).distinct()
+
+
+def upload_gate(
+    candidates: DataFrame, listing: DataFrame, max_mb: float = S.MAX_FILE_SIZE_MB, stored: DataFrame | None = None
+) -> DataFrame:
     """Per request (``filename``, ``file_type``, ``content``): extension -> size -> content
     -> already present (409) -> accepted (201).  Returns filename, file_type, status_code, detail,
     file_size, upload_path, content_type.  PDF structure validation needs a PDF parser and is not
     part of this gate.  The rules on a file's own bytes run where it is read; only their verdict, not the
-    bytes, goes through the existence test, a left join on the object key."""
+    bytes, goes through the existence test, a left join on the object key.
+
+    With ``stored`` (content_hash, source_file; see ``tables.content_conflicts``) a TXT file whose bytes a table
+    already holds, under any name, conflicts too (409)."""
     size = F.octet_length("content").cast("long")
     is_txt = F.col("file_type") == "txt"
     own = F.coalesce(
@@ -92,13 +103,21 @@ def upload_gate(candidates: DataFrame, listing: DataFrame, max_mb: float = S.MAX
         F.concat(F.col("file_type"), F.lit("s/"), F.col("filename")).alias("upload_path"),
         size.alias("file_size"),
         own.alias("_own"),
+        *([F.when(is_txt, F.md5("content")).alias("_hash")] if stored is not None else []),
     )
     present = listing.select(F.col("name").alias("upload_path")).distinct().withColumn("_present", F.lit(True))
     j = judged.join(present, on="upload_path", how="left")
     exists = F.concat(F.lit("File '"), F.col("filename"), F.lit("' already exists"))
+    held = _none()
+    if stored is not None:
+        same = stored.groupBy(F.col("content_hash").alias("_hash")).agg(F.min("source_file").alias("_stored_as"))
+        j = j.join(same, on="_hash", how="left")
+        again = F.concat(F.lit("Content of '"), F.col("filename"), F.lit("' is already stored as '"), F.col("_stored_as"), F.lit("'"))
+        held = F.when(F.col("_stored_as").isNotNull(), _fail(409, again)).otherwise(_none())
     verdict = F.coalesce(
         F.col("_own"),
         F.when(F.col("_present"), _fail(409, exists)).otherwise(_none()),
+        held,
         _fail(201, F.concat(F.upper(F.col("file_type")), F.lit(" file uploaded successfully"))),
     )
     ctype = F.when(F.col("file_type") == "pdf", F.lit(LS.CONTENT_TYPES["pdf"])).otherwise(F.lit(LS.CONTENT_TYPES["txt"]))

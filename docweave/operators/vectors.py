@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import text as TX
+from ..session import reliable_checkpoint
 
 MAX_QUERIES_PER_PASS = 2048  # broadcast bound: 2048 x 768 doubles = 12.6 MB
 
@@ -358,7 +359,9 @@ def save_points(points: DataFrame, path: str, dim: int | None = None) -> None:
     points = points.select(*[c if c in points.columns else F.lit(None).cast(S.POINT_SCHEMA[c].dataType).alias(c) for c in S.POINT_SCHEMA.names])
     held = _manifest(spark, path)
     if dim is None:
-        dim = held["dim"] if held else points.agg(F.max(F.size("embedding"))).first()[0] or S.VECTOR_SIZE
+        dim = held["dim"] if held else points.agg(F.max(F.size("embedding"))).first()[0]
+        if dim is None:
+            return  # no point, and no collection to be of one size with
     ensure_collection(spark, path, dim)
     manifest = _manifest(spark, path)
     new = check_dimension(points, dim)
@@ -468,21 +471,74 @@ def embed_chunks(
 ) -> DataFrame:
     """Adds ``out_col`` (array<float>) by calling ``embedder`` on batches of texts inside the
     tasks.  After a failing call its texts are tried one by one; one that fails alone gets a null (the job goes
-    on).  ``pause_seconds`` is a
-    per-task pause after each call, so the global call rate is bounded by tasks / pause."""
+    on).  A task waits ``pause_seconds`` before each call, also of those one by one, so the calls of all tasks
+    together come at no more than tasks / pause a second."""
     out_schema = T.StructType(list(chunks.schema.fields) + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
 
+    def paced(texts: list[str]) -> list:
+        if pause_seconds:
+            time.sleep(pause_seconds)
+        return embedder(texts)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf[text_col].tolist()
             vecs: list = []
             for i in range(0, len(texts), batch_size):
                 part = texts[i : i + batch_size]
-                vecs.extend(embed_isolated(embedder, [t if t is not None else "" for t in part]))
-                if pause_seconds:
-                    time.sleep(pause_seconds)
+                vecs.extend(embed_isolated(paced, [t if t is not None else "" for t in part]))
             pdf = pdf.copy()
             pdf[out_col] = vecs
             yield pdf
 
     return chunks.mapInPandas(run, out_schema)
+
+
+# A content-addressed store of vectors: one row for each (model, text) that was ever embedded.
+VECTORS = "text_hash string, embedding array<float>, model string"
+
+
+def text_hash(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def stored_vectors(spark, path: str, model: str) -> DataFrame:
+    """(text_hash, embedding) of a model's vectors in the store."""
+    fs, p, _ = _hadoop(spark, path)
+    held = spark.read.schema(VECTORS).parquet(path) if fs.exists(p) else spark.createDataFrame([], VECTORS)
+    return held.where(F.col("model") == model).select("text_hash", "embedding")
+
+
+def embed_reusing(
+    chunks: DataFrame,
+    embedder: Embedder,
+    store: str,
+    model: str,
+    text_col: str = "chunk_text",
+    out_col: str = "embedding",
+    batch_size: int = 64,
+    calls_per_second: float | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
+    """T3 with a memory: adds ``out_col`` like ``embed_chunks``, but asks the embedder only for texts that ``store``
+    has no vector of ``model`` for, each distinct text once.
+
+    New vectors are appended to the store before the result is read from it, so neither a second run nor a lost
+    executor calls the model again.  A text that fails has no vector, is not stored, and is tried by the next run;
+    a null text counts as empty.  With ``calls_per_second`` the calls of all tasks together stay under that rate, but
+    for one call a task at once: the distinct texts are dealt to ``tasks`` tasks (the session's parallelism by default) and each spends its
+    share of the rate, whatever the number of texts.  A hot text is embedded once and its vector is joined to every
+    chunk by hash; AQE splits the skewed side."""
+    spark = chunks.sparkSession
+    hashed = chunks.withColumn("_hash", text_hash(F.col(text_col)))
+    texts = hashed.groupBy("_hash").agg(F.first(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
+    held = stored_vectors(spark, store, model)
+    new = texts.join(held.select(F.col("text_hash").alias("_hash")), "_hash", "left_anti")
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    pause = tasks / calls_per_second if calls_per_second else 0.0
+    made = embed_chunks(new.repartition(tasks), embedder, "_text", "_vector", batch_size, pause).where("_vector is not null")
+    rows = reliable_checkpoint(made.select(F.lit(model).alias("model"), F.col("_hash").alias("text_hash"), F.col("_vector").alias("embedding")))
+    if not rows.isEmpty():
+        rows.hint("rebalance").write.mode("append").partitionBy("model").parquet(store)
+    vectors = stored_vectors(spark, store, model).groupBy(F.col("text_hash").alias("_hash")).agg(F.first("embedding").alias(out_col))
+    return hashed.drop(out_col).join(vectors, "_hash", "left").drop("_hash")

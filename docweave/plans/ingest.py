@@ -9,6 +9,7 @@ registered queries run; ``ingest_files`` adds the appends.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -35,13 +36,23 @@ def _status(file_id: Column, filename: Column, failed_reason: Column, ok_message
     ]
 
 
+#: What tells one version of a staged file from another; carried through a plan where the files have it.
+IDENTITY = ("path", "modificationTime", "length")
+
+
+def _identity(files: DataFrame) -> list[str]:
+    return [c for c in IDENTITY if c in files.columns]
+
+
 def txt_ingest_plan(files: DataFrame, run_ts: Column, run_epoch: Column | None = None, reject_empty: bool = False) -> DataFrame:
     """T12 for a batch: ``files(object_name, content)`` -> record columns + ``_status``.
     Unreadable (null) and, with ``reject_empty``, empty files fail; any other bytes decode."""
     f = files.withColumn("filename", TX.basename("object_name")).withColumn("upload_datetime", run_ts.cast("timestamp_ntz"))
     empty = F.when(F.octet_length("content") == 0, F.lit(S.MSG_FILE_EMPTY)) if reject_empty else F.lit(None)
     reason = F.when(F.col("content").isNull(), F.lit("unreadable file")).otherwise(empty)
-    rec = f.select(*RC.txt_record_columns(run_epoch), reason.alias("_reason"), "object_name", F.col("content").alias("_bytes"))
+    rec = f.select(
+        *RC.txt_record_columns(run_epoch), reason.alias("_reason"), "object_name", F.col("content").alias("_bytes"), *_identity(files)
+    )
     st = _status(F.col("file_id"), F.col("source_file"), F.col("_reason"), S.MSG_TXT_OK, run_ts)
     return rec.select("*", F.struct(*st).alias("_status"))
 
@@ -60,6 +71,7 @@ def pdf_ingest_plan(extracted: DataFrame, run_ts: Column, run_epoch: Column | No
         "object_name",
         (F.col("content") if "content" in f.columns else F.lit(None).cast("binary")).alias("_bytes"),
         F.col("summarize_details").isNotNull().alias("vectorized"),
+        *_identity(extracted),
     )
     st = _status(F.col("file_id"), F.col("source_file"), F.col("_reason"), S.MSG_PDF_OK, run_ts)
     return rec.select("*", F.struct(*st).alias("_status"))
@@ -68,7 +80,7 @@ def pdf_ingest_plan(extracted: DataFrame, run_ts: Column, run_epoch: Column | No
 def status_rows(plan: DataFrame, file_type: str | None = None, with_object: bool = False) -> DataFrame:
     cols = [F.col("_status.*")]
     if with_object:
-        cols.append(F.col("object_name"))
+        cols += [F.col("object_name"), *map(F.col, _identity(plan))]
     if file_type is not None:
         cols.append(F.lit(file_type).alias("file_type"))
     if "vectorized" in plan.columns:
@@ -134,15 +146,19 @@ def ingest_files(
     summarizer: Callable[[str], str | None] | None = None,
     embedder: VC.Embedder | None = None,
     collection: str | None = None,
+    run_id: str | None = None,
+    batch_id: int = 0,
 ) -> DataFrame:
     """Process one batch of staged files (object_name, content) of one type; returns a status row per file.
 
     Records are appended once for the batch (see ``append_documents``), a PDF's text goes to the silver table,
     and with an embedder a PDF's summary is vectorized into ``collection``: ``vectorized`` says whether points of
     it were written.  Files that fail, empty ones among them, are copied with their bytes to
-    ``{warehouse}/quarantine`` before the batch ends."""
+    ``{warehouse}/quarantine`` before the batch ends, into a partition of this run (a new one unless named) and
+    batch, so no other batch's files are overwritten.  ``files`` may carry path, modificationTime and length; the
+    status rows then have them, too."""
     ts = F.lit(run_ts).cast("timestamp_ntz")
-    files = files.select("object_name", "content")
+    files = files.select("object_name", "content", *_identity(files))
     if file_type == "txt":
         plan = txt_ingest_plan(files, ts, reject_empty=True)
         table = S.TXT_TABLE
@@ -158,12 +174,13 @@ def ingest_files(
     else:
         raise ValueError(S.MSG_BAD_TYPE)
     plan = reliable_checkpoint(plan)  # extraction runs once even if an executor is lost later
-    bad = quarantined(plan).withColumn("file_type", F.lit(file_type)).withColumn("run_ts", F.lit(run_ts))
+    keys = {"file_type": F.lit(file_type), "run_id": F.lit(run_id or uuid.uuid4().hex), "batch_id": F.lit(batch_id).cast("long")}
+    bad = quarantined(plan).withColumn("run_ts", F.lit(run_ts)).withColumns(keys)
     if not bad.isEmpty():
         (
             bad.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("file_type", "run_ts")
+            .partitionBy(*keys)
             .parquet(warehouse.rstrip("/") + "/quarantine")
         )
     TB.append_documents(record_rows(plan, table), warehouse, table)

@@ -518,6 +518,27 @@ def q_upload_gate(spark, sf_dir):
     return VD.upload_gate(FX.upload_candidates(spark, sf_dir), _listing(spark, sf_dir), SIZE_LIMIT_MB)
 
 
+@register(
+    "upload_gate_conflict",
+    FX.sql_with("upload_candidates", "txt_documents")
+    + """
+SELECT c.filename, CASE WHEN t.source_file IS NULL THEN 201 ELSE 409 END AS status_code,
+  CASE WHEN t.source_file IS NULL THEN 'TXT file uploaded successfully'
+       ELSE 'Content of ''' || c.filename || ''' is already stored as ''' || t.source_file || '''' END AS detail
+FROM (SELECT *, doc_id % 10 AS k FROM upload_candidates WHERE file_type = 'txt') c
+LEFT JOIN (SELECT content_hash, arg_min(source_file, (upload_datetime, file_id, source_file)) AS source_file
+  FROM txt_documents WHERE file_size % 2 = 0 GROUP BY content_hash) t ON t.content_hash = md5(c.content)
+WHERE c.k > 2""",
+)
+def q_upload_gate_conflict(spark, sf_dir):
+    # The stored table holds about half of the contents that are uploaded under new names.
+    root = _stored(spark, FX.txt_documents(spark, sf_dir).where("file_size % 2 = 0"), S.TXT_TABLE)
+    c = FX.upload_candidates(spark, sf_dir).where("file_type = 'txt' AND doc_id % 10 > 2")
+    held = TB.content_conflicts(spark, root, S.TXT_TABLE, VD.content_hashes(c))
+    gate = VD.upload_gate(c, _listing(spark, sf_dir), stored=held)
+    return gate.select("filename", "status_code", "detail")
+
+
 @register(
     "delete_plan",
     FX.sql_with("staged_files", extra=f"listing AS ({_LISTING_SQL})")
@@ -635,6 +656,27 @@ def q_extract_fallback(spark, sf_dir):
     return s.select("doc_id", RC.extraction_fallback(primary, secondary, F.col("doc_id") % 15 == 6).alias("text"))
 
 
+@register(
+    "extract_pages",
+    FX.sql_with("staged_files")
+    + """
+SELECT object_name, coalesce(string_agg(p, chr(10) || chr(10) ORDER BY n) FILTER (WHERE length(p) % 7 <> 3 AND p <> ''), '') AS text,
+  CAST(count(*) AS INTEGER) AS page_count, CAST(count(*) FILTER (WHERE length(p) % 7 = 3) AS INTEGER) AS failed_pages,
+  CASE WHEN count(*) = count(*) FILTER (WHERE length(p) % 7 = 3) THEN 'ValueError: page of ' || arg_min(length(p), n) END AS error
+FROM (SELECT object_name, unnest(pages) AS p, unnest(range(len(pages))) AS n
+  FROM (SELECT object_name, string_split(text, '. ') AS pages FROM staged_files WHERE file_type = 'pdf')) GROUP BY object_name""",
+)
+def q_extract_pages(spark, sf_dir):
+    # A sentence is a page here; pages of some lengths cannot be read and cost only themselves.
+    def read_page(page):
+        if len(page) % 7 == 3:
+            raise ValueError(f"page of {len(page)}")
+        return page
+
+    s = FX.staged_files(spark, sf_dir).where(F.col("file_type") == "pdf").select("object_name", "content")
+    return RC.join_pages(RC.extract_pages(s, lambda data: data.decode().split(". "), read_page), "object_name")
+
+
 @register(
     "pdf_records_legacy",
     FX.sql_with("staged_files", extra=f"""_legacy AS (
@@ -659,6 +701,7 @@ def q_pdf_records_legacy(spark, sf_dir):
 # S7-S11 table reads, A1 statistics, Q2 lookup
 # ---------------------------------------------------------------------------------------------
 
+from ..sources import statistics as ST  # noqa: E402
 from ..sources import tables as TB  # noqa: E402
 
 
@@ -746,6 +789,39 @@ def q_append_dedupe(spark, sf_dir):
     return TB.plan_append(batch.drop("lang"), held).drop("file_id")
 
 
+@register(
+    "append_pruned",
+    FX.sql_with("txt_documents")
+    + """
+SELECT * REPLACE (md5(content || 'again') AS content_hash, content || 'again' AS content, 2 AS version)
+FROM txt_documents WHERE strftime(upload_datetime, '%Y-%m-%d') <= '2024-01-04'
+UNION ALL
+SELECT * REPLACE ('new_' || source_file AS source_file) FROM txt_documents WHERE strftime(upload_datetime, '%Y-%m-%d') <= '2024-01-02'""",
+)
+def q_append_pruned(spark, sf_dir):
+    # Into a stored table: its own rows again, some of its names with new bytes, and some new names.
+    t = FX.txt_documents(spark, sf_dir)
+    root = _stored(spark, t, S.TXT_TABLE)
+    day = F.date_format("upload_datetime", "yyyy-MM-dd")
+    changed = F.concat("content", F.lit("again"))
+    again = t.where(day <= "2024-01-04").withColumns({"content": changed, "content_hash": F.md5(changed)})
+    new = t.where(day <= "2024-01-02").withColumn("source_file", F.concat(F.lit("new_"), "source_file"))
+    return TB.append_documents(t.unionByName(again).unionByName(new), root, S.TXT_TABLE)
+
+
+@register(
+    "table_page_deep",
+    FX.sql_with("txt_documents", "staged_files")
+    + f"SELECT * FROM ({_TWINS}) ORDER BY upload_datetime, file_id, source_file LIMIT 40 OFFSET 120",
+)
+def q_table_page_deep(spark, sf_dir):
+    # Many rows share upload time and id here; the offset is found by counts of key ranges of at most 20 rows.
+    t = FX.txt_documents(spark, sf_dir).withColumn("upload_epoch", TX.epoch_seconds("upload_datetime"))
+    day = F.make_dt_interval((F.floor(F.col("upload_epoch") / 86400) % 5).cast("int"))
+    t = t.withColumn("upload_datetime", F.lit("2024-01-01").cast("timestamp_ntz") + day).drop("upload_epoch")
+    return TB.table_page(t.withColumn("file_id", F.substring("file_id", 1, 5)), limit=40, offset=120, deep=20)
+
+
 @register(
     "table_schema",
     """
@@ -788,6 +864,19 @@ def q_table_statistics(spark, sf_dir):
     return p.unionByName(t)
 
 
+@register(
+    "table_statistics_stored",
+    FX.sql_with("txt_documents") + _stats_sql("txt_documents", S.TXT_TABLE),
+)
+def q_table_statistics_stored(spark, sf_dir):
+    # Kept by month: a first part of the table is counted, then only the months that the rest was added to.
+    t = FX.txt_documents(spark, sf_dir)
+    root = _stored(spark, t.where("file_size % 3 > 0"), S.TXT_TABLE)
+    ST.refresh_statistics(spark, root, S.TXT_TABLE)
+    TB.append_documents(t.where("file_size % 3 = 0"), root, S.TXT_TABLE)
+    return ST.stored_statistics(spark, root, S.TXT_TABLE).drop("distinct_estimate")
+
+
 _LOOKUP_NAME = "doc_1-src1.v1.txt"
 
 
@@ -836,6 +925,7 @@ def q_documents_by_ids(spark, sf_dir):
 # Q3 vector search, W6-W7 points, A4 info, T3-T6 embedding
 # ---------------------------------------------------------------------------------------------
 
+from ..operators import pivots as PV  # noqa: E402
 from ..operators import vectors as VC  # noqa: E402
 
 _PAYLOAD = "point_id, vec_id, source, chunk_index, label"
@@ -894,6 +984,22 @@ def q_vector_search_batch(spark, sf_dir):
     return _round_score(VC.vector_search_batch(pts, queries, k=10, score_threshold=0.0))
 
 
+@register(
+    "vector_search_pruned",
+    FX.sql_with("points")
+    + f"""
+SELECT {_PAYLOAD}, round(score, 6) AS score FROM (
+  SELECT *, list_cosine_similarity(embedding::DOUBLE[], {_QVEC}) AS score FROM points WHERE embedding IS NOT NULL)
+WHERE score >= 0.0 ORDER BY score DESC, point_id LIMIT 10""",
+)
+def q_vector_search_pruned(spark, sf_dir):
+    pts = FX.points(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/pivots-{uuid.uuid4().hex}"
+    PV.build_index(pts, path)
+    query = pts.where("vec_id = 0").select("embedding").first()[0]
+    return _round_score(PV.PivotIndex(spark, path).search(query, limit=10, score_threshold=0.0))
+
+
 @register(
     "collection_info",
     FX.sql_with("points")
@@ -973,6 +1079,19 @@ def q_embed_chunks(spark, sf_dir):
     return VC.embed_chunks(CH.chunk_text(t, "content", ["file_id"]), VC.md5_embedder)
 
 
+@register(
+    "embed_reusing",
+    FX.sql_with("txt_documents", recursive=True, extra=chunk_sql("txt_documents", "file_id", "content").strip())
+    + f"SELECT *, {_MD5_VECTOR} AS embedding FROM chunks",
+)
+def q_embed_reusing(spark, sf_dir):
+    # Half of the chunks first, then all of them: the second call embeds only what the store does not have.
+    chunks = CH.chunk_text(FX.txt_documents(spark, sf_dir).select("file_id", "content"), "content", ["file_id"])
+    store = f"{ensure_checkpoint_dir(spark)}/vectors-{uuid.uuid4().hex}"
+    VC.embed_reusing(chunks.where("chunk_index % 2 = 0"), VC.md5_embedder, store, "md5")
+    return VC.embed_reusing(chunks, VC.md5_embedder, store, "md5")
+
+
 def _points_sql(kind: str, key: str) -> str:
     h = f"md5('{kind}#' || {key} || '#' || chunk_index)"
     parts = [f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
@@ -1199,3 +1318,31 @@ SELECT * EXCLUDE (_ord) FROM (
 def q_search_documents_resolved(spark, sf_dir):
     # PDF rows matched on their extracted (silver) text instead of the stored path
     return SR.search_documents(_doc_tables(spark, sf_dir), SEARCH_QUERY, limit=S.DEFAULT_LIMIT, silver=FX.silver_documents(spark, sf_dir))
+
+
+from ..operators import trigrams as TG  # noqa: E402
+
+_INDEXED_QUERY = "licen[cs]e|worth(less|while)"
+
+
+@register(
+    "search_indexed",
+    FX.sql_with("pdf_documents", "txt_documents")
+    + f"""
+SELECT * EXCLUDE (_ord) FROM (
+  SELECT *, strftime(upload_datetime, '%Y-%m') AS upload_month, 'pdf_documents' AS source_table, 0 AS _ord FROM pdf_documents
+  WHERE regexp_matches(content, '{_INDEXED_QUERY}', 'i')
+  UNION ALL BY NAME
+  SELECT *, strftime(upload_datetime, '%Y-%m') AS upload_month, 'txt_documents' AS source_table, 1 AS _ord FROM txt_documents
+  WHERE regexp_matches(content, '{_INDEXED_QUERY}', 'i')
+) ORDER BY _ord, upload_datetime, file_id, source_file LIMIT 100""",
+)
+def q_search_indexed(spark, sf_dir):
+    # Both tables stored; one is indexed whole, the other before half of it was added.
+    pdf, txt = FX.pdf_documents(spark, sf_dir), FX.txt_documents(spark, sf_dir)
+    root = _stored(spark, txt.where("file_size % 2 = 0"), S.TXT_TABLE)
+    TB.append_documents(pdf, root, S.PDF_TABLE)
+    for name in S.DOCUMENT_TABLES:
+        TG.update_index(spark, root, name)
+    TB.append_documents(txt.where("file_size % 2 = 1"), root, S.TXT_TABLE)
+    return TG.search_indexed(spark, root, _INDEXED_QUERY, 100)

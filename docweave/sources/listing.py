@@ -8,11 +8,7 @@ and combined listings are filters and unions over any listing (on disk or a fixt
 
 from __future__ import annotations
 
-import fnmatch
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,74 +28,72 @@ BINARY_SCHEMA = T.StructType(
 )
 
 
-FILE_SCHEMA = "path string, is_dir boolean, length long, modificationTime timestamp"
-
+def file_system(spark: SparkSession, location: str):
+    """The Hadoop file system of a location (with Spark's own credentials) and its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(path)
 
-def _list_folder(folder: str, recursive: bool) -> pd.DataFrame:
-    """Entries under one folder, by the Arrow file system of its scheme; no such folder, no entries."""
-    from pyarrow import fs as afs
-
-    scheme = folder.split("://")[0] + "://" if "://" in folder else ""
-    system, path = afs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
-    found = system.get_file_info(afs.FileSelector(path, allow_not_found=True, recursive=recursive))
-    rows = [
-        (
-            (scheme or "") + f.path if scheme != "file://" else f.path,
-            f.type == afs.FileType.Directory,
-            0 if f.size is None else f.size,
-            f.mtime,
-        )
-        for f in found
-    ]
-    out = pd.DataFrame(rows, columns=["path", "is_dir", "length", "modificationTime"])
-    return out.astype({"is_dir": bool, "length": "int64", "modificationTime": "datetime64[us, UTC]"})
 
+def name_under(spark: SparkSession, root: str, path: Column) -> Column:
+    """The key of ``path`` relative to ``root``, which may be relative itself or remote."""
+    whole = file_system(spark, root)[1].toString().rstrip("/") + "/"
+    return F.substring(path, F.lit(len(whole) + 1), F.length(path))
 
-def list_files(spark: SparkSession, location: str) -> DataFrame:
-    """(path, length, modificationTime) of every file under ``location``, empty ones included, listed by tasks:
-    one lists the first level, then each folder found there is walked in a task of its own.  Nothing of it
-    passes through the driver."""
 
-    def lister(recursive: bool):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for folder in pdf["path"]:
-                    yield _list_folder(folder, recursive)
+def indexed_files(scan: DataFrame) -> DataFrame:
+    """(value): the names, as URIs, in a file scan's index, which the driver holds, empty files among them.  They
+    come over as one string: names by the million would be as many calls."""
+    spark = scan.sparkSession
+    names = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", scan._jdf.inputFiles())
+    return spark.createDataFrame([(n,) for n in names.split("\n") if n], "value string")
 
-        return run
 
-    top = spark.createDataFrame([(location,)], "path string").mapInPandas(lister(False), FILE_SCHEMA)
-    folders = top.where("is_dir").select("path").repartition(spark.sparkContext.defaultParallelism, "path")
-    return top.unionByName(folders.mapInPandas(lister(True), FILE_SCHEMA)).where("not is_dir").drop("is_dir")
-
-
-def _empty_files(spark: SparkSession, location: str, glob: str | None) -> DataFrame:
-    """Zero-byte files under ``location``: Spark's file scan skips them, but a listing must show
-    them (and an empty upload must fail validation, not vanish)."""
-    name = F.substring_index("path", "/", -1)
-    empty = list_files(spark, location).where("length = 0").where(~name.rlike("^[._]"))
-    if glob:
-        empty = empty.where(name.rlike(fnmatch.translate(glob).replace(r"\Z", "$").replace(r"\z", "$")))
-    return empty.select("path", "modificationTime", "length", F.lit(b"").alias("content"))
+def _empty_files(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """The zero-byte files under a scan: Spark's file index lists them, but the scan skips them (and an empty
+    upload must fail validation, not vanish).  They are the index's names without the scan's; only they are
+    fetched one by one, for their times."""
+    every = indexed_files(scan)
+    # the index gives URIs; a plus sign stands for itself there
+    path = F.url_decode(F.replace(F.col("value"), F.lit("+"), F.lit("%2B")))
+    rows = []
+    for (name,) in every.select(path.alias("path")).join(scan.select("path"), "path", "left_anti").collect():
+        fs, p = file_system(spark, name)
+        if fs.exists(p):
+            status = fs.getFileStatus(p)
+            rows.append((status.getPath().toString(), status.getModificationTime(), status.getLen()))
+    empty = spark.createDataFrame(rows, "path string, millis long, length long").where("length = 0")
+    return empty.select("path", F.timestamp_millis("millis").alias("modificationTime"), "length", F.lit(b"").alias("content"))
 
 
 def read_objects(spark: SparkSession, root: str, prefix: str = "", glob: str | None = None, include_empty: bool = True) -> DataFrame:
-    """``binaryFile`` rows under ``root/prefix`` with ``name`` relative to ``root``; zero-byte
-    files are added back (the scan itself skips them)."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    """``binaryFile`` rows under ``root/prefix`` with ``name`` relative to ``root``; zero-byte files are added
+    back (the scan itself skips them).  Listed and read by Spark's own file scan on any Hadoop file system: the
+    index of names and sizes is the driver's, bytes are read by tasks.  No such folder, no rows."""
     base = root.rstrip("/")
     location = base + "/" + prefix.lstrip("/") if prefix else base
+    fs, path = file_system(spark, location)
+    if not fs.exists(path):
+        return spark.createDataFrame([], BINARY_SCHEMA).withColumn("name", F.col("path"))
+    reader = spark.read.format("binaryFile").schema(BINARY_SCHEMA).option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     df = reader.load(location)
     if include_empty:
-        df = df.unionByName(_empty_files(spark, location, glob))
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + escape(root.rstrip("/")) + "/", "")
-    return df.withColumn("name", rel)
-
-
-def escape(s: str) -> str:
-    return "".join("\\" + c if c in ".^$*+?()[]{}|\\" else c for c in s)
+        df = df.unionByName(_empty_files(spark, df))
+    return df.withColumn("name", name_under(spark, root, F.col("path")))
+
+
+def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``binaryFile`` rows of a bounded list of paths; gone ones are passed over."""
+    here = []
+    for path in paths:
+        fs, p = file_system(spark, path)
+        if fs.exists(p):
+            here.append("".join("\\" + c if c in "{}[]*?\\" else c for c in path))
+    if not here:
+        return spark.createDataFrame([], BINARY_SCHEMA)
+    return spark.read.format("binaryFile").schema(BINARY_SCHEMA).option("ignoreMissingFiles", "true").load(here)
 
 
 def list_objects(

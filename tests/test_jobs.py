@@ -98,6 +98,81 @@ def test_failed_and_empty_files_are_kept(spark, tmpdir_path):
     assert [(p.source, p.kind, p.text) for p in points] == [("silver/pdfs/good.md", "summary", "Summary of Good text.")]
 
 
+def _status(spark, wh):
+    return sorted((r.object_name, r.status) for r in FS.read_status(spark, wh).collect())
+
+
+def test_every_failed_file_of_a_run_is_kept(spark, tmpdir_path):
+    """One file a micro-batch: no batch overwrites another's quarantine or status rows."""
+    staging, wh, ckpt = (os.path.join(tmpdir_path, x) for x in ("staging", "wh", "ckpt"))
+    _stage(staging, "pdfs/good.pdf", b"Good text.")
+    for k in range(3):
+        _stage(staging, f"pdfs/bad{k}.pdf", b"\xff\xfe\xfa broken %d" % k)
+    FS.run_ingest(spark, staging, wh, ckpt, "pdf", "2024-06-01 00:00:00", max_files_per_trigger=1)
+    bad = [(f"pdfs/bad{k}.pdf", "failed") for k in range(3)]
+    assert _status(spark, wh) == [*bad, ("pdfs/good.pdf", "completed")]
+    kept = {r.object_name: bytes(r.content) for r in spark.read.parquet(os.path.join(wh, "quarantine")).collect()}
+    assert kept == {f"pdfs/bad{k}.pdf": b"\xff\xfe\xfa broken %d" % k for k in range(3)}
+    # another checkpoint knows nothing of the first: it processes all again and keeps the earlier rows
+    FS.run_ingest(spark, staging, wh, ckpt + "2", "pdf", "2024-06-02 00:00:00", max_files_per_trigger=1)
+    assert len(_status(spark, wh)) == 8
+    assert spark.read.parquet(os.path.join(wh, "quarantine")).count() == 6
+    assert TB.read_table(spark, wh, S.PDF_TABLE).count() == 1
+    # failed files are tried again by each run of a checkpoint, completed ones are not
+    FS.run_ingest(spark, staging, wh, ckpt, "pdf", "2024-06-03 00:00:00")
+    assert len(_status(spark, wh)) == 11
+    assert sorted(r.status for r in FS.current_status(FS.read_status(spark, wh)).collect()) == ["completed"] + ["failed"] * 3
+
+
+def test_changed_and_refilled_files_are_ingested_by_the_same_checkpoint(spark, tmpdir_path):
+    staging, wh, ckpt, arch = (os.path.join(tmpdir_path, x) for x in ("staging", "wh", "ckpt", "archive"))
+    _stage(staging, "txts/a.txt", b"first version")
+    _stage(staging, "txts/e.txt", b"")
+    _stage(staging, "txts/keep [1] {x}*+%20 \xc3\xa9.txt", b"an odd name")
+    run = lambda ts, **kw: FS.run_ingest(spark, staging, wh, ckpt, "txt", ts, **kw)
+    run("2024-06-01 00:00:00")
+    odd = "txts/keep [1] {x}*+%20 \xc3\xa9.txt"
+    assert _status(spark, wh) == [("txts/a.txt", "completed"), ("txts/e.txt", "failed"), (odd, "completed")]
+    run("2024-06-02 00:00:00", post="archive", archive_dir=arch)  # only the empty file is tried again
+    assert len(_status(spark, wh)) == 4 and not os.path.exists(arch)
+    _stage(staging, "txts/a.txt", b"second, longer version")
+    _stage(staging, "txts/e.txt", b"now it has text")
+    run("2024-06-03 00:00:00", post="archive", archive_dir=arch)
+    rows = {(r.source_file, r.version): r.content for r in TB.read_table(spark, wh, S.TXT_TABLE).collect()}
+    assert rows == {
+        ("a.txt", 1): "first version",
+        ("a.txt", 2): "second, longer version",
+        ("e.txt", 1): "now it has text",
+        (odd[5:], 1): "an odd name",
+    }
+    now = {r.object_name: r.status for r in FS.current_status(FS.read_status(spark, wh)).collect()}
+    assert set(now.values()) == {"completed"}
+    assert sorted(os.listdir(os.path.join(arch, "txts")))[:2] == ["a.txt", "e.txt"]
+    run("2024-06-04 00:00:00")
+    assert len(_status(spark, wh)) == 6  # nothing new, nothing done
+
+
+def test_an_interrupted_batch_is_finished_by_the_next_run(spark, tmpdir_path, monkeypatch):
+    staging, wh, ckpt = (os.path.join(tmpdir_path, x) for x in ("staging", "wh", "ckpt"))
+    for k in range(3):
+        _stage(staging, f"txts/f{k}.txt", b"file number %d" % k)
+    import pytest
+
+    def broken(*args):
+        raise RuntimeError("the driver went away")
+
+    monkeypatch.setattr(FS, "post_process", broken)  # after the batch's rows, statuses and ledger are written
+    with pytest.raises(Exception, match="went away"):
+        FS.run_ingest(spark, staging, wh, ckpt, "txt", "2024-06-01 00:00:00", post="delete", max_files_per_trigger=2)
+    monkeypatch.undo()
+    _stage(staging, "txts/f0.txt", b"changed before it was taken away")
+    FS.run_ingest(spark, staging, wh, ckpt, "txt", "2024-06-02 00:00:00", post="delete", max_files_per_trigger=2)
+    assert not [f for f in os.listdir(os.path.join(staging, "txts")) if f.endswith(".txt")]
+    got = sorted((r.source_file, r.version) for r in TB.read_table(spark, wh, S.TXT_TABLE).collect())
+    assert got in ([("f0.txt", 1), ("f0.txt", 2), ("f1.txt", 1), ("f2.txt", 1)], [("f0.txt", 1), ("f1.txt", 1), ("f2.txt", 1)])
+    assert {s for _, s in _status(spark, wh)} == {"completed"}
+
+
 def test_new_bytes_under_an_old_name(spark, tmpdir_path):
     from docweave.plans import ingest as IN
 
@@ -157,6 +232,20 @@ def test_tables_and_paging(spark, tmpdir_path):
     assert (c.total_rows, c.returned_rows) == (25, 2)
 
 
+def test_listing_of_a_relative_root(spark, tmpdir_path, monkeypatch):
+    from docweave.sources import listing as LS
+
+    # the JVM's working directory is not Python's: a relative root is resolved where Spark resolves it
+    here = spark._jvm.java.lang.System.getProperty("user.dir")
+    rel = os.path.relpath(os.path.join(tmpdir_path, "staging"), here)
+    _stage(os.path.join(tmpdir_path, "staging"), "txts/staging/a b+c%41.txt", b"x")
+    _stage(os.path.join(tmpdir_path, "staging"), "txts/e.txt", b"")
+    for root in (rel, os.path.join(tmpdir_path, "staging"), "file://" + os.path.join(tmpdir_path, "staging")):
+        rows = {(r.name, r.size) for r in LS.list_objects(spark, root).collect()}
+        assert rows == {("txts/staging/a b+c%41.txt", 1), ("txts/e.txt", 0)}
+    assert LS.list_objects(spark, os.path.join(tmpdir_path, "nothing")).count() == 0
+
+
 def test_points_collection_roundtrip(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "points")
     a = spark.createDataFrame([("p1", [1.0, 0.0], "x"), ("p2", [0.0, 1.0], "y")], "point_id string, embedding array<float>, text string")
