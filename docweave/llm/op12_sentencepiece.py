@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +22,17 @@ from .common import bound_bytes, read
 
 SPACE = "▁"
 REPLACEMENT = "�"
-#: Segments up to this length are remembered, so many of them for each worker.
+#: Segments up to this length are remembered, so many of them for each worker, twice.
 MEMO_CHARS = 32
-MEMO_SIZE = 1 << 18
+MEMO_SIZE = 1 << 19
 
 
 class Pieces(dict):
-    """A vocabulary, and the ids of the segments met so far."""
+    """A vocabulary, and the ids (packed) of the segments met so far."""
 
     def __init__(self, path: str):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         from sentencepiece import sentencepiece_model_pb2 as model
 
         proto = model.ModelProto()
@@ -45,16 +46,15 @@ class Pieces(dict):
         if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in proto.pieces):
             raise ValueError("user-defined and unused pieces are not supported")
         self.dummy = SPACE if spec.add_dummy_prefix else ""
-        self.begin, self.end = trainer.bos_id, trainer.eos_id
+        self.begin, self.end = pack("<I", trainer.bos_id), pack("<I", trainer.eos_id)
         self.ids: dict[str, int] = {}
-        self.score: dict[str, float] = {}
         self.byte_ids = [0] * 256
         #: what each id is decoded to, as bytes
         self.surface: list[bytes] = []
         self.is_byte = [p.type == kinds.BYTE for p in proto.pieces]
         for i, p in enumerate(proto.pieces):
             if p.type == kinds.NORMAL:
-                self.ids[p.piece], self.score[p.piece] = i, p.score
+                self.ids[p.piece] = i
                 self.surface.append(p.piece.replace(SPACE, " ").encode())
             elif p.type == kinds.BYTE:
                 value = int(p.piece[3:5], 16)
@@ -62,6 +62,13 @@ class Pieces(dict):
                 self.surface.append(bytes([value]))
             else:
                 self.surface.append(trainer.unk_surface.encode() if p.type == kinds.UNKNOWN else b"")
+        scores = sorted({p.score for p in proto.pieces}, reverse=True)
+        order = {score: k for k, score in enumerate(scores, 1)}
+        if max(map(len, self.ids)) > 0xFF:
+            raise ValueError("a piece is too long")
+        #: a piece's agenda entry at the text's start: best scores first, then leftmost, and its width
+        self.rank = {piece: order[proto.pieces[i].score] << 40 | len(piece) for piece, i in self.ids.items()}
+        self.known = {piece: pack("<I", i) for piece, i in self.ids.items()}
         #: pieces whose first space the decoder drops at a text's beginning
         self.spaced = {i for p, i in self.ids.items() if p.startswith(SPACE)} if self.dummy else set()
         self.control = {i for i, p in enumerate(proto.pieces) if p.type == kinds.CONTROL}
@@ -76,53 +83,60 @@ class Pieces(dict):
             return re.compile(f"[{SPACE}{letters}]+|.", re.DOTALL)
         return re.compile(f"{SPACE}+[{letters}]*|[{letters}]+|.", re.DOTALL)
 
-    def merge(self, segment: str) -> tuple[int, ...]:
-        """The agenda over the adjacent pairs of a segment."""
-        symbols = list(segment)
-        n = len(symbols)
-        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        score = self.score
-        agenda = []
-        for i in range(n - 1):
-            pair = symbols[i] + symbols[i + 1]
-            if pair in score:
-                agenda.append((-score[pair], i, i + 1, 2))
+    def merge(self, segment: str) -> bytes:
+        """The agenda over the adjacent pairs of a segment.  A symbol is the span from its start to ``end[start]``
+        (0 once it has been merged into the one before); an entry is a number of rank, start and width."""
+        n = len(segment)
+        rank = self.rank.get
+        agenda = [own + (i << 8) for i, own in enumerate(map(rank, map(str.__add__, segment, segment[1:]))) if own]
+        if not agenda:
+            return b"".join(map(self.packed_symbol, segment))
+        end, before = list(range(1, n + 2)), list(range(-1, n))
+        end[n] = -1
         heapify(agenda)
         while agenda:
-            _, i, j, size = heappop(agenda)
-            if not symbols[i] or not symbols[j] or len(symbols[i]) + len(symbols[j]) != size:
+            entry = heappop(agenda)
+            i = entry >> 8 & 0xFFFFFFFF
+            j, k = end[i], i + (entry & 0xFF)
+            if not j or end[j] != k:
                 continue  # one of the two has been merged meanwhile
-            symbols[i] += symbols[j]
-            symbols[j] = ""
-            right[i] = after = right[j]
-            if after < n:
-                left[after] = i
-            for a, b in ((left[i], i), (i, after)):
-                if a >= 0 and b < n:
-                    pair = symbols[a] + symbols[b]
-                    if pair in score:
-                        heappush(agenda, (-score[pair], a, b, len(pair)))
-        out: list[int] = []
-        for symbol in symbols:
-            if symbol:
-                known = self.ids.get(symbol)
-                out.extend([self.byte_ids[b] for b in symbol.encode()] if known is None else [known])
-        return tuple(out)
-
-    def __missing__(self, segment: str) -> tuple[int, ...]:
-        got = self.merge(segment)
+            end[i], end[j], before[k] = k, 0, i
+            after, left = end[k], before[i]
+            if after > 0 and (own := rank(segment[i:after])):
+                heappush(agenda, own + (i << 8))
+            if left >= 0 and (own := rank(segment[left:k])):
+                heappush(agenda, own + (left << 8))
+        i, out = 0, []
+        while i < n:
+            k = end[i]
+            out.append(self.packed_symbol(segment[i:k]))
+            i = k
+        return b"".join(out)
+
+    def packed_symbol(self, symbol: str) -> bytes:
+        """A symbol's id, or those of its bytes where it is no piece."""
+        return self.known.get(symbol) or b"".join([pack("<I", self.byte_ids[b]) for b in symbol.encode()])
+
+    def __missing__(self, segment: str) -> bytes:
+        got = self.older.get(segment)
+        if got is None:
+            got = self.merge(segment)
         if len(segment) <= MEMO_CHARS:
-            if len(self) >= MEMO_SIZE:
+            if len(self) >= MEMO_SIZE:  # what was met since the last time stays for another round
+                self.older = dict(self)
                 self.clear()
             self[segment] = got
         return got
 
-    def encode(self, text: str) -> list[int]:
-        """Ids with begin and end."""
+    def packed(self, text: str) -> bytes:
+        """Ids with begin and end, as little-endian 32-bit numbers."""
         if not text:
-            return [self.begin, self.end]
+            return self.begin + self.end
         segments = self.segment.findall(self.dummy + text.replace(" ", SPACE))
-        return [self.begin, *chain.from_iterable(map(self.__getitem__, segments)), self.end]
+        return b"".join((self.begin, *map(self.__getitem__, segments), self.end))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of any ids; each byte that is part of no valid UTF-8 run of byte pieces gives U+FFFD."""
@@ -175,19 +189,21 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], path: str, check: bool) -> Iterator[tuple[pa.Array, list, list, list]]:
-    """(doc ids, ids, decoded texts, whether the library agrees) of each batch; ids as 32-bit arrays."""
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, check: bool) -> Iterator[tuple[pa.Array, list[bytes], list[str], list]]:
+    """(doc ids, packed ids, decoded texts, whether the library agrees) of each batch."""
     pieces, library = _pieces(path), _library(path) if check else None
     for batch in batches:
         ids, decoded, agrees = [], [], []
         for text in batch["text"].to_pylist():
-            own = pieces.encode(text or "")
-            back = pieces.decode(own)
-            ids.append(np.array(own, "<u4"))
+            own = pieces.packed(text or "")
+            back = pieces.decode(np.frombuffer(own, "<u4").tolist())
+            ids.append(own)
             decoded.append(back)
+            same = None
             if library is not None:
-                same = library.encode(text or "", add_bos=True, add_eos=True) == own and library.decode(own) == back
-            agrees.append(same if library is not None else None)
+                theirs = library.encode(text or "", add_bos=True, add_eos=True)
+                same = np.array(theirs, "<u4").tobytes() == own and library.decode(theirs) == back
+            agrees.append(same)
         yield batch["doc_id"], ids, decoded, agrees
 
 
@@ -208,7 +224,8 @@ def encode_documents(docs: DataFrame, model: str | None = None, check: bool = Tr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, ids, decoded, agrees in _encoded(batches, path, check):
-            columns = [doc_id, pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())]
+            lists = pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32()))
+            columns = [doc_id, lists, pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded", "agrees"])
 
     return _documents(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string, agrees boolean")
@@ -235,9 +252,9 @@ def digests(docs: DataFrame, model: str | None = None, check: bool = True) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, ids, decoded, agrees in _encoded(batches, path, check):
-            own = [hashlib.sha256(x.tobytes()).hexdigest() for x in ids]
+            own = [hashlib.sha256(x).hexdigest() for x in ids]
             back = [hashlib.sha256(x.encode()).hexdigest() for x in decoded]
-            columns = [doc_id, pa.array([len(x) for x in ids], pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string()), pa.array(agrees, pa.bool_())]
+            columns = [doc_id, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string()), pa.array(agrees, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"])
 
     return _documents(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean")
