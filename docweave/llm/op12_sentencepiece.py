@@ -24,7 +24,7 @@ SPACE = "▁"
 REPLACEMENT = "�"
 #: Segments up to this length are remembered, so many of them for each worker, twice.
 MEMO_CHARS = 32
-MEMO_SIZE = 1 << 19
+MEMO_SIZE = 1 << 20
 
 
 class Pieces(dict):
@@ -49,7 +49,7 @@ class Pieces(dict):
         self.begin, self.end = pack("<I", trainer.bos_id), pack("<I", trainer.eos_id)
         self.ids: dict[str, int] = {}
         self.byte_ids = [0] * 256
-        #: what each id is decoded to, as bytes
+        #: what each id is decoded to, as bytes (control pieces to none: theirs mark them)
         self.surface: list[bytes] = []
         self.is_byte = [p.type == kinds.BYTE for p in proto.pieces]
         for i, p in enumerate(proto.pieces):
@@ -61,7 +61,7 @@ class Pieces(dict):
                 self.byte_ids[value] = i
                 self.surface.append(bytes([value]))
             else:
-                self.surface.append(trainer.unk_surface.encode() if p.type == kinds.UNKNOWN else b"")
+                self.surface.append(trainer.unk_surface.encode() if p.type == kinds.UNKNOWN else b"\xff")
         scores = sorted({p.score for p in proto.pieces}, reverse=True)
         order = {score: k for k, score in enumerate(scores, 1)}
         if max(map(len, self.ids)) > 0xFF:
@@ -143,8 +143,8 @@ class Pieces(dict):
         first = next((k for k, i in enumerate(ids) if i not in self.control), len(ids))
         last = next((k for k in range(len(ids), first, -1) if ids[k - 1] not in self.control), first)
         core = ids[first:last]
-        try:  # without control pieces inside, the whole is valid exactly if every run of bytes is
-            text = b"".join([self.surface[i] for i in core]).decode() if self.control.isdisjoint(core) else self._by_runs(core)
+        try:  # the whole is valid exactly if there is no control piece inside and every run of bytes is valid
+            text = b"".join([self.surface[i] for i in core]).decode()
         except UnicodeDecodeError:
             text = self._by_runs(core)
         return text[1:] if core and core[0] in self.spaced else text
@@ -166,7 +166,8 @@ class Pieces(dict):
                 run += self.surface[i]
             else:
                 close()
-                out.append(self.surface[i].decode())
+                if i not in self.control:
+                    out.append(self.surface[i].decode())
         close()
         return "".join(out)
 
@@ -196,13 +197,14 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, check: bool) -> Itera
         ids, decoded, agrees = [], [], []
         for text in batch["text"].to_pylist():
             own = pieces.packed(text or "")
-            back = pieces.decode(np.frombuffer(own, "<u4").tolist())
+            own_ids = np.frombuffer(own, "<u4").tolist()
+            back = pieces.decode(own_ids)
             ids.append(own)
             decoded.append(back)
             same = None
             if library is not None:
                 theirs = library.encode(text or "", add_bos=True, add_eos=True)
-                same = np.array(theirs, "<u4").tobytes() == own and library.decode(theirs) == back
+                same = theirs == own_ids and library.decode(theirs) == back
             agrees.append(same)
         yield batch["doc_id"], ids, decoded, agrees
 
