@@ -48,6 +48,28 @@ def lower_az(text: Column) -> Column:
     )
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with underscores added until no column has it (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def shielded(df: DataFrame, reserved: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns that are named like a ``reserved`` one (in any case) under other names, and the name
+    that each of its columns has now."""
+    clash = {c.lower() for c in reserved}
+    own = [c for c in df.columns if c.lower() in clash]
+    others = [c for c in df.columns if c.lower() not in clash]
+    now = dict(zip(own, free_names([*others, *reserved], *own), strict=True))
+    names = {c: now.get(c, c) for c in df.columns}
+    return df.select(*[F.col(c).alias(n) for c, n in names.items()]), names
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 

@@ -8,7 +8,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SQL_LOWER, broadcast_if_small, checkpointed, lower_az, read
+from .common import broadcast_if_small, checkpointed, free_names, lower_az, read, SQL_LOWER
 
 #: What separates words of lower-cased text; words are digits, a-z and everything above U+007F.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -100,24 +100,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, r
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     hit = find_hits(docs, benchmark, window).where(F.size("hits") > 0)
-    hit = checkpointed(hit.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("hits").alias("_hits")).distinct())
+    id_, th, hits, pieces = free_names(docs.columns, "_id", "_th", "_hits", "_pieces")
+    hit = checkpointed(hit.select(F.col("doc_id").alias(id_), F.col("th").alias(th), F.col("hits").alias(hits)).distinct())
     small = broadcast_if_small(hit, hit.count())
-    on = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_th"))
+    on = docs["doc_id"].eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(th))
     if remove == "documents":
         return docs.join(small, on, "left_anti")
     either = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+|[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
-    pieces = F.regexp_extract_all(F.col("text"), F.lit(either), F.lit(0))
-    joined = docs.join(small, on, "left").withColumn("_pieces", F.when(F.col("_hits").isNotNull(), pieces))
-    lead = F.when(F.element_at("_pieces", 1).rlike(r"^[0-9A-Za-z\x{80}-\x{10FFFF}]"), 0).otherwise(1)
+    parts = F.regexp_extract_all(F.col("text"), F.lit(either), F.lit(0))
+    joined = docs.join(small, on, "left").withColumn(pieces, F.when(F.col(hits).isNotNull(), parts))
+    lead = F.when(F.element_at(pieces, 1).rlike(r"^[0-9A-Za-z\x{80}-\x{10FFFF}]"), 0).otherwise(1)
 
     def outside(_, j):
         word = F.floor((j - lead) / 2)
         is_word = F.pmod(j - lead, F.lit(2)) == 0
         # a gap goes when the words on both sides of it are inside one hit
-        inside = F.exists("_hits", lambda x: (x["start"] <= word) & (F.when(is_word, word).otherwise(word + 1) < x["end"]))
+        inside = F.exists(hits, lambda x: (x["start"] <= word) & (F.when(is_word, word).otherwise(word + 1) < x["end"]))
         return ~inside
 
-    cut = F.when(F.col("_hits").isNull(), F.col("text")).otherwise(F.array_join(F.filter("_pieces", outside), ""))
+    cut = F.when(F.col(hits).isNull(), F.col("text")).otherwise(F.array_join(F.filter(pieces, outside), ""))
     return joined.select(*[cut.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 

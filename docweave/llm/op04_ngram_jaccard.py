@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SQL_LOWER, WordHash, broadcast_if_small, checkpointed, connected_components, mix, odd_factors, read, staged
+from .common import broadcast_if_small, checkpointed, connected_components, free_names, mix, odd_factors, read, SQL_LOWER, staged, WordHash
 
 WORDS = 5
 PERCENT = 80
@@ -283,9 +283,11 @@ def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         keep = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.min("th").alias("_th"), F.count("*").alias("_rows"))
     keep = checkpointed(keep)
     small = broadcast_if_small(keep, keep.count())
-    kept = docs.join(small, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_th")))
-    once = kept.where("_rows = 1").select(docs.columns)
-    again = kept.where("_rows > 1").dropDuplicates(["_id", "_th"]).select(docs.columns)
+    id_, th_, rows = free_names(docs.columns, "_id", "_th", "_rows")
+    small = small.select(F.col("_id").alias(id_), F.col("_th").alias(th_), F.col("_rows").alias(rows))
+    kept = docs.join(small, (docs["doc_id"] == F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(th_)))
+    once = kept.where(F.col(rows) == 1).select(*[docs[c] for c in docs.columns])
+    again = kept.where(F.col(rows) > 1).dropDuplicates([id_, th_]).select(docs.columns)
     return once.unionByName(again).unionByName(docs.where("doc_id is null"))
 
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SQL_LOWER, lower_az, read
+from .common import free_names, lower_az, read, SQL_LOWER
 
 #: (verdict, host, path prefix); a host also covers its subdomains.
 RULES = [
@@ -19,7 +19,7 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 
-#: A rule's trie path is about a kilobyte; this bounds the broadcast trie to a few hundred MB.
+#: A rule's trie path is about a kilobyte; this bounds the broadcast trie to a few hundred MB.  More are joined.
 MAX_RULES = 200_000
 
 
@@ -73,17 +73,53 @@ def url_parts(url) -> tuple:
     return lower_az(host), path
 
 
+def _joined(split: DataFrame, rules: DataFrame, default: str) -> DataFrame:
+    """``split`` (host and path among its columns) with ``rule`` and ``verdict`` by equi-joins: each distinct host
+    and path meets the rules under its host's suffixes and its path's prefixes of the lengths that rules have."""
+    good = F.col("verdict").isin("allow", "block") & (F.col("host") != "") & F.col("path").startswith("/")
+    bad = F.raise_error(F.concat_ws(" ", F.lit("not a rule:"), "verdict", "host", "path"))
+    rules = rules.withColumn("verdict", F.when(F.coalesce(good, F.lit(False)), F.col("verdict")).otherwise(bad))
+    # of equal rules the blocking one holds
+    rules = rules.groupBy(F.col("host").alias("h"), F.col("path").alias("p")).agg(F.max("verdict").alias("v"))
+    lengths = rules.select(F.length("p").alias("n")).distinct().agg(F.array_sort(F.collect_set("n"))).scalar()  # a url's length at most
+    labels = F.split("host", r"\.")
+    urls = split.select("host", "path").distinct().where("host <> '' and path like '/%'").withColumn("lengths", lengths)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    prefixes = F.transform(F.filter("lengths", lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    met = urls.select("host", "path", F.explode(suffixes).alias("h"), prefixes.alias("ps")).withColumn("p", F.explode("ps")).drop("ps")
+    rank = F.struct(F.size(F.split("h", r"\.")), F.length("p"))
+    best = met.join(rules, ["h", "p"]).groupBy("host", "path").agg(F.max(F.struct(rank.alias("rank"), "h", "p", "v")).alias("best"))
+    held = best.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.concat("best.h", "best.p").alias("rule"), F.col("best.v").alias("verdict"))
+    host, path = free_names(split.columns, "_host", "_path")
+    held = held.withColumnsRenamed({"_host": host, "_path": path})
+    out = split.join(held, (split["host"] == held[host]) & (split["path"] == held[path]), "left").drop(host, path)
+    return out.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+
+
 def filter_urls(pages: DataFrame, rules=RULES, default: str = "allow", url: str = "url") -> DataFrame:
     """Adds ``host``, ``path``, ``rule`` and ``verdict`` to rows with a url.
 
     Host: after the first ``://`` up to ``/ ? #`` or the end, A-Z lower-cased; path: from there up to
     ``? #`` or the end.  A null url or one without ``://`` has empty host and path, fits no rule and gets
-    ``default``.  Rules are a list on the driver of at most MAX_RULES entries (checked); the trie is
-    broadcast and read row by row inside Arrow batches, without a shuffle.  Existing columns of the
-    four names are replaced; repeated rows are judged alike; an empty table gives an empty result."""
-    rules = list(rules)
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the broadcast trie is bounded to {MAX_RULES}")
+    ``default``.  Rules are a list on the driver or a DataFrame (verdict, host, path).  Up to MAX_RULES, counted,
+    their trie is broadcast and read row by row inside Arrow batches, without a shuffle; more of them are joined
+    to the urls' host suffixes and path prefixes, with the same result.  Existing columns of the four names are
+    replaced; repeated rows are judged alike; whole urls of any length; an empty table gives an empty result."""
+    spark = pages.sparkSession
+    if isinstance(rules, DataFrame):
+        rules = rules.select("verdict", "host", "path")
+        many = rules.count() > MAX_RULES
+        rules = rules if many else [tuple(x) for x in rules.collect()]
+    else:
+        rules = list(rules)
+        many = len(rules) > MAX_RULES
+    host, path = url_parts(F.col(url))
+    keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    split = pages.select(*keep, host.alias("host"), path.alias("path"))
+    if many:
+        if not isinstance(rules, DataFrame):
+            rules = spark.createDataFrame(rules, "verdict string, host string, path string")
+        return _joined(split, rules, default).select(*keep, "host", "path", "rule", "verdict")
     bad = [r for r in rules if r[0] not in ("allow", "block") or not r[1] or not r[2].startswith("/")]
     if bad:
         raise ValueError(f"not a rule: {bad[0]}")
@@ -102,11 +138,8 @@ def filter_urls(pages: DataFrame, rules=RULES, default: str = "allow", url: str
                 dtype=object,
             )
 
-    host, path = url_parts(F.col(url))
-    keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    split = pages.select(*keep, host.alias("host"), path.alias("path"))
-    judged = split.withColumn("_judged", judge("host", "path"))
-    return judged.select(*keep, "host", "path", "_judged.rule", "_judged.verdict")
+    (judged,) = free_names(split.columns, "_judged")
+    return split.withColumn(judged, judge("host", "path")).select(*keep, "host", "path", f"{judged}.rule", f"{judged}.verdict")
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

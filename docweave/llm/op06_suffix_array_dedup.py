@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, odd_factors, read
+from .common import mix, odd_factors, read, shielded
 from .repeats import find_repeats, ranges, sliding_min, window_mask, window_runs
 
 WIDTH = 50
@@ -116,10 +116,11 @@ def remove_repeated_substrings(docs: DataFrame) -> DataFrame:
     """``docs`` with every repeated 50-byte string cut from ``text`` (whole characters) and ``n_chars``, where
     there is such a column, counted anew.  All rows stay, a text that is all repeats becomes empty and a
     null text stays null."""
-    done = find_repeats(docs, TextWindows())
+    inner, names = shielded(docs, list(TextWindows.results))
+    done = find_repeats(inner, TextWindows())
     text = F.when(F.col("text").isNotNull(), F.col("kept_text")).alias("text")
     n_chars = F.when(F.col("text").isNotNull(), F.length("kept_text").cast("long")).alias("n_chars")
-    return done.select(*[{"text": text, "n_chars": n_chars}.get(c, F.col(c)) for c in docs.columns])
+    return done.select(*[{"text": text, "n_chars": n_chars}.get(c, F.col(names[c]).alias(c)) for c in docs.columns])
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, mix, read
+from .common import broadcast_if_small, checkpointed, free_names, mix, read
 
 UNDETERMINED = "und"
 GRAM = 4  # bytes, so that an n-gram is exactly one 32-bit number
@@ -20,6 +20,8 @@ GRAM = 4  # bytes, so that an n-gram is exactly one 32-bit number
 #: Bounds of the fit: labelled documents, and n-grams kept, per language.
 MAX_DOCS_PER_LANG = 3_000
 MAX_GRAMS_PER_LANG = 30_000
+#: The ids' hashes are counted in so many ranges (as a power of two) of each language.
+RANGE_BITS = 12
 MASK = 64  # languages of a mask word
 HASHES = 3
 
@@ -97,11 +99,19 @@ def fit_filters(labelled: DataFrame, docs_per_lang: int = MAX_DOCS_PER_LANG, gra
     """Fits on (doc_id, text, lang) rows: at most ``docs_per_lang`` documents of each language (smallest
     id hashes), their n-grams counted in Spark.  A language's filter gets its ``grams_per_lang`` most
     frequent n-grams whose relative frequency is at least a quarter of the highest in any language, so
-    shared n-grams are in several filters.  An n-gram seen once teaches nothing, unless with ``singles`` its
+    shared n-grams are in several filters.  The language with most labelled rows is the prior.  An n-gram seen once teaches nothing, unless with ``singles`` its
     language has no other.  Rows without text, lang or id teach nothing."""
     rows = labelled.select("doc_id", "lang", "text").dropna()
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.select("doc_id", "lang").withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= docs_per_lang)
+    # the smallest hashes of each language: ranges of hashes are counted, and only the ids up to the range in which
+    # the bound is reached are ranked, so no task gets a language's rows
+    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")).withColumn("_range", F.shiftright("_h", 64 - RANGE_BITS))
+    counted = checkpointed(hashed.groupBy("lang", "_range").agg(F.count("*").alias("_n")))
+    reached = F.sum("_n").over(W.partitionBy("lang").orderBy("_range")) - F.col("_n")
+    enough = counted.withColumn("_before", reached).where(F.col("_before") < docs_per_lang)
+    last = enough.groupBy("lang").agg(F.max("_range").alias("_last"))
+    first = W.partitionBy("lang").orderBy("_h", "doc_id")
+    near = hashed.join(F.broadcast(last), "lang").where("_range <= _last")
+    picked = near.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= docs_per_lang)
     ids = picked.select("doc_id", "lang").distinct()  # at most docs_per_lang narrow keys a language
     sample = rows.join(broadcast_if_small(ids, ids.count()), ["doc_id", "lang"], "left_semi")
 
@@ -131,7 +141,7 @@ def fit_filters(labelled: DataFrame, docs_per_lang: int = MAX_DOCS_PER_LANG, gra
         .agg(F.collect_list("gram").alias("grams"))
     )
     grams = {r["lang"]: np.array(r["grams"], np.int64).astype(np.uint32) for r in kept.toLocalIterator()}
-    sizes = picked.groupBy("lang").count().orderBy(F.desc("count"), "lang").first()
+    sizes = counted.groupBy("lang").agg(F.sum("_n").alias("count")).orderBy(F.desc("count"), "lang").first()
     return LanguageFilters(grams, sizes["lang"] if sizes else UNDETERMINED)
 
 
@@ -144,7 +154,8 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, text: str = "t
     that the language's filter has).
 
     Null texts and texts without a letter get ``und`` and 0; a text whose n-grams no filter has gets the
-    most frequent language and 0; equal shares go to the first language by name.  Nothing is shuffled:
+    most frequent language and 0; equal shares go to the first language by name.  Rows that repeat are judged alike,
+    whole texts of any length, and an empty table gives no rows; columns of the two names are replaced.  Nothing is shuffled:
     the filters (2^19 rows of 8 bytes for each 64 languages at the default bounds) are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
@@ -155,8 +166,9 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, text: str = "t
             got = [f.decide(t, bool(x)) for t, x in zip(texts, letters, strict=True)]
             yield pd.DataFrame(got, columns=["lang_pred", "score"])
 
-    keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "_judged")]
-    return docs.withColumn("_judged", decide(F.col(text), has_letter(text))).select(*keep, "_judged.lang_pred", "_judged.score")
+    keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    (judged,) = free_names(docs.columns, "_judged")
+    return docs.withColumn(judged, decide(F.col(text), has_letter(text))).select(*keep, f"{judged}.lang_pred", f"{judged}.score")
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:

@@ -63,6 +63,10 @@ class Subspaces:
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    """Rows over their lengths.  They are scaled by a power of two first, so that no square overflows or vanishes
+    and nothing else is rounded differently."""
+    _, exponent = np.frexp(np.abs(vectors).max(1, keepdims=True, initial=0.0))
+    vectors = np.ldexp(vectors, -exponent)
     return vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
 
 
@@ -89,16 +93,22 @@ def _moments(reps: DataFrame, dims: int) -> tuple[np.ndarray, int]:
     return (out + out.T) / 2, n
 
 
+def _stored_kind(vectors: DataFrame) -> str:
+    """How a component travels: as the column has it, in 32 or 64 bits."""
+    return "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
+
+
 def _spread(reps: DataFrame, space, dims: int) -> DataFrame:
     """Every vector in its own cell of every block's grid (home) and in the cells ahead of it that its budget
     reaches (a guest there), so that a pair within a budget meets in exactly one cell of that block."""
+    kind = _stored_kind(reps)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s: Subspaces = space.value
         for batch in batches:
             ids, members = batch["vec_id"].to_numpy(), batch["members"].to_numpy()
             steps = s.steps(unit_rows(_matrix(batch["embedding"], dims)))
-            raw = np.ascontiguousarray(_matrix(batch["embedding"], dims).astype(np.float32))
+            raw = np.ascontiguousarray(_matrix(batch["embedding"], dims).astype(kind))
             for block in range(len(s.budget)):
                 own = s.part(steps, block)[:, : s.grid]
                 width, reach = s.cell[block], s.radius[block]
@@ -150,7 +160,7 @@ def _tiles(rows: DataFrame) -> DataFrame:
     )
 
 
-def _compare(space, dims: int, min_cosine: float):
+def _compare(space, dims: int, min_cosine: float, kind: str = "<f4"):
     def links(group: pa.Table) -> pa.Table:
         s: Subspaces = space.value
         block = int(group["cell"][0].as_py().split(":")[0])
@@ -158,7 +168,7 @@ def _compare(space, dims: int, min_cosine: float):
         ids, members = group["vec_id"].to_numpy(), group["members"].to_numpy()
         guest = group["guest"].to_numpy().astype(bool)
         steps = np.frombuffer(b"".join(group["steps"].to_pylist()), np.int16).reshape(-1, dims)
-        unit = unit_rows(np.frombuffer(b"".join(group["raw"].to_pylist()), np.float32).astype(np.float64).reshape(-1, dims))
+        unit = unit_rows(np.frombuffer(b"".join(group["raw"].to_pylist()), kind).astype(np.float64).reshape(-1, dims))
         second = group["second"].to_numpy().astype(bool)
         # homes first: they are compared with everything, guests only with the homes of another tile
         first_homes, first_guests = np.flatnonzero(~second & ~guest), np.flatnonzero(~second & guest)
@@ -225,7 +235,7 @@ def _links(classes: DataFrame, dims: int, blocks: int, grid_dims: int, min_cosin
     """Link counts and a spanning forest of the classes, all of one length."""
     space = classes.sparkSession.sparkContext.broadcast(Subspaces(*_moments(classes, dims), blocks, grid_dims, min_cosine))
     met = _tiles(_spread(classes, space, dims))
-    return checkpointed(met.groupBy("cell", "t1", "t2").applyInArrow(_compare(space, dims, min_cosine), LINKS))
+    return checkpointed(met.groupBy("cell", "t1", "t2").applyInArrow(_compare(space, dims, min_cosine, _stored_kind(classes)), LINKS))
 
 
 def near_duplicate_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, blocks: int = BLOCKS, grid_dims: int = GRID_DIMS) -> DataFrame:
@@ -236,8 +246,10 @@ def near_duplicate_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, b
     out its size, not its pairs.  Vectors of different lengths never link; each length that two classes have
     is joined on its own, one after the other.  A vector that is null, empty, zero, or holds null or non-finite
     components links with nothing; so does a row with a null vec_id (component null, not kept).  Rows that
-    repeat a vec_id count as different vectors of one node; an empty table gives no rows."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    repeat a vec_id count as different vectors of one node; an empty table gives no rows.  Cosines are taken in
+    double precision of the components as they are stored (32 or 64 bits), of any size."""
+    kind = "float" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "double"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     usable = rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.coalesce(finite & some, F.lit(False)))

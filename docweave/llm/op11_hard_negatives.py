@@ -27,13 +27,13 @@ LOW, HIGH = 50, 95
 
 #: Quantiles of the rows' lengths that bound the length classes; a class is dealt by hash into blocks, each for a
 #: task of its own, of LEAST_BLOCK to MOST_BLOCK rows.  Rows of a bucket in a block, anchors that meet a block at
-#: once, and coordinates of an anchor's focus.
+#: once, and coordinates of an anchor's focus.  LOOK rows of a bucket's list are looked at for the SEEDS of a threshold.
 CLASSES = 16
-LEAST_BLOCK, MOST_BLOCK = 1024, 8192
+LEAST_BLOCK, MOST_BLOCK = 2048, 8192
 BUCKET = 1024
 MOST_ANCHORS = 4096
 FOCUS = 6
-SEEDS = 32
+LOOK, SEEDS = 512, 32
 SLACK = 1e-9
 MAX_LONG = (1 << 63) - 1
 
@@ -53,11 +53,18 @@ class Bucket:
             self.lists[f] = order, self.directions[order, f]
         return self.lists[f]
 
-    def nearest(self, f: int, value: float) -> np.ndarray:
-        """Some rows whose coordinate is near a value, to find a first threshold with."""
+    def nearest(self, focus: list[tuple[int, float]]) -> np.ndarray:
+        """Some rows to find a first threshold with: of those whose strongest focus coordinate is near the
+        anchor's, the ones that agree best in the whole focus."""
+        (f, value), *_ = focus
         order, values = self.ordered(f)
         middle = int(np.searchsorted(values, value))
-        return self.at[order[max(0, middle - SEEDS // 2) : middle + SEEDS // 2]]
+        near = order[max(0, middle - LOOK // 2) : middle + LOOK // 2]
+        if len(near) > SEEDS:
+            own, by = zip(*focus, strict=True)
+            alike = self.directions[near[:, None], np.array(own)] @ np.array(by)
+            near = near[np.argpartition(-alike, SEEDS)[:SEEDS]]
+        return self.at[near]
 
     def candidates(self, focus: list[tuple[int, float]], cosine: float) -> np.ndarray:
         """Rows inside the feasible ranges of all focus coordinates."""
@@ -122,8 +129,8 @@ class Index:
             return rows, self.scores(anchor, rows)
 
         for bucket in self.buckets:
-            if focus:
-                _, scores = verify(bucket.nearest(*focus[0]))
+            if focus and any(len(own) < k for own, _ in found):  # no threshold from the buckets before
+                _, scores = verify(bucket.nearest(focus))
                 for j, (_, high) in enumerate(spans):
                     fit = scores[scores <= high]
                     if len(fit) >= k:
@@ -153,7 +160,13 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
         return np.clip(np.floor(SCALE * flat.reshape(rows, -1)), -(2.0**62), 2.0**62)
 
 
+POSITIVE = ["anchor_id", "positive_id", "positive_score"]
+NEGATIVE = ["anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"]
+
+
 def _best_positives(left: pa.Table, right: pa.Table) -> pa.Table:
+    if not left.num_rows or not right.num_rows:
+        return _table([], POSITIVE)
     ids, labels = left["vec_id"].to_numpy(), left["label"].to_numpy()
     vectors = _matrix(left["embedding"], len(ids))
     indexes: dict[int, Index] = {}
@@ -166,10 +179,12 @@ def _best_positives(left: pa.Table, right: pa.Table) -> pa.Table:
             indexes[label] = Index(ids[own], labels[own], vectors[own])
         ((found, scores),) = indexes[label].search(anchor_id, anchor, POSITIVES, everything)
         out.append((np.full(len(found), anchor_id), found, scores))
-    return _table(out, ["anchor_id", "positive_id", "positive_score"])
+    return _table(out, POSITIVE)
 
 
 def _best_negatives(left: pa.Table, right: pa.Table) -> pa.Table:
+    if not left.num_rows or not right.num_rows:
+        return _table([], NEGATIVE)
     ids = left["vec_id"].to_numpy()
     index = Index(ids, left["label"].to_numpy(), _matrix(left["embedding"], len(ids)))
     out: list[tuple[np.ndarray, ...]] = []
@@ -179,7 +194,7 @@ def _best_negatives(left: pa.Table, right: pa.Table) -> pa.Table:
         for p, (found, scores) in zip(positives, index.search(anchor_id, anchor, NEGATIVES, spans, label), strict=True):
             n = len(found)
             out.append((np.full(n, anchor_id), np.full(n, p["positive_id"]), found, np.full(n, p["positive_score"]), scores))
-    return _table(out, ["anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"])
+    return _table(out, NEGATIVE)
 
 
 def _table(rows: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.Table:
@@ -262,14 +277,13 @@ def mine_hard_negatives(vectors: DataFrame, anchor: Column, label: Column | None
         usable = usable.withColumn("label", label)
     rows, anchors = staged(_blocks(usable)), usable.where(anchor)
     count = anchors.count()
-    positives = _meet(rows, anchors, count, _best_positives, "anchor_id long, positive_id long, positive_score long")
+    positives = _meet(rows, anchors, count, _best_positives, ", ".join(f"{c} long" for c in POSITIVE))
     best = W.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")
     positives = positives.withColumn("n", F.row_number().over(best)).where(F.col("n") <= POSITIVES)
     # at most POSITIVES structs an anchor; below zero no negative fits
     wanted = positives.where("positive_score >= 0").groupBy("anchor_id").agg(F.collect_list(F.struct("positive_id", "positive_score")).alias("positives"))
     asking = anchors.join(wanted, F.col("vec_id") == F.col("anchor_id")).drop("anchor_id")
-    schema = "anchor_id long, positive_id long, negative_id long, positive_score long, negative_score long"
-    negatives = _meet(rows, asking, count, _best_negatives, schema)
+    negatives = _meet(rows, asking, count, _best_negatives, ", ".join(f"{c} long" for c in NEGATIVE))
     hardest = W.partitionBy("anchor_id", "positive_id").orderBy(F.desc("negative_score"), "negative_id")
     return negatives.withColumn("rank", F.row_number().over(hardest)).where(F.col("rank") <= NEGATIVES).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"

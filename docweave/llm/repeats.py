@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, mix, odd_factors
+from .common import checkpointed, mix, odd_factors, shielded
 
 #: A block's text; a run of equal windows in a block is sent on once, so a passage of a third of all documents
 #: is one entry a block.
@@ -376,14 +376,18 @@ def find_repeats(docs: DataFrame, spec) -> DataFrame:
     """``docs`` with the spec's result columns; ``spec`` gives the tokens, anchors and results.
 
     A null text is empty and a null doc_id is neither smaller nor larger than another: such rows keep all
-    their tokens and take none from others.  Rows with one doc_id never take from each other."""
+    their tokens and take none from others.  Rows with one doc_id never take from each other, so repeated rows are
+    treated alike.  Whole texts of any length are worked on; a block holds at most about BLOCK_BYTES and one text.
+    An empty table gives no rows.  Other columns stay; one named like a result (in any case) is replaced."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    replaced = {c.lower() for c in spec.results}
+    docs, names = shielded(docs.select(*[c for c in docs.columns if c.lower() not in replaced]), ["_th", "_blk"])
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(8, size // BLOCK_BYTES + 1)
     slices = max(8, blocks // BLOCKS_PER_SLICE)
-    columns = [c for c in docs.columns if c not in spec.results]
+    columns = docs.columns
     th = F.xxhash64("text")
     own = docs.select(*columns, th.alias("_th"), F.pmod(F.xxhash64("doc_id", th), F.lit(blocks)).cast("int").alias("_blk"))
     texts = own.where("doc_id is not null and text is not null").select("doc_id", "_th", "_blk", F.md5("text").alias("m"))
@@ -404,4 +408,5 @@ def find_repeats(docs: DataFrame, spec) -> DataFrame:
     schema = StructType([docs.schema[c] for c in columns])
     for name, kind in spec.results.items():
         schema = schema.add(name, kind)
-    return with_mail(copies.unionByName(spans)).applyInArrow(_finish(spec, columns, to_arrow_schema(schema, prefers_large_types=False)), schema)
+    done = with_mail(copies.unionByName(spans)).applyInArrow(_finish(spec, columns, to_arrow_schema(schema, prefers_large_types=False)), schema)
+    return done.select(*[F.col(now).alias(c) for c, now in names.items()], *spec.results)
