@@ -128,13 +128,13 @@ class Index:
             self.verified += len(rows)
             return rows, self.scores(anchor, rows)
 
+        if focus and self.buckets:  # a first threshold, from a few rows of every bucket
+            _, scores = verify(np.concatenate([bucket.nearest(focus) for bucket in self.buckets]))
+            for j, (_, high) in enumerate(spans):
+                fit = scores[scores <= high]
+                if len(fit) >= k:
+                    needed[j] = max(needed[j], int(np.partition(fit, len(fit) - k)[len(fit) - k]))
         for bucket in self.buckets:
-            if focus and any(len(own) < k for own, _ in found):  # no threshold from the buckets before
-                _, scores = verify(bucket.nearest(focus))
-                for j, (_, high) in enumerate(spans):
-                    fit = scores[scores <= high]
-                    if len(fit) >= k:
-                        needed[j] = max(needed[j], int(np.partition(fit, len(fit) - k)[len(fit) - k]))
             least = min(needed)
             rows = bucket.at
             if least > 0:
