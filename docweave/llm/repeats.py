@@ -2,7 +2,8 @@
 with a smaller doc_id.
 
 Documents are dealt into blocks by a hash of the row; the text is shuffled once and read by three
-co-grouped passes (Spark reuses the exchange).  Between them only compressed arrays move:
+co-grouped passes (Spark reuses the exchange).  A task works on a block part by part, and sends one message
+for all of it to each slice, so that a message holds many keys.  Only compressed arrays move:
 
 1. every block names its windows' anchors (an operator's own locally consistent symbols or sampled
    strings), and for each anchor it holds, is told whether another block has it, too;
@@ -25,10 +26,15 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, mix, odd_factors, shielded
 
-#: A block's text; a run of equal windows in a block is sent on once, so a passage of a third of all documents
-#: is one entry a block.
-BLOCK_BYTES = 1 << 20
-BLOCKS_PER_SLICE = 6
+#: A block's text, and a slice's share of the text; a run of equal windows in a block is sent on once, so a passage
+#: of a third of all documents is one entry a block.  Blocks and slices both grow with the input: the larger they
+#: are, the fewer messages carry the same keys.
+BLOCK_BYTES = 1 << 24
+LEAST_BLOCKS = 24
+#: Text worked on at once within a block, or one text.
+PART_BYTES = 1 << 20
+#: The join that finds exact copies deals each hash out over so many tasks.
+COPY_SALTS = 8
 #: Entries of the windows' load compared at once in a slice; only whole anchor groups stay together.
 COMPARE_ENTRIES = 1 << 20
 
@@ -144,10 +150,22 @@ class Block:
         self.use = ~self.copy & np.array([x is not None for x in self.ids], bool)
         self.mail = [d for k, d in zip(kinds, mail["data"].to_pylist(), strict=True) if k != COPY]
         self.tokens, self.bounds = spec.load(self.text)
+        # documents first, last + 1 of each part
+        used = np.cumsum([0, *map(len, self.text)])[:-1] // PART_BYTES
+        self.parts = list(zip(*cut(used), strict=True))
+
+    def each(self):
+        """(first document, last + 1, first token, last + 1) of every part."""
+        for a, z in self.parts:
+            yield a, z, int(self.bounds[a]), int(self.bounds[z])
 
     def segments(self, spec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(key, start, count) of the runs of windows with one anchor."""
-        found = list(spec.segments(self.tokens, self.bounds, self.use))
+        found = [
+            (name, start + p, count)
+            for a, z, p, q in self.each()
+            for name, start, count in spec.segments(self.tokens[p:q], self.bounds[a : z + 1] - p, self.use[a:z])
+        ]
         if not found:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         name, start, count = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -156,10 +174,25 @@ class Block:
     def doc_of(self, start: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, start, "right") - 1
 
+    def names(self, spec, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Names of ranges, each within one document; ``start`` in any order."""
+        out = np.empty(len(start), np.uint64)
+        order = np.argsort(start, kind="stable")
+        for _, _, p, q in self.each():
+            own = order[slice(*np.searchsorted(start, [p, q], sorter=order))]
+            if len(own):
+                out[own] = RangeNames(spec.values(self.tokens[p:q])).of(start[own] - p, length[own])
+        return out
+
+    def prepared(self, spec) -> np.ndarray:
+        """What the spec's payload is taken from, at every position that starts a window."""
+        out = [spec.prepare(self.tokens[p:q]) for _, _, p, q in self.each()]
+        return np.concatenate([np.pad(x, (0, q - p - len(x))) for x, (_, _, p, q) in zip(out, self.each(), strict=True)] or [self.tokens])
+
 
 def _send_keys(spec, slices: int):
     def send(docs: pa.Table, mail: pa.Table) -> pa.Table:
-        key, _, count = Block(spec, docs, mail).segments(spec)
+        key, _, count = Block(spec, docs, mail).segments(spec)  # keys of a whole block: 16 bytes a segment
         keys, which = np.unique(key, return_inverse=True)
         windows = np.bincount(which, count, len(keys)).astype(np.int64)
         blk = docs["_blk"][0].as_py() if len(docs) else 0
@@ -238,8 +271,8 @@ def _send_segments(spec, slices: int):
         # Of equal segments in this block only the smallest document's is sent on; the others repeat it.  So a
         # passage of a third of all documents is one entry a block.
         ids = np.array([x or 0 for x in block.ids], np.int64)
-        whole = spec.prepare(block.tokens)
-        name = mix(RangeNames(spec.values(block.tokens)).of(start, count + spec.width - 1) ^ mix(key) ^ count.astype(np.uint64))
+        whole = block.prepared(spec)
+        name = mix(block.names(spec, start, count + spec.width - 1) ^ mix(key) ^ count.astype(np.uint64))
         order = np.lexsort((ids[doc], name))
         head = np.concatenate([[True], np.diff(name[order]) != 0]) if len(order) else np.zeros(0, bool)
         low = np.empty(len(order), np.int64)
@@ -355,15 +388,23 @@ def _confirm(spec):
 def _finish(spec, columns: list[str], schema: pa.Schema):
     def finish(docs: pa.Table, mail: pa.Table) -> pa.Table:
         block = Block(spec, docs, mail)
-        edge = np.zeros(int(block.bounds[-1]) + 1, np.int32)
-        for data in block.mail:
-            doc, begin, size = (x.view(np.int64) for x in unpack(data))
-            np.add.at(edge, block.bounds[doc] + begin, 1)
-            np.add.at(edge, block.bounds[doc] + begin + size, -1)
-        cover = np.cumsum(edge[:-1]) > 0
-        for i in np.flatnonzero(block.copy & (np.diff(block.bounds) >= spec.width)):
-            cover[block.bounds[i] : block.bounds[i + 1]] = True
-        made = [spec.result(block.text[i], block.tokens, a, b, cover[a:b]) for i, (a, b) in enumerate(zip(block.bounds, block.bounds[1:], strict=False))]
+        spans = [tuple(x.view(np.int64) for x in unpack(data)) for data in block.mail]
+        doc, begin, size = (np.concatenate(x) for x in zip(*spans, strict=True)) if spans else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(doc, kind="stable")
+        doc, begin, size = doc[order], begin[order], size[order]
+        made = []
+        for a, z, p, q in block.each():
+            own = slice(*np.searchsorted(doc, [a, z]))
+            first = block.bounds[doc[own]] - p + begin[own]
+            edge = np.zeros(q - p + 1, np.int32)
+            np.add.at(edge, first, 1)
+            np.add.at(edge, first + size[own], -1)
+            cover = np.cumsum(edge[:-1]) > 0
+            for i in range(a, z):
+                at, end = int(block.bounds[i]), int(block.bounds[i + 1])
+                if block.copy[i] and end - at >= spec.width:
+                    cover[at - p : end - p] = True
+                made.append(spec.result(block.text[i], block.tokens, at, end, cover[at - p : end - p]))
         out = docs.select(columns).take(pa.array(block.order, pa.int64()))
         for name, values in zip(spec.results, zip(*made, strict=True) if made else [()] * len(spec.results), strict=True):
             out = out.append_column(name, pa.array(values, schema.field(name).type))
@@ -377,7 +418,8 @@ def find_repeats(docs: DataFrame, spec) -> DataFrame:
 
     A null text is empty and a null doc_id is neither smaller nor larger than another: such rows keep all
     their tokens and take none from others.  Rows with one doc_id never take from each other, so repeated rows are
-    treated alike.  Whole texts of any length are worked on; a block holds at most about BLOCK_BYTES and one text.
+    treated alike.  Whole texts of any length are worked on; a block holds about BLOCK_BYTES and at most one part
+    (PART_BYTES, or one longer text) of it is expanded at once.
     An empty table gives no rows.  Other columns stay; one named like a result (in any case) is replaced."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -385,15 +427,18 @@ def find_repeats(docs: DataFrame, spec) -> DataFrame:
     replaced = {c.lower() for c in spec.results}
     docs, names = shielded(docs.select(*[c for c in docs.columns if c.lower() not in replaced]), ["_th", "_blk"])
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(8, size // BLOCK_BYTES + 1)
-    slices = max(8, blocks // BLOCKS_PER_SLICE)
+    blocks = slices = max(LEAST_BLOCKS, size // BLOCK_BYTES + 1)
     columns = docs.columns
     th = F.xxhash64("text")
     own = docs.select(*columns, th.alias("_th"), F.pmod(F.xxhash64("doc_id", th), F.lit(blocks)).cast("int").alias("_blk"))
     texts = own.where("doc_id is not null and text is not null").select("doc_id", "_th", "_blk", F.md5("text").alias("m"))
     lowest = texts.groupBy("m").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    # every hash's smallest doc_id stands under each salt, so a text in a third of all rows is not one task's
+    lowest = lowest.select("*", F.explode(F.sequence(F.lit(0), F.lit(COPY_SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(COPY_SALTS)).cast("int")
     copies = checkpointed(
-        texts.join(lowest, "m")
+        texts.withColumn("salt", salt)
+        .join(lowest, ["m", "salt"])
         .where("doc_id > lo")
         .select("_blk", F.lit(COPY).alias("kind"), F.col("doc_id").cast("long").alias("x"), F.col("_th").alias("y"), F.lit(None).cast("binary").alias("data"))
     )
