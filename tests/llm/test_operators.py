@@ -372,6 +372,34 @@ def test_hot_anchors_are_in_no_slice_as_a_whole(spark, monkeypatch, spec, cut):
         assert n == {d: sum(cover) for d, _, cover in plain_repeats(rows, lambda t: cut(t), 50)}
 
 
+@pytest.mark.parametrize("spec, tokens", [(op6.DigestWindows, lambda t: (t or "").encode()), (op9.DigestWordWindows, lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or ""))])
+def test_parts_of_a_block(spark, monkeypatch, spec, tokens):
+    """Blocks of many parts, of one, and of texts longer than a part give the same rows; copies lie in several parts."""
+    rng = random.Random(21)
+    shared = [words(rng, 70, 50_000) for _ in range(4)]
+    rows = [(i, " ".join([words(rng, rng.randrange(0, 60), 50_000), rng.choice(shared), words(rng, 5, 50_000)])) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(20)] + [(200, None), (201, ""), (202, " ".join(shared * 3)), (203, words(rng, 20_000, 50_000)), (203, None)]
+    want = sorted((d, len(own), sum(cover)) for d, own, cover in plain_repeats(rows, tokens, 50))
+    length = list(spec.results)[0]
+    for part, block, least in ((1 << 20, 1 << 24, 3), (300, 1 << 24, 1), (2000, 9000, 2)):
+        monkeypatch.setattr(repeats, "PART_BYTES", part)
+        monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+        monkeypatch.setattr(repeats, "LEAST_BLOCKS", least)
+        got = find_repeats(docs_frame(spark, rows), spec()).select("doc_id", length, "n_removed").collect()
+        assert sorted(map(tuple, got)) == want
+
+
+def test_messages_do_not_grow_with_slices():
+    """A block's keys cost about as much whether they go to 32 slices or, as at 30 GB, to 1,920."""
+    rng = random.Random(22)
+    texts = [words(rng, 900, 90_000) for _ in range(1500)]
+    docs = pa.table({"_blk": [0] * len(texts), "doc_id": list(range(len(texts))), "text": texts, "_th": [0] * len(texts)})
+    none = pa.table({"_blk": [], "kind": [], "x": [], "y": [], "data": []}, schema=pa.schema([("_blk", pa.int32()), ("kind", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("data", pa.binary())]))
+    for spec in (op6.DigestWindows(), op9.DigestWordWindows()):
+        sent = [sum(map(len, repeats._send_keys(spec, n)(docs, none)["data"].to_pylist())) for n in (32, 1920)]
+        assert sent[1] < 1.6 * sent[0]
+
+
 def test_recompression_is_local():
     """Symbols over the middle of a sequence are the same whatever surrounds it."""
     rng = np.random.default_rng(3)
