@@ -29,10 +29,13 @@ from .common import checkpointed, mix, odd_factors, shielded
 #: A block's text, and a slice's share of the text; a run of equal windows in a block is sent on once, so a passage
 #: of a third of all documents is one entry a block.  Blocks and slices both grow with the input: the larger they
 #: are, the fewer messages carry the same keys.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 22
+SLICE_BYTES = 1 << 24
 LEAST_BLOCKS = 24
 #: Text worked on at once within a block, or one text.
 PART_BYTES = 1 << 20
+#: Rows of a block's result handed to Spark at once.
+ROWS_OUT = 256
 #: The join that finds exact copies deals each hash out over so many tasks.
 COPY_SALTS = 8
 #: Entries of the windows' load compared at once in a slice; only whole anchor groups stay together.
@@ -408,7 +411,7 @@ def _finish(spec, columns: list[str], schema: pa.Schema):
         out = docs.select(columns).take(pa.array(block.order, pa.int64()))
         for name, values in zip(spec.results, zip(*made, strict=True) if made else [()] * len(spec.results), strict=True):
             out = out.append_column(name, pa.array(values, schema.field(name).type))
-        return out.cast(schema)
+        return pa.Table.from_batches(out.cast(schema).to_batches(ROWS_OUT), schema)
 
     return finish
 
@@ -427,7 +430,7 @@ def find_repeats(docs: DataFrame, spec) -> DataFrame:
     replaced = {c.lower() for c in spec.results}
     docs, names = shielded(docs.select(*[c for c in docs.columns if c.lower() not in replaced]), ["_th", "_blk"])
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = slices = max(LEAST_BLOCKS, size // BLOCK_BYTES + 1)
+    blocks, slices = (max(LEAST_BLOCKS, size // n + 1) for n in (BLOCK_BYTES, SLICE_BYTES))
     columns = docs.columns
     th = F.xxhash64("text")
     own = docs.select(*columns, th.alias("_th"), F.pmod(F.xxhash64("doc_id", th), F.lit(blocks)).cast("int").alias("_blk"))
