@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from ..session import bound_batches, bound_bytes, ensure_checkpoint_dir, reliable_checkpoint  # noqa: F401 - used by the operators
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -20,22 +20,6 @@ SQL_LOWER = f"translate({{}}, '{UPPER}', '{LOWER}')"
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Rows of an Arrow batch, where neither the session nor its launcher has set them: Spark's own 10,000 whole
-    texts are held by the JVM and again by the Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if key not in {r["key"] for r in spark.sql("SET").collect()}:
-        spark.conf.set(key, str(rows))
-
-
-def bound_bytes(spark: SparkSession, megabytes: int = 16) -> None:
-    """Bytes of an Arrow batch, where neither the session nor its launcher has set them: a batch of long texts is
-    cut by what it holds, one of short texts by its rows."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if key not in {r["key"] for r in spark.sql("SET").collect()}:
-        spark.conf.set(key, str(megabytes << 20))
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
