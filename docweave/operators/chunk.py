@@ -10,7 +10,7 @@ including text that falls between chunks and the extra chunk after a long tail.
 
 Chunking is a per-row flat-map: no shuffle.  Two equal implementations:
 
-* ``method="arrow"`` (default): ``mapInPandas`` over whole texts.
+* ``method="arrow"`` (default): a flat-map over whole texts in parts of Arrow batches.
 * ``method="native"``: the offsets come from a bounded ``aggregate`` over ``sequence`` and the chunks from
   ``posexplode``, all JVM expressions.  It copies its array of spans at every step, so its cost grows with the
   square of a text's chunks: it is a cross-check of the default, not a way to run it.
@@ -22,13 +22,13 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import text as TX
+from .batches import flat_map_text
 
 def check_params(chunk_size: int, overlap: int) -> None:
     if chunk_size <= 0:
@@ -77,42 +77,22 @@ def chunk_strings(text: str, chunk_size: int = S.CHUNK_SIZE, overlap: int = S.CH
 
 
 def _arrow_chunks(df: DataFrame, text_col: str, keys: Sequence[str], chunk_size: int, overlap: int, mode: str) -> DataFrame:
-    key_fields = [df.schema[k] for k in keys]
-    out_schema = T.StructType(
-        key_fields
-        + [
-            T.StructField("chunk_index", T.IntegerType(), False),
-            T.StructField("chunk_start", T.IntegerType(), False),
-            T.StructField("chunk_text", T.StringType(), False),
-        ]
-    )
-    cols = list(keys) + [text_col]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out: dict[str, list] = {k: [] for k in keys}
-            idx, starts, texts = [], [], []
-            key_values = [pdf[k].tolist() for k in keys]
-            for row, text in enumerate(pdf[text_col].tolist()):
-                if text is None:
-                    continue
-                if len(text) <= chunk_size:
-                    pieces = [(0, text)]
-                else:
-                    pieces = [(s, text[s:e].strip()) for s, e in chunk_spans(text, chunk_size, overlap, mode)]
-                for i, (s, piece) in enumerate(pieces):
-                    for k, vals in zip(keys, key_values):
-                        out[k].append(vals[row])
-                    idx.append(i)
-                    starts.append(s)
-                    texts.append(piece)
-            res = pd.DataFrame(out)
-            res["chunk_index"] = pd.Series(idx, dtype="int32")
-            res["chunk_start"] = pd.Series(starts, dtype="int32")
-            res["chunk_text"] = pd.Series(texts, dtype="object")
-            yield res
-
-    return df.select(*cols).mapInPandas(run, out_schema)
+    fields = [
+        T.StructField("chunk_index", T.IntegerType(), False),
+        T.StructField("chunk_start", T.IntegerType(), False),
+        T.StructField("chunk_text", T.StringType(), False),
+    ]
+
+    def pieces(text: str | None) -> Iterator[tuple[int, int, str]]:
+        if text is None:
+            return
+        if len(text) <= chunk_size:
+            yield 0, 0, text
+            return
+        for i, (s, e) in enumerate(chunk_spans(text, chunk_size, overlap, mode)):
+            yield i, s, text[s:e].strip()
+
+    return flat_map_text(df, text_col, list(keys), fields, pieces)
 
 
 def _let(value: Column, body) -> Column:
