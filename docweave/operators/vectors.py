@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions import text as TX
 from ..session import reliable_checkpoint
+from .batches import map_batches, regrouped
 
 MAX_QUERIES_PER_PASS = 2048  # broadcast bound: 2048 x 768 doubles = 12.6 MB
 
@@ -474,24 +476,23 @@ def embed_chunks(
     on).  A task waits ``pause_seconds`` before each call, also of those one by one, so the calls of all tasks
     together come at no more than tasks / pause a second."""
     out_schema = T.StructType(list(chunks.schema.fields) + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
+    at = chunks.columns.index(text_col)
 
     def paced(texts: list[str]) -> list:
         if pause_seconds:
             time.sleep(pause_seconds)
         return embedder(texts)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = pdf[text_col].tolist()
-            vecs: list = []
-            for i in range(0, len(texts), batch_size):
-                part = texts[i : i + batch_size]
-                vecs.extend(embed_isolated(paced, [t if t is not None else "" for t in part]))
-            pdf = pdf.copy()
-            pdf[out_col] = vecs
-            yield pdf
-
-    return chunks.mapInPandas(run, out_schema)
+    names = out_schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in regrouped(batches, batch_size):
+            texts = part.column(at).to_pylist()
+            vecs = embed_isolated(paced, [t if t is not None else "" for t in texts])
+            vectors = pa.array(vecs, pa.list_(pa.float32()), from_pandas=True)
+            yield pa.RecordBatch.from_arrays([*part.columns, vectors], names)
+
+    return map_batches(chunks, run, out_schema)
 
 
 # A content-addressed store of vectors: one row for each (model, text) that was ever embedded.
