@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import text as TX
-from ..session import reliable_checkpoint
+from ..session import bound_batches, reliable_checkpoint
 from .batches import map_batches, regrouped
 
 MAX_QUERIES_PER_PASS = 2048  # broadcast bound: 2048 x 768 doubles = 12.6 MB
@@ -110,6 +110,7 @@ def vector_search_batch(
     query with ``score >= score_threshold``, ties by point id.  Query ids must be unique and not null (checked);
     ``max_queries_per_pass`` bounds what is broadcast at once, and each pass scans the points."""
     spark = points.sparkSession
+    bound_batches(spark)
     q = queries.select(F.col(query_id_col).alias("query_id"), F.col(query_vec_col).alias("qv")).where(F.col("qv").isNotNull())
     # size check before anything is broadcast
     n_queries, n_ids = q.agg(F.count("*"), F.countDistinct("query_id")).first()
@@ -167,50 +168,67 @@ def _query_passes(q: DataFrame, n_queries: int, bound: int) -> list[DataFrame]:
     return [q.where(b.isin(members)) for _, members in passes]
 
 
+#: Scores that a task holds at once (8 MB).
+SCORES_AT_ONCE = 1 << 20
+
+
 def _partition_topk(bc, k: int, threshold: float, payload_cols: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Scores slices of a batch's rows and holds the best ``k`` of each query so far.  Rows come by point id, so a
+    row's place in its batch orders equal scores; a query with ``k`` rows takes only what reaches the last of them."""
     cols = ["point_id"] + payload_cols
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, Qn = bc.value
         dim, m = Qn.shape
-        kept: list[pd.DataFrame] = []
+        cut = np.full(m, threshold, dtype=np.float64)
+        kept: pd.DataFrame | None = None
         for pdf in batches:
             ok = pdf["_v"].map(lambda v: v is not None and len(v) == dim).to_numpy(dtype=bool)
-            if not ok.any():
-                continue
-            rows = pdf[ok].reset_index(drop=True)
-            P = np.stack([np.asarray(v, dtype=np.float64) for v in rows["_v"]])
-            pn = np.linalg.norm(P, axis=1)
-            nz = pn > 0
-            if not nz.any():
-                continue
-            rows, P, pn = rows[nz].reset_index(drop=True), P[nz], pn[nz]
-            scores = (P / pn[:, None]) @ Qn  # n x m
-            n = scores.shape[0]
-            cut = np.full(m, threshold, dtype=np.float64)
-            if n > k:
-                kth = np.partition(scores, n - k, axis=0)[n - k]  # k-th best per query (ties kept below)
-                cut = np.maximum(cut, kth)
-            ri, qi = np.nonzero(scores >= cut[None, :])
-            if len(ri) == 0:
+            if not ok.any() or not m:
                 continue
-            frame = rows.loc[ri, cols].reset_index(drop=True)
-            frame.insert(0, "query_id", [qids[j] for j in qi])
-            frame["score"] = scores[ri, qi]
-            kept.append(frame)
-            if sum(len(f) for f in kept) > 4 * k * m:  # keep the per-task state bounded
-                kept = [_topk_per_query(pd.concat(kept, ignore_index=True), k)]
-        if kept:
-            allk = pd.concat(kept, ignore_index=True)
-            allk = allk.sort_values(["query_id", "score", "point_id"], ascending=[True, False, True])
-            yield allk.groupby("query_id", sort=False).head(k)
+            pdf = pdf[ok].sort_values("point_id", kind="stable", ignore_index=True)
+            n = max(1, SCORES_AT_ONCE // m)
+            for at in range(0, len(pdf), n):
+                found = _slice_topk(pdf.iloc[at : at + n].reset_index(drop=True), Qn, k, cut, cols)
+                if found is None:
+                    continue
+                kept = found if kept is None else _topk_per_query(pd.concat([kept, found], ignore_index=True), k)
+                last = kept.groupby("_q")["score"].agg(["size", "min"])
+                full = last[last["size"] == k]
+                cut[full.index] = np.maximum(threshold, full["min"])
+        if kept is not None:
+            kept.insert(0, "query_id", [qids[j] for j in kept["_q"]])
+            yield kept.drop(columns="_q")
 
     return run
 
 
+def _slice_topk(rows: pd.DataFrame, Qn: np.ndarray, k: int, cut: np.ndarray, cols: list[str]) -> pd.DataFrame | None:
+    """The best ``k`` of the rows (by score, then as they come) of each query, of those that reach its ``cut``."""
+    P = np.stack([np.asarray(v, dtype=np.float64) for v in rows["_v"]])
+    pn = np.linalg.norm(P, axis=1)
+    nz = np.flatnonzero(pn > 0)
+    scores = (P[nz] / pn[nz, None]) @ Qn  # n x m
+    hit = scores >= cut[None, :]
+    if len(nz) > k > 0 and np.count_nonzero(hit) > 4 * k * len(cut):
+        hit &= scores >= np.partition(scores, len(nz) - k, axis=0)[len(nz) - k]  # ties of the k-th best stay
+    ri, qi = np.nonzero(hit)
+    order = np.lexsort((ri, -scores[ri, qi], qi))
+    ri, qi = ri[order], qi[order]
+    starts = np.flatnonzero(np.diff(qi, prepend=-1))
+    place = np.arange(len(qi)) - np.repeat(starts, np.diff(starts, append=len(qi)))
+    ri, qi = ri[place < k], qi[place < k]
+    if not len(ri):
+        return None
+    found = rows.loc[nz[ri], cols].reset_index(drop=True)
+    found.insert(0, "_q", qi)
+    found["score"] = scores[ri, qi]
+    return found
+
+
 def _topk_per_query(frame: pd.DataFrame, k: int) -> pd.DataFrame:
-    frame = frame.sort_values(["query_id", "score", "point_id"], ascending=[True, False, True])
-    return frame.groupby("query_id", sort=False).head(k)
+    frame = frame.sort_values(["_q", "score", "point_id"], ascending=[True, False, True])
+    return frame.groupby("_q", sort=False).head(k)
 
 
 # ---------------------------------------------------------------------------------------------
