@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import reliable_checkpoint
 from ..sources import tables as TB
+from . import batches as BT
 from . import search as SR
 
 GRAM = 3
@@ -44,6 +47,62 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(folded(text), F.lit(r"(?=([\x20-\x7e]{3}))"), F.lit(1)))
 
 
+#: (trigram, row) pairs that a task holds before it hands their postings on.
+PAIRS_AT_ONCE = 1 << 21
+
+
+def _pairs(texts: pa.Array, first: int) -> np.ndarray:
+    """Each distinct (trigram, place of its text from ``first``) of folded texts as trigram << 32 | place.  A
+    trigram is three bytes of printable ASCII in a row; a byte of any other character is none."""
+    texts = pa.concat_arrays([texts.fill_null("")]).cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    found = []
+    for a in range(0, max(0, len(data) - GRAM + 1), BT.PART_BYTES):  # a long text in windows
+        cut = data[a : a + BT.PART_BYTES + GRAM - 1]
+        own = (np.searchsorted(ends, np.arange(a, a + len(cut)) + ends[0], "right") - 1 + first).astype(np.uint64)
+        plain = (cut >= 0x20) & (cut <= 0x7E)
+        at = np.flatnonzero(plain[:-2] & plain[1:-1] & plain[2:] & (own[:-2] == own[2:]))
+        letters = [cut[at + k].astype(np.uint64) << np.uint64(48 - 8 * k) for k in range(GRAM)]
+        found.append(np.unique(letters[0] | letters[1] | letters[2] | own[at]))
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+
+
+def _postings_of(pairs: np.ndarray, rows: np.ndarray, file: str) -> pa.RecordBatch:
+    """One posting for each trigram of the sorted pairs."""
+    gram, place = pairs >> np.uint64(32), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(gram, prepend=np.uint64(0)))  # no trigram is 0
+    letters = np.stack([(gram[starts] >> np.uint64(s)).astype(np.uint8) for s in (16, 8, 0)], axis=1)
+    grams = pa.FixedSizeBinaryArray.from_buffers(pa.binary(GRAM), len(starts), [None, pa.py_buffer(letters.tobytes())])
+    lists = pa.ListArray.from_arrays(pa.array([*starts, len(pairs)], pa.int32()), pa.array(rows[place], pa.int64()))
+    columns = [grams.cast(pa.binary()).cast(pa.string()), pa.array([file] * len(starts), pa.string()), lists]
+    return pa.RecordBatch.from_arrays(columns, ["gram", "file", "rows"])
+
+
+def _invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, file, rows) from rows of (file, row, folded text).  Rows of a file come one after another; a trigram
+    has a posting for each run of rows that is held at once."""
+    file, held, rows, n, size = None, [], [], 0, 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        pairs = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
+        if len(pairs):
+            yield _postings_of(pairs, np.concatenate(rows), file)
+
+    for part in BT.parts(batches):
+        names = part.column(0).to_pylist()
+        cuts = [0, *(k for k in range(1, len(names)) if names[k] != names[k - 1]), len(names)]
+        for a, b in zip(cuts, cuts[1:]):
+            if names[a] != file or size >= PAIRS_AT_ONCE:
+                yield from out()
+                file, held, rows, n, size = names[a], [], [], 0, 0
+            own = part.slice(a, b - a)
+            held.append(_pairs(own.column(2), n))
+            rows.append(own.column(1).to_numpy(zero_copy_only=False))
+            n, size = n + own.num_rows, size + len(held[-1])
+    yield from out()
+
+
 def _grams_of(run: str) -> frozenset[str]:
     own = "".join("iisk"[FOLD_FROM.index(c)] if c in FOLD_FROM else c.lower() if c.isascii() else c for c in run)
     cuts = (own[k : k + GRAM] for k in range(len(own) - GRAM + 1))
@@ -130,14 +189,13 @@ def _read(spark: SparkSession, root: str, name: str, files: Sequence[str]) -> Da
 
 
 def update_index(spark: SparkSession, root: str, name: str) -> int:
-    """Adds the postings of the files that have none yet; returns how many files those were.  A run that fails
-    leaves nothing behind: its postings become visible in one folder rename."""
+    """Adds the postings of the files that have none yet; returns how many files those were.  A task inverts the
+    rows that it reads, so postings are moved, not (trigram, row) pairs.  A run that fails leaves nothing behind: its postings become visible in one folder rename."""
     files = unindexed(spark, root, name)
     if not files:
         return 0
-    rows = _read(spark, root, name, files).select("_file", "_row", "content")
-    grams = rows.select("_file", "_row", F.explode(trigrams(F.col("content"))).alias("gram"))
-    held = grams.groupBy("gram", F.col("_file").alias("file")).agg(F.sort_array(F.collect_list("_row")).alias("rows"))
+    texts = _read(spark, root, name, files).select("_file", "_row", folded(F.col("content")).alias("_text"))
+    held = BT.map_batches(texts, _invert, "gram string, file string, rows array<long>")
     entries = spark.createDataFrame([(f,) for f in files], "file string").select(
         F.lit("").alias("gram"), "file", F.array().cast("array<long>").alias("rows")
     )
