@@ -22,7 +22,7 @@ from .repeats import find_repeats, ranges, sliding_min, window_mask, window_runs
 WIDTH = 50
 SAMPLE = 20  # bytes of a sampled position's first global rank
 #: Positions ranked at once, so a very long text needs no more memory than a short one.
-STEP = 1 << 20
+STEP = 1 << 18
 
 _A, _B = (np.uint64(x) for x in odd_factors(2))
 

@@ -32,14 +32,16 @@ from .common import checkpointed, mix, odd_factors, shielded
 BLOCK_BYTES = 1 << 22
 SLICE_BYTES = 1 << 24
 LEAST_BLOCKS = 24
-#: Text worked on at once within a block, or one text.
-PART_BYTES = 1 << 20
+#: Text worked on at once within a block, or one text: every byte of it becomes several 64-bit numbers.
+PART_BYTES = 1 << 18
 #: Rows of a block's result handed to Spark at once.
 ROWS_OUT = 256
 #: The join that finds exact copies deals each hash out over so many tasks.
 COPY_SALTS = 8
 #: Entries of the windows' load compared at once in a slice; only whole anchor groups stay together.
-COMPARE_ENTRIES = 1 << 20
+COMPARE_ENTRIES = 1 << 18
+#: Keys of a slice counted at once.
+ANSWER_KEYS = 1 << 17
 
 #: An anchor with more windows than this in all blocks is dealt out window by window.
 HOT_WINDOWS = 1 << 17
@@ -137,10 +139,16 @@ class RangeNames:
         return (self.sums[start + length] - self.sums[start]) * self.back[start]
 
 
+def give_back() -> None:
+    """Memory of the groups before that Arrow still holds goes back to the system: a worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 class Block:
     """The documents of a block in a fixed order, whatever order they came in."""
 
     def __init__(self, spec, docs: pa.Table, mail: pa.Table):
+        give_back()
         raw = docs["text"].cast(pa.binary()).to_pylist()
         ids = docs["doc_id"].to_pylist()
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, raw[i] is None, raw[i] or b""))
@@ -221,17 +229,33 @@ def _messages(blks: list[int], kind: int, data: list[bytes]) -> pa.Table:
 
 
 def _answer_keys(mail: pa.Table) -> pa.Table:
-    blks = mail["_blk"].to_pylist()
-    sent = [unpack(d) for d in mail["data"].to_pylist()]
-    lists = [np.cumsum(x, dtype=np.uint64) for x, _ in sent]
-    every = np.concatenate(lists)
-    order = np.argsort(every)
-    every, windows = every[order], np.concatenate([n for _, n in sent]).view(np.int64)[order]
-    first = np.flatnonzero(np.diff(every, prepend=every[:1] + np.uint64(1)))
-    again = every[first][np.diff([*first, len(every)]) > 1]
-    hot = every[first][np.add.reduceat(windows, first) > HOT_WINDOWS] if len(first) else again
-    own = [x[np.isin(x, again, assume_unique=True)] if len(again) else x[:0] for x in lists]
-    told = [(b, pack(np.diff(x, prepend=np.uint64(0)), np.isin(x, hot, assume_unique=True))) for b, x in zip(blks, own, strict=True) if len(x)]
+    give_back()
+    blks, lists, counts = mail["_blk"].to_pylist(), [], []
+    for data in mail["data"]:
+        x, n = unpack(data.as_py())
+        lists.append(np.cumsum(x, dtype=np.uint64))
+        counts.append(n.view(np.int64))
+    told = [([], []) for _ in blks]
+    # keys are hashes of 48 bits, so ranges of equal width hold about as many
+    steps = sum(map(len, lists)) // ANSWER_KEYS + 1
+    edges = np.array([(k << 48) // steps for k in range(steps + 1)], np.uint64)
+    places = [np.searchsorted(x, edges) for x in lists]
+    for k in range(steps):
+        own = [x[at[k] : at[k + 1]] for x, at in zip(lists, places, strict=True)]
+        every = np.concatenate(own)
+        order = np.argsort(every)
+        every, windows = every[order], np.concatenate([n[at[k] : at[k + 1]] for n, at in zip(counts, places, strict=True)])[order]
+        first = np.flatnonzero(np.diff(every, prepend=every[:1] + np.uint64(1)))
+        again = every[first][np.diff([*first, len(every)]) > 1]
+        if not len(again):
+            continue
+        hot = every[first][np.add.reduceat(windows, first) > HOT_WINDOWS]
+        for x, (found, heat) in zip(own, told, strict=True):
+            x = x[np.isin(x, again, assume_unique=True)]
+            found.append(x)
+            heat.append(np.isin(x, hot, assume_unique=True))
+    told = [(b, np.concatenate(found), np.concatenate(heat)) for b, (found, heat) in zip(blks, told, strict=True) if found]
+    told = [(b, pack(np.diff(x, prepend=np.uint64(0)), heat)) for b, x, heat in told if len(x)]
     return _messages([b for b, _ in told], SHARED, [d for _, d in told])
 
 
@@ -337,6 +361,7 @@ def _confirm_windows(spec, rows: list[tuple]) -> tuple:
 
 def _confirm(spec):
     def confirm(mail: pa.Table) -> pa.Table:
+        give_back()
         rows, loads, known, single = [], [], [], []
         blks = np.array(mail["_blk"].to_pylist(), np.int64)
         for k, data in enumerate(mail["data"].to_pylist()):
@@ -367,6 +392,8 @@ def _confirm(spec):
         key, ids, doc, start, count, blk = (np.concatenate(x) for x in zip(*rows, strict=True))
         load = np.concatenate([x for x, _ in loads])
         size = np.concatenate([x for _, x in loads])  # entries of the load per segment
+        rows.clear()  # held once from here on
+        loads.clear()
         at = np.cumsum(size) - size
         order = np.argsort(key, kind="stable")
         new = np.flatnonzero(np.diff(key[order], prepend=key[order][:1] + np.uint64(1)))  # first of each key
