@@ -2,13 +2,14 @@
 
 A text's symbols are merged by an agenda of adjacent pairs: the pair whose piece has the best score is merged
 first, of equal scores the leftmost, until no adjacent pair is a piece.  What the vocabulary lacks becomes byte
-pieces.  The sentencepiece library encodes and decodes every text, too, in the same Arrow batches, as a check."""
+pieces.  The segments of a group of texts that have not been met are merged together, in arrays.  The sentencepiece library encodes and decodes every text, too, in the same Arrow batches, as a check."""
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
 from struct import pack
@@ -25,6 +26,11 @@ REPLACEMENT = "�"
 #: Segments up to this length are remembered, so many of them for each worker, twice.
 MEMO_CHARS = 32
 MEMO_SIZE = 1 << 20
+#: New segments of one length are merged together from so many on, at most so many at once, those of texts of about
+#: so many characters.
+MANY = 16
+MERGED_AT_ONCE = 1 << 14
+GROUP_CHARS = 1 << 18
 
 
 class Pieces(dict):
@@ -62,6 +68,7 @@ class Pieces(dict):
                 self.surface.append(bytes([value]))
             else:
                 self.surface.append(trainer.unk_surface.encode() if p.type == kinds.UNKNOWN else b"\xff")
+        self.surfaces = np.array(self.surface, object)
         scores = sorted({p.score for p in proto.pieces}, reverse=True)
         order = {score: k for k, score in enumerate(scores, 1)}
         if max(map(len, self.ids)) > 0xFF:
@@ -76,6 +83,32 @@ class Pieces(dict):
         self.spaced = {i for p, i in self.ids.items() if p.startswith(SPACE)} if self.dummy else set()
         self.control = {i for i, p in enumerate(proto.pieces) if p.type == kinds.CONTROL}
         self.segment = self._segments()
+        self._pairs(order, [proto.pieces[i].score for i in range(len(proto.pieces))])
+
+    def _pairs(self, order: dict[float, int], score: list[float]) -> None:
+        """Tables for ``merge_many``.  A symbol's number is its id; characters of pieces that are no piece themselves
+        come after the ids.  Each two symbols that make a piece have a key, a place and that piece."""
+        joined = [p for p in self.ids if len(p) > 1]
+        number = dict(self.ids)
+        for c in sorted(set("".join(joined)) | {SPACE}):
+            number.setdefault(c, len(score) + len(number) - len(self.ids))
+        self.n_symbols = len(score) + len(number) - len(self.ids)
+        self.n_ids = len(score)
+        self.number_of = np.full(0x110000, -1, np.int32)
+        for symbol, k in number.items():
+            if len(symbol) == 1:
+                self.number_of[ord(symbol)] = k
+        pairs = {}
+        for piece in joined:
+            own = order[score[self.ids[piece]]], self.ids[piece]
+            for cut in range(1, len(piece)):
+                a, b = number.get(piece[:cut]), number.get(piece[cut:])
+                if a is not None and b is not None:
+                    pairs[a * self.n_symbols + b] = own
+        keys = sorted(pairs)
+        self.pair_key = np.array([*keys, np.iinfo(np.int64).max], np.int64)
+        self.pair_place = np.array([*(pairs[k][0] for k in keys), self.last], np.int32)
+        self.pair_piece = np.array([*(pairs[k][1] for k in keys), -1], np.int32)
 
     def _segments(self) -> re.Pattern:
         """Cuts a text where no piece joins its two sides: around each character that no piece of two or more
@@ -103,6 +136,69 @@ class Pieces(dict):
         known = self.known
         return b"".join([known.get(x) or self.packed_symbol(x) for x in symbols])
 
+    def _pair_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Each two symbols' row of the pair tables, the last where they make no piece."""
+        key = a.astype(np.int64) * self.n_symbols + b
+        at = np.searchsorted(self.pair_key, key)
+        return np.where(self.pair_key[at] == key, at, len(self.pair_key) - 1)
+
+    def merge_many(self, segments: list[str]) -> list[bytes]:
+        """``merge_short`` of segments of one length at once: a round merges the best, leftmost pair of every segment
+        that still has one, so those left all have one symbol less."""
+        out: list[bytes] = [b""] * len(segments)
+        codes = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32).reshape(len(segments), -1)
+        symbols, rows = self.number_of[codes], np.arange(len(segments))
+        odd = (symbols < 0).any(1)  # characters of no piece; `segment` leaves each of them alone
+        for r in np.flatnonzero(odd).tolist():
+            out[r] = self.merge_short(segments[r])
+        symbols, rows = symbols[~odd], rows[~odd]
+        pair = self._pair_of(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            n = symbols.shape[1]
+            place = self.pair_place[pair]
+            going = (place < self.last).any(1)
+            ended = symbols[~going]
+            packed = ended.astype("<u4").tobytes()
+            plain = (ended < self.n_ids).all(1).tolist()
+            for k, (r, whole) in enumerate(zip(rows[~going].tolist(), plain, strict=True)):
+                out[r] = packed[4 * n * k : 4 * n * (k + 1)] if whole else self.merge_short(segments[r])
+            symbols, pair, place, rows = symbols[going], pair[going], place[going], rows[going]
+            if not len(rows):
+                break
+            line, at = np.arange(len(rows)), place.argmin(1)
+            symbols[line, at] = self.pair_piece[pair[line, at]]
+            symbols = symbols[np.arange(n) != at[:, None] + 1].reshape(len(rows), n - 1)
+            pair = pair[np.arange(n - 1) != at[:, None]].reshape(len(rows), n - 2)
+            for side in (at - 1, at):  # the pairs with the symbols before and after
+                some = np.flatnonzero((side >= 0) & (side < n - 2))
+                i = side[some]
+                pair[some, i] = self._pair_of(symbols[some, i], symbols[some, i + 1])
+        return out
+
+    def learn(self, segments: set[str]) -> dict[str, bytes]:
+        """The short new ones of ``segments``, those of one length merged together, which are remembered, too.  Where
+        there are a few of a length, they are left to ``merge_short``."""
+        fresh: dict[str, bytes] = {}
+        by_length: dict[int, list[str]] = {}
+        for segment in segments:
+            if segment not in self.older:
+                by_length.setdefault(len(segment), []).append(segment)
+        for length, new in by_length.items():
+            if 1 < length <= MEMO_CHARS and len(new) >= MANY:
+                for at in range(0, len(new), MERGED_AT_ONCE):
+                    part = new[at : at + MERGED_AT_ONCE]
+                    fresh.update(zip(part, self.merge_many(part), strict=True))
+        if len(self) + len(fresh) > MEMO_SIZE:
+            self._age()
+        if len(fresh) <= MEMO_SIZE:
+            self.update(fresh)
+        return fresh
+
+    def _age(self) -> None:
+        """What was met since the last time stays for another round."""
+        self.older = dict(self)
+        self.clear()
+
     def merge(self, segment: str) -> bytes:
         """The agenda over the adjacent pairs of a segment.  A symbol is the span from its start to ``end[start]``
         (0 once it has been merged into the one before); an entry is a number of rank, start and width."""
@@ -142,18 +238,34 @@ class Pieces(dict):
         if got is None:
             got = self.merge_short(segment) if len(segment) <= MEMO_CHARS else self.merge(segment)
         if len(segment) <= MEMO_CHARS:
-            if len(self) >= MEMO_SIZE:  # what was met since the last time stays for another round
-                self.older = dict(self)
-                self.clear()
+            if len(self) >= MEMO_SIZE:
+                self._age()
             self[segment] = got
         return got
 
     def packed(self, text: str) -> bytes:
         """Ids with begin and end, as little-endian 32-bit numbers."""
-        if not text:
-            return self.begin + self.end
-        segments = self.segment.findall(self.dummy + text.replace(" ", SPACE))
-        return b"".join((self.begin, *map(self.__getitem__, segments), self.end))
+        return b"".join((self.begin, *map(self.__getitem__, self._cut(text)), self.end))
+
+    def packed_all(self, texts: list[str]) -> Iterator[bytes]:
+        """``packed`` of each text, in groups whose new segments are merged together."""
+        at = 0
+        while at < len(texts):
+            group, chars = [], 0
+            while at < len(texts) and chars < GROUP_CHARS:
+                segments = self._cut(texts[at])
+                met = [*map(self.get, segments)]
+                group.append((met, [(i, s) for i, s in enumerate(segments) if met[i] is None] if None in met else []))
+                chars += len(texts[at])
+                at += 1
+            fresh = self.learn({s for _, unmet in group for _, s in unmet})
+            for met, unmet in group:
+                for i, segment in unmet:
+                    met[i] = fresh.get(segment) or self[segment]
+                yield b"".join((self.begin, *met, self.end))
+
+    def _cut(self, text: str) -> list[str]:
+        return self.segment.findall(self.dummy + text.replace(" ", SPACE)) if text else []
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
@@ -163,11 +275,21 @@ class Pieces(dict):
         first = next((k for k, i in enumerate(ids) if i not in self.control), len(ids))
         last = next((k for k in range(len(ids), first, -1) if ids[k - 1] not in self.control), first)
         core = ids[first:last]
+        return self._decoded(np.array(core, np.int32))
+
+    def decode_packed(self, packed: bytes) -> str:
+        """``decode`` of what ``packed`` gives."""
+        return self._decoded(np.frombuffer(packed, "<i4")[1:-1])
+
+    def _decoded(self, core: np.ndarray) -> str:
+        """The text of ids with no control piece at their ends."""
+        if not len(core):
+            return ""
         try:  # the whole is valid exactly if there is no control piece inside and every run of bytes is valid
-            text = b"".join([self.surface[i] for i in core]).decode()
+            text = b"".join(self.surfaces[core].tolist()).decode()
         except UnicodeDecodeError:
-            text = self._by_runs(core)
-        return text[1:] if core and core[0] in self.spaced else text
+            text = self._by_runs(core.tolist())
+        return text[1:] if int(core[0]) in self.spaced else text
 
     def _by_runs(self, ids: list[int]) -> str:
         out, run = [], bytearray()
@@ -215,16 +337,15 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, check: bool) -> Itera
     pieces, library = _pieces(path), _library(path) if check else None
     for batch in batches:
         ids, decoded, agrees = [], [], []
-        for text in batch["text"].to_pylist():
-            own = pieces.packed(text or "")
-            own_ids = np.frombuffer(own, "<u4").tolist()
-            back = pieces.decode(own_ids)
+        texts = [text or "" for text in batch["text"].to_pylist()]
+        for text, own in zip(texts, pieces.packed_all(texts), strict=True):
+            back = pieces.decode_packed(own)
             ids.append(own)
             decoded.append(back)
             same = None
             if library is not None:
-                theirs = library.encode(text or "", add_bos=True, add_eos=True)
-                same = theirs == own_ids and library.decode(theirs) == back
+                theirs = library.encode(text, add_bos=True, add_eos=True)
+                same = array("I", theirs).tobytes() == own and library.decode(theirs) == back
             agrees.append(same)
         yield batch["doc_id"], ids, decoded, agrees
 
