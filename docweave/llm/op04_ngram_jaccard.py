@@ -2,7 +2,8 @@
 only if they share a token in their prefixes under every one of several global token orders.
 
 The first order's prefixes are joined; the candidates must also share prefix tokens under the other
-orders; what passes all filters is verified on whole sets.  All orders put rare shingles first (by a
+orders; what passes all filters is verified on whole sets.  Before that, parities and, of long sets, counts
+of their tokens' hash buckets tell most unrelated pairs apart.  All orders put rare shingles first (by a
 bounded table of document frequencies over the whole corpus) and differ in how they order the rest, so
 a passage that many documents share comes last in all of them."""
 
@@ -84,7 +85,7 @@ def prefix(tokens: np.ndarray, classes: np.ndarray, order: int, percent: int) ->
     return tokens[by[:keep]]
 
 
-COLUMNS = ["doc_id", "th", "n", "sig", "sketch", "slice"]
+COLUMNS = ["doc_id", "th", "n", "sig", "sketch", "counts", "slice"]
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
@@ -95,10 +96,25 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def summarize(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, th, n, sig, sketch) per row, and the frequency class of every bucket.
+def long_from(percent: int) -> int:
+    """The size from which on parities tell unrelated sets apart badly: two such sets may differ in 3/8 of a sketch's
+    bits, and unrelated ones do in about half of them."""
+    return 3 * 64 * SKETCH * (100 + percent) // (16 * max(1, 100 - percent))
 
-    One pass over the texts; ``sig`` is a 128-bit name of the whole set, null for an empty one."""
+
+def bucket_counts(tokens: np.ndarray) -> np.ndarray:
+    """The number of tokens, up to 127, in each of the sketch's hash buckets.  The counts of two sets differ by as
+    much, in sum, as the sets' symmetric difference has tokens at most."""
+    at = (mix(tokens, 90) % np.uint64(64 * SKETCH)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=64 * SKETCH), 127).astype(np.int8)
+
+
+def summarize(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, th, n, sig, sketch, counts) per row, and the frequency class of every bucket.
+
+    One pass over the texts; ``sig`` is a 128-bit name of the whole set, null for an empty one; ``counts`` are those
+    of ``bucket_counts`` for long sets, null for others."""
+    least = long_from(percent)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.uint32)  # of one task's documents
@@ -107,16 +123,16 @@ def summarize(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
                 np.add.at(counts, _bucket(tokens), 1)
             sig = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"].cast(pa.int64()), part["th"], pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary()), pa.array([sketch(s) for s in sets], pa.list_(pa.int64())), pa.nulls(len(sets), pa.int32())],
+                [part["doc_id"].cast(pa.int64()), part["th"], pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary()), pa.array([sketch(s) for s in sets], pa.list_(pa.int64())), pa.array([bucket_counts(s) if len(s) >= least else None for s in sets], pa.list_(pa.int8())), pa.nulls(len(sets), pa.int32())],
                 COLUMNS,
             )
         if counts.any():
             data = [zstandard.compress(c.astype(np.uint64).tobytes(), 1) for c in np.split(counts, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(data, pa.binary()), pa.nulls(SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32())], COLUMNS)
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(data, pa.binary()), pa.nulls(SLICES, pa.list_(pa.int64())), pa.nulls(SLICES, pa.list_(pa.int8())), pa.array(range(SLICES), pa.int32())], COLUMNS)
 
     both = checkpointed(
-        docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(scan, "doc_id long, th long, n long, sig binary, sketch array<long>, slice int")
+        docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(scan, "doc_id long, th long, n long, sig binary, sketch array<long>, counts array<tinyint>, slice int")
     )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,6 +166,20 @@ def _sketches_fit(x: str, y: str, percent: int) -> Column:
     return _size_fits(size_x, size_y, percent) & (differ * (100 + percent) <= (size_x + size_y) * (100 - percent))
 
 
+def _counts_fit(x: str, y: str, percent: int) -> Column:
+    """Whether two long sets' bucket counts allow the similarity, as in ``_sketches_fit``; true of other sets."""
+    each = F.zip_with(f"{x}_counts", f"{y}_counts", lambda a, b: F.abs(a.cast("int") - b.cast("int")))
+    differ = F.aggregate(each, F.lit(0), lambda total, d: total + d)
+    return F.coalesce(differ * (100 + percent) <= (F.col(f"{x}_n") + F.col(f"{y}_n")) * (100 - percent), F.lit(True))
+
+
+def close_pairs(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose sizes, sketches and bucket counts allow the similarity."""
+    side = lambda c: reps.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("n", "sketch", "counts")])
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.where(_sketches_fit("a", "b", percent)).where(_counts_fit("a", "b", percent)).select("a", "b")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes, words: int, percent: int) -> DataFrame:
     """The (a, b) of candidate pairs that share prefix tokens under the other orders, too, and whose whole
     sets reach the similarity.  Only texts in some pair are read again."""
@@ -210,9 +240,7 @@ def find_links(docs: DataFrame, reps: DataFrame, classes: np.ndarray, words: int
     posting = staged(posting)
     hubs = posting.where((F.col("low.node") < F.col("node")) & _size_fits(F.col("low.n"), F.col("n"), percent))
     pairs = checkpointed(hubs.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct())
-    side = lambda c: reps.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("n", "sketch")])
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(_sketches_fit("a", "b", percent))
-    links = checkpointed(verified(checkpointed(close.select("a", "b")), docs, shared, words, percent))
+    links = checkpointed(verified(checkpointed(close_pairs(pairs, reps, percent)), docs, shared, words, percent))
 
     parts = connected_components(links, "a", "b")
     # a token's only pair has been tried
@@ -232,8 +260,7 @@ def find_links(docs: DataFrame, reps: DataFrame, classes: np.ndarray, words: int
     many = open_.where(F.col("sets") > MANY_SETS).join(reps.select("node", "sketch"), "node")
     few = across(open_.where(F.col("sets") <= MANY_SETS), _size_fits(F.col("x_n"), F.col("y_n"), percent))
     rest = across(many, _sketches_fit("x", "y", percent)).union(few.join(pairs, ["a", "b"], "left_anti")).distinct()
-    rest = rest.join(side("a"), "a").join(side("b"), "b").where(_sketches_fit("a", "b", percent)).select("a", "b")
-    rest = checkpointed(rest.join(pairs, ["a", "b"], "left_anti"))
+    rest = checkpointed(close_pairs(rest, reps, percent).join(pairs, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = links.unionByName(checkpointed(verified(rest, docs, shared, words, percent)))
     return links
@@ -249,8 +276,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     n_shingles and a null component, and links with nothing.  Rows that share a doc_id are one node, and each
     is judged by its own text.  ``th`` is the xxhash64 of the row's text."""
     docs = docs.select("doc_id", "text")
-    rows, classes = summarize(docs, words)
-    reps = rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("n").alias("n"))
+    rows, classes = summarize(docs, words, percent)
+    reps = rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("counts").alias("counts"), F.first("n").alias("n"))
     reps = checkpointed(reps)
     links = find_links(docs, reps, classes, words, percent)
     parts = connected_components(links, "a", "b")
