@@ -1,65 +1,92 @@
-"""Embedding near-dedup: subspace pigeonhole join.
+"""Embedding near-dedup: tiles of neighbouring vectors that meet without being copied.
 
-Two unit vectors of cosine c are sqrt(2 - 2c) apart.  Rotated vectors are split into blocks, and the
-squared distance is shared out over them in proportion to their variance: a pair within the distance is
-within the budget in at least one block.  Each block is range-joined on a grid over its leading
-coordinates, and the union of the candidates is verified exactly."""
+Two unit vectors of cosine c are arccos(c) apart.  Vectors are dealt to the nearest of some pivots and packed, a
+few tens of thousands in a row, into tiles.  Tiles are written once and meet pairwise in a join that reads them from
+there, so what is written grows with the vectors, not with their pairs.  Where two tiles meet, a group of neighbours is
+passed over by all vectors whose angle to its centre rules out a link; the others are told apart by their leading
+coordinates on principal axes, and what is left is verified exactly."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpointed, connected_components, read, staged
+from .common import bound_bytes, connected_components, read, staged
 
 MIN_COSINE = 0.95
 BLOCKS = 8
-#: Leading coordinates of a block that make its grid, and the cell width in budget radii.  More coordinates
-#: mean smaller cells and more guests; two suit up to some ten million vectors.
+#: Leading coordinates of each block by which pairs are told apart before they are verified.
 GRID_DIMS = 2
-CELL_RADII = 2.0
-#: Vectors of a cell compared in one task; a larger cell is cut into tiles that meet pairwise.
-TILE = 16384
-ROWS_AT_ONCE = 128
-#: Pairs verified at once, so that a group of near copies needs no more memory than its vectors.
+#: Vectors, and bytes of them, in a tile at most.  Each pair of tiles goes to a Python worker once, so small tiles mean
+#: more reading; two tiles and what they meet with are held by a task.  A smaller table is cut into TILES tiles, but
+#: not below LEAST_TILE vectors.
+TILE = 65536
+TILE_BYTES = 16 << 20
+TILES = 16
+LEAST_TILE = 2048
+#: Vectors for each pivot, and pivots (and their components) at most.
+CELL = 128
+PIVOTS = 8192
+PIVOT_NUMBERS = 1 << 21
+#: Vectors around a centre, and of them such as are passed over or met together; centres looked at together.
+NEIGHBOURS = 256
+GROUP = 32
+HOODS_AT_ONCE = 32
+#: Ranges of tiles that a task holds one of, while another streams by: this many, or more of RANGE_BYTES each.
+RANGES = 64
+RANGE_BYTES = 64 << 20
+#: Bytes of prepared tiles that a task keeps for their next meeting.
+KEPT_BYTES = 64 << 20
+#: Pairs scored at once, and pairs verified at once, so that a group of near copies needs no more memory than its
+#: vectors.
+SCORES_AT_ONCE = 1 << 18
 PAIRS_AT_ONCE = 1 << 16
-#: Rotated coordinates are whole multiples of this, so that every task finds the same distances: a unit
-#: vector's squared length is then at most 2^22 squared steps, which 32-bit floats hold exactly.
+ROWS_AT_ONCE = 4096
+#: Rounded coordinates are whole multiples of this: a unit vector's squared length is then at most some 2^22 squared
+#: steps, so 32-bit floats hold sums of their products exactly, and every task finds the same ones.
 STEP = 2.0**-11
 
 
 class Subspaces:
-    """A rotation onto principal axes, consecutive blocks of them, and each block's squared budget."""
+    """A rotation onto principal axes and consecutive blocks of them, each with some of the widest.  The leading
+    coordinates of all blocks and the length of the rest bound a cosine from above."""
 
     def __init__(self, moments: np.ndarray, count: int, blocks: int, grid: int, min_cosine: float):
         dims = len(moments)
         values, axes = np.linalg.eigh(moments / max(count, 1))
         top = np.argsort(-values, kind="stable")
-        self.axes = axes[:, top]
-        share = np.maximum(values[top], 0.0) + 1e-9
         # axes dealt in turn, so every block has some of the widest
         parts = [np.arange(k, dims, blocks) for k in range(min(blocks, dims))]
-        self.order = np.concatenate(parts)
-        self.ends = np.cumsum([0, *map(len, parts)])
-        total = 2.0 - 2.0 * min_cosine
-        # half a step in each coordinate of both vectors, and a little for the rotation
-        slack = STEP * np.sqrt([len(p) for p in parts]) + 1e-6
-        radius = np.sqrt([total * share[p].sum() / share.sum() for p in parts]) + slack
-        self.grid = min(grid, *map(len, parts))
-        self.budget = np.floor((radius / STEP) ** 2)  # in squared steps
-        self.cell = CELL_RADII * radius / STEP
-        self.radius = radius / STEP
+        self.turn = axes[:, top[np.concatenate(parts)]] / STEP
+        ends = np.cumsum([0, *map(len, parts)])
+        leading = np.zeros(dims, bool)
+        for begin, part in zip(ends, parts, strict=False):
+            leading[begin : begin + min(grid, len(part))] = True
+        self.leading, self.rest = np.flatnonzero(leading), np.flatnonzero(~leading)
+        self.min_cosine = min_cosine
+        self.reach = float(np.arccos(np.clip(min_cosine, -1.0, 1.0)))
+        #: How far a product of two unit vectors in 32 bits is off, and an angle found from it.
+        self.blur = (dims + 8) * 2.0**-23
+        self.angle_blur = 2.0 * math.sqrt(2.0 * self.blur)
+        # half a step in each leading coordinate of both vectors, and what 32 bits lose
+        self.least_score = np.float32(min_cosine - STEP * math.sqrt(len(self.leading)) - 2 * self.blur)
 
     def steps(self, unit: np.ndarray) -> np.ndarray:
-        return np.rint(unit @ self.axes[:, self.order] / STEP).astype(np.int16)
+        return np.rint(unit.astype(np.float64) @ self.turn).astype(np.int16)
 
-    def part(self, steps: np.ndarray, block: int) -> np.ndarray:
-        return steps[:, self.ends[block] : self.ends[block + 1]].astype(np.float32)
+    def short(self, unit: np.ndarray) -> np.ndarray:
+        """Leading coordinates and the length of the rest.  The product of two rows is at least their vectors'
+        cosine, but for what ``least_score`` allows."""
+        at = self.steps(unit).astype(np.float32) * np.float32(STEP)
+        rest = at[:, self.rest]
+        length = np.sqrt((rest * rest).sum(1, keepdims=True)) + np.float32(0.5 * STEP * math.sqrt(len(self.rest)))
+        return np.ascontiguousarray(np.hstack([at[:, self.leading], length]))
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -74,18 +101,126 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dims)
 
 
-def _moments(reps: DataFrame, dims: int) -> tuple[np.ndarray, int]:
+def _stored_kind(vectors: DataFrame) -> str:
+    """How a component travels: as the column has it, in 32 or 64 bits."""
+    return "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
+
+
+def _digest(embedding: Column) -> Column:
+    return F.xxhash64(embedding)
+
+
+def _pivots(rows: DataFrame, dims: int, n: int) -> np.ndarray:
+    """Steps of some of the vectors, by their hash."""
+    k = max(1, min(n // CELL, PIVOTS, PIVOT_NUMBERS // dims))
+    if k == 1:
+        return np.zeros((1, dims), np.float32)
+    some = rows.where(F.pmod("h", F.lit(n // k)) == 0).groupBy("embedding").agg(F.count("*")).select("embedding")
+    found = np.array([r["embedding"] for r in some.collect()], np.float64).reshape(-1, dims)
+    return _plain_steps(found) if len(found) else np.zeros((1, dims), np.float32)
+
+
+def _plain_steps(vectors: np.ndarray) -> np.ndarray:
+    return np.rint(unit_rows(vectors) / STEP).astype(np.float32)
+
+
+def _tile_rows(n: int, dims: int, kind: str) -> int:
+    most = max(1, min(TILE, TILE_BYTES // (dims * np.dtype(kind).itemsize)))
+    return min(most, max(LEAST_TILE, -(-4 * n // (3 * TILES))))
+
+
+def _tiles(rows: DataFrame, dims: int, n: int) -> DataFrame:
+    """Equal vectors as one class, with its smallest vec_id and its size, and classes of one neighbourhood side by
+    side, packed into tiles."""
+    spark, kind = rows.sparkSession, _stored_kind(rows)
+    pivots = spark.sparkContext.broadcast(_pivots(rows, dims, n))
+    size = _tile_rows(n, dims, kind)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The cell (nearest pivot) and how near that is, the same in any task.  Equal vectors of a batch leave as one row."""
+        columns = np.ascontiguousarray(pivots.value.T)
+        at_once = max(1, (1 << 20) // columns.shape[1])
+        for batch in batches:
+            x = _matrix(batch["embedding"], dims)
+            if not len(x):
+                continue
+            _, first, which = np.unique(x.view(np.dtype((np.void, 8 * dims))).ravel(), return_index=True, return_inverse=True)
+            low = np.full(len(first), np.iinfo(np.int64).max)
+            np.minimum.at(low, which, batch["vec_id"].to_numpy())
+            steps, cell, near = _plain_steps(x[first]), [], []
+            for at in range(0, len(first), at_once):
+                dots = steps[at : at + at_once] @ columns
+                cell.append(dots.argmax(1))
+                near.append(dots.max(1))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(cell), pa.int32()),
+                    pa.array(np.concatenate(near).astype(np.int32)),
+                    batch["h"].take(pa.array(first)),
+                    pa.array(low),
+                    pa.array(np.bincount(which)),
+                    batch["embedding"].take(pa.array(first)),
+                ],
+                ["cell", "near", "h", "vec_id", "members", "embedding"],
+            )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, name = [], TaskContext.get().partitionId() << 32
+
+        def tile(table: pa.Table) -> pa.RecordBatch:
+            numbers = [table[c].to_numpy().astype(np.int64).tobytes() for c in ("cell", "vec_id", "members", "h")]
+            raw = _matrix(table["embedding"].combine_chunks(), dims).astype(kind).tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array([x], pa.binary()) for x in (*numbers, raw)]], ["tile", "cell", "vec_id", "members", "h", "raw"])
+
+        for batch in batches:
+            held.append(batch)
+            while sum(b.num_rows for b in held) >= size:
+                table = pa.Table.from_batches(held)
+                yield tile(table.slice(0, size))
+                held, name = table.slice(size).to_batches(), name + 1
+        if sum(b.num_rows for b in held):
+            yield tile(pa.Table.from_batches(held))
+
+    celled = rows.mapInArrow(deal, f"cell int, near int, h long, vec_id long, members long, embedding {rows.schema['embedding'].dataType.simpleString()}")
+    # ranges of three quarters of a tile, as they are not all alike; a class is within one: its cell and hash are the
+    # same in every row
+    dealt = celled.repartitionByRange(-(-4 * n // (3 * size)), "cell", "h").groupBy("cell", "near", "h", "embedding")
+    classes = dealt.agg(F.min("vec_id").alias("vec_id"), F.sum("members").alias("members")).sortWithinPartitions("cell", "near")
+    return staged(classes.mapInArrow(pack, "tile long, cell binary, vec_id binary, members binary, h binary, raw binary"))
+
+
+def _unpacked(tiles: DataFrame, dims: int, embedding: str | None = None) -> DataFrame:
+    """(h, vec_id, members) of the classes, on request with the embedding of that type."""
+    kind = "<f4" if embedding == "array<float>" else "<f8"
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                columns = [pa.array(np.frombuffer(r[c], np.int64)) for c in ("h", "vec_id", "members")]
+                if embedding:
+                    raw = pa.array(np.frombuffer(r["raw"], kind))
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.arange(0, len(raw) + 1, dims), pa.int32()), raw))
+                yield pa.RecordBatch.from_arrays(columns, ["h", "vec_id", "members", "embedding"][: len(columns)])
+
+    some = tiles.select("h", "vec_id", "members", *["raw"] * bool(embedding))
+    return some.mapInArrow(unpack, "h long, vec_id long, members long" + f", embedding {embedding}" * bool(embedding))
+
+
+def _moments(tiles: DataFrame, dims: int, kind: str) -> tuple[np.ndarray, int]:
     """Sum over all vectors of their outer products: one dims x dims matrix a partition, added in tasks."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros((dims, dims)), 0
         for batch in batches:
-            x = unit_rows(_matrix(batch["embedding"], dims))
-            total, n = total + x.T @ x, n + len(x)
+            for raw in batch["raw"]:
+                vectors = np.frombuffer(raw.as_buffer(), kind).reshape(-1, dims)
+                for at in range(0, len(vectors), ROWS_AT_ONCE):
+                    x = unit_rows(vectors[at : at + ROWS_AT_ONCE].astype(np.float64))
+                    total, n = total + x.T @ x, n + len(x)
         if n:
             yield pa.RecordBatch.from_pydict({"at": pa.array(range(dims), pa.int32()), "n": [n] * dims, "row": pa.array(list(total), pa.list_(pa.float64()))})
 
-    rows = reps.select("embedding").mapInArrow(add, "at int, n long, row array<double>")
+    rows = tiles.select("raw").mapInArrow(add, "at int, n long, row array<double>")
     sums = rows.groupBy("at").agg(F.sum("n").alias("n"), *[F.sum(F.col("row")[k]).alias(f"c{k}") for k in range(dims)]).collect()
     out, n = np.zeros((dims, dims)), 0
     for r in sums:
@@ -93,121 +228,152 @@ def _moments(reps: DataFrame, dims: int) -> tuple[np.ndarray, int]:
     return (out + out.T) / 2, n
 
 
-def _stored_kind(vectors: DataFrame) -> str:
-    """How a component travels: as the column has it, in 32 or 64 bits."""
-    return "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
+class Tile:
+    """Vectors prepared to be compared: in 32 bits, shortened, and in neighbourhoods with a centre.  A neighbourhood is
+    cut by the angle to its centre into groups, each with the cosines to the centre between which a vector must be
+    to link with one of the group."""
+
+    def __init__(self, space: Subspaces, cell: np.ndarray, ids: np.ndarray, members: np.ndarray, raw: np.ndarray):
+        def by_rows(f, *of: np.ndarray) -> np.ndarray:
+            return np.concatenate([f(*(x[at : at + ROWS_AT_ONCE] for x in of)) for at in range(0, len(ids), ROWS_AT_ONCE)])
+
+        full = by_rows(lambda x: unit_rows(x.astype(np.float64)).astype(np.float32), raw)
+        runs = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(ids)]])
+        hoods = np.concatenate([np.arange(a, b, NEIGHBOURS) for a, b in zip(runs, runs[1:], strict=False)])
+        centres = np.add.reduceat(full.astype(np.float64), hoods, axis=0)
+        length = np.sqrt((centres * centres).sum(1, keepdims=True))
+        flat = length[:, 0] < 1e-6  # no direction: any will do
+        centres[flat], length[flat] = np.eye(1, raw.shape[1]), 1.0
+        self.centres = (centres / length).astype(np.float32)
+        hood = np.repeat(np.arange(len(hoods)), np.diff(np.append(hoods, len(ids))))
+        angle = by_rows(lambda x, h: np.arccos(np.clip(np.einsum("ij,ij->i", x, self.centres[h]), -1, 1)), full, hood)
+        order = np.lexsort((angle, hood))
+        angle = angle[order].astype(np.float64)
+        self.ids, self.members, self.raw, self.full = ids[order], members[order].astype(np.float64), raw[order], full[order]
+        self.single = bool((members == 1).all())
+        self.short = by_rows(space.short, self.full)
+        self.starts = np.concatenate([np.arange(a, b, GROUP) for a, b in zip(hoods, np.append(hoods[1:], len(ids)), strict=True)])
+        self.ends = np.append(self.starts[1:], len(ids))
+        self.hood = hood[self.starts]
+        far = np.maximum.reduceat(angle, self.starts) + space.reach + space.angle_blur
+        near = np.minimum.reduceat(angle, self.starts) - space.reach - space.angle_blur
+        self.least = (np.cos(np.minimum(far, math.pi)) - space.blur).astype(np.float32)
+        self.most = np.where(near > 0, np.cos(np.maximum(near, 0)) + space.blur, 2.0).astype(np.float32)
+        self.bytes = sum(x.nbytes for x in (self.ids, self.members, self.raw, self.short, self.full, self.centres))
+
+
+def _exact(left: np.ndarray, right: np.ndarray, min_cosine: float) -> np.ndarray:
+    return (unit_rows(left.astype(np.float64)) * unit_rows(right.astype(np.float64))).sum(1) >= min_cosine
+
+
+def _meet(space: Subspaces, left: Tile, right: Tile | None) -> pa.Table:
+    """Link counts of all pairs of two tiles, or of one, and a spanning forest of their links."""
+    triangle = right is None
+    right = left if triangle else right
+    shift = 0 if triangle else len(left.ids)
+    ids = left.ids if triangle else np.concatenate([left.ids, right.ids])
+    count, root = np.zeros(len(ids)), np.arange(len(ids))
+    sure, never = np.float32(space.min_cosine + space.blur), np.float32(space.min_cosine - space.blur)
+    open_, waiting = [], 0
+    # what is scored at once, in the same memory each time
+    most = max(SCORES_AT_ONCE, GROUP)
+    scores, hit = np.empty(most, np.float32), np.zeros(-(-most // 8) * 8, bool)
+
+    def connect(some: int) -> None:
+        nonlocal open_, waiting
+        if waiting > some:
+            _connect(root, *(np.concatenate(x) for x in zip(*open_, strict=True)))
+            open_, waiting = [], 0
+
+    def verify_each(a: np.ndarray, b: np.ndarray) -> None:
+        nonlocal waiting
+        cosine = np.einsum("ij,ij->i", left.full[a], right.full[b])
+        link = cosine >= sure
+        edge = np.flatnonzero((cosine >= never) & ~link)
+        if len(edge):
+            link[edge] = _exact(left.raw[a[edge]], right.raw[b[edge]], space.min_cosine)
+        a, b = a[link], b[link]
+        if len(a):
+            np.add.at(count, a, right.members[b])
+            np.add.at(count, b + shift, left.members[a])
+            open_.append((a, b + shift))
+            waiting += len(a)
+            connect(PAIRS_AT_ONCE)
+
+    def verify_all(rows: np.ndarray, begin: int, end: int) -> None:
+        """Of a block most of which may link."""
+        nonlocal waiting
+        cosine = left.full[rows] @ right.full[begin:end].T
+        link = cosine >= sure
+        edge = cosine >= never
+        if triangle:
+            ahead = rows[:, None] < np.arange(begin, end)
+            link, edge = link & ahead, edge & ahead
+        a, b = np.nonzero(edge & ~link)
+        for at in range(0, len(a), PAIRS_AT_ONCE):
+            x, y = a[at : at + PAIRS_AT_ONCE], b[at : at + PAIRS_AT_ONCE]
+            link[x, y] = _exact(left.raw[rows[x]], right.raw[begin + y], space.min_cosine)
+        both = left.single and right.single
+        np.add.at(count, rows, np.count_nonzero(link, axis=1) if both else link @ right.members[begin:end])
+        count[shift + begin : shift + end] += np.count_nonzero(link, axis=0) if both else left.members[rows] @ link
+        a, b = np.nonzero(link & (root[rows][:, None] != root[shift + begin : shift + end]))
+        if len(a):
+            open_.append((rows[a], b + (begin + shift)))
+            waiting += len(a)
+            connect(PAIRS_AT_ONCE)
+
+    for first in range(0, len(right.centres), HOODS_AT_ONCE):
+        cosines = np.empty((len(right.centres[first : first + HOODS_AT_ONCE]), len(left.ids)), np.float32)
+        for at in range(0, len(left.ids), ROWS_AT_ONCE):
+            np.matmul(right.centres[first : first + HOODS_AT_ONCE], left.full[at : at + ROWS_AT_ONCE].T, out=cosines[:, at : at + ROWS_AT_ONCE])
+        for group in range(*np.searchsorted(right.hood, [first, first + HOODS_AT_ONCE])):
+            begin, end = right.starts[group], right.ends[group]
+            cosine = cosines[right.hood[group] - first, : end if triangle else None]
+            near = cosine >= right.least[group]
+            if right.most[group] < 1:
+                near &= cosine <= right.most[group]
+            rows = np.flatnonzero(near)
+            columns = np.ascontiguousarray(right.short[begin:end].T)
+            wide = end - begin
+            at_once = max(1, SCORES_AT_ONCE // wide)
+            for at in range(0, len(rows), at_once):
+                some = rows[at : at + at_once]
+                size = len(some) * wide
+                score, hits = scores[:size].reshape(-1, wide), hit[:size].reshape(-1, wide)
+                np.matmul(np.take(left.short, some, axis=0), columns, out=score)
+                np.greater_equal(score, space.least_score, out=hits)
+                if triangle and some[-1] >= begin:  # each pair once
+                    hits &= some[:, None] < np.arange(begin, end)
+                hit[size : -(-size // 8) * 8] = False
+                # few are hits: eight at a time are passed over
+                eights = hit[: -(-size // 8) * 8].reshape(-1, 8)
+                any_ = np.flatnonzero(eights.view(np.uint64)[:, 0] != 0)
+                if len(any_) * 16 > size and np.count_nonzero(hits) * 8 > size:
+                    verify_all(some, begin, end)
+                    continue
+                for part in range(0, len(any_), PAIRS_AT_ONCE // 8):
+                    few = any_[part : part + PAIRS_AT_ONCE // 8]
+                    at_few, bit = np.nonzero(eights[few])
+                    a, b = np.divmod(few[at_few] * 8 + bit, wide)
+                    verify_each(some[a], begin + b)
+    connect(0)
+    own = np.flatnonzero(count)
+    low = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(low, root[own], ids[own])
+    return pa.table({"vec_id": ids[own], "root": low[root[own]], "n": count[own].astype(np.int64)})
 
 
-def _spread(reps: DataFrame, space, dims: int) -> DataFrame:
-    """Every vector in its own cell of every block's grid (home) and in the cells ahead of it that its budget
-    reaches (a guest there), so that a pair within a budget meets in exactly one cell of that block."""
-    kind = _stored_kind(reps)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s: Subspaces = space.value
-        for batch in batches:
-            ids, members = batch["vec_id"].to_numpy(), batch["members"].to_numpy()
-            steps = s.steps(unit_rows(_matrix(batch["embedding"], dims)))
-            raw = np.ascontiguousarray(_matrix(batch["embedding"], dims).astype(kind))
-            for block in range(len(s.budget)):
-                own = s.part(steps, block)[:, : s.grid]
-                width, reach = s.cell[block], s.radius[block]
-                at = np.floor(own / width).astype(np.int64)
-                inside = own - at * width
-                home = (0,) * s.grid
-                for move in (m for m in product((-1, 0, 1), repeat=s.grid) if m >= home):
-                    gap = np.zeros(len(ids))
-                    for k, m in enumerate(move):
-                        if m:
-                            gap += (np.where(m > 0, width - inside[:, k], inside[:, k])) ** 2
-                    near = np.flatnonzero(gap <= reach * reach)
-                    if not len(near):
-                        continue
-                    cell = at[near] + np.array(move)
-                    name = [f"{block}:" + ",".join(map(str, c)) for c in cell.tolist()]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(name),
-                            pa.array(np.full(len(near), int(any(move)), np.int32)),
-                            pa.array(ids[near]),
-                            pa.array(members[near]),
-                            pa.array([x.tobytes() for x in steps[near]], pa.binary()),
-                            pa.array([x.tobytes() for x in raw[near]], pa.binary()),
-                        ],
-                        ["cell", "guest", "vec_id", "members", "steps", "raw"],
-                    )
-
-    return reps.select("vec_id", "members", "embedding").mapInArrow(spread, "cell string, guest int, vec_id long, members long, steps binary, raw binary")
-
-
-def _tiles(rows: DataFrame) -> DataFrame:
-    """Cells above TILE vectors are cut into tiles by hash; a tile meets itself and every other one."""
-    sizes = checkpointed(rows.groupBy("cell").agg(F.count("*").alias("m")).where(F.col("m") > TILE))
-    big = rows.join(broadcast_if_small(sizes, sizes.count()), "cell", "left")
-    n = F.coalesce(F.ceil(F.col("m") / TILE), F.lit(1)).cast("int")
-    tile = F.pmod(F.xxhash64("vec_id", "guest"), n).cast("int")
-    dealt = big.withColumn("tiles", n).withColumn("tile", tile)
-    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "cell",
-        F.least("tile", "other").alias("t1"),
-        F.greatest("tile", "other").alias("t2"),
-        (F.col("tile") > F.col("other")).cast("int").alias("second"),
-        "guest",
-        "vec_id",
-        "members",
-        "steps",
-        "raw",
-    )
+def _compare(space, dims: int, min_cosine: float, kind: str = "<f4"):
+    """Compares a table of vectors with itself, or with another one.  Tables prepared before can be given, too."""
 
+    def prepared(group: pa.Table) -> Tile:
+        raw = np.frombuffer(b"".join(group["raw"].to_pylist()), kind).reshape(-1, dims)
+        return Tile(space.value, group["cell"].to_numpy(), group["vec_id"].to_numpy(), group["members"].to_numpy(), raw)
 
-def _compare(space, dims: int, min_cosine: float, kind: str = "<f4"):
-    def links(group: pa.Table) -> pa.Table:
-        s: Subspaces = space.value
-        block = int(group["cell"][0].as_py().split(":")[0])
-        one_tile = group["t1"][0].as_py() == group["t2"][0].as_py()
-        ids, members = group["vec_id"].to_numpy(), group["members"].to_numpy()
-        guest = group["guest"].to_numpy().astype(bool)
-        steps = np.frombuffer(b"".join(group["steps"].to_pylist()), np.int16).reshape(-1, dims)
-        unit = unit_rows(np.frombuffer(b"".join(group["raw"].to_pylist()), kind).astype(np.float64).reshape(-1, dims))
-        second = group["second"].to_numpy().astype(bool)
-        # homes first: they are compared with everything, guests only with the homes of another tile
-        first_homes, first_guests = np.flatnonzero(~second & ~guest), np.flatnonzero(~second & guest)
-        if one_tile:
-            rounds = [(first_homes, np.concatenate([first_homes, first_guests]), True)]
-        else:
-            homes, guests = np.flatnonzero(second & ~guest), np.flatnonzero(second & guest)
-            rounds = [(first_homes, np.concatenate([homes, guests]), False), (first_guests, homes, False)]
-        parts = [s.part(steps, b) for b in range(block + 1)]
-        own = parts[block]
-        half = 0.5 * (own * own).sum(1, dtype=np.float32, keepdims=True)
-        one = np.ones_like(half)
-        # left @ right is minus half the squared distance, a multiple of 1/2 below 2^23: exact in any task
-        lefts, rights = np.hstack([own, half, one]), np.hstack([own, -one, -half])
-        # links are counted and folded into the forest as they are found, a bounded number of them at once
-        count, root = np.zeros(len(ids)), np.arange(len(ids))
-        for left, right, triangle in rounds:
-            columns = np.ascontiguousarray(rights[right].T)
-            for at in range(0, len(left), ROWS_AT_ONCE):
-                begin = at if triangle else 0
-                near = lefts[left[at : at + ROWS_AT_ONCE]] @ columns[:, begin:] >= -0.5 * s.budget[block]
-                if triangle:  # each pair of homes once
-                    near &= np.arange(near.shape[1]) > np.arange(len(near))[:, None]
-                hits = np.flatnonzero(near)
-                for some in np.split(hits, range(PAIRS_AT_ONCE, len(hits), PAIRS_AT_ONCE)):
-                    a, b = np.divmod(some, near.shape[1])
-                    a, b = left[at + a], right[begin + b]
-                    # a pair belongs to the first block in whose budget it is
-                    for earlier in range(block):
-                        gap = parts[earlier][a] - parts[earlier][b]
-                        keep = (gap * gap).sum(1) > s.budget[earlier]
-                        a, b = a[keep], b[keep]
-                    exact = (unit[a] * unit[b]).sum(1) >= min_cosine
-                    a, b = a[exact], b[exact]
-                    if len(a):
-                        count += np.bincount(a, members[b], len(ids)) + np.bincount(b, members[a], len(ids))
-                        _connect(root, a, b)
-        own = np.flatnonzero(count)
-        return pa.table({"vec_id": ids[own], "root": ids[root[own]], "n": count[own].astype(np.int64)})
+    def links(group: pa.Table | Tile, other: pa.Table | Tile | None = None) -> pa.Table:
+        one, two = (prepared(x) if isinstance(x, pa.Table) else x for x in (group, other))
+        assert space.value.min_cosine == min_cosine
+        return _meet(space.value, one, two)
 
     return links
 
@@ -231,42 +397,83 @@ def _connect(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 LINKS = "vec_id long, root long, n long"
 
 
-def _links(classes: DataFrame, dims: int, blocks: int, grid_dims: int, min_cosine: float) -> DataFrame:
-    """Link counts and a spanning forest of the classes, all of one length."""
-    space = classes.sparkSession.sparkContext.broadcast(Subspaces(*_moments(classes, dims), blocks, grid_dims, min_cosine))
-    met = _tiles(_spread(classes, space, dims))
-    return checkpointed(met.groupBy("cell", "t1", "t2").applyInArrow(_compare(space, dims, min_cosine, _stored_kind(classes)), LINKS))
+def _links(tiles: DataFrame, dims: int, n: int, kind: str, blocks: int, grid_dims: int, min_cosine: float) -> DataFrame:
+    """Link counts and a spanning forest of the classes, all of one length.  Every tile meets itself and every
+    other once, in a join that reads both from the shared folder; nothing is shuffled for it."""
+    space = tiles.sparkSession.sparkContext.broadcast(Subspaces(*_moments(tiles, dims, kind), blocks, grid_dims, min_cosine))
+    links = _compare(space, dims, min_cosine, kind)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, Tile] = {}
+
+        def tile(batch: pa.RecordBatch, k: int, side: str) -> Tile:
+            name = batch[f"tile{side}"][k].as_py()
+            if name not in kept:
+                numbers = [np.frombuffer(batch[f"{c}{side}"][k].as_py(), np.int64) for c in ("cell", "vec_id", "members")]
+                made = Tile(space.value, *numbers, np.frombuffer(batch[f"raw{side}"][k].as_py(), kind).reshape(-1, dims))
+                while kept and made.bytes + sum(t.bytes for t in kept.values()) > KEPT_BYTES:
+                    del kept[next(iter(kept))]
+                kept[name] = made
+            return kept[name]
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = tile(batch, k, "")
+                same = batch["tile"][k].as_py() == batch["tile_"][k].as_py()
+                yield from links(one, None if same else tile(batch, k, "_")).to_batches()
+
+    ranges = max(RANGES, n * dims * np.dtype(kind).itemsize // RANGE_BYTES)
+    left = tiles.select("tile", "cell", "vec_id", "members", "raw").coalesce(ranges)
+    right = left.select(*[F.col(c).alias(f"{c}_") for c in left.columns])
+    # of both orders of a pair the one that leaves every task half of its pairs
+    turn = F.pmod(F.xxhash64(F.least("tile", "tile_"), F.greatest("tile", "tile_")), F.lit(2)) == 0
+    once = (F.col("tile") == F.col("tile_")) | ((F.col("tile") != F.col("tile_")) & ((F.col("tile") < F.col("tile_")) == turn))
+    return staged(left.join(right.hint("shuffle_replicate_nl"), once).mapInArrow(meet, LINKS))
 
 
 def near_duplicate_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, blocks: int = BLOCKS, grid_dims: int = GRID_DIMS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding).
 
-    Equal vectors are one class, joined through its smallest vec_id and counted with its size.  In a cell's
-    task links are only counted, and a spanning forest of them leaves it, so a group of near copies puts
-    out its size, not its pairs.  Vectors of different lengths never link; each length that two classes have
+    Equal vectors are one class, joined through its smallest vec_id and counted with its size.  Where two tiles
+    meet links are only counted, and a spanning forest of them leaves the task, so a group of near copies puts
+    out its size, not its pairs.  Vectors of different lengths never link; each length that two rows have
     is joined on its own, one after the other.  A vector that is null, empty, zero, or holds null or non-finite
     components links with nothing; so does a row with a null vec_id (component null, not kept).  Rows that
     repeat a vec_id count as different vectors of one node; an empty table gives no rows.  Cosines are taken in
-    double precision of the components as they are stored (32 or 64 bits), of any size."""
+    double precision of the components as they are stored (32 or 64 bits), of any size.  Rows find their class by
+    a hash of the vector; if two classes have the same, by the vector itself."""
+    bound_bytes(vectors.sparkSession)
     kind = "float" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "double"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
-    usable = rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.coalesce(finite & some, F.lit(False)))
-    classes = staged(usable.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("members")))
-    lengths = classes.groupBy(F.size("embedding").alias("d")).count().where("count > 1").orderBy("d").collect()
+    good = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.coalesce(finite & some, F.lit(False))
+    usable = rows.where(good).withColumn("h", _digest(F.col("embedding")))
+    lengths = usable.groupBy(F.size("embedding").alias("d")).count().where("count > 1").orderBy("d").collect()
     found = vectors.sparkSession.createDataFrame([], LINKS)
-    for dims in (r["d"] for r in lengths):
-        found = found.unionByName(_links(classes.where(F.size("embedding") == dims), dims, blocks, grid_dims, min_cosine))
+    packed = []
+    for dims, n in ((r["d"], r["count"]) for r in lengths):
+        packed.append((_tiles(usable.where(F.size("embedding") == dims), dims, n), dims))
+        found = found.unionByName(_links(packed[-1][0], dims, n, _stored_kind(rows), blocks, grid_dims, min_cosine))
+
+    def classes(embedding: str | None = None) -> DataFrame:
+        out = vectors.sparkSession.createDataFrame([], "h long, vec_id long, members long" + f", embedding {embedding}" * bool(embedding))
+        for tiles, dims in packed:
+            out = out.unionByName(_unpacked(tiles, dims, embedding))
+        return out
+
+    alike = classes().groupBy("h").count().where("count > 1").limit(1).count() > 0
     parts = connected_components(found, "vec_id", "root")
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
-    named = classes.join(counts, "vec_id", "left").join(parts, F.col("vec_id") == F.col("node"), "left").select(
-        F.col("embedding").alias("_e"),
+    named = classes(f"array<{kind}>" if alike else None).join(counts, "vec_id", "left").join(parts, F.col("vec_id") == F.col("node"), "left").select(
+        F.col("h").alias("_h"),
+        *[F.col("embedding").alias("_e")] * alike,
         (F.coalesce("n", F.lit(0)) + F.col("members") - 1).alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
     )
-    on = (rows["embedding"] == named["_e"]) & rows["vec_id"].isNotNull()
-    out = rows.join(named, on, "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
+    rows = rows.select("vec_id", F.when(good, _digest(F.col("embedding"))).alias("h"), *["embedding"] * alike)
+    on = rows["h"] == named["_h"]
+    out = rows.join(named, on & (rows["embedding"] == named["_e"]) if alike else on, "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
     out = out.withColumn("component_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")))
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 

@@ -3,8 +3,10 @@ repeated rows and clashing extra columns; and on empty tables."""
 
 import hashlib
 import math
+import os
 import random
 import re
+import tempfile
 import tracemalloc
 import zlib
 from types import SimpleNamespace
@@ -12,6 +14,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +30,7 @@ from docweave.llm import op09_substring_dedup as op9
 from docweave.llm import op10_embedding_neardup as op10
 from docweave.llm import repeats
 from docweave.llm.repeats import find_repeats
+from docweave.session import ensure_checkpoint_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -574,6 +578,81 @@ def test_vectors_of_a_cell_in_bounded_memory():
     assert set(got["n"].to_pylist()) == {2 * (n - 1)} and set(got["root"].to_pylist()) == {10}
 
 
+def test_vectors_are_written_a_few_times_at_most(spark):
+    """Shuffle files and staged tables together, of vectors that fill the space evenly."""
+    n, dims = 12_000, 32
+    rng = np.random.default_rng(4)
+    raw = rng.normal(size=(n, dims)).astype(np.float32)
+    raw[n // 2 : n // 2 + 200] = raw[:200] + rng.normal(size=(200, dims)).astype(np.float32) * 0.01
+    path = f"{tempfile.mkdtemp(prefix='docweave-test-')}/vectors.parquet"
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(raw), pa.list_(pa.float32()))}), path)
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def held():
+        local, files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator(), {}
+        while local.hasNext():
+            f = local.next()
+            files[f.getPath()] = f.length()
+        return files | {f"{d}/{x}": os.path.getsize(f"{d}/{x}") for d, _, names in os.walk(folder) for x in names}
+
+    before = held()
+    got = op10.near_duplicate_vectors(spark.read.parquet(path)).collect()
+    written = sum(size for f, size in held().items() if f not in before)
+    assert len(got) == n and sorted(r["vec_id"] for r in got if r["n_links"]) == [*range(200), *range(n // 2, n // 2 + 200)]
+    assert written < 4 * raw.nbytes, written / raw.nbytes
+
+
+def test_vectors_whose_hashes_are_the_same(spark, monkeypatch):
+    monkeypatch.setattr(op10, "_digest", lambda embedding: F.pmod(F.xxhash64(embedding), F.lit(3)))
+    monkeypatch.setattr(op10, "TILE", 40)
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(40, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(100 + i, base[i % 7].tolist()) for i in range(60)]
+    rows += [(200 + i, (base[i % 5] + rng.normal(size=8) * 0.1).tolist()) for i in range(40)]
+    rows += [(300, [0.0, -0.0] + [1.0] * 6), (301, [-0.0, 0.0] + [1.0] * 6), (302, None), (None, base[1].tolist())]
+    got = op10.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted((str(r[0]), r[1], str(r[2]), r[3]) for r in got) == plain_links(rows, 0.95)
+
+
+@pytest.mark.parametrize("dims,least", [(24, 0.95), (24, 0.3), (3, 0.95), (24, -0.2)])
+def test_tiles_meet_as_all_their_pairs(monkeypatch, dims, least):
+    """Even vectors, near copies of some, opposite ones, and one whose neighbours cancel out."""
+    for name, value in (("NEIGHBOURS", 16), ("GROUP", 5), ("HOODS_AT_ONCE", 3), ("SCORES_AT_ONCE", 90), ("PAIRS_AT_ONCE", 64), ("ROWS_AT_ONCE", 50)):
+        monkeypatch.setattr(op10, name, value)
+    rng = np.random.default_rng(11)
+    raw = rng.normal(size=(500, dims)).astype(np.float32)
+    raw[200:260] = raw[:60] + rng.normal(size=(60, dims)) * 0.15
+    raw[260:400] = raw[7] + rng.normal(size=(140, dims)) * 0.01
+    raw[400:420] = -raw[:20]
+    cell = np.concatenate([rng.integers(0, 9, 400), np.arange(100) % 3])
+    cell[[0, 400]] = 90
+    members = rng.integers(1, 4, 500)
+    unit = op10.unit_rows(raw.astype(float))
+    space = SimpleNamespace(value=op10.Subspaces(unit.T @ unit, 500, 4, 2, least))
+    links = op10._compare(space, dims, least)
+    near = unit @ unit.T >= least
+    np.fill_diagonal(near, False)
+
+    def table(of):
+        of = of[np.argsort(cell[of], kind="stable")]
+        return pa.table({"cell": cell[of], "vec_id": of, "members": members[of], "raw": [raw[k].tobytes() for k in of]})
+
+    def check(got, near):
+        assert dict(zip(got["vec_id"].to_pylist(), got["n"].to_pylist(), strict=True)) == {i: n for i, n in enumerate((near @ members).tolist()) if n}
+        low = np.arange(500)
+        for _ in range(500):
+            low = np.minimum(low, np.where(near, low, 500).min(1))
+        assert dict(zip(got["vec_id"].to_pylist(), got["root"].to_pylist(), strict=True)) == {i: low[i] for i in np.flatnonzero(near.any(1)).tolist()}
+
+    check(links(table(np.arange(500))), near)
+    one = np.flatnonzero(rng.random(500) < 0.5)
+    across = near.copy()
+    across[np.ix_(one, one)] = False
+    two = np.setdiff1d(np.arange(500), one)
+    across[np.ix_(two, two)] = False
+    check(links(table(one), table(two)), across)
+
+
 def test_vectors_empty(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert sorted(tuple(r) for r in op10.near_duplicate_vectors(df).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
