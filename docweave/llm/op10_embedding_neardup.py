@@ -43,10 +43,11 @@ RANGES = 64
 RANGE_BYTES = 64 << 20
 #: Bytes of prepared tiles that a task keeps for their next meeting.
 KEPT_BYTES = 64 << 20
-#: Pairs scored at once, and pairs verified at once, so that a group of near copies needs no more memory than its
-#: vectors.
+#: Pairs scored at once, pairs connected at once, and components of pairs verified at once, so that a group of near
+#: copies needs no more memory than its vectors.
 SCORES_AT_ONCE = 1 << 18
 PAIRS_AT_ONCE = 1 << 16
+NUMBERS_AT_ONCE = 1 << 22
 ROWS_AT_ONCE = 4096
 #: Rounded coordinates are whole multiples of this: a unit vector's squared length is then at most some 2^22 squared
 #: steps, so 32-bit floats hold sums of their products exactly, and every task finds the same ones.
@@ -74,6 +75,7 @@ class Subspaces:
         #: How far a product of two unit vectors in 32 bits is off, and an angle found from it.
         self.blur = (dims + 8) * 2.0**-23
         self.angle_blur = 2.0 * math.sqrt(2.0 * self.blur)
+        self.sure, self.never = np.float32(min_cosine + self.blur), np.float32(min_cosine - self.blur)
         # half a step in each leading coordinate of both vectors, and what 32 bits lose
         self.least_score = np.float32(min_cosine - STEP * math.sqrt(len(self.leading)) - 2 * self.blur)
 
@@ -168,9 +170,11 @@ def _tiles(rows: DataFrame, dims: int, n: int) -> DataFrame:
         held, name = [], TaskContext.get().partitionId() << 32
 
         def tile(table: pa.Table) -> pa.RecordBatch:
-            numbers = [table[c].to_numpy().astype(np.int64).tobytes() for c in ("cell", "vec_id", "members", "h")]
-            raw = _matrix(table["embedding"].combine_chunks(), dims).astype(kind).tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array([x], pa.binary()) for x in (*numbers, raw)]], ["tile", "cell", "vec_id", "members", "h", "raw"])
+            raw = _matrix(table["embedding"].combine_chunks(), dims).astype(kind)
+            order, hood, angle = _hoods(table["cell"].to_numpy(), raw)
+            numbers = [table[c].to_numpy().astype(np.int64)[order] for c in ("vec_id", "members", "h")]
+            packed = [pa.array([x.tobytes()], pa.binary()) for x in (hood.astype(np.int64), angle, *numbers, raw[order])]
+            return pa.RecordBatch.from_arrays([pa.array([name]), *packed], ["tile", "hood", "angle", "vec_id", "members", "h", "raw"])
 
         for batch in batches:
             held.append(batch)
@@ -186,7 +190,7 @@ def _tiles(rows: DataFrame, dims: int, n: int) -> DataFrame:
     # same in every row
     dealt = celled.repartitionByRange(-(-4 * n // (3 * size)), "cell", "h").groupBy("cell", "near", "h", "embedding")
     classes = dealt.agg(F.min("vec_id").alias("vec_id"), F.sum("members").alias("members")).sortWithinPartitions("cell", "near")
-    return staged(classes.mapInArrow(pack, "tile long, cell binary, vec_id binary, members binary, h binary, raw binary"))
+    return staged(classes.mapInArrow(pack, "tile long, hood binary, angle binary, vec_id binary, members binary, h binary, raw binary"))
 
 
 def _unpacked(tiles: DataFrame, dims: int, embedding: str | None = None) -> DataFrame:
@@ -228,33 +232,51 @@ def _moments(tiles: DataFrame, dims: int, kind: str) -> tuple[np.ndarray, int]:
     return (out + out.T) / 2, n
 
 
+def _by_rows(f, *of: np.ndarray) -> np.ndarray:
+    return np.concatenate([f(*(x[at : at + ROWS_AT_ONCE] for x in of)) for at in range(0, len(of[0]), ROWS_AT_ONCE)])
+
+
+def _full(raw: np.ndarray) -> np.ndarray:
+    return _by_rows(lambda x: unit_rows(x.astype(np.float64)).astype(np.float32), raw)
+
+
+def _centres(full: np.ndarray, hood: np.ndarray) -> np.ndarray:
+    centres = np.add.reduceat(full.astype(np.float64), np.flatnonzero(np.diff(hood, prepend=-1)), axis=0)
+    length = np.sqrt((centres * centres).sum(1, keepdims=True))
+    flat = length[:, 0] < 1e-6  # no direction: any will do
+    centres[flat], length[flat] = np.eye(1, full.shape[1]), 1.0
+    return (centres / length).astype(np.float32)
+
+
+def _hoods(cell: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by neighbourhoods (parts of a cell) and by the angle to their centre; the neighbourhood and the angle
+    of each in that order."""
+    full = _full(raw)
+    runs = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
+    starts = np.concatenate([np.arange(a, b, NEIGHBOURS) for a, b in zip(runs, runs[1:], strict=False)])
+    hood = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(cell))))
+    centres = _centres(full, hood)
+    angle = _by_rows(lambda x, h: np.arccos(np.clip(np.einsum("ij,ij->i", x, centres[h]), -1, 1)), full, hood)
+    order = np.lexsort((angle, hood))
+    return order, hood, angle[order]
+
+
 class Tile:
     """Vectors prepared to be compared: in 32 bits, shortened, and in neighbourhoods with a centre.  A neighbourhood is
     cut by the angle to its centre into groups, each with the cosines to the centre between which a vector must be
     to link with one of the group."""
 
-    def __init__(self, space: Subspaces, cell: np.ndarray, ids: np.ndarray, members: np.ndarray, raw: np.ndarray):
-        def by_rows(f, *of: np.ndarray) -> np.ndarray:
-            return np.concatenate([f(*(x[at : at + ROWS_AT_ONCE] for x in of)) for at in range(0, len(ids), ROWS_AT_ONCE)])
-
-        full = by_rows(lambda x: unit_rows(x.astype(np.float64)).astype(np.float32), raw)
-        runs = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(ids)]])
-        hoods = np.concatenate([np.arange(a, b, NEIGHBOURS) for a, b in zip(runs, runs[1:], strict=False)])
-        centres = np.add.reduceat(full.astype(np.float64), hoods, axis=0)
-        length = np.sqrt((centres * centres).sum(1, keepdims=True))
-        flat = length[:, 0] < 1e-6  # no direction: any will do
-        centres[flat], length[flat] = np.eye(1, raw.shape[1]), 1.0
-        self.centres = (centres / length).astype(np.float32)
-        hood = np.repeat(np.arange(len(hoods)), np.diff(np.append(hoods, len(ids))))
-        angle = by_rows(lambda x, h: np.arccos(np.clip(np.einsum("ij,ij->i", x, self.centres[h]), -1, 1)), full, hood)
-        order = np.lexsort((angle, hood))
-        angle = angle[order].astype(np.float64)
-        self.ids, self.members, self.raw, self.full = ids[order], members[order].astype(np.float64), raw[order], full[order]
+    def __init__(self, space: Subspaces, hood: np.ndarray, angle: np.ndarray, ids: np.ndarray, members: np.ndarray, raw: np.ndarray):
+        self.ids, self.members, self.raw = ids, members.astype(np.float64), raw
         self.single = bool((members == 1).all())
-        self.short = by_rows(space.short, self.full)
-        self.starts = np.concatenate([np.arange(a, b, GROUP) for a, b in zip(hoods, np.append(hoods[1:], len(ids)), strict=True)])
+        self.full = _full(raw)
+        self.short = _by_rows(space.short, self.full)
+        self.centres = _centres(self.full, hood)
+        begins = np.flatnonzero(np.diff(hood, prepend=-1))
+        self.starts = np.concatenate([np.arange(a, b, GROUP) for a, b in zip(begins, np.append(begins[1:], len(ids)), strict=True)])
         self.ends = np.append(self.starts[1:], len(ids))
         self.hood = hood[self.starts]
+        angle = angle.astype(np.float64)
         far = np.maximum.reduceat(angle, self.starts) + space.reach + space.angle_blur
         near = np.minimum.reduceat(angle, self.starts) - space.reach - space.angle_blur
         self.least = (np.cos(np.minimum(far, math.pi)) - space.blur).astype(np.float32)
@@ -262,8 +284,20 @@ class Tile:
         self.bytes = sum(x.nbytes for x in (self.ids, self.members, self.raw, self.short, self.full, self.centres))
 
 
-def _exact(left: np.ndarray, right: np.ndarray, min_cosine: float) -> np.ndarray:
-    return (unit_rows(left.astype(np.float64)) * unit_rows(right.astype(np.float64))).sum(1) >= min_cosine
+def _linked(space: Subspaces, left: Tile, right: Tile, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs link: by their cosine in 32 bits, in double precision where that is too near the threshold."""
+    out = np.empty(len(a), bool)
+    at_once = max(1, NUMBERS_AT_ONCE // left.full.shape[1])
+    for at in range(0, len(a), at_once):
+        x, y = a[at : at + at_once], b[at : at + at_once]
+        cosine = np.einsum("ij,ij->i", left.full[x], right.full[y])
+        link = cosine >= space.sure
+        edge = np.flatnonzero((cosine >= space.never) & ~link)
+        if len(edge):
+            one, two = (unit_rows(t.raw[of[edge]].astype(np.float64)) for t, of in ((left, x), (right, y)))
+            link[edge] = (one * two).sum(1) >= space.min_cosine
+        out[at : at + at_once] = link
+    return out
 
 
 def _meet(space: Subspaces, left: Tile, right: Tile | None) -> pa.Table:
@@ -273,8 +307,7 @@ def _meet(space: Subspaces, left: Tile, right: Tile | None) -> pa.Table:
     shift = 0 if triangle else len(left.ids)
     ids = left.ids if triangle else np.concatenate([left.ids, right.ids])
     count, root = np.zeros(len(ids)), np.arange(len(ids))
-    sure, never = np.float32(space.min_cosine + space.blur), np.float32(space.min_cosine - space.blur)
-    open_, waiting = [], 0
+    open_, waiting, to_verify, unsure = [], 0, [], 0
     # what is scored at once, in the same memory each time
     most = max(SCORES_AT_ONCE, GROUP)
     scores, hit = np.empty(most, np.float32), np.zeros(-(-most // 8) * 8, bool)
@@ -285,13 +318,13 @@ def _meet(space: Subspaces, left: Tile, right: Tile | None) -> pa.Table:
             _connect(root, *(np.concatenate(x) for x in zip(*open_, strict=True)))
             open_, waiting = [], 0
 
-    def verify_each(a: np.ndarray, b: np.ndarray) -> None:
-        nonlocal waiting
-        cosine = np.einsum("ij,ij->i", left.full[a], right.full[b])
-        link = cosine >= sure
-        edge = np.flatnonzero((cosine >= never) & ~link)
-        if len(edge):
-            link[edge] = _exact(left.raw[a[edge]], right.raw[b[edge]], space.min_cosine)
+    def verify_each(some: int) -> None:
+        nonlocal waiting, to_verify, unsure
+        if unsure <= some:
+            return
+        a, b = (np.concatenate(x) for x in zip(*to_verify, strict=True))
+        to_verify, unsure = [], 0
+        link = _linked(space, left, right, a, b)
         a, b = a[link], b[link]
         if len(a):
             np.add.at(count, a, right.members[b])
@@ -304,15 +337,12 @@ def _meet(space: Subspaces, left: Tile, right: Tile | None) -> pa.Table:
         """Of a block most of which may link."""
         nonlocal waiting
         cosine = left.full[rows] @ right.full[begin:end].T
-        link = cosine >= sure
-        edge = cosine >= never
+        link, edge = cosine >= space.sure, cosine >= space.never
         if triangle:
             ahead = rows[:, None] < np.arange(begin, end)
             link, edge = link & ahead, edge & ahead
         a, b = np.nonzero(edge & ~link)
-        for at in range(0, len(a), PAIRS_AT_ONCE):
-            x, y = a[at : at + PAIRS_AT_ONCE], b[at : at + PAIRS_AT_ONCE]
-            link[x, y] = _exact(left.raw[rows[x]], right.raw[begin + y], space.min_cosine)
+        link[a, b] = _linked(space, left, right, rows[a], begin + b)
         both = left.single and right.single
         np.add.at(count, rows, np.count_nonzero(link, axis=1) if both else link @ right.members[begin:end])
         count[shift + begin : shift + end] += np.count_nonzero(link, axis=0) if both else left.members[rows] @ link
@@ -355,7 +385,10 @@ def _meet(space: Subspaces, left: Tile, right: Tile | None) -> pa.Table:
                     few = any_[part : part + PAIRS_AT_ONCE // 8]
                     at_few, bit = np.nonzero(eights[few])
                     a, b = np.divmod(few[at_few] * 8 + bit, wide)
-                    verify_each(some[a], begin + b)
+                    to_verify.append((some[a], begin + b))
+                    unsure += len(a)
+                    verify_each(PAIRS_AT_ONCE // 16)
+    verify_each(0)
     connect(0)
     own = np.flatnonzero(count)
     low = np.full(len(ids), np.iinfo(np.int64).max)
@@ -368,7 +401,8 @@ def _compare(space, dims: int, min_cosine: float, kind: str = "<f4"):
 
     def prepared(group: pa.Table) -> Tile:
         raw = np.frombuffer(b"".join(group["raw"].to_pylist()), kind).reshape(-1, dims)
-        return Tile(space.value, group["cell"].to_numpy(), group["vec_id"].to_numpy(), group["members"].to_numpy(), raw)
+        order, hood, angle = _hoods(group["cell"].to_numpy(), raw)
+        return Tile(space.value, hood, angle, group["vec_id"].to_numpy()[order], group["members"].to_numpy()[order], raw[order])
 
     def links(group: pa.Table | Tile, other: pa.Table | Tile | None = None) -> pa.Table:
         one, two = (prepared(x) if isinstance(x, pa.Table) else x for x in (group, other))
@@ -409,8 +443,9 @@ def _links(tiles: DataFrame, dims: int, n: int, kind: str, blocks: int, grid_dim
         def tile(batch: pa.RecordBatch, k: int, side: str) -> Tile:
             name = batch[f"tile{side}"][k].as_py()
             if name not in kept:
-                numbers = [np.frombuffer(batch[f"{c}{side}"][k].as_py(), np.int64) for c in ("cell", "vec_id", "members")]
-                made = Tile(space.value, *numbers, np.frombuffer(batch[f"raw{side}"][k].as_py(), kind).reshape(-1, dims))
+                columns = (("hood", np.int64), ("angle", np.float32), ("vec_id", np.int64), ("members", np.int64), ("raw", kind))
+                *numbers, raw = (np.frombuffer(batch[f"{c}{side}"][k].as_py(), of) for c, of in columns)
+                made = Tile(space.value, *numbers, raw.reshape(-1, dims))
                 while kept and made.bytes + sum(t.bytes for t in kept.values()) > KEPT_BYTES:
                     del kept[next(iter(kept))]
                 kept[name] = made
@@ -423,7 +458,7 @@ def _links(tiles: DataFrame, dims: int, n: int, kind: str, blocks: int, grid_dim
                 yield from links(one, None if same else tile(batch, k, "_")).to_batches()
 
     ranges = max(RANGES, n * dims * np.dtype(kind).itemsize // RANGE_BYTES)
-    left = tiles.select("tile", "cell", "vec_id", "members", "raw").coalesce(ranges)
+    left = tiles.select("tile", "hood", "angle", "vec_id", "members", "raw").coalesce(ranges)
     right = left.select(*[F.col(c).alias(f"{c}_") for c in left.columns])
     # of both orders of a pair the one that leaves every task half of its pairs
     turn = F.pmod(F.xxhash64(F.least("tile", "tile_"), F.greatest("tile", "tile_")), F.lit(2)) == 0

@@ -617,7 +617,7 @@ def test_vectors_whose_hashes_are_the_same(spark, monkeypatch):
 @pytest.mark.parametrize("dims,least", [(24, 0.95), (24, 0.3), (3, 0.95), (24, -0.2)])
 def test_tiles_meet_as_all_their_pairs(monkeypatch, dims, least):
     """Even vectors, near copies of some, opposite ones, and one whose neighbours cancel out."""
-    for name, value in (("NEIGHBOURS", 16), ("GROUP", 5), ("HOODS_AT_ONCE", 3), ("SCORES_AT_ONCE", 90), ("PAIRS_AT_ONCE", 64), ("ROWS_AT_ONCE", 50)):
+    for name, value in (("NEIGHBOURS", 16), ("GROUP", 5), ("HOODS_AT_ONCE", 3), ("SCORES_AT_ONCE", 90), ("PAIRS_AT_ONCE", 64), ("NUMBERS_AT_ONCE", 200), ("ROWS_AT_ONCE", 50)):
         monkeypatch.setattr(op10, name, value)
     rng = np.random.default_rng(11)
     raw = rng.normal(size=(500, dims)).astype(np.float32)
